@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_zstd, mixing, simhash, token_store
+from . import class_lm, decontaminate, lang_zstd, license_scan, mixing, nn_descent, secret_scan, simhash, token_store, url_filter
 from .common import crc_bucket, table
 
 
@@ -15,10 +15,42 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Verdicts by host and path.
+URL_RULES = (
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(load(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.RULES if r.base]
+    mine = F.filter("found", lambda x: x["kind"].isin(base))
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secret_scan.digest(mine).cast("binary"), 256).alias("base_sha256"), secret_scan.digest(F.col("found")).alias("spans"),
+    )
+
+
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held = crc_bucket(F.col("doc_id"), 7) == 2
+    model = class_lm.train(docs.where(~held))
+    return class_lm.score(docs, model).withColumns({"held_out": held, "train_tokens": F.lit(model.tokens).cast("long")})
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     held = crc_bucket(F.col("doc_id"), 3) == 1
@@ -28,6 +60,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
 
@@ -46,7 +86,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op5_language_id, op8_simhash, op9_mixing, op10_token_store)}
+    found = (
+        op1_url_filter, op2_decontamination, op3_secret_scan, op4_class_lm, op5_language_id,
+        op6_embedding_dedup, op7_license_scan, op8_simhash, op9_mixing, op10_token_store,
+    )
+    return {f.__name__: f for f in found}
 
 
 #: Brute-force containment: every shingle of every document against every item's.
