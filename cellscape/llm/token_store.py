@@ -12,8 +12,13 @@ Spark reaches will do and a lost task leaves nothing half-written:
 
 from __future__ import annotations
 
+import array
+import functools
 import hashlib
+import itertools
+import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,12 +30,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small_batches
+from .common import shared_dir, small_batches, table
 
 #: Unicode white space, as in the vocabulary's own rule for splitting text.
 _SPACE = "\t-\r \x85\xa0  -     　"
-#: A word with the one blank before it, or white space up to that. Byte-level BPE never merges across these.
-_UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: ASCII marks but the apostrophe, which can begin a contraction.
+_MARKS = "!-&(-/:-@\\[-`{-~"
+#: Latin letters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: A word with the one blank before it and without the marks after it, any other run with its blank, or white
+#: space up to that. Byte-level BPE never merges across the ends of these.
+_UNIT = re.compile(f" ?[{_LETTERS}]+(?=[{_SPACE}{_MARKS}]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 BLOCK = "first_doc long, doc_ids array<long>, counts array<long>, offsets array<int>, n_ids long, dictionary string, payload binary"
 
 
@@ -40,41 +50,55 @@ class Params:
 
     end_id: int = 0
     dictionary: int = 64 * 1024
-    sample: int = 2000
+    sample: int = 1000
     piece: int = 16 * 1024
     level: int = 3
     block_bytes: int = 1 << 20
-    cache: int = 400_000
+    cache: int = 500_000
 
 
 class Encoder:
-    """Serialized ids of whole texts. Units that recur are encoded once and kept (up to ``cache`` of them)."""
+    """Serialized ids of whole texts. Units that recur are encoded once; the first ``cache`` of them are kept."""
 
     def __init__(self, path: str, params: Params):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tool, self.params = Tokenizer.from_file(path), params
         self.kind = np.dtype("<u2" if self.tool.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
-        self.end = np.array([params.end_id], self.kind).tobytes()
+        self.end = self.serialized([params.end_id])
         self.known: dict[str, bytes] = {}
 
+    def serialized(self, ids: list[int]) -> bytes:
+        out = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def pieces(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tool.encode_batch_fast(units, add_special_tokens=False)]
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if any(t in text for t in self.added):  # these may cross white space
-            return self.pieces([text])[0] + self.end
-        units, known = _UNIT.findall(text), self.known
-        new = list({u for u in units if u not in known})
-        if new:
-            if len(known) + len(new) > self.params.cache:
-                known.clear()
-                new = list(set(units))
-            known.update(zip(new, self.pieces(new)))
-        return b"".join([known[u] for u in units]) + self.end
+        return [self.serialized(e.ids) for e in self.tool.encode_batch_fast(units, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        whole = {t for t in texts if t and any(a in t for a in self.added)}  # these may cross white space
+        split = [_UNIT.findall(t) if t and t not in whole else [] for t in texts]
+        new = list(set().union(*split).difference(self.known))
+        codes = dict(zip(new, self.pieces(new)))
+        room = self.params.cache - len(self.known)
+        known = self.known
+        if len(codes) <= room:
+            known.update(codes)
+        elif room > 0:
+            known.update(itertools.islice(codes.items(), room))
+        get = known.__getitem__ if len(codes) <= room else lambda u: known.get(u) or codes[u]
+        return [(self.pieces([t])[0] if t in whole else b"".join(map(get, units))) + self.end for t, units in zip(texts, split)]
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, params: Params) -> Encoder:
+    """One encoder for all tasks that a Python worker runs; what it keeps is bounded."""
+    return Encoder(path, params)
 
 
 def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str, params: Params) -> bytes:
@@ -84,9 +108,9 @@ def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str, par
     end = params.piece
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Encoder(path, params)
+        tool = encoder(path, params)
         for part in parts:
-            yield pa.RecordBatch.from_arrays([pa.array([tool(t)[:end] for t in part.column(0).to_pylist()], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[:end] for x in tool(part.column(0).to_pylist())], pa.binary())], names=["ids"])
 
     rows = docs.where(h.isin(chosen)).select(F.col(text_col).alias("t")).mapInArrow(encoded, "ids binary") if chosen else None
     samples = sorted(r["ids"] for r in rows.limit(2 * params.sample).collect()) if rows is not None else []
@@ -106,17 +130,17 @@ def write(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_id", te
     frames. A null or empty text is the end id alone. Other columns aren't read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 500)
     raw = train_dictionary(docs, tokenizer, id_col, text_col, params)
     name = hashlib.sha256(raw).hexdigest()
-    made = [(raw, name, params.level, params.end_id, str(Encoder(tokenizer, params).kind))]
+    made = [(raw, name, params.level, params.end_id, Encoder(tokenizer, params).kind.str)]
     spark.createDataFrame(made, "bytes binary, sha256 string, level int, end_id int, dtype string").coalesce(1).write.parquet(f"{root}/dictionary")
 
     def frames(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Encoder(tokenizer, params)
+        tool = encoder(tokenizer, params)
         press = zstandard.ZstdCompressor(level=params.level, dict_data=_dictionary(raw), write_dict_id=False)
         for part in parts:
-            ids = [tool(t) for t in part.column(1).to_pylist()]
+            ids = tool(part.column(1).to_pylist())
             counts = pa.array([len(x) // tool.kind.itemsize for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([part.column(0), counts, pa.array([press.compress(x) for x in ids], pa.binary())], names=["id", "n", "frame"])
 
@@ -146,6 +170,7 @@ def write(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_id", te
 
     parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(frames, "id long, n long, frame binary")
+    rows = table(rows, "frames")  # so that ranges are found without encoding twice
     rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "n", "frame").mapInPandas(blocks, BLOCK).write.parquet(f"{root}/blocks")
     _index(spark, root).coalesce(1).write.parquet(f"{root}/index")
     return root
