@@ -1,0 +1 @@
+"""Mobile-signal analytics on Spark: pure DataFrame-to-DataFrame operators."""
