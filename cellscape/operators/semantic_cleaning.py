@@ -49,7 +49,7 @@ def flag_events(events: DataFrame, network: DataFrame, params: Params = Params()
         df = df.withColumn("_twice", twice & (F.col("domain") != OUTBOUND))
     else:
         df = df.withColumn("_twice", F.lit(False))
-    df = df.withColumn("error_flag", F.when("_twice", DIFFERENT_LOCATION_DUPLICATE).otherwise(F.col("error_flag")))
+    df = df.withColumn("error_flag", F.when(F.col("_twice"), DIFFERENT_LOCATION_DUPLICATE).otherwise(F.col("error_flag")))
     lat, lon = F.coalesce("latitude", "_lat"), F.coalesce("longitude", "_lon")
     spot = F.when(F.col("error_flag").isNull(), F.struct(F.col("timestamp").alias("t"), lat.alias("lat"), lon.alias("lon")))
     df = df.withColumn("_spot", spot)

@@ -1,0 +1,202 @@
+"""Synthetic networks, diaries and events. All choices are hashes of keys and a seed, so any row can be made anywhere, again."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.geo import haversine, planar
+from ..plans.joins import lattice_range_join
+
+_SCALE = float(1 << 53)
+
+
+def uniform(*keys: Column, seed: int = 0) -> Column:
+    """A number in [0, 1) that depends on the keys only."""
+    return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 11).cast("double") / _SCALE
+
+
+def between(lo: float, hi: float, *keys: Column, seed: int = 0) -> Column:
+    return lo + (hi - lo) * uniform(*keys, seed=seed)
+
+
+def choice(options: Sequence[str], *keys: Column, seed: int = 0) -> Column:
+    return F.element_at(F.array(*[F.lit(o) for o in options]), (F.floor(uniform(*keys, seed=seed) * len(options)) + 1).cast("int"))
+
+
+def cell_id(n: Column, prefix: str = "21401", digits: int = 14) -> Column:
+    """Unique ids of 14 or 15 digits: the prefix, then the number under a bijection modulo a power of ten."""
+    width = digits - len(prefix)
+    return F.concat(F.lit(prefix), F.lpad(((n * 7_368_787 + 104_729) % 10**width).cast("string"), width, "0"))
+
+
+def cells(spark: SparkSession, n: int, dates: Sequence[str], box: tuple[float, float, float, float], omni: float = 0.2, operational: float = 0.8, seed: int = 1) -> DataFrame:
+    """``n`` cells on each date: physical attributes by cell, no azimuth if omni, an open end while operational."""
+    k = F.col("id")
+    base = spark.range(n).select(
+        cell_id(k).alias("cell_id"),
+        between(box[1], box[3], k, seed=seed).alias("latitude"), between(box[0], box[2], k, seed=seed + 1).alias("longitude"),
+        between(0, 700, k, seed=seed + 2).alias("altitude"), between(5, 80, k, seed=seed + 3).alias("antenna_height"),
+        F.when(uniform(k, seed=seed + 4) < omni, 0).otherwise(1).alias("directionality"), between(0, 360, k, seed=seed + 5).alias("_azimuth"),
+        between(-5, 15, k, seed=seed + 6).alias("elevation_angle"), between(30, 120, k, seed=seed + 7).alias("horizontal_beam_width"), between(5, 20, k, seed=seed + 8).alias("vertical_beam_width"),
+        between(1, 20, k, seed=seed + 9).alias("power"), between(500, 10000, k, seed=seed + 10).alias("range"), between(700, 3500, k, seed=seed + 11).cast("int").alias("frequency"),
+        choice(("5G", "LTE", "UMTS", "GSM"), k, seed=seed + 12).alias("technology"), choice(("macrocell", "microcell", "picocell"), k, seed=seed + 13).alias("cell_type"),
+        (uniform(k, seed=seed + 14) < operational).alias("_open"), k.alias("_k"),
+    )
+    days = F.explode(F.array(*[F.lit(d).cast("date") for d in dates]))
+    out = base.withColumn("date", days).withColumn("azimuth_angle", F.when(F.col("directionality") == 1, F.col("_azimuth")))
+    start = F.date_format(F.date_sub("date", 30), "yyyy-MM-dd HH:mm:ss")
+    end = F.when(~F.col("_open"), F.date_format(F.date_add("date", 30), "yyyy-MM-dd HH:mm:ss"))
+    return out.withColumns({"valid_date_start": start, "valid_date_end": end}).drop("_azimuth", "_open", "_k")
+
+
+def cell_errors(df: DataFrame, share: float, seed: int = 50) -> DataFrame:
+    """Nulls in mandatory columns, values out of bounds, and wrong ids or dates, each in ``share`` of the rows."""
+    hit = lambda i: uniform(F.col("cell_id"), F.col("date"), seed=seed + i) < share
+    return df.withColumns(
+        {
+            "latitude": F.when(hit(0), F.lit(None)).when(hit(1), F.col("latitude") + 200).otherwise(F.col("latitude")),
+            "longitude": F.when(hit(2), F.col("longitude") - 400).otherwise(F.col("longitude")),
+            "directionality": F.when(hit(3), 7).otherwise(F.col("directionality")),
+            "power": F.when(hit(4), -F.col("power")).otherwise(F.col("power")),
+            "technology": F.when(hit(5), "none").otherwise(F.col("technology")),
+            "valid_date_start": F.when(hit(6), "not a date").when(hit(7) & F.col("valid_date_end").isNotNull(), F.col("valid_date_end")).otherwise(F.col("valid_date_start")),
+            "valid_date_end": F.when(hit(7) & F.col("valid_date_end").isNotNull(), F.col("valid_date_start")).otherwise(F.col("valid_date_end")),
+            "cell_id": F.when(hit(8), F.concat("cell_id", F.lit("xx"))).otherwise(F.col("cell_id")),
+        }
+    )
+
+
+@dataclass(frozen=True)
+class DiaryParams:
+    """Stay types in order with the chance of each; the box in degrees, distances in metres, durations in seconds, speed in m/s."""
+
+    stay_types: tuple[tuple[str, float], ...] = (("home", 1.0), ("other", 0.2), ("work", 0.7), ("other", 0.4), ("home", 1.0))
+    box: tuple[float, float, float, float] = (-4.0, 40.0, -3.0, 41.0)
+    work_distance: tuple[float, float] = (1000, 10000)
+    other_distance: tuple[float, float] = (500, 5000)
+    shortest: tuple[tuple[str, int], ...] = (("home", 3600), ("work", 14400), ("other", 1800))
+    speed: float = 10.0
+    seed: int = 3
+
+
+def diaries(spark: SparkSession, agents: int, dates: Sequence[str], params: DiaryParams = DiaryParams()) -> DataFrame:
+    """(user_id, date, activity_type, stay_type, longitude, latitude, start_s, end_s): stays with moves between, filling each day.
+
+    Types are drawn from the ordered list; home or work twice in a row merge. Places lie at a drawn distance and
+    bearing from home, clamped to the box. Each stay gets its shortest duration, each move distance over speed; the
+    rest of the day is shared out over the stays by drawn weights. A day that doesn't fit is spent at home.
+    """
+    p, u, d = params, F.col("user_id"), F.col("date")
+    x0, y0, x1, y1 = p.box
+    users = spark.range(agents).select(F.col("id").alias("user_id")).withColumns({"home_lon": between(x0, x1, u, seed=p.seed), "home_lat": between(y0, y1, u, seed=p.seed + 1)})
+
+    def away(lo: float, hi: float, *keys: Column, seed: int) -> tuple[Column, Column]:
+        r, b = between(lo, hi, *keys, seed=seed), between(0, 6.283185307179586, *keys, seed=seed + 1)
+        lat = F.col("home_lat") + r * F.cos(b) / 111_195
+        lon = F.col("home_lon") + r * F.sin(b) / (111_195 * F.cos(F.radians("home_lat")))
+        return F.greatest(F.lit(x0), F.least(lon, F.lit(x1))), F.greatest(F.lit(y0), F.least(lat, F.lit(y1)))
+
+    work_lon, work_lat = away(*p.work_distance, u, seed=p.seed + 2)
+    df = users.withColumns({"work_lon": work_lon, "work_lat": work_lat}).withColumn("date", F.explode(F.array(*[F.lit(x).cast("date") for x in dates])))
+    shortest = dict(p.shortest)
+    stays = []
+    for i, (kind, chance) in enumerate(p.stay_types):
+        other_lon, other_lat = away(*p.other_distance, u, d, F.lit(i), seed=p.seed + 4)
+        lon = {"home": F.col("home_lon"), "work": F.col("work_lon")}.get(kind, other_lon)
+        lat = {"home": F.col("home_lat"), "work": F.col("work_lat")}.get(kind, other_lat)
+        drawn = F.lit(True) if chance >= 1 else uniform(u, d, F.lit(i), seed=p.seed + 6) < chance
+        stays.append(F.when(drawn, F.struct(F.lit(kind).alias("kind"), lon.alias("lon"), lat.alias("lat"), F.lit(shortest[kind]).cast("double").alias("least"), uniform(u, d, F.lit(i), seed=p.seed + 7).alias("weight"))))
+    df = df.withColumn("drawn", F.array_compact(F.array(*stays)))
+    df = df.withColumn("stays", F.filter("drawn", lambda s, i: (i == 0) | (s["kind"] == "other") | (F.get("drawn", i - 1)["kind"] != s["kind"])))
+    n = F.size("stays")
+    following = F.slice("stays", F.lit(2), n)
+    df = df.withColumn("moves", F.zip_with(F.slice("stays", F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice("stays", F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: haversine(a["lat"], a["lon"], b["lat"], b["lon"]) / p.speed))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    spare = 86399 - total("moves") - total(F.transform("stays", lambda s: s["least"]))
+    weights = F.greatest(total(F.transform("stays", lambda s: s["weight"])), F.lit(1e-9))
+    df = df.withColumns({"spare": spare, "weights": weights})
+    lengths = F.transform("stays", lambda s: s["least"] + F.col("spare") * s["weight"] / F.col("weights"))
+    df = df.withColumn("lengths", F.when(F.col("spare") >= 0, lengths).otherwise(F.array(F.lit(86399.0))))
+    begin = lambda i: total(F.slice("lengths", F.lit(1), i)) + total(F.slice("moves", F.lit(1), i))
+    count = F.size("lengths")
+    rows = df.withColumn("i", F.explode(F.sequence(F.lit(0), count - 1))).withColumn("s", F.get("stays", F.col("i")))
+    start, length = begin(F.col("i")), F.get("lengths", F.col("i"))
+    midnight = F.unix_date("date").cast("long") * 86400
+    rows = rows.withColumns({"a": F.round(midnight + start).cast("long"), "b": F.round(midnight + start + length).cast("long")})
+    stay = rows.select("user_id", "date", F.lit("stay").alias("activity_type"), F.col("s.kind").alias("stay_type"), F.col("s.lon").alias("longitude"), F.col("s.lat").alias("latitude"), F.col("a").alias("start_s"), F.col("b").alias("end_s"))
+    w = Window.partitionBy("user_id", "date").orderBy("start_s")
+    none = F.lit(None).cast("double")
+    move = stay.withColumn("next_s", F.lead("start_s").over(w)).where("next_s > end_s").select("user_id", "date", F.lit("movement").alias("activity_type"), F.lit("move").alias("stay_type"), none.alias("longitude"), none.alias("latitude"), F.col("end_s").alias("start_s"), F.col("next_s").alias("end_s"))
+    return stay.unionByName(move)
+
+
+def events_of_diaries(diary: DataFrame, every_stay: int = 1800, every_move: int = 600, seed: int = 20) -> DataFrame:
+    """(user_id, date, t, longitude, latitude, kind): drawn times in stays, and on the straight way between them."""
+    stays = diary.where("activity_type = 'stay'")
+    w = Window.partitionBy("user_id", "date").orderBy("start_s")
+    stays = stays.withColumn("next", F.lead(F.struct("start_s", "longitude", "latitude")).over(w))
+    many = lambda seconds, every: F.explode(F.sequence(F.lit(1), F.floor(seconds / every).cast("int")))
+    u = lambda salt: uniform(F.col("user_id"), F.col("start_s"), F.col("n"), seed=seed + salt)
+    inside = stays.where(F.col("end_s") - F.col("start_s") >= every_stay).withColumn("n", many(F.col("end_s") - F.col("start_s"), every_stay))
+    inside = inside.select("user_id", "date", (F.col("start_s") + F.floor(u(0) * (F.col("end_s") - F.col("start_s")))).alias("t"), "longitude", "latitude", F.lit("stay").alias("kind"))
+    gap = F.col("next.start_s") - F.col("end_s")
+    way = stays.where(gap >= every_move).withColumn("n", many(gap, every_move)).withColumn("f", u(1))
+    mix = lambda c: F.col(c) + F.col("f") * (F.col(f"next.{c}") - F.col(c))
+    way = way.select("user_id", "date", (F.col("end_s") + F.floor(F.col("f") * gap)).alias("t"), mix("longitude").alias("longitude"), mix("latitude").alias("latitude"), F.lit("move").alias("kind"))
+    return inside.unionByName(way)
+
+
+def attach_cells(events: DataFrame, cells: DataFrame, distance: float, closest: int = 3, seed: int = 30) -> DataFrame:
+    """One of the ``closest`` cells within ``distance`` metres, drawn for each event; events (x, y), cells (cell_id, other_x, other_y)."""
+    keyed = events.withColumn("_event", F.xxhash64(*events.columns))
+    near = lattice_range_join(keyed, cells.select("cell_id", "other_x", "other_y"), distance, max(distance, 1.0))
+    w = Window.partitionBy("_event", *events.columns)
+    ranked = near.withColumn("_rank", F.row_number().over(w.orderBy("distance", "cell_id"))).where(F.col("_rank") <= closest)
+    drawn = ranked.withColumn("_pick", F.row_number().over(w.orderBy(F.xxhash64("_event", "cell_id", F.lit(seed)))))
+    return drawn.where("_pick = 1").select(*events.columns, "cell_id", planar(F.col("x"), F.col("y"), F.col("other_x"), F.col("other_y")).alias("cell_distance"))
+
+
+@dataclass(frozen=True)
+class ErrorParams:
+    """Shares of rows that get each kind of error, distances in metres."""
+
+    share: float = 0.02
+    location: tuple[float, float] = (1000.0, 10000.0)
+    seed: int = 70
+
+
+def event_errors(events: DataFrame, first: str, last: str, params: ErrorParams = ErrorParams(), key: str = "event_id") -> DataFrame:
+    """Events (key, user_id, timestamp string, mcc, cell_id, latitude, longitude ...) with errors of every kind, and duplicates.
+
+    Nulls in mandatory columns, cells that don't exist, times two to three spans out of the period, text that
+    doesn't parse, codes times 10000, shifted locations; then copies in place, and copies elsewhere (by 0.95).
+    """
+    p, k = params, F.col(key)
+    hit = lambda i: uniform(k, seed=p.seed + i) < p.share
+    span = F.months_between(F.lit(last).cast("date"), F.lit(first).cast("date")) + 1
+    t = F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd HH:mm:ss"))
+    moved = F.date_format(F.add_months(t, (span * between(2, 3, k, seed=p.seed + 20)).cast("int")), "yyyy-MM-dd HH:mm:ss")
+    sign = F.when(uniform(k, seed=p.seed + 21) < 0.5, -1.0).otherwise(1.0)
+    shift = sign * between(*p.location, k, seed=p.seed + 22) / 111_195
+    wrong = events.withColumns(
+        {
+            "user_id": F.when(hit(0), F.lit(None)).otherwise(F.col("user_id")),
+            "timestamp": F.when(hit(1), F.lit(None)).when(hit(2), moved).when(hit(3), F.translate("timestamp", "-:", "/.")).otherwise(F.col("timestamp")),
+            "mcc": F.when(hit(4), F.lit(None)).when(hit(5), F.col("mcc") * 10000).otherwise(F.col("mcc")),
+            "cell_id": F.when(hit(6), cell_id(k, "99999")).otherwise(F.col("cell_id")),
+            "latitude": F.when(hit(7), F.col("latitude") + shift).otherwise(F.col("latitude")),
+            "longitude": F.when(hit(7), F.col("longitude") + shift).otherwise(F.col("longitude")),
+        }
+    )
+    same = wrong.where(hit(8))
+    elsewhere = wrong.where(hit(9)).withColumns({"latitude": F.col("latitude") * 0.95, "longitude": F.col("longitude") * 0.95})
+    return wrong.unionByName(same).unionByName(elsewhere)
+
+
+def unknown_cells_only(errors: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows whose cell is in no network."""
+    return errors.join(cells.select("cell_id").distinct(), "cell_id", "left_anti")

@@ -27,7 +27,7 @@ def lattice_range_join(points: DataFrame, others: DataFrame, radius: Column | fl
 def slot_overlap(intervals: DataFrame, start: str, end: str, slot_seconds: int) -> DataFrame:
     """Each interval (epoch seconds, half-open) cut at slot borders: ``slot`` start and ``seconds`` inside it."""
     first, last = F.floor(F.col(start) / slot_seconds), F.ceil(F.col(end) / slot_seconds) - 1
-    cut = intervals.where(F.col(end) > F.col(start)).withColumn("slot", F.explode(F.sequence(first, last)) * slot_seconds)
+    cut = intervals.where(F.col(end) > F.col(start)).withColumn("slot", F.explode(F.transform(F.sequence(first, last), lambda i: i * slot_seconds)))
     return cut.withColumn("seconds", F.least(F.col(end), F.col("slot") + slot_seconds) - F.greatest(F.col(start), F.col("slot")))
 
 
