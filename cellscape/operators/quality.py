@@ -72,8 +72,8 @@ def semantic_warnings(rates: DataFrame, rows: int = 7, variability: float = 2.0,
     """Against mean + variability * deviation of the days before, or a fixed per cent where there are too few (under 2)."""
     df = lookback(rates, "daily_value", "date", rows, ["type_of_error"])
     n = F.count("*").over(Window.partitionBy("type_of_error").orderBy("date").rowsBetween(-rows, -1))
-    bound = F.when(n >= 2, F.col("average") + variability * F.col("spread")).otherwise(F.lit(fixed))
-    return warnings(df, ["date", "type_of_error"], [Check("upper_control_limit", F.col("daily_value") > bound, bound)])
+    df = df.withColumn("bound", F.when(n >= 2, F.col("average") + variability * F.col("spread")).otherwise(F.lit(fixed)))
+    return warnings(df, ["date", "type_of_error"], [Check("upper_control_limit", F.col("daily_value") > F.col("bound"), F.col("bound"))])
 
 
 def semantic_log(rates: DataFrame, codes: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:

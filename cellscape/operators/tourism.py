@@ -43,10 +43,9 @@ def cell_set_zones(stays: DataFrame, posterior: DataFrame, zones: DataFrame) ->
 
 
 def overnight(start_s: Column, end_s: Column, params: Params = Params()) -> Column:
-    """The stay covers the functional midnight and is long enough for a night."""
+    """The stay, which lies in one day as segments do, is across the functional midnight and long enough for a night."""
     hour = lambda t: F.floor(t % 86400 / 3600)
-    crosses = (F.floor(end_s / 86400) > F.floor(start_s / 86400)) & ((hour(end_s) > params.midnight_hour) | (F.floor(end_s / 86400) > F.floor(start_s / 86400) + 1))
-    return ((hour(start_s) <= params.midnight_hour) & ((hour(end_s) > params.midnight_hour) | (F.floor(end_s / 86400) > F.floor(start_s / 86400))) | crosses) & (end_s - start_s >= params.min_night_minutes * 60)
+    return (hour(start_s) <= params.midnight_hour) & (hour(end_s) > params.midnight_hour) & (end_s - start_s >= params.min_night_minutes * 60)
 
 
 def tourism_stays(segments: DataFrame, posterior: DataFrame, zones: DataFrame, params: Params = Params(), residents: DataFrame | None = None) -> DataFrame:

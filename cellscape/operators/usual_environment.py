@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import ID_GRID, ID_OBSERVATION
+from ..plans.iterate import cut
 from .coverage import _lookup
 
 
@@ -71,12 +72,12 @@ def apply_rules(tiles: DataFrame, scores: DataFrame, rules: Sequence[Rule], labe
 
 def label_tiles(scores: DataFrame, total_ps: int = 2, total_days: int = 1, ue_gap: float = 20, home_gap: float = 1, work_gap: float = 1, global_stop: bool = False) -> DataFrame:
     """Usual environment, home and work labels; home and work only within the usual environment."""
-    kept = discard_devices(scores, total_ps, total_days)
-    ue = apply_rules(cut_at_gap(kept, ue_gap, True), kept, UE_RULES, "ue", False)
+    kept = cut(discard_devices(scores, total_ps, total_days))  # read by each label's cut and rules
+    ue = cut(apply_rules(cut_at_gap(kept, ue_gap, True), kept, UE_RULES, "ue", False))
     inside = ue.select("user_id", "season", "location")
-    cut = lambda gap: cut_at_gap(kept, gap, False).join(inside, ["user_id", "season", "location"])
-    home = apply_rules(cut(home_gap), kept, HOME_RULES, "home", True, global_stop)
-    work = apply_rules(cut(work_gap), kept, WORK_RULES, "work", True, global_stop)
+    tiles = lambda gap: cut_at_gap(kept, gap, False).join(inside, ["user_id", "season", "location"])
+    home = apply_rules(tiles(home_gap), kept, HOME_RULES, "home", True, global_stop)
+    work = apply_rules(tiles(work_gap), kept, WORK_RULES, "work", True, global_stop)
     return ue.unionByName(home).unionByName(work)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..codes import ID_GRID
 from ..functions import grid
 from ..operators import coverage, migration, permanence, quality, usual_environment
+from ..plans.iterate import cut
 from ..sources import demo
 from .views import EV, FOOT, TILES, ZONES
 
@@ -111,7 +112,8 @@ _LPS = _DPS + _INTERVALS + """, lp AS (SELECT user_id, season, day_type, time_in
 
 
 def _kept(spark, sf):
-    return usual_environment.discard_devices(_longterm(spark, sf), 20, 5)
+    """Written once: labelling reads these scores several times."""
+    return cut(usual_environment.discard_devices(_longterm(spark, sf), 20, 5))
 
 
 def gap_cut(spark, sf):
@@ -152,7 +154,7 @@ def usual_environment_aggregation(spark, sf):
 
 
 def usual_environment_metrics(spark, sf):
-    m = usual_environment.quality_metrics(_longterm(spark, sf), _labels(spark, sf), 20, 5)
+    m = usual_environment.quality_metrics(cut(_longterm(spark, sf)), _labels(spark, sf), 20, 5)
     return m.withColumn("avg", F.round("avg", 6))
 
 

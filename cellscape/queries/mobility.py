@@ -1 +1,164 @@
-QUERIES = {}
+"""Time segments, tourism and exports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import grid
+from ..operators import coverage, export, segments, tourism
+from ..sources import demo
+from .coverage import _connection
+from .views import B, CONN, ZONES
+
+UNTIL = 1_706_400_000  # 2024-01-28
+P = tourism.Params(min_stay_minutes=180, min_night_minutes=240, midnight_hour=4)
+
+
+def time_segments(spark, sf):
+    """A whole history folded by user: rows only."""
+    e = demo.events(spark, sf)
+    fp = coverage.prune_share_of_best(coverage.dominance(coverage.tiles_in_range(coverage.impute_defaults(demo.cells(spark)), demo.lattice(spark).drop("k"), coverage.Params(bin_size=250.0))))
+    near = coverage.overlap_groups(coverage.nearby_cells(fp, demo.lattice(spark), 500.0), 250.0)
+    s = segments.time_segments(e, near, 19752, segments.Params(missing_stay=43200, missing_move=28800, min_stay=900))
+    return s.withColumn("cells", F.array_join("cells", ","))
+
+
+def segment_totals(spark, sf):
+    """Seconds in each state by day: segments leave no part of a day from the first event on untold. Rows only."""
+    s = time_segments(spark, sf)
+    return s.groupBy("day", "state").agg(F.count("*").alias("segments"), F.sum(F.col("end_s") - F.col("start_s")).alias("seconds"))
+
+
+def _segments(spark, sf):
+    """Stays as if segmented: each event stays some hours in its cell, at most to the end of the day."""
+    b = demo.base_events(spark, sf)
+    t = F.unix_timestamp("ts")
+    return b.select(
+        F.col("uid").alias("user_id"), F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("time_segment_id"), t.alias("start_s"),
+        F.least(t + (1 + F.col("k") % 9) * 3600, F.floor(t / 86400) * 86400 + 86399).alias("end_s"), F.when(F.col("event_type").isin("error", "click"), 310).when(F.col("event_type") == "view", 262).otherwise(214).alias("mcc"),
+        F.when(F.col("k") % 3 != 0, 1).otherwise(2).alias("state"), F.array(demo.cell_name(F.col("k"))).alias("cells"),
+    )
+
+
+def _stays(spark, sf):
+    residents = demo.base_events(spark, sf).where("uid % 50 = 0").select(F.col("uid").alias("user_id"))
+    return tourism.tourism_stays(_segments(spark, sf), _connection(spark), demo.zones(spark, sf).select("grid_id", "hierarchical_id"), P, residents)
+
+
+def tourism_stays(spark, sf):
+    s = _stays(spark, sf)
+    return s.select("user_id", "time_segment_id", "is_overnight", F.array_join(F.transform("zones", lambda z: F.concat_ws("=", z["zone_id"], F.format_number(z["weight"], 6))), ",").alias("zones"))
+
+
+def _trips(spark, sf):
+    return tourism.trips(_stays(spark, sf), 24)
+
+
+def trips(spark, sf):
+    t = tourism.trip_table(_trips(spark, sf), UNTIL)
+    return t.withColumn("time_segment_ids", F.array_join("time_segment_ids", ","))
+
+
+def _visits(spark, sf):
+    countries = spark.sql("SELECT * FROM VALUES (310, 'US'), (214, 'ES') AS t(mcc, iso2)")
+    return tourism.visits(tourism.by_zone(_trips(spark, sf), 2, countries), 24)
+
+
+def visits(spark, sf):
+    return _visits(spark, sf).select("user_id", "trip_id", "zone_id", "time_segment_id", "country_of_origin", "visit_start", F.round("zone_weight", 9).alias("zone_weight"))
+
+
+def zone_nights(spark, sf):
+    return tourism.zone_departures(_visits(spark, sf), UNTIL).withColumn("nights_spent", F.round("nights_spent", 6))
+
+
+def avg_destinations(spark, sf):
+    a = tourism.averages(_visits(spark, sf), UNTIL)
+    return a.select("country_of_origin", *[F.round(c, 6).alias(c) for c in ("avg_destinations", "avg_nights_spent_per_destination")])
+
+
+_STAYS = f"""{B}, {CONN}, {ZONES}, sg AS (SELECT uid AS user_id, 's' || event_id AS time_segment_id, cast(epoch(ts) AS BIGINT) AS start_s, CASE WHEN event_type IN ('error', 'click') THEN 310 WHEN event_type = 'view' THEN 262 ELSE 214 END AS mcc, k FROM b),
+s2 AS (SELECT *, least(start_s + (1 + k % 9) * 3600, start_s // 86400 * 86400 + 86399) AS end_s FROM sg),
+s3 AS (SELECT *, (start_s % 86400) // 3600 <= 4 AND (end_s % 86400) // 3600 > 4 AND end_s - start_s >= 14400 AS is_overnight FROM s2 WHERE k % 3 <> 0 AND end_s - start_s >= 10800 AND mcc <> 214 AND user_id NOT IN (SELECT uid FROM b WHERE uid % 50 = 0)),
+cz AS (SELECT c.k, hid, post FROM cl c JOIN po USING (cell_id) JOIN zn z ON z.grid_id = po.grid_id),
+tr AS (SELECT *, last_value(o IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY start_s, end_s ROWS UNBOUNDED PRECEDING) AS trip_start FROM (SELECT *, CASE WHEN coalesce(start_s - max(end_s) OVER (PARTITION BY user_id ORDER BY start_s, end_s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 86400, true) THEN start_s END AS o FROM s3)),
+ti AS (SELECT *, md5(user_id || '|' || trip_start) AS trip_id FROM tr),
+bz AS (SELECT user_id, time_segment_id, start_s, end_s, is_overnight, trip_id, split_part(hid, '|', 2) AS zone_id, CASE mcc WHEN 310 THEN 'US' WHEN 214 THEN 'ES' ELSE 'XX' END AS country_of_origin, sum(post) AS zone_weight FROM ti JOIN cz USING (k) GROUP BY ALL),
+vi AS (SELECT *, last_value(o IGNORE NULLS) OVER (PARTITION BY trip_id, zone_id ORDER BY start_s, end_s ROWS UNBOUNDED PRECEDING) AS visit_start FROM (SELECT *, CASE WHEN coalesce(start_s - max(end_s) OVER (PARTITION BY trip_id, zone_id ORDER BY start_s, end_s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 86400, true) THEN start_s END AS o FROM bz)),
+vf AS (SELECT *, max(end_s) OVER (PARTITION BY trip_id) < {UNTIL} AS tf, max(end_s) OVER (PARTITION BY trip_id, zone_id, visit_start) < {UNTIL} AS vf, max(cast(is_overnight AS INTEGER)) OVER (PARTITION BY trip_id) = 1 AS ot FROM vi)"""
+
+
+def _outbound(spark, sf):
+    b = demo.base_events(spark, sf)
+    t = F.unix_timestamp("ts")
+    seg = b.where("event_type = 'signup'").select(F.col("uid").alias("user_id"), t.alias("start_s"), (t + (1 + F.col("k") % 9) * 3600).alias("end_s"), F.when(F.col("k") % 2 == 0, 20801).when(F.col("k") % 5 == 0, 99901).otherwise(31001).alias("plmn"), F.lit(5).alias("state"))
+    countries = spark.sql("SELECT * FROM VALUES (310, 'US', 'America/New_York'), (208, 'FR', 'Europe/Paris') AS t(mcc, iso2, timezone)")
+    usual = b.where("uid % 20 = 0").select(F.col("uid").alias("user_id"), F.lit("FR").alias("iso2"))
+    return tourism.local_overnight(tourism.outbound_segments(seg, countries, P, usual), P)
+
+
+def outbound_nights(spark, sf):
+    return tourism.outbound_nights(_outbound(spark, sf), UNTIL, P)
+
+
+OUTBOUND_SQL = f"""WITH {B}, s AS (SELECT uid, cast(epoch(ts) AS BIGINT) AS s, cast(epoch(ts) AS BIGINT) + (1 + k % 9) * 3600 AS e, CASE WHEN k % 2 = 0 THEN 'FR' WHEN k % 5 = 0 THEN 'XX' ELSE 'US' END AS iso2, CASE WHEN k % 2 = 0 THEN 1 WHEN k % 5 = 0 THEN 0 ELSE -5 END AS tz FROM b WHERE event_type = 'signup'),
+k AS (SELECT *, (e + tz * 3600 - 14400) // 86400 > (s + tz * 3600 - 14400 - 1) // 86400 AND e - s >= 12000 AS o FROM s WHERE e - s >= 10800 AND NOT (uid % 20 = 0 AND iso2 = 'FR')),
+t AS (SELECT *, last_value(b IGNORE NULLS) OVER (PARTITION BY uid ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS ts FROM (SELECT *, CASE WHEN coalesce(s - max(e) OVER (PARTITION BY uid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 259200, true) THEN s END AS b FROM k)),
+v AS (SELECT *, last_value(c IGNORE NULLS) OVER (PARTITION BY uid, ts, iso2 ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS vs FROM (SELECT *, CASE WHEN coalesce(s - max(e) OVER (PARTITION BY uid, ts, iso2 ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 86400, true) THEN s END AS c FROM t))
+SELECT iso2, sum(CASE WHEN o AND f THEN 1.0::DOUBLE ELSE 0 END) AS nights_spent FROM (SELECT *, max(e) OVER (PARTITION BY uid, ts, iso2, vs) < {UNTIL} AS f FROM v) GROUP BY iso2"""
+
+
+def _customers(spark, sf):
+    c = demo.load(spark, sf, "customer")
+    k = F.col("c_custkey") % 100
+    return c.select("c_custkey", "c_mktsegment", "c_nationkey", grid.pack(F.floor(k / 10), k % 10).alias("grid_id"), F.lit(1.0).alias("value"))
+
+
+def hierarchy_rollup(spark, sf):
+    r = export.hierarchy_rollup(_customers(spark, sf), demo.zones(spark, sf), [1, 2, 3, 4], "value", ["c_mktsegment"])
+    return r
+
+
+def k_anon_delete(spark, sf):
+    r = export.hierarchy_rollup(export.select_case(_customers(spark, sf), {"c_mktsegment": "BUILDING"}, {"c_custkey": (0, 100_000)}), demo.zones(spark, sf), [2, 3], "value")
+    return export.delete_small(r, ["value"], 5)
+
+
+def grid_rollup(spark, sf):
+    c = _customers(spark, sf).join(demo.lattice(spark).select("grid_id", "origin"), "grid_id")
+    return export.grid_rollup(c, "INSPIRE_1km", "value").withColumn("zoning", F.lit("1km")).unionByName(export.grid_rollup(c, "INSPIRE_100m", "value").withColumn("zoning", F.lit("100m")))
+
+
+def country_factors(spark, sf):
+    n = demo.load(spark, sf, "nation")
+    f = n.where("n_nationkey % 3 <> 0").select(F.col("n_name").alias("iso2"), F.when(F.col("n_nationkey") % 4 != 1, F.col("n_nationkey") * 0.1).alias("deduplication_factor"))
+    c = demo.load(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("country_of_origin")).agg(F.count("*").cast("double").alias("value"))
+    return export.scale_by_country(c, f, ["value"], "deduplication_factor", 0.95).withColumn("value", F.round("value", 6))
+
+
+def multi_mno_sum(spark, sf):
+    def one(i):
+        c = _customers(spark, sf).where(F.col("c_custkey") % 2 == i)
+        r = export.hierarchy_rollup(c, demo.zones(spark, sf), [1, 2, 3], "value")
+        return export.obfuscate(r, ["value"], 6)
+
+    return export.aggregate_operators([(one(0), 0.4), (one(1), 0.6)], ["level", "zone_id"], ["value"]).withColumn("value", F.round("value", 6))
+
+
+_CU = "cu AS (SELECT c_custkey, c_mktsegment, c_nationkey, cast((c_custkey % 100 // 10 << 16) + c_custkey % 100 % 10 AS INTEGER) AS grid_id FROM customer)"
+_T = CONN.split(", cl AS")[0]
+QUERIES = {
+    "time_segments": (time_segments, None),
+    "segment_totals": (segment_totals, None),
+    "tourism_stays": (tourism_stays, f"WITH {_STAYS} SELECT user_id, time_segment_id, is_overnight, string_agg(hid || '=' || format('{{:.6f}}', post), ',' ORDER BY hid) AS zones FROM s3 JOIN cz USING (k) GROUP BY ALL"),
+    "trips": (trips, f"WITH {_STAYS} SELECT user_id, trip_id, trip_start, string_agg(time_segment_id, ',' ORDER BY time_segment_id) AS time_segment_ids, max(end_s) AS trip_end, max(end_s) < {UNTIL} AS is_trip_finished FROM ti GROUP BY user_id, trip_id, trip_start"),
+    "visits": (visits, f"WITH {_STAYS} SELECT user_id, trip_id, zone_id, time_segment_id, country_of_origin, visit_start, round(zone_weight, 9) AS zone_weight FROM vi"),
+    "zone_nights": (zone_nights, f"WITH {_STAYS} SELECT country_of_origin, ot AS is_overnight, zone_id, round(sum(CASE WHEN vf AND is_overnight THEN zone_weight ELSE 0 END), 6) AS nights_spent, count(DISTINCT CASE WHEN tf THEN trip_id END) AS departures FROM vf GROUP BY ALL"),
+    "avg_destinations": (avg_destinations, f"WITH {_STAYS}, z AS (SELECT country_of_origin, trip_id, zone_id, sum(CASE WHEN is_overnight THEN zone_weight ELSE 0 END) AS n FROM vf WHERE tf GROUP BY ALL), a AS (SELECT country_of_origin, avg(c) AS d FROM (SELECT country_of_origin, trip_id, count(*) AS c FROM z GROUP BY ALL) GROUP BY ALL) SELECT country_of_origin, round(d, 6) AS avg_destinations, round(avg(n), 6) AS avg_nights_spent_per_destination FROM z JOIN a USING (country_of_origin) GROUP BY country_of_origin, d"),
+    "outbound_nights": (outbound_nights, OUTBOUND_SQL),
+    "hierarchy_rollup": (hierarchy_rollup, f"WITH {_T}, {ZONES}, {_CU} SELECT c_mktsegment, l AS level, split_part(hid, '|', l) AS zone_id, count(*)::DOUBLE AS value FROM cu JOIN zn USING (grid_id), (VALUES (1), (2), (3)) q(l) GROUP BY ALL"),
+    "k_anon_delete": (k_anon_delete, f"WITH {_T}, {ZONES}, {_CU} SELECT l AS level, split_part(hid, '|', l) AS zone_id, count(*)::DOUBLE AS value FROM cu JOIN zn USING (grid_id), (VALUES (2), (3)) q(l) WHERE c_mktsegment = 'BUILDING' GROUP BY ALL HAVING count(*) >= 5"),
+    "grid_rollup": (grid_rollup, f"WITH {_CU} SELECT '1kmN3000E4000' AS zone_id, count(*)::DOUBLE AS value, '1km' AS zoning FROM cu GROUP BY ALL UNION ALL SELECT '100mN' || (30000 + (grid_id & 65535)) || 'E' || (40000 + (grid_id >> 16)), count(*), '100m' FROM cu GROUP BY grid_id"),
+    "country_factors": (country_factors, "SELECT n_name AS country_of_origin, round(count(*) * CASE WHEN n_nationkey % 3 = 0 OR n_nationkey % 4 = 1 THEN 0.95::DOUBLE ELSE n_nationkey * 0.1::DOUBLE END, 6) AS value FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name, n_nationkey"),
+    "multi_mno_sum": (multi_mno_sum, f"WITH {_T}, {ZONES}, {_CU}, o AS (SELECT c_custkey % 2 AS o, l AS level, split_part(hid, '|', l) AS zone_id, count(*) AS n FROM cu JOIN zn USING (grid_id), (VALUES (1), (2), (3)) q(l) GROUP BY ALL HAVING count(*) >= 6) SELECT level, zone_id, round(sum(n * CASE o WHEN 0 THEN 0.4::DOUBLE ELSE 0.6::DOUBLE END), 6) AS value FROM o GROUP BY ALL"),
+}
