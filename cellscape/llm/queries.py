@@ -141,5 +141,42 @@ FROM x
 """
 
 
+#: Brute force: all pairs of a label, then the least id over links, to the fixed point.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: cast(x AS DOUBLE)) AS e FROM embeddings
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND list_dot_product(a.e, a.e) > 0 AND list_dot_product(b.e, b.e) > 0 AND list_cosine_similarity(a.e, b.e) >= 0.98
+), r AS (
+  SELECT a AS id, b AS other FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other
+), n AS (SELECT a, count(*) AS n FROM e GROUP BY a), c AS (SELECT id, min(other) AS c FROM r GROUP BY id)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id, vec_id <= coalesce(c, vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id
+"""
+
+
+def _secrets_sql() -> str:
+    """The spans of every rule by the lengths of matches and of what lies between them."""
+    parts = []
+    for i, r in enumerate(secret_scan.RULES):
+        pattern = r.pattern.replace("((?i)", "((?i:").replace("api_?key)", "api_?key))").replace("'", "''")
+        parts.append(
+            f"SELECT doc_id, r, {i} AS place, '{r.kind}' AS kind, {r.least} AS least, regexp_extract_all(t, '{pattern}', 0) AS f, regexp_extract_all(t, '{pattern}', {r.group}) AS g, "
+            f"regexp_split_to_array(t, '{pattern.replace('((?i:password|passwd|secret|token|api_?key))', '(?i:password|passwd|secret|token|api_?key)').replace('([A-Za-z0-9+/_.=-]+)', '[A-Za-z0-9+/_.=-]+')}') AS p FROM d"
+        )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({' UNION ALL '.join(parts)}),
+x AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM m WHERE len(f) > 0),
+s AS (SELECT r, doc_id, place, kind, list_sum(list_transform(p[1:i], lambda q: length(q))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda q: length(q))), 0) AS start, length(f[i]) AS n FROM x WHERE length(g[i]) >= least),
+a AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || cast(start AS BIGINT) || ':' || cast(start + n AS BIGINT), ',' ORDER BY start, place) FILTER (place < 3) AS base,
+  string_agg(kind || ':' || cast(start AS BIGINT) || ':' || cast(start + n AS BIGINT), ',' ORDER BY start, place) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION_SQL, "op9_mixing": MIXING_SQL}
+    return {"op3_secret_scan": _secrets_sql(), "op6_embedding_dedup": EMBEDDING_SQL, "op2_decontamination": DECONTAMINATION_SQL, "op9_mixing": MIXING_SQL}
