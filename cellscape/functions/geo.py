@@ -14,7 +14,7 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle metres between points in degrees; null where a coordinate is."""
     dlat, dlon = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
-    return 2 * EARTH_RADIUS * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return 2 * EARTH_RADIUS * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))  # least() would turn null into 1
 
 
 def planar(x1: Column, y1: Column, x2: Column, y2: Column, z1: Column | None = None, z2: Column | None = None) -> Column:

@@ -41,7 +41,8 @@ net AS (SELECT 'C' || lpad(cast(k AS VARCHAR), 2, '0') AS cell_id, (k // 10) * 9
 
 
 def haversine(a: str, b: str, c: str, d: str) -> str:
-    return f"2 * 6371008.8 * asin(sqrt(least(power(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * power(sin(radians({d} - {b}) / 2), 2), 1.0)))"
+    x = f"power(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * power(sin(radians({d} - {b}) / 2), 2)"
+    return f"2 * 6371008.8 * asin(sqrt(CASE WHEN {x} > 1 THEN 1.0 ELSE {x} END))"
 
 
 TILES = """tl AS (SELECT cast(k AS INTEGER) AS k, cast(((k // 10) << 16) + k % 10 AS INTEGER) AS grid_id, 4000000 + (k // 10) * 100 + 50.0::DOUBLE AS x, 3000000 + (k % 10) * 100 + 50.0::DOUBLE AS y FROM range(100) r(k))"""
