@@ -41,6 +41,10 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: A word with the one blank before it and without the marks after it, any other run with its blank, or white
 #: space up to that. Byte-level BPE never merges across the ends of these.
 _UNIT = re.compile(f" ?[{_LETTERS}]+(?=[{_SPACE}{_MARKS}]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_LETTERS_ONLY = re.compile(f" ?[{_LETTERS}]+")
+#: Byte-level BPE writes a byte as the character of its code where that is visible, else as the next one from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_ALPHABET = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _VISIBLE)}
 BLOCK = "first_doc long, doc_ids array<long>, counts array<long>, offsets array<int>, n_ids long, dictionary string, payload binary"
 
 
@@ -54,7 +58,7 @@ class Params:
     piece: int = 16 * 1024
     level: int = 3
     block_bytes: int = 1 << 20
-    cache: int = 500_000
+    cache: int = 250_000
 
 
 class Encoder:
@@ -69,6 +73,9 @@ class Encoder:
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         self.end = self.serialized([params.end_id])
+        probe = [" Thé", "ñandú", " x"]
+        self.plain = True
+        self.plain = self.unit_pieces(probe) == self.pieces(probe)  # other kinds of vocabulary take the whole tool
         self.known: dict[str, bytes] = {}
 
     def serialized(self, ids: list[int]) -> bytes:
@@ -80,11 +87,20 @@ class Encoder:
     def pieces(self, units: list[str]) -> list[bytes]:
         return [self.serialized(e.ids) for e in self.tool.encode_batch_fast(units, add_special_tokens=False)]
 
+    def unit_pieces(self, units: list[str]) -> list[bytes]:
+        """Units of letters are one pre-token, so they go to the library's model at once, in its byte alphabet; others by the whole tool."""
+        if not self.plain:
+            return self.pieces(units)
+        tokenize, letters = self.tool.model.tokenize, _LETTERS_ONLY.fullmatch
+        other = [u for u in units if not letters(u)]
+        done = dict(zip(other, self.pieces(other)))
+        return [done.get(u) or self.serialized([t.id for t in tokenize(u.encode().decode("latin-1").translate(_BYTE_ALPHABET))]) for u in units]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         whole = {t for t in texts if t and any(a in t for a in self.added)}  # these may cross white space
         split = [_UNIT.findall(t) if t and t not in whole else [] for t in texts]
         new = list(set().union(*split).difference(self.known))
-        codes = dict(zip(new, self.pieces(new)))
+        codes = dict(zip(new, self.unit_pieces(new)))
         room = self.params.cache - len(self.known)
         known = self.known
         if len(codes) <= room:
