@@ -72,7 +72,8 @@ def missing_location_flag() -> dict[str, Column]:
 def same_location_duplicate_flag(tie_break: Sequence[str] = ()) -> dict[str, Column]:
     """The row before of the same user has the same time, cell, coordinates and PLMN, null equal to null."""
     place = F.struct("timestamp", "cell_id", "latitude", "longitude", "plmn")
-    w = Window.partitionBy("user_id").orderBy("timestamp", "cell_id", "latitude", "longitude", "plmn", *tie_break)
+    spread = F.when(F.col("user_id").isNull(), F.xxhash64("timestamp", "cell_id"))  # rows without a user are never flagged, and may be many
+    w = Window.partitionBy("user_id", spread).orderBy("timestamp", "cell_id", "latitude", "longitude", "plmn", *tie_break)
     return flag("duplicated", DUPLICATED, F.lag(place).over(w).eqNullSafe(place) & F.col("user_id").isNotNull())
 
 

@@ -64,8 +64,10 @@ def apply_rules(tiles: DataFrame, scores: DataFrame, rules: Sequence[Rule], labe
     for i in reversed(range(len(rules))):
         first = F.when(met[i], i).otherwise(first)
     df = df.withColumn("_rule", first).where("_rule is not null")
-    if stop_at_first:
-        df = df.withColumn("_best", F.min("_rule").over(Window.partitionBy(*([] if global_stop else by)))).where("_rule = _best")
+    if stop_at_first and global_stop:
+        df = df.crossJoin(F.broadcast(df.agg(F.min("_rule").alias("_best")))).where("_rule = _best")  # one row
+    elif stop_at_first:
+        df = df.withColumn("_best", F.min("_rule").over(Window.partitionBy(*by))).where("_rule = _best")
     code = F.element_at(F.array(*[F.lit(r.code) for r in rules]), F.col("_rule") + 1)
     return df.select(*by, "location", F.lit(label).alias("label"), code.alias("label_rule"))
 
