@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,16 +50,15 @@ def crc_bucket(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def batches(rows: Iterator, size: int) -> Iterator[list]:
-    """Lists of up to ``size`` items."""
-    out: list = []
-    for row in rows:
-        out.append(row)
-        if len(out) == size:
-            yield out
-            out = []
-    if out:
-        yield out
+def hashed_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows: those of least hash of ``keys``, ties by them.
+
+    A threshold on the hash, set by the count, drops most rows first, so partitions don't each hand on ``most``.
+    """
+    span = 1 << 40
+    share = min(span, -(-4 * most * span // max(1, df.count())) + 1)
+    h = F.pmod(F.xxhash64(*keys), F.lit(span))
+    return df.where(h < share).orderBy(h, *keys).limit(most)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import hashed_sample, small_batches, table
 from .graph import connected_components
 
 EDGE = "a long, b long, sim double"
@@ -145,7 +145,7 @@ def audit(nodes: DataFrame, lists: DataFrame, params: Params) -> tuple[int, int]
 
     A saturated query counts as found: its component is compared whole later.
     """
-    queries = nodes.orderBy(F.xxhash64("id", F.lit(params.seed))).limit(params.queries).collect()
+    queries = hashed_sample(nodes, ["id"], params.queries).collect()
     if not queries:
         return 0, 0
     asked = pd.DataFrame([(r["id"], r["label"], bytes(r["vec"])) for r in queries], columns=["id", "label", "vec"])

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small_batches, table
+from .common import hashed_sample, shared_dir, small_batches, table
 
 #: Unicode white space, as in the vocabulary's own rule for splitting text.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -120,7 +120,7 @@ def encoder(path: str, params: Params) -> Encoder:
 def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str, params: Params) -> bytes:
     """A zstandard dictionary of the serialized ids of a bounded sample; empty where that is too small to train one."""
     h = F.xxhash64(F.col(id_col))
-    chosen = [r[0] for r in docs.select(h.alias("h")).orderBy("h").limit(params.sample).distinct().collect()]
+    chosen = sorted({r[0] for r in hashed_sample(docs.select(id_col), [id_col], params.sample).select(h.alias("h")).collect()})
     end = params.piece
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, hashed_sample, table
 
 FEATURES = (
     "length", "host_length", "path_length", "query_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "fragment", "suffix_rate", "suffix_count",
@@ -123,7 +123,7 @@ def _vectors(rows: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
 def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label", params: Params = Params()) -> Model:
     """Fit suffix statistics and trees on URLs with label 0 or 1; null labels are ignored."""
     urls = labelled.where(F.col(label_col).isNotNull()).groupBy(F.coalesce(F.col(url_col), F.lit("")).alias("url")).agg(F.max(label_col).cast("double").alias("label"))
-    sample = table(with_features(urls.orderBy(F.xxhash64("url"), "url").limit(params.sample)), "urls")
+    sample = table(with_features(hashed_sample(table(urls, "labelled"), ["url"], params.sample)), "urls")
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = ones / n if n else 0.0
     if prior in (0.0, 1.0):

@@ -239,6 +239,18 @@ def test_class_lm_tail_words_are_joined(spark, docs):
         assert r["score"] == pytest.approx(b[i]["score"], rel=1e-9) and r["n_known"] == b[i]["n_known"]
 
 
+def test_most_frequent_words_and_samples(spark):
+    counts = spark.createDataFrame([(f"w{i}", max(1, 1000 // (i + 1))) for i in range(500)], "word string, c long")
+    top = class_lm.most_frequent(counts, 100)
+    assert 50 < len(top) <= 100 and [w for w, _ in top] == [f"w{i}" for i in range(len(top))]
+    assert class_lm.most_frequent(counts.withColumn("c", counts["c"] * 0 + 7), 100) == [] and class_lm.most_frequent(counts.limit(0), 9) == []
+    from cellscape.llm.common import hashed_sample
+
+    for most in (0, 10, 499, 1000):
+        a = [r["word"] for r in hashed_sample(counts, ["word"], most).collect()]
+        assert len(a) == min(most, 500) and a == [r["word"] for r in hashed_sample(counts.repartition(7), ["word"], most).collect()]
+
+
 def test_exchange_raises_likelihood():
     rng = np.random.default_rng(0)
     kind = np.arange(20) % 2
