@@ -15,7 +15,6 @@ from __future__ import annotations
 import array
 import functools
 import hashlib
-import itertools
 import os
 import re
 import sys
@@ -58,25 +57,25 @@ class Params:
     piece: int = 16 * 1024
     level: int = 3
     block_bytes: int = 1 << 20
-    cache: int = 250_000
+    cache: int = 400_000
 
 
-class Encoder:
-    """Serialized ids of whole texts. Units that recur are encoded once; the first ``cache`` of them are kept."""
+class Encoder(dict):
+    """Serialized ids of whole texts; itself the ids of units met before, the first ``cache`` of them."""
 
     def __init__(self, path: str, params: Params):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tool, self.params = Tokenizer.from_file(path), params
+        self.tool, self.room = Tokenizer.from_file(path), params.cache
         self.kind = np.dtype("<u2" if self.tool.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         self.end = self.serialized([params.end_id])
-        probe = [" Thé", "ñandú", " x"]
+        self.tokenize = self.tool.model.tokenize
         self.plain = True
-        self.plain = self.unit_pieces(probe) == self.pieces(probe)  # other kinds of vocabulary take the whole tool
-        self.known: dict[str, bytes] = {}
+        self.plain = all(self.unit(u) == self.whole(u) for u in (" Thé", "ñandú", " x"))  # other kinds of vocabulary take the whole tool
 
     def serialized(self, ids: list[int]) -> bytes:
         out = array.array(self.code, ids)
@@ -84,31 +83,27 @@ class Encoder:
             out.byteswap()
         return out.tobytes()
 
-    def pieces(self, units: list[str]) -> list[bytes]:
-        return [self.serialized(e.ids) for e in self.tool.encode_batch_fast(units, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        return self.serialized(self.tool.encode(text, add_special_tokens=False).ids)
 
-    def unit_pieces(self, units: list[str]) -> list[bytes]:
-        """Units of letters are one pre-token, so they go to the library's model at once, in its byte alphabet; others by the whole tool."""
-        if not self.plain:
-            return self.pieces(units)
-        tokenize, letters = self.tool.model.tokenize, _LETTERS_ONLY.fullmatch
-        other = [u for u in units if not letters(u)]
-        done = dict(zip(other, self.pieces(other)))
-        return [done.get(u) or self.serialized([t.id for t in tokenize(u.encode().decode("latin-1").translate(_BYTE_ALPHABET))]) for u in units]
+    def unit(self, unit: str) -> bytes:
+        """A unit of letters is one pre-token, so it goes to the library's model at once, in its byte alphabet."""
+        if self.plain and _LETTERS_ONLY.fullmatch(unit):
+            return self.serialized([t.id for t in self.tokenize(unit.encode().decode("latin-1").translate(_BYTE_ALPHABET))])
+        return self.whole(unit)
+
+    def __missing__(self, unit: str) -> bytes:
+        out = self.unit(unit)
+        if self.room:
+            self.room -= 1
+            self[unit] = out
+        return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        whole = {t for t in texts if t and any(a in t for a in self.added)}  # these may cross white space
-        split = [_UNIT.findall(t) if t and t not in whole else [] for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        codes = dict(zip(new, self.unit_pieces(new)))
-        room = self.params.cache - len(self.known)
-        known = self.known
-        if len(codes) <= room:
-            known.update(codes)
-        elif room > 0:
-            known.update(itertools.islice(codes.items(), room))
-        get = known.__getitem__ if len(codes) <= room else lambda u: known.get(u) or codes[u]
-        return [(self.pieces([t])[0] if t in whole else b"".join(map(get, units))) + self.end for t, units in zip(texts, split)]
+        get = self.__getitem__
+        return [
+            (b"" if not t else self.whole(t) if any(a in t for a in self.added) else b"".join(map(get, _UNIT.findall(t)))) + self.end for t in texts  # added tokens may cross white space
+        ]
 
 
 @functools.lru_cache(maxsize=2)
