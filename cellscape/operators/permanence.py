@@ -86,15 +86,19 @@ def daily_scores(durations: DataFrame, cell_groups: DataFrame, params: DailyPara
     Several cells: the tile groups that their summed time covers half the slot; one cell: all its groups; unknown and
     abroad (the country) likewise. Cells without a group, and slots in which no group gets enough, give no row.
     """
-    w = Window.partitionBy("user_id", "slot")
-    kept = durations.withColumns({"_all": F.sum("seconds").over(w), "_cells": F.size(F.collect_set("cell_id").over(w))}).where(F.col("_all") * 2 >= params.slot)
+    w = Window.partitionBy("user_id", "slot")  # a slot has one row for each cell
+    kept = durations.withColumns({"_all": F.sum("seconds").over(w), "_cells": F.count("*").over(w)}).where(F.col("_all") * 2 >= params.slot)
     key = ["user_id", "day", "slot"]
-    local = kept.where((F.col("cell_id") != UNKNOWN_CELL) & ~F.col("abroad")).join(cell_groups, "cell_id")
-    groups = local.groupBy(*key, F.col("group_id").alias("place")).agg(F.sum("seconds").alias("s"), F.max("_cells").alias("_cells")).where((F.col("_cells") == 1) | (F.col("s") * 2 >= params.slot))
-    typed = groups.select(*key, "place", F.lit(ID_GRID).alias("id_type"))
-    unknown = kept.where(F.col("cell_id") == UNKNOWN_CELL).select(*key, F.col("cell_id").alias("place"), F.lit(ID_UNKNOWN).alias("id_type"))
-    abroad = kept.where(F.col("abroad") & (F.col("seconds") * 2 >= params.slot)).select(*key, F.col("cell_id").alias("place"), F.lit(ID_ABROAD).alias("id_type"))
-    return typed.unionByName(unknown).unionByName(abroad).groupBy(*key, "id_type").agg(F.array_sort(F.collect_set("place")).alias("dps"))
+    unknown = F.col("cell_id") == UNKNOWN_CELL
+    local = ~unknown & ~F.col("abroad")
+    match = F.when(local, F.col("cell_id")).otherwise(F.concat(F.lit("~"), F.pmod(F.xxhash64(*key), F.lit(4096))))  # what has no group doesn't meet at one key
+    groups = cell_groups.select(F.col("cell_id").alias("_cell"), "group_id")
+    typed = kept.withColumn("_match", match).join(groups, F.col("_match") == F.col("_cell"), "left")
+    place = F.when(local, F.col("group_id")).when(unknown | (F.col("seconds") * 2 >= params.slot), F.col("cell_id"))
+    id_type = F.when(local, ID_GRID).when(unknown, ID_UNKNOWN).otherwise(ID_ABROAD)
+    summed = typed.select(*key, place.alias("place"), id_type.alias("id_type"), "seconds", "_cells").where("place is not null").groupBy(*key, "id_type", "place").agg(F.sum("seconds").alias("s"), F.max("_cells").alias("_cells"))
+    enough = (F.col("id_type") != ID_GRID) | (F.col("_cells") == 1) | (F.col("s") * 2 >= params.slot)
+    return summed.where(enough).groupBy(*key, "id_type").agg(F.array_sort(F.collect_set("place")).alias("dps"))
 
 
 @dataclass(frozen=True)
@@ -150,13 +154,14 @@ def midterm_scores(typed: DataFrame, group_tiles: DataFrame) -> DataFrame:
     df = typed.withColumn("month", F.date_format(F.trunc(F.date_from_unix_date(F.col("logical_day").cast("int")), "month"), "yyyy-MM"))
     by = ["user_id", *KEY]
     each = df.withColumn("place", F.explode("dps")).groupBy(*by, "id_type", "place").agg(F.count("*").alias("mps"), F.count_distinct("logical_day").alias("frequency"))
-    tiles = each.where(F.col("id_type") == ID_GRID).join(group_tiles, F.col("place") == F.col("group_id"))
-    grid = tiles.groupBy(*by, "id_type", F.col("grid_id").cast("string").alias("location")).agg(F.sum("mps").alias("mps"), F.sum("frequency").alias("frequency"))
-    other = each.where(F.col("id_type") != ID_GRID).select(*by, "id_type", F.col("place").alias("location"), "mps", "frequency")
+    match = F.when(F.col("id_type") == ID_GRID, F.col("place")).otherwise(F.concat(F.lit("~"), F.pmod(F.xxhash64("user_id", "month"), F.lit(4096))))  # what is no tile doesn't meet at one key
+    tiles = each.withColumn("_match", match).join(group_tiles, F.col("_match") == F.col("group_id"), "left").where((F.col("id_type") != ID_GRID) | F.col("grid_id").isNotNull())
+    location = F.when(F.col("id_type") == ID_GRID, F.col("grid_id").cast("string")).otherwise(F.col("place"))
+    placed = tiles.groupBy(*by, "id_type", location.alias("location")).agg(F.sum("mps").alias("mps"), F.sum("frequency").alias("frequency"))
     seen = df.where(F.col("id_type") != ID_UNKNOWN).groupBy(*by).agg(F.count_distinct("logical_day", "slot").alias("mps"), F.count_distinct("logical_day").alias("frequency"))
     observed = seen.select(*by, F.lit(ID_OBSERVATION).alias("id_type"), F.lit(str(OBSERVATION_GRID)).alias("location"), "mps", "frequency")
     none = F.lit(None).cast("double")
-    return grid.unionByName(other).unionByName(observed).withColumns({"regularity_mean": none, "regularity_std": none})
+    return placed.unionByName(observed).withColumns({"regularity_mean": none, "regularity_std": none})
 
 
 def longterm_scores(midterm: DataFrame, seasons: DataFrame) -> DataFrame:
