@@ -62,5 +62,6 @@ def hashed_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows that go to a Python worker at once; whole texts can be long."""
+    """Bound the rows and bytes that go to a Python worker at once; whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

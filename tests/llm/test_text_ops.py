@@ -29,7 +29,7 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    return spark.createDataFrame(ODD, SCHEMA).selectExpr("*", "1 AS fp", "2 AS id", "3 AS row", "'x' AS label", "'y' AS word", "0 AS blob", "0 AS t", "0 AS u")
+    return spark.createDataFrame(ODD, SCHEMA).selectExpr("*", "1 AS fp", "2 AS id", "3 AS row", "'x' AS label", "'y' AS word", "0 AS blob", "0 AS t", "0 AS u", "1 AS s", "2 AS b", "3 AS known", "4 AS goal_source", "5 AS before", "6 AS words")
 
 
 @pytest.fixture(scope="module")
