@@ -4,8 +4,11 @@ A neighbour graph starts from random-projection orders (in each of several table
 by label, sign pattern and projection, and each is linked to the next few) and is refined through
 joins of neighbours of neighbours: all who share a neighbour are compared, and each keeps its nearest.
 A vector whose whole list passes the threshold is saturated and its list is doubled in the next round.
-Recall is audited against brute force for a bounded set of queries; below target, more tables are drawn.
-Edges over the threshold then give components, and inside a component all cosines are computed once
+What a list has no room for still ties: every pair found over the threshold, or a path with the same
+components, is kept beside the lists, and components come from these ties. Each further draw compares only
+vectors of different components, so a large group's own members can't hide its links to another one.
+Recall is audited against brute force by query; draws go on until it is reached and the components larger
+than a list have settled, and fail loudly otherwise. Inside a component all cosines are computed once
 more, block by block, so the links of saturated vectors are counted whole without being expanded.
 Equal vectors of a label are one node with a count throughout.
 """
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import hashed_sample, small_batches, table
 from .graph import connected_components
 
-EDGE = "a long, b long, sim double"
+EDGE = "a long, b long, sim double, tie boolean"
+#: ``sim`` of an edge that only ties.
+TIES = -2.0
 
 
 @dataclass(frozen=True)
@@ -31,12 +36,16 @@ class Params:
     threshold: float = 0.98
     tables: int = 8
     following: int = 2
+    window: int = 32
+    top: int = 4
     neighbours: int = 8
     rounds: int = 2
     floor: float = 0.9
     queries: int = 256
+    most_queries: int = 4096
+    linked: int = 64
     recall: float = 0.99
-    draws: int = 3
+    most_draws: int = 12
     block: int = 256
     seed: int = 11
 
@@ -76,34 +85,58 @@ def _runs(parts: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield held.reset_index(drop=True)
 
 
-def first_edges(nodes: DataFrame, params: Params, draw: int, bits: int) -> DataFrame:
-    """Edges from the random-projection orders of one draw of tables."""
+def _masked_pairs(x: np.ndarray, c: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, cosine) of rows of different ``c`` in their order: the next ``following``, and among the next ``window`` or
+    more those from the floor on; of these the ``top`` nearest and the last over the threshold, where there are more."""
+    w, n = params.window, len(x)
+    blocks = -(-n // w)
+    padded = np.zeros(((blocks + 1) * w, x.shape[1]))
+    padded[:n] = x
+    named = np.full(len(padded), -1, np.int64)
+    named[:n] = np.arange(n)
+    own, at = padded[:-w].reshape(blocks, w, -1), named[:-w].reshape(blocks, w)
+    both, to = np.concatenate([own, padded[w:].reshape(blocks, w, -1)], 1), np.concatenate([at, named[w:].reshape(blocks, w)], 1)
+    sims = own @ both.transpose(0, 2, 1)
+    i, j = at[:, :, None], to[:, None, :]
+    valid = (i >= 0) & (j > i) & (c[i] != c[j])
+    near = valid & (sims >= params.floor)
+    if (near.sum(2) > params.top).any():
+        held = np.where(near, sims, -np.inf)
+        last = (near & (sims >= params.threshold))[:, :, ::-1].argmax(2)
+        farthest = near & (sims >= params.threshold) & (np.arange(2 * w) == (2 * w - 1 - last)[:, :, None])
+        near &= held >= np.partition(held, -params.top, 2)[:, :, -params.top, None]
+        near |= farthest
+    k, p, q = np.nonzero(near | (valid & (j - i <= params.following)))
+    return at[k, p], to[k, q], sims[k, p, q]
+
+
+def first_edges(nodes: DataFrame, params: Params, draw: int, bits: int, tables: int) -> DataFrame:
+    """Edges between nodes of different ``c`` from the random-projection orders of one draw of tables."""
 
     def placed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for dim, rows in part.groupby(part["vec"].map(len)):
                 x = _matrix(rows["vec"])
-                for t in range(params.tables):
+                for t in range(tables):
                     planes = np.random.default_rng([params.seed, draw, t]).standard_normal((dim // 8, bits + 1))
                     p = x @ planes
                     sign = (p[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
-                    yield pd.DataFrame({"t": t, "label": rows["label"], "dim": dim, "sign": sign, "place": p[:, bits], "id": rows["id"], "vec": rows["vec"]})
+                    yield pd.DataFrame({"t": t, "label": rows["label"], "dim": dim, "sign": sign, "place": p[:, bits], "id": rows["id"], "c": rows["c"], "vec": rows["vec"]})
 
     def slid(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None
         for part in parts:
             part = part if tail is None else pd.concat([tail, part], ignore_index=True)
             for _, rows in part.groupby(["t", "label", "dim"], sort=False):
-                x, ids = _matrix(rows["vec"]), rows["id"].to_numpy()
-                for k in range(1, params.following + 1):
-                    if len(rows) > k:
-                        yield pd.DataFrame({"a": ids[:-k], "b": ids[k:], "sim": np.einsum("ij,ij->i", x[:-k], x[k:])})
-            tail = part.iloc[-params.following :]
+                ids = rows["id"].to_numpy()
+                i, j, sims = _masked_pairs(_matrix(rows["vec"]), rows["c"].to_numpy(), params)
+                yield pd.DataFrame({"a": ids[i], "b": ids[j], "sim": sims, "tie": sims >= params.threshold})
+            tail = part.iloc[-params.window :]
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["t", "label", "dim", "sign", "place"]
     return (
-        nodes.mapInPandas(placed, "t int, label long, dim int, sign long, place double, id long, vec binary")
+        nodes.mapInPandas(placed, "t int, label long, dim int, sign long, place double, id long, c long, vec binary")
         .repartitionByRange(n, *order)
         .sortWithinPartitions(*order, "id")
         .mapInPandas(slid, EDGE)
@@ -111,76 +144,138 @@ def first_edges(nodes: DataFrame, params: Params, draw: int, bits: int) -> DataF
 
 
 def nearest(edges: DataFrame, params: Params, largest: int) -> DataFrame:
-    """Each node's nearest ``neighbours`` by falling similarity; up to ``largest`` where all of those pass the threshold."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")).where("a <> b")
-    best = both.groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    """Each node's nearest ``neighbours`` by falling similarity; up to ``largest`` where all of those pass the threshold.
+
+    Edges that tie stay, one way, whatever their ``rank``; it is null where an edge is in no list.
+    """
+    columns = ("a", "b", "sim", "tie")
+    edges = edges.select(*columns)
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "tie")).where("a <> b")
+    best = both.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("tie").alias("tie"))
     order = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
     ranked = best.withColumn("rank", F.row_number().over(order))
-    return ranked.where((F.col("rank") <= params.neighbours) | ((F.col("rank") <= largest) & (F.col("sim") >= params.threshold))).drop("rank")
+    listed = (F.col("sim") > TIES) & ((F.col("rank") <= params.neighbours) | ((F.col("rank") <= largest) & (F.col("sim") >= params.threshold)))
+    return ranked.select(*columns, F.when(listed, F.col("rank")).alias("rank")).where((F.col("tie") & (F.col("a") < F.col("b"))) | F.col("rank").isNotNull())
+
+
+def _paths(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a path through each component of a symmetric matrix of links."""
+    label, before = np.arange(len(linked)), None
+    while before is None or (label != before).any():
+        before = label
+        label = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(1))
+    order = np.argsort(label, kind="stable")
+    same = label[order[1:]] == label[order[:-1]]
+    return order[:-1][same], order[1:][same]
 
 
 def refined(lists: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
-    """Edges between nodes that share a neighbour, where the cosine reaches the floor."""
+    """Edges between nodes of different ``c`` that share a neighbour, where the cosine reaches the floor, and their ties."""
 
     def joined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(parts, "m"):
             out = []
             for _, rows in run.groupby("m", sort=False):
                 if len(rows) > 1 and rows["vec"].map(len).nunique() == 1:
-                    x, ids = _matrix(rows["vec"]), rows["id"].to_numpy()
-                    sims = x @ x.T
+                    x, ids, c = _matrix(rows["vec"]), rows["id"].to_numpy(), rows["c"].to_numpy()
+                    sims = np.where(c[:, None] != c[None, :], x @ x.T, TIES)
                     i, j = np.nonzero(np.triu(sims >= params.floor, 1))
                     if len(i):
-                        out.append((ids[i], ids[j], sims[i, j]))
+                        out.append((ids[i], ids[j], sims[i, j], np.zeros(len(i), bool)))
+                        if (sims[i, j] >= params.threshold).any():
+                            i, j = _paths(sims >= params.threshold)
+                            out.append((ids[i], ids[j], np.full(len(i), TIES), np.ones(len(i), bool)))
             if out:
-                yield pd.DataFrame(dict(zip(("a", "b", "sim"), map(np.concatenate, zip(*out)))))
+                yield pd.DataFrame(dict(zip(("a", "b", "sim", "tie"), map(np.concatenate, zip(*out)))))
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    named = nodes.select(F.col("id").alias("b"), "vec")
-    return lists.select(F.col("a").alias("m"), "b").join(named, "b").select("m", F.col("b").alias("id"), "vec").repartition(n, "m").sortWithinPartitions("m").mapInPandas(joined, EDGE)
+    named = nodes.select(F.col("id").alias("b"), "c", "vec")
+    return lists.select(F.col("a").alias("m"), "b").join(named, "b").select("m", F.col("b").alias("id"), "c", "vec").repartition(n, "m").sortWithinPartitions("m").mapInPandas(joined, EDGE)
 
 
-def audit(nodes: DataFrame, lists: DataFrame, params: Params) -> tuple[int, int]:
-    """(links found, links there are) of up to ``queries`` query nodes, by brute force against all nodes.
+def _with_components(nodes: DataFrame, member: DataFrame | None) -> DataFrame:
+    """``nodes`` with their component ``c``: their own id where they are in none."""
+    if member is None:
+        return nodes.withColumn("c", F.col("id"))
+    return nodes.join(member, F.col("id") == F.col("node"), "left").select("id", "label", "vec", F.coalesce("component", "id").alias("c"))
 
-    A saturated query counts as found: its component is compared whole later.
-    """
-    queries = hashed_sample(nodes, ["id"], params.queries).collect()
-    if not queries:
-        return 0, 0
-    asked = pd.DataFrame([(r["id"], r["label"], bytes(r["vec"])) for r in queries], columns=["id", "label", "vec"])
 
-    def true_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for (label, dim), rows in part.groupby(["label", part["vec"].map(len)]):
-                q = asked[(asked["label"] == label) & (asked["vec"].map(len) == dim)]
-                if len(q):
-                    i, j = np.nonzero(_matrix(q["vec"]) @ _matrix(rows["vec"]).T >= params.threshold)
-                    yield pd.DataFrame({"a": q["id"].to_numpy()[i], "b": rows["id"].to_numpy()[j]})
-
-    there = nodes.mapInPandas(true_links, "a long, b long").where("a <> b")
-    have = lists.where(F.col("sim") >= params.threshold).withColumn("n", F.count("*").over(Window.partitionBy("a"))).select("a", "b", "n")
-    full = have.groupBy("a").agg(F.count("*").alias("of"))
-    marked = there.join(have.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").join(full, "a", "left")
-    found = F.coalesce("hit", F.when(F.col("of") >= params.neighbours, 1), F.lit(0))
-    hits, total = marked.agg(F.coalesce(F.sum(found), F.lit(0)), F.count("*")).first()
-    return int(hits), int(total)
-
-
-def neighbour_graph(nodes: DataFrame, params: Params) -> DataFrame:
-    """(a, b, sim): the refined lists, drawn again while the audited recall is below target."""
+def _audits(nodes: DataFrame, member: DataFrame | None, params: Params) -> list[tuple[float, int]]:
+    """For ordinary, then saturated queries (of more links than ``neighbours``): (sum of their shares of links found,
+    queries), by brute force against all nodes, over the queries that have a link.
+
+    A link is found where both ends are in one component, as that is compared whole later. More queries are asked
+    while fewer than ``linked`` ordinary ones have a link, up to ``most_queries``.
+    """
+    placed, most = table(_with_components(nodes, member), "audited"), params.queries
+    while True:
+        queries = hashed_sample(placed, ["id"], most).collect()
+        if not queries:
+            return [(0.0, 0), (0.0, 0)]
+        asked = pd.DataFrame([(r["id"], r["label"], bytes(r["vec"]), r["c"]) for r in queries], columns=["id", "label", "vec", "c"])
+
+        def true_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                for (label, dim), rows in part.groupby(["label", part["vec"].map(len)]):
+                    q = asked[(asked["label"] == label) & (asked["vec"].map(len) == dim)]  # noqa: B023
+                    if len(q):
+                        near = _matrix(q["vec"]) @ _matrix(rows["vec"]).T >= params.threshold
+                        near &= q["id"].to_numpy()[:, None] != rows["id"].to_numpy()[None, :]
+                        at = np.flatnonzero(near.any(1))
+                        hit = near[at] & (q["c"].to_numpy()[at, None] == rows["c"].to_numpy()[None, :])
+                        yield pd.DataFrame({"a": q["id"].to_numpy()[at], "links": near[at].sum(1), "found": hit.sum(1)})
+
+        found = placed.mapInPandas(true_links, "a long, links long, found long").groupBy("a").agg(F.sum("links").alias("links"), F.sum("found").alias("found"))
+        by = {r["s"]: (float(r["f"]), r["n"]) for r in found.groupBy((F.col("links") > params.neighbours).alias("s")).agg(F.sum(F.col("found") / F.col("links")).alias("f"), F.count("*").alias("n")).collect()}
+        out = [by.get(s, (0.0, 0)) for s in (False, True)]
+        if out[0][1] >= params.linked or len(queries) < most or most >= params.most_queries:
+            return out
+        most = min(params.most_queries, 4 * most)
+
+
+def audit(nodes: DataFrame, member: DataFrame | None, params: Params) -> tuple[float, int]:
+    """(sum of the shares of links found, ordinary queries that have a link)."""
+    return _audits(nodes, member, params)[0]
+
+
+def tables_for(bits: int, params: Params) -> int:
+    """So many tables that a pair at the threshold shares its signs in one of them, with half the misses that the recall allows."""
+    shared = (1 - np.arccos(params.threshold) / np.pi) ** bits
+    return max(params.tables, int(np.ceil(np.log((1 - params.recall) / 2) / np.log(1 - shared))))
+
+
+def neighbour_graph(nodes: DataFrame, params: Params) -> DataFrame | None:
+    """(node, component) of all nodes that are tied, None where none is; draws go on until the audited recall is reached.
+
+    Components of more nodes than a list holds must also stay as they are in a draw across components. Where too few of
+    the audit's queries have a link to tell, a draw that ties nothing new ends it.
+    """
     n = nodes.count()
     bits = int(min(20, max(4, np.ceil(np.log2(n + 1)) - 5)))
-    lists = None
-    for draw in range(params.draws):
-        edges = first_edges(nodes, params, draw, bits)
-        lists = table(nearest(edges if lists is None else edges.unionByName(lists), params, params.neighbours), "lists")
+    member = inner = large = None
+    for draw in range(params.most_draws):
+        placed = table(_with_components(nodes, member), "placed")
+        lists = table(nearest(first_edges(placed, params, draw, bits, tables_for(bits, params)), params, params.neighbours), "lists")
         for k in range(1, params.rounds + 1):
-            lists = table(nearest(lists.unionByName(refined(lists, nodes, params)), params, params.neighbours << k), "lists")
-        hits, total = audit(nodes, lists, params)
-        if hits >= params.recall * total:
-            break
-    return lists
+            listed = lists.where("rank is not null")
+            around = listed if inner is None else listed.select("a", "b").unionByName(inner.join(listed.select("a").distinct(), "a", "left_semi"))
+            lists = table(nearest(lists.drop("rank").unionByName(refined(around, placed, params)), params, params.neighbours << k), "lists")
+        inner = lists.where(F.col("rank") <= params.neighbours).select("a", "b") if inner is None else inner
+        ties = lists.where("tie").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        tied = not ties.isEmpty()
+        if tied:
+            known = ties if member is None else ties.unionByName(member.select(F.col("node").alias("u"), F.col("component").alias("v")))
+            member = table(connected_components(known), "members")
+        before, large = large, (0, None)
+        if member is not None:
+            sizes = member.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > params.neighbours << params.rounds)
+            large = tuple(sizes.agg(F.count("*"), F.sum("n")).first())
+        settled = not large[0] or large == before
+        found = _audits(nodes, member, params)
+        told = found[0][1] >= params.linked or n <= params.most_queries
+        if settled and all(hits >= params.recall * total for hits, total in found) and (told or not tied):
+            return member
+    raise RuntimeError(f"recall {found} (ordinary, saturated: found, queries) or large components {large} not settled in {params.most_draws} draws")
 
 
 def links_within(nodes: DataFrame, member: DataFrame, params: Params) -> DataFrame:
@@ -216,9 +311,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = table(rows, "vectors")
     valid = rows.where("key is not null and id is not null")
     nodes = table(valid.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("mult"), F.first("label").alias("label"), F.first("vec").alias("vec")), "nodes")
-    lists = neighbour_graph(nodes.select("id", "label", "vec"), params)
-    edges = lists.where(F.col("sim") >= params.threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    member = table(connected_components(edges), "members")
+    member = neighbour_graph(nodes.select("id", "label", "vec"), params)
+    if member is None:
+        member = vectors.sparkSession.createDataFrame([], "node long, component long")
     counts = table(links_within(nodes.select("id", "vec", "mult"), member, params), "links")
     named = nodes.select("key", "id", "mult").join(member, F.col("id") == F.col("node"), "left").join(counts.withColumnRenamed("id", "counted"), F.col("id") == F.col("counted"), "left")
     named = table(

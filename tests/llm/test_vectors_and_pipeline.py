@@ -68,6 +68,37 @@ def test_audited_recall(spark):
     assert total and hits >= 0.95 * total
 
 
+def test_tight_groups_that_fill_their_lists_are_joined(spark):
+    rng = np.random.default_rng(3)
+    a = rng.standard_normal(64)
+    a /= np.linalg.norm(a)
+    side = rng.standard_normal(64)
+    side -= a * (side @ a)
+    side /= np.linalg.norm(side)
+    rows = []
+    for centre in (a, 0.987 * a + np.sqrt(1 - 0.987**2) * side):
+        rows += [(len(rows) + k, [float(x) for x in centre + rng.standard_normal(64) * 0.0025], 1) for k in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df).collect()}
+    assert got == slow_links(rows) and {c for _, c in got.values()} == {0} and min(n for n, _ in got.values()) > 99
+
+
+def test_audit_weighs_queries_alike(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    big = rng.standard_normal(32)
+    for _ in range(300):
+        rows.append((len(rows), big + rng.standard_normal(32) * 0.01))
+    for _ in range(50):
+        v = rng.standard_normal(32)
+        rows += [(len(rows), v), (len(rows) + 1, v + rng.standard_normal(32) * 0.05)]
+    nodes = spark.createDataFrame([(i, 1, bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label long, vec binary")
+    member = spark.createDataFrame([(i, 0) for i in range(300)], "node long, component long")  # every pair is missed
+    hits, total = nn_descent.audit(nodes, member, nn_descent.Params())
+    assert total > 30 and hits == 0
+    assert nn_descent.tables_for(20, nn_descent.Params()) > nn_descent.tables_for(12, nn_descent.Params()) >= 8
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000), (7, 7)]
     df = spark.createDataFrame(edges, "u long, v long")
