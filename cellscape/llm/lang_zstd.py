@@ -24,13 +24,16 @@ _RESULT = T.StructType(
 @dataclass(frozen=True)
 class Params:
     """``rows_per_lang`` labelled rows at most train each language (those of least hash, up to ``piece`` bytes of each);
-    texts of up to ``short`` letters' bytes are measured with ``shards`` small dictionaries, longer ones with one large."""
+    texts of up to ``short`` letters' bytes are measured with ``shards`` small dictionaries, longer ones with one large,
+    in equal spans of up to ``span`` bytes: a dictionary saves a bounded part of what it begins, so the margin of a
+    whole text would fall with its length."""
 
     rows_per_lang: int = 128
     piece: int = 8192
     dictionary: int = 256 * 1024
     level: int = 6
     short: int = 512
+    span: int = 32 * 1024
     shards: int = 4
     shard_level: int = 12
     min_margin: float = 0.01
@@ -90,7 +93,9 @@ class Classifier:
         if not data or not self.long:
             return UNKNOWN, 0.0, True
         tools = self.short if len(data) <= self.params.short else self.long
-        sizes = sorted((sum(len(t.compress(data)) for t in ts), lang) for lang, ts in tools.items())
+        step = -(-len(data) // -(-len(data) // self.params.span))
+        spans = [data[i : i + step] for i in range(0, len(data), step)]
+        sizes = sorted((sum(len(t.compress(x)) for t in ts for x in spans), lang) for lang, ts in tools.items())
         margin = 1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
         return sizes[0][1], margin, margin < self.params.min_margin
 

@@ -218,6 +218,18 @@ def slow_class_counts(rows, held):
     return out, n
 
 
+def test_language_margin_does_not_fall_with_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    content = lang_zstd.train(docs.where("doc_id % 2 = 0"))
+    tool = lang_zstd.Classifier(content, lang_zstd.Params())
+    for lang in ("en", "fr", "de"):
+        whole = " ".join(r["text"] for r in docs.where((docs["lang"] == lang) & (docs["doc_id"] % 2 == 1)).select("text").collect() if r["text"])
+        for size in (1_000_000, 3_000_000, 10_000_000):
+            text = (whole * (1 + size // len(whole)))[:size]
+            got, margin, rejected = tool(text)
+            assert (got, rejected) == (lang, False) and margin > 0.03, (lang, size, margin)
+
+
 def test_class_lm_base_score_and_gain(spark, docs, texts):
     rows = [(i, r["text"]) for i, r in texts.items()]
     want, n = slow_class_counts(rows, lambda i: zlib.crc32(str(i).encode()) % 7 == 2)
