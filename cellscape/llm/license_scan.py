@@ -97,23 +97,32 @@ class Scanner:
         hits = np.flatnonzero(np.isin(h, self.keys)) if h.any() else []
         if not len(hits):
             return []
-        regions: dict[tuple[int, int], int] = {}
-        for at in hits:
-            for t, place in self.index[int(h[at])]:
-                diagonal = int(at) - place
-                near = next((d for d in range(diagonal - self.band, diagonal + self.band + 1) if (t, d) in regions), None)
-                if near is None:
-                    regions[t, diagonal] = diagonal
         words, out = list(_WORDS.finditer(text)) if len(lower) == len(text) else list(_WORDS.finditer(lower)), []
         whole = ids.astype(np.int64).tolist()
-        for t, diagonal in regions:
+
+        def places(t: int, diagonal: int, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+            """(words matched, first, last place) of alignments in the band that don't overlap, the best one first."""
             template = self.templates[t]
-            first = max(0, diagonal - self.band)
-            part = whole[first : diagonal + len(template) + self.band + 1]
-            found = align(template, part, diagonal - first, self.band)
+            found = align(template, whole[low:high], diagonal - low, self.band) if high > low else None
             if found and found[0] >= self.coverage * len(template):
-                a, b = words[first + found[1]], words[first + found[2]]
-                out.append((self.names[t], found[0] / len(template), found[0], len(template), a.start(), b.end()))
+                first, last = low + found[1], low + found[2]
+                yield found[0], first, last
+                yield from places(t, diagonal, low, first)
+                yield from places(t, diagonal, last + 1, high)
+
+        ends: dict[int, int] = {}
+        missed: set[tuple[int, int]] = set()
+        for at in hits:
+            for t, place in self.index[int(h[at])]:
+                diagonal, size = int(at) - place, len(self.templates[t])
+                if at < ends.get(t, 0) or any((t, d) in missed for d in range(diagonal - self.band, diagonal + self.band + 1)):
+                    continue
+                found = list(places(t, diagonal, max(0, diagonal - self.band, ends.get(t, 0)), diagonal + size + self.band + 1))
+                for n, first, last in found:
+                    out.append((self.names[t], n / size, n, size, words[first].start(), words[last].end()))
+                    ends[t] = max(ends.get(t, 0), last + 1)
+                if not found:
+                    missed.add((t, diagonal))
         return sorted(set(out), key=lambda x: (x[4], x[5], x[0]))
 
 

@@ -305,6 +305,12 @@ def test_licenses(spark, odd):
     assert license_scan.scan(odd).count() == 0 and license_scan.scan(odd.limit(0)).count() == 0
 
 
+def test_licenses_back_to_back_each_get_a_row():
+    tool, notice = license_scan.Scanner(license_scan.TEMPLATES), "Released under the MIT License. "
+    got = [(x[0], x[4]) for x in tool(notice * 7)]
+    assert got == [("MIT-line", i * len(notice)) for i in range(7)]
+
+
 def test_licenses_match_exhaustive_alignment(spark, docs, texts):
     """Every planted line is found: compare with alignment at every diagonal, without fingerprints."""
     tool = license_scan.Scanner(license_scan.TEMPLATES)
