@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from itertools import groupby, islice, takewhile
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -112,11 +113,13 @@ def day_segments(before: Segment | None, events: list[Event], following: Event |
 def history(days: Iterable[tuple[int, list[Event]]], until: int, p: Params) -> Iterator[tuple[Segment, bool, int]]:
     """(segment, is_last, day) over a user's days of events, up to day ``until``; days without events between are filled."""
     before: Segment | None = None
-    pending = list(days)
-    for i, (day, events) in enumerate(pending):
-        stop = pending[i + 1][0] if i + 1 < len(pending) else until + 1
+    coming = iter(days)
+    after = next(coming, None)
+    while after is not None:
+        (day, events), after = after, next(coming, None)
+        stop = after[0] if after else until + 1
         for d in range(day, stop):
-            following = pending[i + 1][1][0] if i + 1 < len(pending) and d + 1 == stop else None
+            following = after[1][0] if after and d + 1 == stop else None
             if before is not None and before.state == UNKNOWN and (before.last is None or d * DAY - before.last > p.missing_unknown):
                 before = None
             made = day_segments(before, events if d == day else [], following, d * DAY, p)
@@ -139,28 +142,21 @@ def time_segments(events: DataFrame, overlaps: DataFrame, until: int, params: Pa
         "user_id", F.unix_timestamp("timestamp").alias("t"), "cell_id", "overlapping_cell_ids", "plmn", (F.col("domain") == OUTBOUND).alias("abroad")
     )
 
-    def emit(user: object, rows: list[Event]) -> list[tuple]:
-        days: dict[int, list[Event]] = {}
-        for e in rows:
-            days.setdefault(e.t // DAY, []).append(e)
-        made = history([(d, x) for d, x in days.items() if d <= until], until, params)
-        return [(user, segment_id(user, s.start), s.start, s.end, s.last, sorted(s.cells), s.plmn, s.state, end, d) for s, end, d in made]
+    def event(row: tuple) -> Event:
+        _, t, cell, near, plmn, abroad = row
+        return Event(int(t), cell, frozenset(near) if near is not None else frozenset(), None if pd.isna(plmn) else int(plmn), bool(abroad))
+
+    def emit(user: object, rows: Iterable[tuple]) -> Iterator[tuple]:
+        days = ((d, [event(r) for r in x]) for d, x in groupby(rows, lambda r: int(r[1]) // DAY))
+        for s, end, d in history(takewhile(lambda x: x[0] <= until, days), until, params):
+            yield user, segment_id(user, s.start), s.start, s.end, s.last, sorted(s.cells), s.plmn, s.state, end, d
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in SCHEMA.split(", ")]
         types = {"last_event_s": "Int64", "plmn": "Int64"}
-        user, held, out = None, [], []
-        for part in parts:
-            for u, t, cell, near, plmn, abroad in part.itertuples(index=False):
-                if u != user:
-                    out += emit(user, held) if held else []
-                    user, held = u, []
-                held.append(Event(int(t), cell, frozenset(near) if near is not None else frozenset(), None if pd.isna(plmn) else int(plmn), bool(abroad)))
-            if out:
-                yield pd.DataFrame(out, columns=columns).astype(types)
-                out = []
-        out += emit(user, held) if held else []
-        if out:
+        flat = (r for part in parts for r in part.itertuples(index=False, name=None))
+        made = (x for user, rows in groupby(flat, lambda r: r[0]) for x in emit(user, rows))
+        while out := list(islice(made, 10_000)):
             yield pd.DataFrame(out, columns=columns).astype(types)
 
     return rows.repartition("user_id").sortWithinPartitions("user_id", "t", "cell_id").mapInPandas(fold, SCHEMA)

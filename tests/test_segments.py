@@ -94,6 +94,19 @@ def test_history_covers_each_day_once():
     assert {s.state for s, _, x in rows if x in (2, 3)} == {UNKNOWN}
 
 
+def test_history_reads_no_further_than_the_next_day():
+    read = []
+
+    def days():
+        for d in range(50):
+            read.append(d)
+            yield d, [local(d * DAY + H, "a")]
+
+    made = history(days(), 49, P)
+    assert next(made)[2] == 0 and read == [0, 1]
+    assert max(d for _, _, d in made) == 49
+
+
 def test_unknown_is_dropped_after_a_week():
     rows = list(history([(0, [local(H, "a")])], 20, P))
     assert max(d for _, _, d in rows) == 7
