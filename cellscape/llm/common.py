@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests, a local temporary folder is set.
+    Only where a local session names none, as in tests, a temporary folder is set; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="cellscape-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -40,6 +44,24 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Columns that ``with_row_key`` adds.
+ROW_KEY = ("_row_file", "_row_place")
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """``df`` plus the file and the place in it of every row, so that rows that repeat an id, or have none, stay apart.
+
+    The key is the same however often the frame is read. A frame that doesn't read Parquet files is written first.
+    """
+    key = (F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]), F.col("_metadata.row_index").alias(ROW_KEY[1]))
+    try:
+        keyed = df.select("*", *key)
+        keyed.schema  # noqa: B018  (analysis finds whether there are files)
+        return keyed
+    except AnalysisException:
+        return table(df, "keyed").select("*", *key)
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(column, _UPPER, _LOWER)

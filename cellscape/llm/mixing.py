@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import ROW_KEY, WORD, table, with_row_key
 
 #: Curves by which the default curriculum lets sources fade, stay and grow.
 CURVES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -86,15 +86,18 @@ def targets(sizes: DataFrame, cycle: Sequence[int] = (1, 2, 3), most: int = 3) -
     )
 
 
-def plan(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", digits: int = 3, cycle: Sequence[int] = (1, 2, 3), most: int = 3, curves=CURVES) -> DataFrame:
+def plan(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", digits: int = 3, cycle: Sequence[int] = (1, 2, 3), most: int = 3, curves=CURVES, spread: Sequence[str] = ()) -> DataFrame:
     """``sized`` (with a long column ``mix_size``) plus a struct ``mix``.
 
     mix: source_size, target, taken (words: whole passes, then what the last pass still needs), passes,
-    rest (words of the last, partial pass), start (offset in the source's order) and position (when its
-    first pass is due, 0 to 1; each source's order is by md5 of the id, then id, then size).
-    Null ids and sources are values like any other; empty documents take nothing.
+    rest (words of the last, partial pass), start (offset in the source's order), position and last_position
+    (when its first and its last pass are due, 0 to 1; each source's order is by md5 of the id, then id, then
+    size). Null sources are a source. Rows that repeat an id are each planned. Rows of a null id are ordered by
+    the md5 of the columns ``spread`` (name some, where such rows may be many; else all have one key). Documents
+    without words take nothing and have no position. An empty table gives an empty one; texts aren't read here.
     """
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    other = F.concat_ws(" ", *[F.col(c).cast("string") for c in spread])
+    key = F.md5(F.coalesce(F.col(id_col).cast("string"), other).cast("binary"))
     keyed = sized.withColumn("mix_source", F.col(source_col)).withColumn("mix_key", key).withColumn("mix_bucket", F.substring("mix_key", 1, digits))
     sums = keyed.groupBy("mix_source", "mix_bucket").agg(F.sum("mix_size").alias("words"))
     total = sums.groupBy(F.col("mix_source").alias("source")).agg(F.sum("words").alias("source_size"))
@@ -111,27 +114,50 @@ def plan(sized: DataFrame, id_col: str = "doc_id", source_col: str = "source", d
     start = F.col("mix_known.before") + F.col("mix_within")
     passes = F.when(of > 0, F.floor(quota / of)).otherwise(0).cast("long")
     rest = F.greatest(F.lit(0), F.least(size, quota - passes * of - start)).cast("long")
-    share = F.coalesce(F.try_divide(start.cast("double"), F.col("mix_known.target")), F.lit(0.0))
+    goal_words, kind = F.col("mix_known.target"), (F.col("mix_known.rank") - 1) % len(curves)
+    share = F.coalesce(F.try_divide(start.cast("double"), goal_words), F.lit(0.0))
+    last = F.least(F.coalesce(F.try_divide((start + (passes - F.when(rest > 0, 0).otherwise(1)) * of).cast("double"), goal_words), F.lit(0.0)), F.lit(1.0))
+    taken = passes * size + rest
     mix = F.struct(
         of.alias("source_size"),
         F.col("mix_known.target").alias("target"),
-        (passes * size + rest).alias("taken"),
+        taken.alias("taken"),
         passes.alias("passes"),
         rest.alias("rest"),
         start.alias("start"),
-        F.when(passes * size + rest > 0, due(share, (F.col("mix_known.rank") - 1) % len(curves), curves)).alias("position"),
-        ((F.col("mix_known.rank") - 1) % len(curves)).alias("curve"),
+        F.when(taken > 0, due(share, kind, curves)).alias("position"),
+        F.when(taken > 0, due(last, kind, curves)).alias("last_position"),
+        kind.alias("curve"),
     )
     return rows.withColumn("mix", mix).drop("mix_source", "mix_key", "mix_bucket", "mix_within", "mix_s", "mix_b", "mix_known")
 
 
-def passes_in_order(planned: DataFrame, columns: Sequence[str], curves=CURVES) -> DataFrame:
-    """One row of ``columns`` for each pass over a document, range-sorted by the position it is due at.
+def in_order(planned: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``planned`` range-sorted by the position at which a document is first due; those that the mix leaves out come last."""
+    return planned.orderBy(F.asc_nulls_last("mix.position"), id_col, "mix_size")
+
+
+def passes(planned: DataFrame, columns: Sequence[str], curves=CURVES) -> DataFrame:
+    """``columns``, mix_pass and mix_due: one row for each pass over a document, with the position it is due at.
 
     A last, partial pass keeps documents whole: it takes those of which it needs at least half.
     """
     whole = F.col("mix.passes") + F.when((F.col("mix.rest") * 2 >= F.col("mix_size")) & (F.col("mix_size") > 0), 1).otherwise(0)
     share = F.try_divide((F.col("mix.start") + F.col("mix_pass") * F.col("mix.source_size")).cast("double"), F.col("mix.target"))
-    rows = planned.where(whole > 0).withColumn("mix_pass", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)))
-    rows = rows.withColumn("mix_due", due(F.least(share, F.lit(1.0)), F.col("mix.curve"), curves))
-    return rows.orderBy("mix_due", "mix_pass", *columns[:1]).select(*columns)
+    rows = planned.where((whole > 0) & (F.col("mix.taken") > 0)).withColumn("mix_pass", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)))
+    return rows.select(*columns, "mix_pass", due(F.least(share, F.lit(1.0)), F.col("mix.curve"), curves).alias("mix_due"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row for each pass that the mix takes, range-sorted by the position it is due at.
+
+    The plan is made on ids, sources and sizes alone; texts are moved by the sort, and by no other exchange
+    as long as the plan is small enough for Spark to broadcast it.
+    Rows that repeat an id, or have none, are each planned by themselves; empty texts take no part.
+    """
+    keyed = with_row_key(docs)
+    sized = table(keyed.select(*ROW_KEY, F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"), word_count(F.col(text_col)).alias("mix_size")), "sizes")
+    order = table(passes(plan(sized, "mix_id", "mix_of", spread=ROW_KEY, **options), [*ROW_KEY, "mix_id"]), "order")
+    named = order.withColumnsRenamed({k: f"mix{k}" for k in ROW_KEY})
+    met = keyed.join(named, [F.col(k) == F.col(f"mix{k}") for k in ROW_KEY])
+    return met.orderBy("mix_due", "mix_pass", "mix_id", *ROW_KEY).select(*docs.columns)

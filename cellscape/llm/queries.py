@@ -73,9 +73,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = table(load(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("mix_size")), "sizes")
-    return mixing.plan(sized).select(
-        "doc_id", F.col("mix_size").alias("size"), "mix.source_size", "mix.target", "mix.taken", F.round("mix.position", 9).alias("position")
+    size = mixing.word_count(F.col("text"))
+    sized = table(load(spark, sf_dir, "documents").select("doc_id", "source", size.alias("mix_size"), F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("binary"))).alias("spread")), "sizes")
+    planned = table(mixing.plan(sized, spread=["spread"]), "planned")  # so that ranges are found without planning twice
+    return mixing.in_order(planned).select(
+        "doc_id", F.col("mix_size").alias("size"), "mix.source_size", "mix.target", "mix.taken",
+        F.round("mix.position", 9).alias("position"), F.round("mix.last_position", 9).alias("last_position"),
     )
 
 
@@ -93,25 +96,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
-#: Brute-force containment: every shingle of every document against every item's.
+#: Brute-force containment: every shingle of every document against every item's; short items are one shingle.
 DECONTAMINATION_SQL = r"""
 WITH w AS (
   SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
   UNION ALL
   SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
+), k AS (
+  SELECT 5 AS k UNION SELECT len(w) FROM w WHERE kind = 'b' AND len(w) BETWEEN 1 AND 4
 ), s AS (
-  SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+  SELECT DISTINCT kind, id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w JOIN k ON k <= len(w) WHERE kind = 'd' OR k = least(5, len(w)))
 ), n AS (SELECT id, count(*) AS n FROM s WHERE kind = 'b' GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared, n.n AS item_shingles, count(*) / n.n AS containment
-FROM s d JOIN s b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s JOIN n ON n.id = b.id
+FROM s d JOIN s b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s JOIN n ON n.id IS NOT DISTINCT FROM b.id
 GROUP BY d.id, b.id, n.n HAVING count(*) >= 0.8 * n.n - 1e-9
 """
 
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    md5(coalesce(cast(doc_id AS VARCHAR), '')) AS k
+    md5(coalesce(cast(doc_id AS VARCHAR), md5(text), '')) AS k
   FROM documents
 ), o AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d
@@ -130,13 +135,19 @@ WITH d AS (
   SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS passes FROM p
 ), x AS (
   SELECT *, passes * size + greatest(0, least(size, quota - passes * source_size - start)) AS taken,
-    CASE WHEN target > 0 THEN cast(start AS DOUBLE) / target ELSE 0 END AS share FROM t
+    CASE WHEN target > 0 THEN cast(start AS DOUBLE) / target ELSE 0 END AS share,
+    CASE WHEN target > 0 THEN least(1, cast(start + source_size * (passes - CASE WHEN quota - passes * source_size - start > 0 AND size > 0 THEN 0 ELSE 1 END) AS DOUBLE) / target) ELSE 0 END AS last
+  FROM t
 )
 SELECT doc_id, cast(size AS BIGINT) AS size, source_size, target, cast(taken AS BIGINT) AS taken,
   CASE WHEN taken > 0 THEN round(CASE (rank - 1) % 3
     WHEN 0 THEN 2 * share / (1.5 + sqrt(2.25 - 2 * share))
     WHEN 1 THEN share
-    ELSE 2 * share / (0.5 + sqrt(0.25 + 2 * share)) END, 9) END AS position
+    ELSE 2 * share / (0.5 + sqrt(0.25 + 2 * share)) END, 9) END AS position,
+  CASE WHEN taken > 0 THEN round(CASE (rank - 1) % 3
+    WHEN 0 THEN 2 * last / (1.5 + sqrt(2.25 - 2 * last))
+    WHEN 1 THEN last
+    ELSE 2 * last / (0.5 + sqrt(0.25 + 2 * last)) END, 9) END AS last_position
 FROM x
 """
 

@@ -90,7 +90,7 @@ def test_simhash_links_all_of_a_crowd(spark):
             prints.append(p)
     rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
     df = spark.createDataFrame(rows, "id long, fp long")
-    edges = simhash.links(df.select("fp").distinct())
+    edges = simhash.links(df.select("fp").distinct(), crowd=65)
     from cellscape.llm.graph import connected_components
 
     root = {r["node"]: r["component"] for r in connected_components(edges).collect()}
@@ -107,9 +107,21 @@ def test_nearest_anchor_covers():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 500, dtype=np.uint64)
     flips = np.concatenate([[np.uint64(0)], np.uint64(1) << np.arange(64, dtype=np.uint64)])
-    for a in x:
-        b = a ^ (np.uint64(1) << np.uint64(rng.integers(64))) ^ (np.uint64(1) << np.uint64(rng.integers(64)))
-        assert set(simhash.nearest_anchor(a ^ flips)) & set(simhash.nearest_anchor(b ^ flips))
+    for blocks in simhash.BLOCKS:
+        anchors = simhash.nearest_anchor(x, blocks)
+        assert (simhash.nearest_anchor(anchors, blocks) == anchors).all()  # an anchor is a code word
+        assert max(bin(int(d)).count("1") for d in x ^ anchors) <= blocks
+        for a in x[:100]:
+            b = a ^ (np.uint64(1) << np.uint64(rng.integers(64))) ^ (np.uint64(1) << np.uint64(rng.integers(64)))
+            assert set(simhash.nearest_anchor(a ^ flips, blocks)) & set(simhash.nearest_anchor(b ^ flips, blocks))
+
+
+def test_simhash_keeps_one_row_of_each_component(spark):
+    text = "the same words in every one of these rows"
+    rows = [(None, text), (4, text), (4, text), (2, text), (2, "another text that nobody else has at all"), (None, None), (7, "")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got if r["kept"]) == [(2, 2), (2, 2), (7, 7)]
+    assert len(got) == len(rows)
 
 
 def test_simhash_odd_rows(spark, odd):
@@ -186,11 +198,29 @@ def test_decontamination_partial_and_odd(spark, odd):
     df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
     bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (None, item), (4, "")], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"], r["shared"]) for r in decontaminate.contained(df, bench).collect()}
-    assert got == {(10, 1, 55), (12, 1, 56)}
+    assert got == {(d, i, n) for d, n in ((10, 55), (12, 56), (None, 56)) for i in (1, None)}
     assert decontaminate.contained(df, bench.limit(0)).count() == 0
     assert decontaminate.contained(df.limit(0), bench).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    docs = [(1, "he said three short words here"), (2, "three short"), (3, "Three, short. WORDS!"), (4, "words short three"), (5, "x one y"), (None, "three short words")]
+    bench = [(1, "three short words"), (2, "one"), (3, ""), (4, "a b c d e"), (5, "short words")]
+    got = decontaminate.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"], r["shared"], r["item_shingles"]) for r in got.collect()} == {(d, i, 1, 1) for d in (1, 3, None) for i in (1, 5)} | {(5, 2, 1, 1)}
+
+
+def test_decontamination_frames_make_no_candidates(spark):
+    frame = " ".join(f"frame{i}" for i in range(12))
+    bench = [(i, f"{frame} " + " ".join(f"own{i}x{k}" for k in range(20))) for i in range(300)]
+    items = decontaminate.item_shingles(spark.createDataFrame(bench, "item_id long, text string"), "item_id", "text")
+    signs = decontaminate.signatures(items.select("item", "h")).where("signs").groupBy("h").count()
+    assert signs.agg({"count": "max"}).first()[0] == 1  # no shared shingle signs for anyone
+    docs = spark.createDataFrame([(k, f"before {frame} after {k}") for k in range(50)] + [(99, bench[7][1])], "doc_id long, text string")
+    found = decontaminate.contained(docs, spark.createDataFrame(bench, "item_id long, text string"))
+    assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(99, 7)]
+
+
 def test_language_held_out_accuracy(spark, docs):
     rows = queries.op5_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text"), "doc_id").where("held_out").collect()
     assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.97 * len(rows)
@@ -357,10 +387,18 @@ def test_mixing(spark, docs, odd):
 
 def test_curriculum_order(spark, docs):
     sized = docs.withColumn("mix_size", mixing.word_count(docs["text"]))
-    out = mixing.passes_in_order(mixing.plan(sized), docs.columns).collect()
     plan = {r["doc_id"]: r for r in mixing.plan(sized).collect()}
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
     taken = sum(r["mix"]["taken"] for r in plan.values())
-    assert abs(sum(plan[r["doc_id"]]["mix_size"] for r in out) - taken) < 0.1 * taken
+    assert abs(sum(plan[r["doc_id"]]["mix_size"] for r in rows) - taken) < 0.1 * taken
+    due = [r["mix_due"] for r in mixing.passes(mixing.plan(sized), ["doc_id"]).orderBy("mix_due", "mix_pass", "doc_id").collect()]
+    assert due == sorted(due) and 0 <= due[0] and due[-1] <= 1
+    want = [r["doc_id"] for r in mixing.passes(mixing.plan(sized), ["doc_id"]).orderBy("mix_due", "mix_pass", "doc_id").collect()]
+    assert [r["doc_id"] for r in rows] == want
+    firsts = [r["position"] for r in queries.op9_mixing(spark, SF).collect()]
+    assert [x for x in firsts if x is not None] == sorted(x for x in firsts if x is not None)
     for x in (0.1, 0.5, 0.9):  # inverting the integral of each curve
         for k, curve in enumerate(mixing.CURVES):
             t = spark.range(1).select(mixing.due(mixing.F.lit(x), mixing.F.lit(k))).first()[0]
@@ -368,6 +406,13 @@ def test_curriculum_order(spark, docs):
             assert w0 * t + (w1 - w0) * t * t / 2 == pytest.approx(x)
 
 
+def test_mixing_null_ids_spread(spark):
+    rows = [(None, "a", f"words {i} and more") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("mix_size", mixing.word_count(mixing.F.col("text")))
+    assert len({r["mix"]["start"] for r in mixing.plan(df, spread=["text"]).collect()}) == 200
+    assert mixing.mixed(df.drop("mix_size")).count() == 200
+
+
 def test_token_store_round_trip(spark, docs, texts, odd):
     import public_tokenizers
     from tokenizers import Tokenizer

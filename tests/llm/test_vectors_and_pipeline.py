@@ -124,14 +124,65 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, sf).count() == rows[4]
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def stages(spark, rows, sf="/root/testdata/sf0.001"):
+    """The written result of every stage but the last."""
+    import corpus_pipeline
+    from cellscape.llm.common import table
+
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = table(stage(spark, docs, sf), name)
+        yield name, docs
+
+
 def test_pipeline_odd_rows(spark):
+    odd = [(1, None, None, None, None), (None, "the word and more words are here", "en", None, 1), (2, "", "en", "a", 0), (3, "the word", "en", "a", 1), (3, "the word", "en", "a", 1)]
+    for rows in ([], odd):
+        *_, (_, docs) = stages(spark, rows)
+        assert docs.count() <= 3 * len(rows)
+
+
+def test_pipeline_stages_match_brute_force_by_rows(spark):
+    """Repeated and null ids lose no text of their own and keep no copy; leaks of rows without an id go."""
+    import re
+
     import corpus_pipeline
+    from cellscape.llm import simhash
     from cellscape.llm.common import table
 
     sf = "/root/testdata/sf0.001"
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    for rows in ([], [(1, None, None, None, None), (None, "the word and more words are here", "en", None, 1), (2, "", "en", "a", 0), (3, "the word", "en", "a", 1), (3, "the word", "en", "a", 1)]):
-        docs = spark.createDataFrame(rows, schema)
-        for name, stage in corpus_pipeline.STAGES:
-            docs = table(stage(spark, docs, sf), name)
-        assert docs.count() <= 3 * len(rows)
+    given = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    rows = [tuple(r) for r in given]
+    for r in rows[:20]:
+        rows += [(r[0], *r[1:]), (None, *r[1:])]  # the same row again, and without its id
+    for i, item in enumerate(items[:10]):
+        rows.append((None if i % 2 else 5, f"{rows[i][1]} {item}", "en", "z", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = [tuple(r) for r in table(corpus_pipeline.near_duplicates(spark, docs, sf), "kept").collect()]
+    prints = {t: simhash.fingerprint(t) for t in {r[1] for r in rows}}
+    group = dict(zip(sorted(set(prints.values())), range(len(rows))))
+    changed = True
+    while changed:
+        changed = False
+        for a in group:
+            for b in group:
+                if bin(a ^ b).count("1") <= 2 and group[b] < group[a]:
+                    group[a], changed = group[b], True
+    first = {}
+    for r in rows:
+        g = group[prints[r[1]]]
+        first[g] = min(first.get(g, (True, 0)), (r[0] is None, r[0] or 0))
+    assert sorted((group[prints[r[1]]], (r[0] is None, r[0] or 0)) for r in kept) == sorted(first.items())
+
+    def shingles(t):
+        w = re.findall(r"[^\W_]+", (t or "").lower())
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    known = [shingles(t) for t in items]
+    clean = [tuple(r) for r in table(corpus_pipeline.decontamination(spark, docs, sf), "clean").collect()]
+    want = [r for r in rows if not any(len(s & shingles(r[1])) >= 0.8 * len(s) for s in known)]
+    assert sorted(clean, key=str) == sorted(want, key=str) and len(want) < len(rows)
