@@ -11,35 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import decontaminate, lang_zstd, mixing, simhash, token_store
-from cellscape.llm.common import crc_bucket, table
+from cellscape.llm.common import ROW_KEY, crc_bucket, table, with_row_key
 
 #: SQL can't express compression by zstandard dictionaries or byte-level BPE; tests use brute force.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told by a margin; those that language ID rejects go."""
+    """Documents whose language is told by a margin; those that language ID rejects go, null and letterless texts too."""
     content = lang_zstd.train(docs.where(crc_bucket(F.col("doc_id"), 3) != 1))
     return lang_zstd.classify(docs, content, into="_language").where("not _language.rejected").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least id) of each group of linked SimHash fingerprints."""
-    gone = table(simhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document of each group of linked SimHash fingerprints: the least id, nulls last, then the first row.
+
+    Rows are told apart by their place in the files, so of rows that repeat an id, or have none, just those go that
+    link to the one that stays. Null and wordless texts are one group. Columns stay as they are.
+    """
+    keyed = with_row_key(docs)
+    gone = table(simhash.near_duplicates(keyed, carry=ROW_KEY).where("not kept").select(*[F.col(k).alias(f"gone{k}") for k in ROW_KEY]), "copies")
+    return keyed.join(gone, [F.col(k) == F.col(f"gone{k}") for k in ROW_KEY], "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    found = decontaminate.contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = table(found.select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    """Documents that contain no benchmark item, each row judged by its own text; null and empty texts stay."""
+    keyed = with_row_key(docs)
+    found = decontaminate.contained(keyed.select(F.struct(*ROW_KEY).alias("row"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_col="row")
+    leaks = table(found.select(*[F.col("row")[k].alias(f"leak{k}") for k in ROW_KEY]).distinct(), "leaks")
+    return keyed.join(leaks, [F.col(k) == F.col(f"leak{k}") for k in ROW_KEY], "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each pass over a document that the mix takes, in the order of training."""
-    planned = mixing.plan(docs.withColumn("mix_size", mixing.word_count(F.col("text"))))
-    return mixing.passes_in_order(planned, docs.columns)
+    """One row for each pass over a document that the mix takes, in the order of training; each row is planned by itself."""
+    return mixing.mixed(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
