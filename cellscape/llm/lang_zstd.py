@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import small_batches, table
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _RESULT = T.StructType(
     [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 )
@@ -23,19 +23,15 @@ _RESULT = T.StructType(
 
 @dataclass(frozen=True)
 class Params:
-    """``rows_per_lang`` labelled rows at most train each language (those of least hash, up to ``piece`` bytes of each);
-    texts of up to ``short`` letters' bytes are measured with ``shards`` small dictionaries, longer ones with one large,
-    in equal spans of up to ``span`` bytes: a dictionary saves a bounded part of what it begins, so the margin of a
-    whole text would fall with its length."""
-
-    rows_per_lang: int = 128
-    piece: int = 8192
-    dictionary: int = 256 * 1024
-    level: int = 6
-    short: int = 512
-    span: int = 32 * 1024
-    shards: int = 4
-    shard_level: int = 12
+    """``rows_per_lang`` labelled rows at most train each language, by ``piece`` characters at a place of each that its hash
+    chooses; a language's dictionary is so ``rows_per_lang * piece`` characters at most. Texts of all sizes are measured
+    alike, in equal spans of up to ``span`` bytes, each against the fresh dictionary: a dictionary saves a bounded part of
+    what it begins, so the margin of a long text measured in one would fall with its length."""
+
+    rows_per_lang: int = 64
+    piece: int = 1024
+    span: int = 4096
+    level: int = 12
     min_margin: float = 0.01
     max_langs: int = 500
 
@@ -49,53 +45,44 @@ def normalise(text: str | None) -> bytes:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", params: Params = Params()) -> dict[str, bytes]:
     """Raw dictionary content by language, from a bounded sample of the rows with a non-null language.
 
-    Hash buckets give the sample without ordering any language's rows: the least hash of each of
-    ``rows_per_lang`` buckets. Only ids and languages are read for that; texts only of the chosen rows.
+    Hash buckets give the sample without ordering any language's rows: of each of ``rows_per_lang`` buckets the row of
+    least hash (of id and text, so that rows that repeat an id differ; equal rows are one). Only hashes are compared
+    for that; pieces are cut from the chosen rows alone, so what the driver gets is bounded by ``Params``.
     """
-    h = F.xxhash64(F.col(id_col))
-    known = labelled.where(F.col(lang_col).isNotNull())
-    least = (
-        known.groupBy(F.col(lang_col).alias("l"), F.pmod(h, F.lit(params.rows_per_lang)).alias("b")).agg(F.min(h).alias("h")).limit(params.max_langs * params.rows_per_lang + 1).collect()
-    )
-    if len({r["l"] for r in least}) > params.max_langs:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    known = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("l"), text.alias("t"), F.xxhash64(F.col(id_col), text).alias("h"))
+    least = table(known.groupBy("l", F.pmod("h", F.lit(params.rows_per_lang)).alias("b")).agg(F.min("h").alias("h")), "least")
+    if least.select("l").distinct().count() > params.max_langs:
         raise ValueError(f"more than {params.max_langs} languages")
-    chosen = {(r["l"], r["h"]) for r in least}
-    rows = (
-        known.where(h.isin([x for _, x in chosen])).select(F.col(lang_col).alias("l"), h.alias("h"), F.substring(text_col, 1, params.piece).alias("t")).distinct().collect()
-        if chosen
-        else []
-    )
-    content: dict[str, bytes] = {l: b"" for l, _ in chosen}
-    for r in sorted(rows, key=lambda r: (r["h"], r["t"] or "")):
-        if (r["l"], r["h"]) in chosen:
-            content[r["l"]] += normalise(r["t"])[: params.piece]
-    return {l: c[: params.dictionary] for l, c in content.items() if len(c) >= 8}
+    spare = F.greatest(F.length("t") - params.piece, F.lit(0)) + 1
+    piece = F.substring("t", (F.pmod("h", spare) + 1).cast("int"), F.lit(params.piece))
+    chosen = F.broadcast(least.select(F.col("l").alias("x"), F.col("h").alias("y")))  # max_langs * rows_per_lang rows at most
+    rows = known.join(chosen, (F.col("l") == F.col("x")) & (F.col("h") == F.col("y")), "left_semi").select("l", "h", piece.alias("p"))
+    content: dict[str, bytes] = {}
+    for r in sorted(rows.groupBy("l", "h").agg(F.min("p").alias("p")).collect(), key=lambda r: (r["l"], r["h"])):
+        content[r["l"]] = content.get(r["l"], b"") + normalise(r["p"])
+    return {l: c for l, c in content.items() if len(c) >= 8}
 
 
 class Classifier:
-    """Compressed sizes of a text under each language's dictionaries."""
+    """Compressed sizes of a text under each language's dictionary."""
 
     def __init__(self, content: dict[str, bytes], params: Params):
-        def tool(raw: bytes, level: int) -> zstandard.ZstdCompressor:
+        def tool(raw: bytes) -> zstandard.ZstdCompressor:
             made = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            made.precompute_compress(level=level)
-            return zstandard.ZstdCompressor(level=level, dict_data=made, write_checksum=False, write_content_size=False, write_dict_id=False)
+            made.precompute_compress(level=params.level)
+            return zstandard.ZstdCompressor(level=params.level, dict_data=made, write_checksum=False, write_content_size=False, write_dict_id=False)
 
-        self.params, self.long, self.short = params, {}, {}
-        for lang, raw in sorted(content.items()):
-            step = max(8, len(raw) // params.shards)
-            self.long[lang] = [tool(raw, params.level)]
-            self.short[lang] = [tool(raw[i * step : (i + 1) * step], params.shard_level) for i in range(params.shards) if len(raw[i * step : (i + 1) * step]) >= 8]
+        self.params, self.tools = params, {lang: tool(raw) for lang, raw in sorted(content.items())}
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """(language, margin as a share of the second smallest size, rejected)."""
         data = normalise(text)
-        if not data or not self.long:
+        if not data or not self.tools:
             return UNKNOWN, 0.0, True
-        tools = self.short if len(data) <= self.params.short else self.long
         step = -(-len(data) // -(-len(data) // self.params.span))
         spans = [data[i : i + step] for i in range(0, len(data), step)]
-        sizes = sorted((sum(len(t.compress(x)) for t in ts for x in spans), lang) for lang, ts in tools.items())
+        sizes = sorted((sum(len(t.compress(x)) for x in spans), lang) for lang, t in self.tools.items())
         margin = 1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
         return sizes[0][1], margin, margin < self.params.min_margin
 
@@ -103,8 +90,9 @@ class Classifier:
 def classify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text", into: str = "language", params: Params = Params()) -> DataFrame:
     """``docs`` with a struct column ``into`` (lang_pred, score, rejected); all else stays as it is.
 
-    A null text or one without a letter is ``und`` with score 0 and rejected; so is all where no
-    language was learned. Ties go to the first language by code point and are rejected.
+    A null text or one without a letter (Unicode category L) is ``und`` with score 0 and rejected; so is
+    all where no language was learned. Ties go to the first language by code point and are rejected. Each row
+    is judged by its own text, whole, however long; rows that repeat an id, or have none, are rows like any other.
     """
     small_batches(docs.sparkSession)
 

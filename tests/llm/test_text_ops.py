@@ -233,10 +233,21 @@ def test_language_odd_rows(spark, docs, odd):
     got = {(r["doc_id"], r["language"]["lang_pred"]) for r in lang_zstd.classify(odd, content).collect()}
     assert {(1, "und"), (2, "und"), (6, "und")} <= got
     assert lang_zstd.train(docs.limit(0)) == {}
+    tool = lang_zstd.Classifier(content, lang_zstd.Params())
+    assert [tool(t)[0] for t in ("½ ² Ⅷ ①", "_ 12 \u0301", " ")] == ["und"] * 3 and tool("the words of a text")[0] != "und"
     assert {r["language"]["lang_pred"] for r in lang_zstd.classify(odd, {}).collect()} == {"und"}
     assert lang_zstd.classify(odd.limit(0), content).count() == 0
 
 
+def test_language_sample_is_bounded(spark):
+    """Repeated ids, null ids and equal rows hand the driver no more than the bound; pieces come from anywhere in a text."""
+    rows = [(7, f"wort{i} und noch mehr", "de") for i in range(300)] + [(None, "same words again", "en")] * 300 + [(8, "x" * 5000 + " tail", "en")]
+    params = lang_zstd.Params(rows_per_lang=8, piece=40)
+    content = lang_zstd.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), params=params)
+    assert set(content) == {"de", "en"} and all(len(c) <= 8 * 41 for c in content.values())
+    assert content["en"].count(b"same words again") == 1 and content["de"].count(b"wort") == 8
+
+
 def slow_class_counts(rows, held):
     split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     counts = Counter(w for i, t in rows if not held(i) for w in [*split(t), "\n"])
