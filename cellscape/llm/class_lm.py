@@ -1,12 +1,15 @@
 """Class-based n-gram scoring: words get classes by exchange clustering, texts are scored by class bigrams.
 
 P(word | before) = P(class of word | class of word before) * P(word | its class), both smoothed.
-Counts of words and of class-symbol pairs cover the whole training corpus. The ``head`` most frequent
-words are clustered: each moves in turn to the class that raises the corpus likelihood most, on their
-table of pair counts, whose size the parameters bound. Every other word's class follows from its shape
-(length and closing punctuation), so words never seen have one too. Counts of all words are joined to
-the texts: those of the ``known`` most frequent go to every task, the rest by shuffle, where no key
-is frequent.
+Counts of words and of pairs of neighbours cover the whole training corpus. All words of at least ``least``
+occurrences are clustered (up to the ``known`` most frequent, which every scoring task holds), so their
+number grows with the corpus. Pairs of neighbours are a table; each sweep of the exchange deals the words
+over tasks with their neighbours' counts. A task has the grid of class pairs, takes one of its words after the
+other out of its class and puts it where the likelihood of the class pairs is greatest; then the grid is
+counted anew from all tasks' moves. A sweep that doesn't raise the likelihood ends the exchange.
+A rarer word's class follows from its shape (length and closing punctuation), so words never seen have one
+too. Counts of all words are joined to the texts: those of the ``known`` most frequent go to every task, the
+rest by shuffle, where no key is frequent.
 """
 
 from __future__ import annotations
@@ -32,21 +35,23 @@ SHAPES = 2 * (_LENGTHS + 1)
 
 @dataclass(frozen=True)
 class Params:
-    head: int = 400
-    classes: int = 48
+    least: int = 5
+    classes: int = 64
     sweeps: int = 4
     known: int = 150_000
+    block: int = 4096
+    lead: int = 1024
     alpha: float = 0.5
 
 
 @dataclass(frozen=True)
 class Model:
-    """``counts`` has (word, c) of every training word; ``known`` the most frequent, ``symbol`` of the head words."""
+    """``counts`` has (word, c) of every training word; ``known`` the most frequent, ``classes`` those of the clustered words."""
 
     counts: DataFrame
     known: dict[str, int]
-    symbol: dict[str, int]
-    class_of: np.ndarray
+    classes: dict[str, int]
+    shapes: int
     transition: np.ndarray
     emission: np.ndarray
     tokens: int
@@ -63,12 +68,12 @@ def shape_column(word: Column) -> Column:
     return 2 * F.least(F.lit(_LENGTHS), F.octet_length(word)) + F.substring(word, -1, 1).isin(*_CLOSING).cast("int")
 
 
-class Symbols(dict):
-    """Symbol of a word: the end is 0, head words follow, then the shapes."""
+class Numbers(dict):
+    """The given numbers of words; any other word's is ``first`` plus that of its shape."""
 
-    def __init__(self, symbol: dict[str, int]):
-        super().__init__({w.encode(): s for w, s in symbol.items()})
-        self.first, self.base = len(symbol) + 1, len(self)
+    def __init__(self, number: dict[str, int], first: int):
+        super().__init__({w.encode(): n for w, n in number.items()})
+        self.first, self.base = first, len(self)
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.base + 300_000:
@@ -82,76 +87,150 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def pair_counts(texts: DataFrame, symbol: dict[str, int]) -> DataFrame:
-    """(pair, n): how often symbol pair // size is followed by pair % size; each text begins after an end."""
-    size = len(symbol) + 1 + SHAPES
+def pair_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000_000) -> DataFrame:
+    """(a, b, n): how often symbol a is followed by b. The end is 0, clustered words follow, then the shapes; each text
+    begins after an end. A task counts ``room`` pairs or so at a time before it hands them on.
+    """
+    first = len(symbol) + 1
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, total = Symbols(symbol), np.zeros(size * size, np.int64)
+        of, held, size = Numbers(symbol, first), [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            pair, n = np.unique(np.concatenate(held), return_counts=True)
+            for i in range(0, len(pair), 100_000):
+                x = pair[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array((x >> 32).astype(np.int32)), pa.array((x & 0xFFFFFFFF).astype(np.int32)), pa.array(n[i : i + 100_000])], names=["a", "b", "n"])
+
         for part in parts:
             ids: list[int] = [0]
             for text in part.column(0).to_pylist():
                 ids.extend(map(of.__getitem__, _words(text)))
                 ids.append(0)
             x = np.array(ids, np.int64)
-            total += np.bincount(x[:-1] * size + x[1:], minlength=size * size)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(total[at[i : i + 100_000]])], names=["pair", "n"])
+            held.append(x[:-1] << 32 | x[1:])
+            size += len(x)
+            if size > room:
+                yield from out()
+                held, size = [], 0
+        if held:
+            yield from out()
 
-    return texts.mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(counted, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(pairs: np.ndarray, classes: int, head: int, sweeps: int) -> np.ndarray:
-    """Class of every symbol: end 0, head words 1..classes by exchange, each shape its own.
+def likelihood(grid: np.ndarray) -> float:
+    """What the log likelihood of the classes adds to that of the words."""
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(1)).sum() - _xlogx(grid.sum(0)).sum())
+
+
+def class_grid(pairs: DataFrame, of: np.ndarray, groups: int) -> np.ndarray:
+    """Counts of class pairs, by task and then over all; at most groups squared reach the driver."""
+
+    def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(groups * groups, np.int64)
+        for part in parts:
+            a, b, n = (c.to_numpy() for c in part.columns)
+            total += np.bincount(of[a].astype(np.int64) * groups + of[b], weights=n, minlength=groups * groups).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    grid = np.zeros(groups * groups)
+    for r in pairs.select("a", "b", "n").mapInArrow(summed, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        grid[r["at"]] = r["n"]
+    return grid.reshape(groups, groups)
+
+
+class Exchange:
+    """One task's view of the classes, moved word by word."""
+
+    def __init__(self, of: np.ndarray, grid: np.ndarray, classes: int):
+        self.of, self.grid = of.copy(), grid.copy()
+        self.left, self.right = self.grid.sum(1), self.grid.sum(0)
+        self.own = slice(1, classes + 1)
+
+    def put(self, c: int, row: np.ndarray, col: np.ndarray, loop: float, sign: int) -> None:
+        self.grid[c] += sign * row
+        self.grid[:, c] += sign * col
+        self.grid[c, c] += sign * loop
+        self.left[c] += sign * (row.sum() + loop)
+        self.right[c] += sign * (col.sum() + loop)
+
+    def move(self, w: int, after: np.ndarray, after_n: np.ndarray, before: np.ndarray, before_n: np.ndarray) -> int:
+        """The class where word ``w`` raises the likelihood most, given the words after and before it with their counts."""
+        a, groups = int(self.of[w]), len(self.grid)
+        loop = float(after_n[after == w].sum())
+        row = np.bincount(self.of[after], weights=after_n, minlength=groups)
+        col = np.bincount(self.of[before], weights=before_n, minlength=groups)
+        row[a] -= loop
+        col[a] -= loop
+        self.put(a, row, col, loop, -1)
+        own, grid = self.own, self.grid
+        r, c = np.flatnonzero(row), np.flatnonzero(col)
+        sub, back = grid[own][:, r], grid[:, own][c].T
+        gain = (_xlogx(sub + row[r]) - _xlogx(sub)).sum(1) + (_xlogx(back + col[c]) - _xlogx(back)).sum(1)
+        here = np.diagonal(grid)[own]  # the cell of a class with itself gets all three parts at once
+        gain += _xlogx(here + row[own] + col[own] + loop) - _xlogx(here + row[own]) - _xlogx(here + col[own]) + _xlogx(here)
+        left, right, outs, ins = self.left[own], self.right[own], row.sum() + loop, col.sum() + loop
+        gain -= _xlogx(left + outs) - _xlogx(left) + _xlogx(right + ins) - _xlogx(right)
+        best = 1 + int(np.argmax(gain))
+        if gain[best - 1] <= gain[a - 1] + 1e-9:
+            best = a
+        self.put(best, row, col, loop, 1)
+        self.of[w] = best
+        return best
+
+
+def sweep(neighbours: DataFrame, of: np.ndarray, grid: np.ndarray, classes: int) -> np.ndarray:
+    """``of`` after every task has moved its words, one row (w, around) each."""
+
+    def moved(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        view = Exchange(of, grid, classes)
+        for part in parts:
+            words, around, out = part.column(0).to_numpy(), part.column(1), []
+            at, found = around.offsets.to_numpy(), around.values
+            after, other, n = (found.field(k).to_numpy(zero_copy_only=False) for k in ("after", "other", "n"))
+            for w, i, j in zip(words, at, at[1:]):
+                o, k, s = other[i:j], n[i:j], after[i:j]
+                out.append(view.move(int(w), o[s], k[s], o[~s], k[~s]))
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(out, pa.int32())], names=["w", "c"])
+
+    new = of.copy()
+    for r in neighbours.mapInArrow(moved, "w int, c int").collect():  # one small row for each clustered word
+        new[r["w"]] = r["c"]
+    return new
+
 
-    Head words start dealt out by frequency rank. Each in turn is taken out of its class and put where the
-    likelihood of the class pairs is greatest; sweeps end early when none moves.
+def exchange(pairs: DataFrame, words: int, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(class of every symbol, grid of class pairs): end 0, words by exchange 1..classes, each shape its own.
+
+    The most frequent words start with a class each, all others share the last one, so no two classes begin alike. The ``lead`` most frequent are moved by one task first, so that all tasks
+    start from the same kinds of classes instead of each its own.
     """
-    size, groups = len(pairs), classes + 1 + SHAPES
-    of = np.zeros(size, np.int64)
-    of[1 : head + 1] = np.arange(head) % classes + 1
-    of[head + 1 :] = classes + 1 + np.arange(SHAPES)
-    grid = np.zeros((groups, groups))
-    np.add.at(grid, (of[:, None], of[None, :]), pairs)
-    outs, ins = pairs.sum(1).astype(float), pairs.sum(0).astype(float)
-    left, right = grid.sum(1), grid.sum(0)
-    own = np.arange(1, classes + 1)
-    for _ in range(sweeps if head else 0):
-        moved = 0
-        for w in range(1, head + 1):
-            a, loop = of[w], float(pairs[w, w])
-            row = np.bincount(of, weights=pairs[w], minlength=groups)
-            col = np.bincount(of, weights=pairs[:, w], minlength=groups)
-            row[a] -= loop
-            col[a] -= loop
-
-            def put(c: int, sign: int) -> None:
-                grid[c] += sign * row  # noqa: B023
-                grid[:, c] += sign * col  # noqa: B023
-                grid[c, c] += sign * loop  # noqa: B023
-                left[c] += sign * outs[w]  # noqa: B023
-                right[c] += sign * ins[w]  # noqa: B023
-
-            put(a, -1)
-            sub, back = grid[own], grid[:, own].T
-            gain = (_xlogx(sub + row) - _xlogx(sub)).sum(1) + (_xlogx(back + col) - _xlogx(back)).sum(1)
-            here = grid[own, own]
-            gain += _xlogx(here + row[own] + col[own] + loop) - _xlogx(here + row[own]) - _xlogx(here + col[own]) + _xlogx(here)
-            gain -= _xlogx(left[own] + outs[w]) - _xlogx(left[own]) + _xlogx(right[own] + ins[w]) - _xlogx(right[own])
-            best = int(own[np.argmax(gain)])
-            if gain[best - 1] <= gain[a - 1] + 1e-9:
-                best = int(a)
-            of[w] = best
-            moved += best != a
-            put(best, 1)
-        if not moved:
+    groups = params.classes + 1 + SHAPES
+    of = np.concatenate([[0], np.minimum(np.arange(words), params.classes - 1) + 1, params.classes + 1 + np.arange(SHAPES)]).astype(np.int32)
+    grid = class_grid(pairs, of, groups)
+    if not words:
+        return of, grid
+    is_word = lambda c: F.col(c).between(1, words)
+    both = pairs.where(is_word("a")).select(F.col("a").alias("w"), F.col("b").alias("other"), "n", F.lit(True).alias("after")).unionByName(
+        pairs.where(is_word("b")).select(F.col("b").alias("w"), F.col("a").alias("other"), "n", F.lit(False).alias("after"))
+    )
+    # a word's list is bounded by the vocabulary, and splits of the written table never part it
+    lists = both.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("after", "other", "n"))).alias("around"))
+    neighbours = table(lists.repartition(-(-words // params.block), "w").sortWithinPartitions("w"), "neighbours")
+    lead = table(neighbours.where(F.col("w") <= params.lead).coalesce(1).sortWithinPartitions("w"), "lead").coalesce(1)
+    for k in range(2 + params.sweeps):
+        new = sweep(lead if k < 2 else neighbours, of, grid, params.classes)
+        after = class_grid(pairs, new, groups)
+        if likelihood(after) <= likelihood(grid) and k >= 2:
             break
-    return of
+        of, grid = new, after
+    return of, grid
 
 
 def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
@@ -178,49 +257,46 @@ def train(texts: DataFrame, text_col: str = "text", params: Params = Params()) -
     words = rows.select(F.explode(F.split(ascii_lower(F.col("t")), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
     counts = table(words.groupBy("word").agg(F.count("*").alias("c")), "counts")
     top = most_frequent(counts, params.known)
-    symbol = {w: i + 1 for i, (w, _) in enumerate(top[: params.head])}
-    size, head = len(symbol) + 1 + SHAPES, len(symbol)
-    pairs = np.zeros(size * size, np.int64)
-    for r in pair_counts(rows, symbol).collect():  # at most size squared
-        pairs[r["pair"]] = r["n"]
-    pairs = pairs.reshape(size, size)
-    ends = int(pairs[:, 0].sum())
+    clustered = [(w, c) for w, c in top if c >= params.least]
+    symbol = {w: i + 1 for i, (w, _) in enumerate(clustered)}
+    pairs = table(pair_counts(rows, symbol), "pairs")
+    class_of, grid = exchange(pairs, len(clustered), params)
     shapes = counts.groupBy(shape_column(F.col("word")).alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
-    class_of = exchange(pairs, params.classes, head, params.sweeps)
-    groups = params.classes + 1 + SHAPES
+    ends, first, groups = int(grid[:, 0].sum()), params.classes + 1, len(grid)
     n, v = np.zeros(groups), np.zeros(groups)
     n[0], v[0] = ends, 1
     for r in shapes:
-        n[params.classes + 1 + r["s"]], v[params.classes + 1 + r["s"]] = r["n"], r["v"]
-    for i, (w, c) in enumerate(top[:head]):
-        of = params.classes + 1 + shape(w.encode())
+        n[first + r["s"]], v[first + r["s"]] = r["n"], r["v"]
+    for i, (w, c) in enumerate(clustered):
+        of = first + shape(w.encode())
         n[of], v[of] = n[of] - c, v[of] - 1
         n[class_of[i + 1]] += c
         v[class_of[i + 1]] += 1
-    grid = np.zeros((groups, groups))
-    np.add.at(grid, (class_of[:, None], class_of[None, :]), pairs)
     transition = np.log10((grid + params.alpha) / (grid.sum(1, keepdims=True) + params.alpha * groups))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    return Model(counts, dict(top), symbol, class_of, transition, -np.log10(n + v + 1), int(total[0]) + ends, int(total[1]) + (ends > 0), ends)
+    classes = {w: int(class_of[i + 1]) for i, (w, _) in enumerate(clustered)}
+    return Model(counts, dict(top), classes, first, transition, -np.log10(n + v + 1), int(total[0]) + ends, int(total[1]) + (ends > 0), ends)
 
 
 def score(texts: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, base_score, score): one row for each row of ``texts``.
 
     ``score`` is the model's log10 probability of the text with its end; ``base_score`` that of an
-    add-one unigram. Null texts count as empty; rows that repeat an id are each scored.
+    add-one unigram. Null texts count as empty, texts of any length are scored whole in one row's memory; rows
+    that repeat an id, or have none, are each scored. Words of equal counts are ranked by code point, so ties
+    change nothing between runs. Columns other than the two named aren't read.
     """
     small_batches(texts.sparkSession)
-    symbol, known, class_of, transition, emission = model.symbol, model.known, model.class_of, model.transition, model.emission
+    classes, first, known, transition, emission = model.classes, model.shapes, model.known, model.transition, model.emission
     names = ["row", "id", "word", "n", "k", "chain", "logs"]
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, logs = Symbols(symbol), {w.encode(): math.log10(c + 1) for w, c in known.items()}
+        of, logs = Numbers(classes, first), {w.encode(): math.log10(c + 1) for w, c in known.items()}
         for part in parts:
             out: list[tuple] = []
             for row, doc, text in zip(*(c.to_pylist() for c in part.columns)):
                 words = _words(text)
-                c = class_of[np.array([0, *map(of.__getitem__, words), 0], np.int64)]
+                c = np.array([0, *map(of.__getitem__, words), 0], np.int64)
                 found = [logs.get(w) for w in words]
                 rest = [w for w, x in zip(words, found) if x is None]
                 chain = float(transition[c[:-1], c[1:]].sum() + emission[c[1:]].sum())

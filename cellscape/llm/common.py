@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,3 +89,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows and bytes that go to a Python worker at once; whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def runs(parts: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Frames of sorted rows that never split a key between two of them."""
+    held: pd.DataFrame | None = None
+    for part in parts:
+        part = part if held is None else pd.concat([held, part], ignore_index=True)
+        cut = int(part[key].searchsorted(part[key].iloc[-1])) if len(part) else 0
+        if cut:
+            yield part.iloc[:cut].reset_index(drop=True)
+        held = part.iloc[cut:]
+    if held is not None and len(held):
+        yield held.reset_index(drop=True)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, small_batches, table
+from .common import hashed_sample, runs, small_batches, table
 from .graph import connected_components
 
 EDGE = "a long, b long, sim double, tie boolean"
@@ -72,19 +72,6 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
 
 
-def _runs(parts: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Frames of sorted rows that never split a key between two of them."""
-    held: pd.DataFrame | None = None
-    for part in parts:
-        part = part if held is None else pd.concat([held, part], ignore_index=True)
-        cut = int(part[key].searchsorted(part[key].iloc[-1])) if len(part) else 0
-        if cut:
-            yield part.iloc[:cut].reset_index(drop=True)
-        held = part.iloc[cut:]
-    if held is not None and len(held):
-        yield held.reset_index(drop=True)
-
-
 def _masked_pairs(x: np.ndarray, c: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, cosine) of rows of different ``c`` in their order: the next ``following``, and among the next ``window`` or
     more those from the floor on; of these the ``top`` nearest and the last over the threshold, where there are more."""
@@ -173,7 +160,7 @@ def refined(lists: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
     """Edges between nodes of different ``c`` that share a neighbour, where the cosine reaches the floor, and their ties."""
 
     def joined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(parts, "m"):
+        for run in runs(parts, "m"):
             out = []
             for _, rows in run.groupby("m", sort=False):
                 if len(rows) > 1 and rows["vec"].map(len).nunique() == 1:

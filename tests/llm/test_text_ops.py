@@ -285,13 +285,44 @@ def test_class_lm_base_score_and_gain(spark, docs, texts):
 
 
 def test_class_lm_tail_words_are_joined(spark, docs):
-    few = class_lm.Params(head=20, classes=5, known=30)
-    a = {r["doc_id"]: r for r in class_lm.score(docs, class_lm.train(docs, params=few)).collect()}
-    b = {r["doc_id"]: r for r in class_lm.score(docs, class_lm.train(docs, params=class_lm.Params(head=20, classes=5))).collect()}
+    few, many = class_lm.Params(least=50, classes=5, known=30), class_lm.Params(least=50, classes=5)
+    all_known = class_lm.train(docs, params=many)
+    model = class_lm.Model(**{**vars(all_known), "known": dict(sorted(all_known.known.items(), key=lambda x: (-x[1], x[0]))[: few.known])})
+    a = {r["doc_id"]: r for r in class_lm.score(docs, model).collect()}
+    b = {r["doc_id"]: r for r in class_lm.score(docs, all_known).collect()}
     for i, r in a.items():
         assert r["score"] == pytest.approx(b[i]["score"], rel=1e-9) and r["n_known"] == b[i]["n_known"]
 
 
+def test_class_lm_score_matches_brute_force(spark, docs, texts):
+    """Class bigrams and emissions counted anew from the texts, given the classes of the clustered words."""
+    model = class_lm.train(docs, params=class_lm.Params(classes=7))
+    split = lambda t: [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
+    classes = {w.encode(): c for w, c in model.classes.items()}
+    assert len(classes) > 500 and set(classes.values()) <= set(range(1, 8))
+    of = lambda w: 0 if w is None else classes.get(w, 8 + class_lm.shape(w))
+    pairs, words = Counter(), Counter()
+    for r in texts.values():
+        w = [None, *split(r["text"]), None]
+        pairs.update(zip(map(of, w[:-1]), map(of, w[1:])))
+        words.update(w[1:])
+    assert min(words[w] for w in classes) == 5 and all(w in classes for w, n in words.items() if w and n >= 5)
+    groups, before, size, kinds = 8 + class_lm.SHAPES, Counter(), Counter(), Counter()
+    for (a, _), n in pairs.items():
+        before[a] += n
+    for w, n in words.items():
+        size[of(w)] += n
+        kinds[of(w)] += 1
+    emission = lambda w: (words[w] + 1) / (size[of(w)] + kinds[of(w)] + 1)
+    for c in list(size)[:20]:  # a class emits its words and one unknown
+        assert sum(emission(w) for w in words if of(w) == c) + 1 / (size[c] + kinds[c] + 1) == pytest.approx(1)
+    got = {r["doc_id"]: r["score"] for r in class_lm.score(docs, model).collect()}
+    for i, r in texts.items():
+        w = [None, *split(r["text"]), None]
+        want = sum(math.log10((pairs[of(a), of(b)] + 0.5) / (before[of(a)] + 0.5 * groups)) + math.log10(emission(b)) for a, b in zip(w, w[1:]))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
 def test_most_frequent_words_and_samples(spark):
     counts = spark.createDataFrame([(f"w{i}", max(1, 1000 // (i + 1))) for i in range(500)], "word string, c long")
     top = class_lm.most_frequent(counts, 100)
@@ -304,15 +335,42 @@ def test_most_frequent_words_and_samples(spark):
         assert len(a) == min(most, 500) and a == [r["word"] for r in hashed_sample(counts.repartition(7), ["word"], most).collect()]
 
 
-def test_exchange_raises_likelihood():
+def test_exchange_raises_likelihood(spark):
     rng = np.random.default_rng(0)
-    kind = np.arange(20) % 2
-    pairs = np.zeros((21 + class_lm.SHAPES,) * 2, np.int64)
-    pairs[1:21, 1:21] = rng.integers(0, 3, (20, 20)) + 50 * (kind[:, None] != kind[None, :])
-    order = rng.permutation(20)
-    pairs[1:21, 1:21] = pairs[1:21, 1:21][order][:, order]
-    of = class_lm.exchange(pairs, 2, 20, 10)[1:21]
-    assert len({(a, b) for a, b in zip(kind[order], of)}) == 2
+    kind = rng.permutation(np.arange(200) % 2)
+    n = rng.integers(0, 9, (200, 200)) + 50 * (kind[:, None] != kind[None, :])
+    rows = [(a + 1, b + 1, int(n[a, b])) for a in range(200) for b in range(200) if n[a, b]]
+    pairs = spark.createDataFrame(rows, "a int, b int, n long")
+    params = class_lm.Params(classes=2, block=64, lead=50, sweeps=8)
+    of, grid = class_lm.exchange(pairs, 200, params)
+    ids = np.arange(len(of))
+    assert len({(a, b) for a, b in zip(kind, of[1:201])}) == 2
+    assert (class_lm.class_grid(pairs, of, len(grid)) == grid).all()
+    start = class_lm.class_grid(pairs, np.where((ids > 0) & (ids <= 200), np.minimum(ids, 2), of), len(grid))
+    assert class_lm.likelihood(grid) > class_lm.likelihood(start)
+
+
+def test_one_move_is_the_best_one():
+    """The gain that a move goes by is the difference of whole likelihoods."""
+    rng = np.random.default_rng(2)
+    words, classes = 12, 3
+    size, groups = words + 1 + class_lm.SHAPES, classes + 1 + class_lm.SHAPES
+    n = np.zeros((size, size))
+    n[: words + 3, : words + 3] = rng.integers(0, 6, (words + 3, words + 3))
+    of = np.concatenate([[0], rng.integers(1, classes + 1, words), classes + 1 + np.arange(class_lm.SHAPES)])
+
+    def grid(of):
+        out = np.zeros((groups, groups))
+        np.add.at(out, (of[:, None], of[None, :]), n)
+        return out
+
+    view, ids = class_lm.Exchange(of, grid(of), classes), np.arange(size)
+    for w in range(1, words + 1):
+        options = [class_lm.likelihood(grid(np.where(ids == w, c, view.of))) for c in range(1, classes + 1)]
+        was = options[view.of[w] - 1]
+        view.move(w, ids, n[w], ids, n[:, w])
+        assert options[view.of[w] - 1] >= max(max(options) - 1e-6, was)
+        assert np.allclose(view.grid, grid(view.of)) and np.allclose(view.left, view.grid.sum(1)) and np.allclose(view.right, view.grid.sum(0))
 
 
 def test_class_lm_probabilities_sum_to_one_and_odd_rows(spark, docs, odd):
