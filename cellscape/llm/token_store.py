@@ -15,6 +15,7 @@ from __future__ import annotations
 import array
 import functools
 import hashlib
+import json
 import os
 import re
 import sys
@@ -74,8 +75,12 @@ class Encoder(dict):
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         self.end = self.serialized([params.end_id])
         self.tokenize = self.tool.model.tokenize
-        self.plain = True
-        self.plain = all(self.unit(u) == self.whole(u) for u in (" Thé", "ñandú", " x"))  # other kinds of vocabulary take the whole tool
+        known = json.loads(self.tool.to_str())
+        split = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        #: Only this way of splitting a text into pre-tokens is known to keep units apart; other files take whole texts.
+        self.by_unit = (
+            split.items() <= (known["pre_tokenizer"] or {}).items() and not known["normalizer"] and known["model"]["type"] == "BPE" and not known["model"].get("dropout")
+        )
 
     def serialized(self, ids: list[int]) -> bytes:
         out = array.array(self.code, ids)
@@ -88,7 +93,7 @@ class Encoder(dict):
 
     def unit(self, unit: str) -> bytes:
         """A unit of letters is one pre-token, so it goes to the library's model at once, in its byte alphabet."""
-        if self.plain and _LETTERS_ONLY.fullmatch(unit):
+        if _LETTERS_ONLY.fullmatch(unit):
             return self.serialized([t.id for t in self.tokenize(unit.encode().decode("latin-1").translate(_BYTE_ALPHABET))])
         return self.whole(unit)
 
@@ -100,6 +105,9 @@ class Encoder(dict):
         return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The serialized ids of each text with the end id; null is an empty text."""
+        if not self.by_unit:
+            return [self.serialized(x.ids) + self.end for x in self.tool.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         get = self.__getitem__
         return [
             (b"" if not t else self.whole(t) if any(a in t for a in self.added) else b"".join(map(get, _UNIT.findall(t)))) + self.end for t in texts  # added tokens may cross white space
@@ -113,21 +121,32 @@ def encoder(path: str, params: Params) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str, params: Params) -> bytes:
-    """A zstandard dictionary of the serialized ids of a bounded sample; empty where that is too small to train one."""
-    h = F.xxhash64(F.col(id_col))
-    chosen = sorted({r[0] for r in hashed_sample(docs.select(id_col), [id_col], params.sample).select(h.alias("h")).collect()})
-    end = params.piece
+    """A zstandard dictionary of the serialized ids of a bounded sample, a sixteenth of it in size at most.
+
+    Rows are chosen by the hash of id and text, equal ones once; of a long one a piece at a place that its ids choose.
+    A sample too small to train on is the dictionary itself, as raw content; empty where there is no row.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("t"))
+    chosen = table(hashed_sample(rows.select("h"), ["h"], params.sample).distinct(), "sample")
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path, params)
+        step = tool.kind.itemsize
         for part in parts:
-            yield pa.RecordBatch.from_arrays([pa.array([x[:end] for x in tool(part.column(0).to_pylist())], pa.binary())], names=["ids"])
+            out = []
+            for x in tool(part.column(1).to_pylist()):
+                at = zlib.crc32(x) % (max(0, len(x) - params.piece) // step + 1) * step
+                out.append(x[at : at + params.piece])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], names=["h", "ids"])
 
-    rows = docs.where(h.isin(chosen)).select(F.col(text_col).alias("t")).mapInArrow(encoded, "ids binary") if chosen else None
-    samples = sorted(r["ids"] for r in rows.limit(2 * params.sample).collect()) if rows is not None else []
-    if sum(map(len, samples)) < 16 * params.dictionary or len(samples) < 100:
-        return b""
-    return zstandard.train_dictionary(params.dictionary, [bytes(s) for s in samples], k=256, d=8, level=params.level).as_bytes()
+    some = rows.join(F.broadcast(chosen.withColumnRenamed("h", "x")), F.col("h") == F.col("x"), "left_semi").mapInArrow(encoded, "h long, ids binary")
+    samples = sorted(bytes(r["ids"]) for r in some.groupBy("h").agg(F.min("ids").alias("ids")).collect())
+    size = min(params.dictionary, sum(map(len, samples)) // 16)
+    if size >= 1024 and len(samples) >= 16:
+        return zstandard.train_dictionary(size, samples, k=256, d=8, level=params.level).as_bytes()
+    raw = b"".join(samples)[: params.dictionary]
+    return raw if len(raw) >= 8 else b""
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -137,8 +156,10 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
 def write(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", params: Params = Params(), partitions: int | None = None) -> str:
     """Write a store of ``docs`` at ``root`` and return it.
 
-    Documents go by ascending id, null ids first; rows that repeat an id follow each other by their
-    frames. A null or empty text is the end id alone. Other columns aren't read.
+    Documents go by ascending id, null ids first; rows that repeat an id follow each other by their number of
+    ids and their frames, and can be parted between files, so that no task holds all of them. A null or empty
+    text is the end id alone; a very long one is encoded whole, as one frame. Other columns aren't read. An
+    empty table gives an empty store.
     """
     spark = docs.sparkSession
     small_batches(spark, 500)
@@ -182,16 +203,18 @@ def write(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_id", te
     parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(frames, "id long, n long, frame binary")
     rows = table(rows, "frames")  # so that ranges are found without encoding twice
-    rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "n", "frame").mapInPandas(blocks, BLOCK).write.parquet(f"{root}/blocks")
+    rows = rows.withColumns({"hash": F.xxhash64("frame"), "row": F.monotonically_increasing_id()})  # rows with equal frames may go either way
+    order = (F.col("id").asc_nulls_first(), "n", "hash", "row")
+    rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "n", "frame").mapInPandas(blocks, BLOCK).write.parquet(f"{root}/blocks")
     _index(spark, root).coalesce(1).write.parquet(f"{root}/index")
     return root
 
 
 def _index(spark: SparkSession, root: str) -> DataFrame:
-    """Ids before each block: within the files, which hold ranges of ids, and over the files' sums."""
+    """Ids before each block: within the files, which hold ranges of ids and are numbered in their order, and over the files' sums."""
     own = spark.read.parquet(f"{root}/blocks").select("first_doc", "n_ids", F.element_at("doc_ids", -1).alias("last_doc"), F.input_file_name().alias("file"), F.col("_metadata.row_index").alias("row"))
-    files = own.groupBy("file").agg(F.min(F.struct("first_doc", "last_doc")).alias("at"), F.sum("n_ids").alias("ids"))
-    earlier = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    files = own.groupBy("file").agg(F.sum("n_ids").alias("ids")).withColumn("at", F.regexp_extract("file", r"/part-(\d+)-[^/]*$", 1).cast("long"))
+    earlier = Window.orderBy("at", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     starts = files.select(F.col("file").alias("f"), F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("file_start"))
     within = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return own.withColumn("here", F.coalesce(F.sum("n_ids").over(within), F.lit(0))).join(starts, F.col("file") == F.col("f")).select(

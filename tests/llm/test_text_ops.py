@@ -506,6 +506,33 @@ def test_token_store_round_trip(spark, docs, texts, odd):
     assert token_store.encode_documents(odd.limit(0), path).count() == 0
 
 
+def test_token_store_dictionary_at_every_size(spark, docs):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for df in (docs, docs.limit(20), docs.limit(1), spark.createDataFrame([(i % 2 or None, "the same text") for i in range(40)], "doc_id long, text string")):
+        root = token_store.shared_dir(spark, "t")
+        token_store.write(df, root, path, partitions=3)
+        head = spark.read.parquet(f"{root}/dictionary").first()
+        assert len(head["bytes"]) >= 8 and hashlib.sha256(head["bytes"]).hexdigest() == head["sha256"]
+        got = token_store.read(spark, root).orderBy("start").collect()
+        assert len(got) == df.count()
+        assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got]).tolist()[:-1]]
+    a, b = (token_store.train_dictionary(df, path, "doc_id", "text", token_store.Params()) for df in (docs, docs.repartition(5)))
+    assert a == b and a[:4] == bytes.fromhex("37a430ec")
+
+
+def test_other_tokenizers_take_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tool = token_store.Encoder(path, token_store.Params())
+    text = "Some words, in (a) Text: it's ünder 12 lines"
+    assert not tool.by_unit
+    assert np.frombuffer(tool([text, None])[0], tool.kind).tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_units_encode_like_whole_texts():
     import public_tokenizers
     from hypothesis import given, settings
