@@ -8,9 +8,9 @@ What a list has no room for still ties: every pair found over the threshold, or
 components, is kept beside the lists, and components come from these ties. Each further draw compares only
 vectors of different components, so a large group's own members can't hide its links to another one.
 Recall is audited against brute force by query; draws go on until it is reached and the components larger
-than a list have settled, and fail loudly otherwise. Inside a component all cosines are computed once
-more, block by block, so the links of saturated vectors are counted whole without being expanded.
-Equal vectors of a label are one node with a count throughout.
+than a list have settled, and fail loudly otherwise. Inside a component links are counted whole without being
+expanded: angles to one of its vectors tell most pairs by the triangle inequality, all others are compared
+block by block. Equal vectors of a label are one node with a count and a number of its own throughout.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ class Params:
     linked: int = 64
     recall: float = 0.99
     most_draws: int = 12
-    block: int = 256
+    block: int = 128
+    bins: int = 16
     seed: int = 11
 
 
@@ -64,8 +65,8 @@ def unit(values: object, label: object) -> bytes | None:
 
 def _units(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        labels = part["label"].astype("Int64")
-        yield pd.DataFrame({"id": part["id"].astype("Int64"), "label": labels, "vec": [unit(v, None if x is pd.NA else x) for v, x in zip(part["v"], labels)]})
+        vecs = [unit(v, x) for v, x in zip(part["v"], part["label"])]
+        yield pd.DataFrame({"id": part["id"].astype("Int64"), "label": part["label"], "vec": vecs})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -123,7 +124,7 @@ def first_edges(nodes: DataFrame, params: Params, draw: int, bits: int, tables:
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["t", "label", "dim", "sign", "place"]
     return (
-        nodes.mapInPandas(placed, "t int, label long, dim int, sign long, place double, id long, c long, vec binary")
+        nodes.mapInPandas(placed, "t int, label string, dim int, sign long, place double, id long, c long, vec binary")
         .repartitionByRange(n, *order)
         .sortWithinPartitions(*order, "id")
         .mapInPandas(slid, EDGE)
@@ -266,45 +267,79 @@ def neighbour_graph(nodes: DataFrame, params: Params) -> DataFrame | None:
 
 
 def links_within(nodes: DataFrame, member: DataFrame, params: Params) -> DataFrame:
-    """(id, links): how many vectors each node of a component links to in it, counted block against block."""
-    size = table(member.groupBy("component").agg(F.count("*").alias("n")).select(F.col("component").alias("c"), "n"), "sizes")
-    rows = member.join(size, F.col("component") == F.col("c")).join(nodes, F.col("node") == F.col("id"))
-    blocks = F.ceil(F.col("n") / params.block).cast("int")
-    rows = rows.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("id"), blocks).cast("int")})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = rows.select("component", F.col("own").alias("i"), other.alias("j"), F.lit(0).alias("side"), "id", "vec", "mult")
-    right = rows.select("component", other.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "id", "vec", "mult")
+    """(id, links): how many vectors each node of a component links to in it.
+
+    Nodes are put in bins by their angle to the component's first node. With the threshold's angle ``bins`` bins wide, the
+    triangle inequality tells pairs of near bins to be links and pairs of distant ones not to be; both rules leave a bin's
+    width for rounding. Only what lies between is compared, a pair of blocks at a time, each once.
+    """
+    sure, far = params.bins - 3, params.bins + 1
+    width = float(np.arccos(params.threshold)) / params.bins
+
+    def binned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for _, rows in part.groupby(part["vec"].map(len)):
+                cosine = np.einsum("ij,ij->i", _matrix(rows["vec"]), _matrix(rows["pivot"]))
+                yield rows.drop(columns="pivot").assign(bin=(np.arccos(np.clip(cosine, -1, 1)) / width).astype(np.int32))
+
+    placed = member.join(nodes, F.col("node") == F.col("id")).select("component", "id", "vec", "mult")
+    pivot = nodes.select(F.col("id").alias("p"), F.col("vec").alias("pivot"))
+    rows = placed.join(pivot, F.col("component") == F.col("p")).select("component", "id", "vec", "mult", "pivot")
+    rows = table(rows.mapInPandas(binned, "component long, id long, vec binary, mult long, bin int"), "binned")
+    sizes = rows.groupBy("component", "bin").agg(F.count("*").alias("n"), F.sum("mult").alias("m"))
+    sizes = table(sizes.groupBy(F.col("component").alias("c")).agg(F.sum("n").alias("n"), F.collect_list(F.struct("bin", F.ceil(F.col("n") / params.block).cast("int").alias("blocks"), "m")).alias("all")), "bins")
+    rows = rows.join(sizes, F.col("component") == F.col("c"))
+    pair, b = F.col("n") == 2, F.col("bin")  # two nodes of a component link
+    certain = F.filter("all", lambda x: pair | (x["bin"] + b <= sure))
+    linked = F.aggregate(certain, F.lit(0).cast("long"), lambda acc, x: acc + x["m"]) - F.when(pair | (2 * b <= sure), F.col("mult")).otherwise(0)
+    open_bins = F.filter("all", lambda x: ~pair & (x["bin"] + b > sure) & (F.abs(x["bin"] - b) <= far))
+    blocks = F.flatten(F.transform(open_bins, lambda x: F.transform(F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["bin"].alias("bin"), k.alias("k")))))
+    mine = F.filter("all", lambda x: x["bin"] == b)[0]["blocks"]
+    own = F.struct(b.alias("bin"), F.pmod(F.xxhash64("id"), mine).cast("int").alias("k"))
+    each = rows.select("component", "id", "vec", "mult", own.alias("own"), F.explode(blocks).alias("other"))
+    each = each.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") <= F.col("other")).alias("first"), "id", "vec", "mult")
 
     def counted(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        a, b = pdf[pdf["first"]], pdf[~pdf["first"]]
+        same = not len(b) and dict(pdf["low"].iloc[0]) == dict(pdf["high"].iloc[0])
+        b = a if same else b
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "links": []}, dtype="int64")
-        near = (_matrix(a["vec"]) @ _matrix(b["vec"]).T >= params.threshold) & (a["id"].to_numpy()[:, None] != b["id"].to_numpy()[None, :])
-        return pd.DataFrame({"id": a["id"].to_numpy(), "links": near @ b["mult"].to_numpy()})
+        near = _matrix(a["vec"]) @ _matrix(b["vec"]).T >= params.threshold
+        if same:
+            np.fill_diagonal(near, False)
+        out = [pd.DataFrame({"id": a["id"].to_numpy(), "links": near @ b["mult"].to_numpy()})]
+        if not same:
+            out.append(pd.DataFrame({"id": b["id"].to_numpy(), "links": a["mult"].to_numpy() @ near}))
+        return pd.concat(out)
 
-    return left.unionByName(right).groupBy("component", "i", "j").applyInPandas(counted, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+    compared = each.groupBy("component", "low", "high").applyInPandas(counted, "id long, links long")
+    return rows.select("id", linked.alias("links")).unionByName(compared).groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", params: Params = Params()) -> DataFrame:
     """(id, n_links, component_id, kept): one row for each vector.
 
-    Only vectors of equal, non-null label (and length) link. A vector that is null, empty, zero or holds
-    a null or non-finite component has no link and is its own component. Rows that repeat an id count as
-    vectors of their own in n_links; other columns aren't read.
+    Only vectors of equal, non-null label (of any type) and equal length link. A vector that is null, empty, zero or
+    holds a null or non-finite component has no link and is its own component. Rows that repeat an id, or have
+    none, are vectors of their own; a component's id is its least id that isn't null. Ties change nothing, as all
+    pairs over the threshold count. An empty table gives an empty one; other columns aren't read.
     """
     small_batches(vectors.sparkSession, 4000)
-    raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = raw.mapInPandas(_units, "id long, label long, vec binary").withColumn("key", F.when(F.col("vec").isNotNull(), F.sha2(F.concat(F.col("vec"), F.col("label").cast("string").cast("binary")), 256)))
-    rows = table(rows, "vectors")
-    valid = rows.where("key is not null and id is not null")
-    nodes = table(valid.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("mult"), F.first("label").alias("label"), F.first("vec").alias("vec")), "nodes")
+    raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    key = F.when(F.col("vec").isNotNull(), F.sha2(F.concat(F.col("vec"), F.col("label").cast("binary")), 256))
+    rows = table(raw.mapInPandas(_units, "id long, label string, vec binary").withColumn("key", key), "vectors")
+    own = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("mult"), F.first("label").alias("label"), F.first("vec").alias("vec"))
+    nodes = table(own.withColumn("id", F.monotonically_increasing_id()), "nodes")
     member = neighbour_graph(nodes.select("id", "label", "vec"), params)
     if member is None:
         member = vectors.sparkSession.createDataFrame([], "node long, component long")
     counts = table(links_within(nodes.select("id", "vec", "mult"), member, params), "links")
-    named = nodes.select("key", "id", "mult").join(member, F.col("id") == F.col("node"), "left").join(counts.withColumnRenamed("id", "counted"), F.col("id") == F.col("counted"), "left")
+    small = nodes.select("id", "first", "key", "mult").join(member, F.col("id") == F.col("node"), "left")
+    least = small.where("component is not null").groupBy(F.col("component").alias("c")).agg(F.min("first").alias("least"))
+    named = small.join(least, F.col("component") == F.col("c"), "left").join(counts.withColumnRenamed("id", "counted"), F.col("id") == F.col("counted"), "left")
     named = table(
-        named.select(F.col("key").alias("k"), (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")), "named"
+        named.select(F.col("key").alias("k"), (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "first").alias("component_id")), "named"
     )
     return rows.select("id", "key").join(named, F.col("key") == F.col("k"), "left").select(
         F.col("id").alias(id_col),

@@ -61,13 +61,35 @@ def test_empty_and_null_components(spark):
 
 def test_audited_recall(spark):
     rows = [r for r in planted(8) if r[1] and r[2] is not None and np.isfinite(r[1]).all() and any(r[1]) and len(r[1]) == 16]
-    nodes = spark.createDataFrame([(i, l, bytearray(nn_descent.unit(v, l))) for i, v, l in rows], "id long, label long, vec binary")
+    nodes = spark.createDataFrame([(i, str(l), bytearray(nn_descent.unit(v, l))) for i, v, l in rows], "id long, label string, vec binary")
     params = nn_descent.Params()
     lists = nn_descent.neighbour_graph(nodes, params)
     hits, total = nn_descent.audit(nodes, lists, params)
     assert total and hits >= 0.95 * total
 
 
+def test_repeated_and_null_ids_and_text_labels(spark):
+    rows = [(1, [0.0, 1.0], "a"), (1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (None, [0.01, 1.0], "a"), (None, [1.0, 0.0], "a"), (3, [1.0, 0.0], "b"), (None, [1.0, 1.0], "c")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 1, 1), (1, 2, 1), (2, 2, 1), (None, 1, 1), (None, 2, 1), (3, 0, 3), (None, 0, None)], key=str)
+
+
+def test_chain_of_three_wide_groups(spark):
+    """Links between neighbouring groups only; blocks and bins of many nodes, none of whose pairs is told by an angle alone."""
+    rng = np.random.default_rng(6)
+    e = np.eye(48)
+    rows = []
+    for k in range(3):
+        angle = 0.16 * k
+        centre = np.cos(angle) * e[0] + np.sin(angle) * e[1]
+        for _ in range(150):
+            rows.append((len(rows), [float(x) for x in centre + rng.standard_normal(48) * 0.008], 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df, params=nn_descent.Params(block=40)).collect()}
+    assert got == slow_links(rows)
+
+
 def test_tight_groups_that_fill_their_lists_are_joined(spark):
     rng = np.random.default_rng(3)
     a = rng.standard_normal(64)
@@ -92,7 +114,7 @@ def test_audit_weighs_queries_alike(spark):
     for _ in range(50):
         v = rng.standard_normal(32)
         rows += [(len(rows), v), (len(rows) + 1, v + rng.standard_normal(32) * 0.05)]
-    nodes = spark.createDataFrame([(i, 1, bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label long, vec binary")
+    nodes = spark.createDataFrame([(i, "1", bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label string, vec binary")
     member = spark.createDataFrame([(i, 0) for i in range(300)], "node long, component long")  # every pair is missed
     hits, total = nn_descent.audit(nodes, member, nn_descent.Params())
     assert total > 30 and hits == 0
