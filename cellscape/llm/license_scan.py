@@ -1,14 +1,19 @@
 """License scans: winnowed template fingerprints pick candidates, banded alignment reports coverage and spans.
 
 Templates are few and fixed, so their inverted index (fingerprint to template and place) goes to every
-task. A document is looked up by all its k-grams, so a run of k + window - 1 words of a template can't
-be missed; each candidate region is then aligned, word by word, within a band around its diagonal.
+task. A document is looked up by all its k-grams. A template of up to ``WHOLE`` words is indexed by every
+gram, of two words below ten words and of three from there on: however a fifth of its words is changed or left
+out, a gram stays, so one hit makes a candidate. Longer ones are winnowed, and a candidate needs a share of
+their fingerprints near one diagonal. Each candidate region is then aligned, word by word, in a band around
+the diagonals of its hits. Where templates contain one another, as licenses and their variants do, the one that
+explains most words of a place, and of equals the one covered best, is reported.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -20,19 +25,37 @@ from .common import small_batches
 _WORDS = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
+#: Templates of up to so many words are indexed by every gram.
+WHOLE = 40
+
 # Notices by which works state their license.
-TEMPLATES = {
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+NOTICES = {
+    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
     "MIT-line": "Released under the MIT License.",
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "GPL-2.0-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    "CC-BY-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "Apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+    "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain.",
 }
 
 
+def license_texts(folder: str | Path = Path(__file__).parent / "licenses") -> dict[str, str]:
+    """Whole texts of licenses by name, from a folder of text files."""
+    return {p.stem: p.read_text() for p in sorted(Path(folder).glob("*.txt"))}
+
+
+TEMPLATES = NOTICES | license_texts()
+
+
 def winnow(hashes: np.ndarray, window: int) -> list[int]:
     """Places of the least hash (the last, where equal) of every window; of all where there are fewer."""
     if not len(hashes):
@@ -57,79 +80,115 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
     return np.where(known, out | np.uint64(1), np.uint64(0))
 
 
-def align(template: list[int], text: list[int], diagonal: int, band: int) -> tuple[int, int, int] | None:
-    """(words matched, first, last place in ``text``) of the longest common subsequence within ``band`` of the diagonal."""
-    best: dict[int, tuple[int, int, int]] = {}
+def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """(words matched, first, last place in ``text``) of the longest common subsequence near the diagonals low to high.
+
+    A row of the table holds, for each place, the words matched and where the match began as one number, the later
+    start being the better; what a place outside the band held before stays, as it is still an alignment.
+    """
+    one = np.int64(1) << 32
+    best = np.zeros(len(text) + 1, np.int64)
+    places = np.arange(len(text), dtype=np.int64)
     for i, word in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + diagonal - band), min(len(text), i + diagonal + band + 1)):
-            options = [x for x in (best.get(j), row.get(j - 1)) if x]
-            if text[j] == word:
-                before = best.get(j - 1)
-                options.append((before[0] + 1, before[1], j) if before else (1, j, j))
-            if options:
-                row[j] = max(options, key=lambda x: (x[0], x[1] - x[2]))
-        best = row
-    return max(best.values(), key=lambda x: (x[0], x[1] - x[2]), default=None)
+        a, z = max(0, i + low), min(len(text), i + high + 1)
+        if a < z:
+            before = best[a:z]
+            met = np.where(text[a:z] == word, np.where(before > 0, before + one, one | places[a:z]), 0)
+            best[a + 1 : z + 1] = np.maximum.accumulate(np.maximum(best[a + 1 : z + 1], met))
+    matched = best[1:] >> 32
+    most = int(matched.max(initial=0))
+    if not most:
+        return 0, 0, -1
+    ends = np.flatnonzero(matched == most)
+    starts = best[1:][ends] & (one - 1)
+    k = int(np.argmin(ends - starts))
+    return most, int(starts[k]), int(ends[k])
 
 
 class Scanner:
     """Finds templates in a text; built once a task."""
 
-    def __init__(self, templates: Mapping[str, str], k: int = 3, window: int = 3, band: int = 8, coverage: float = 0.8):
-        self.k, self.band, self.coverage = k, band, coverage
-        self.names = sorted(templates)
+    def __init__(self, templates: Mapping[str, str], window: int = 3, coverage: float = 0.8, share: float = 0.15):
+        self.coverage, self.names = coverage, sorted(templates)
         self.vocabulary: dict[str, int] = {}
-        self.templates = [[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in _WORDS.findall(templates[n].lower())] for n in self.names]
-        self.index: dict[int, list[tuple[int, int]]] = {}
+        self.templates = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in _WORDS.findall(templates[n].lower())], np.int64) for n in self.names]
+        self.index: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        self.need: list[int] = []
         for t, ids in enumerate(self.templates):
-            h = grams(np.array(ids, np.uint64), k)
-            for place in winnow(h, window):
-                self.index.setdefault(int(h[place]), []).append((t, place))
-        self.keys = np.array(sorted(self.index), np.uint64)
+            k = min(len(ids), 2 if len(ids) < 10 else 3)
+            h = grams(ids.astype(np.uint64), k) if k else np.zeros(0, np.uint64)
+            places = range(len(h)) if len(ids) <= WHOLE else winnow(h, window)
+            self.need.append(1 if len(ids) <= WHOLE else max(2, int(share * len(places))))
+            for place in places:
+                self.index.setdefault(k, {}).setdefault(int(h[place]), []).append((t, place))
+        self.keys = {k: np.array(sorted(x), np.uint64) for k, x in self.index.items()}
+
+    def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(template, least, greatest diagonal) of each group of hits whose diagonals are near one another."""
+        met: dict[int, list[tuple[int, int]]] = {}
+        for k, keys in self.keys.items():
+            h = grams(ids, k)
+            for at in np.flatnonzero(np.isin(h, keys)).tolist() if h.any() else ():
+                for t, place in self.index[k][int(h[at])]:
+                    met.setdefault(t, []).append((at - place, place))
+        for t, hits in sorted(met.items()):
+            band, group = self.band(t), []
+            for hit in [*sorted(hits), None]:
+                if group and (hit is None or hit[0] - group[-1][0] > band or hit[0] - group[0][0] > 4 * band):
+                    if len({place for _, place in group}) >= self.need[t]:
+                        yield t, group[0][0], group[-1][0]
+                    group = []
+                if hit is not None:
+                    group.append(hit)
+
+    def band(self, t: int) -> int:
+        return max(8, len(self.templates[t]) // 16)
+
+    def places(self, t: int, text: np.ndarray, low: int, high: int, begin: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """(words matched, first, last place) of alignments near the diagonals that don't overlap, between begin and end."""
+        template, todo = self.templates[t], [(begin, end)]
+        while todo:
+            begin, end = todo.pop()
+            if end - begin < self.coverage * len(template):
+                continue
+            matched, first, last = align(template, text[begin:end], low - begin, high - begin)
+            if matched >= self.coverage * len(template):
+                yield matched, begin + first, begin + last
+                todo += [(begin, begin + first), (begin + last + 1, end)]
+
+    def found(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(template, words matched, first, last place) of all templates, those that overlap too."""
+        out, text = set(), ids.astype(np.int64)
+        for t, low, high in self.candidates(ids):
+            band, n = self.band(t), len(self.templates[t])
+            for x in self.places(t, text, low - band, high + band, max(0, low - band), min(len(text), high + n + band)):
+                out.add((t, *x))
+        return sorted(out)
 
     def __call__(self, text: str | None) -> list[tuple[str, float, int, int, int, int]]:
         """(license, coverage, words matched, template words, start, end) by start; spans in code points, end exclusive."""
-        lower = (text or "").lower()
+        text = text or ""
+        lower = text.lower()
         get = self.vocabulary.get
-        ids = np.array([get(w, 0) for w in _WORDS.findall(lower)], np.uint64)
-        h = grams(ids, self.k)
-        hits = np.flatnonzero(np.isin(h, self.keys)) if h.any() else []
-        if not len(hits):
+        same = len(lower) == len(text)  # else lower-casing moved places, so words are cut from the text as it is
+        ids = np.array([get(w, 0) for w in _WORDS.findall(lower)] if same else [get(w.lower(), 0) for w in _WORDS.findall(text)], np.uint64)
+        found = self.found(ids)
+        if not found:
             return []
-        words, out = list(_WORDS.finditer(text)) if len(lower) == len(text) else list(_WORDS.finditer(lower)), []
-        whole = ids.astype(np.int64).tolist()
-
-        def places(t: int, diagonal: int, low: int, high: int) -> Iterator[tuple[int, int, int]]:
-            """(words matched, first, last place) of alignments in the band that don't overlap, the best one first."""
-            template = self.templates[t]
-            found = align(template, whole[low:high], diagonal - low, self.band) if high > low else None
-            if found and found[0] >= self.coverage * len(template):
-                first, last = low + found[1], low + found[2]
-                yield found[0], first, last
-                yield from places(t, diagonal, low, first)
-                yield from places(t, diagonal, last + 1, high)
-
-        ends: dict[int, int] = {}
-        missed: set[tuple[int, int]] = set()
-        for at in hits:
-            for t, place in self.index[int(h[at])]:
-                diagonal, size = int(at) - place, len(self.templates[t])
-                if at < ends.get(t, 0) or any((t, d) in missed for d in range(diagonal - self.band, diagonal + self.band + 1)):
-                    continue
-                found = list(places(t, diagonal, max(0, diagonal - self.band, ends.get(t, 0)), diagonal + size + self.band + 1))
-                for n, first, last in found:
-                    out.append((self.names[t], n / size, n, size, words[first].start(), words[last].end()))
-                    ends[t] = max(ends.get(t, 0), last + 1)
-                if not found:
-                    missed.add((t, diagonal))
-        return sorted(set(out), key=lambda x: (x[4], x[5], x[0]))
+        words, out, taken = list(_WORDS.finditer(text)), [], np.zeros(len(ids), bool)
+        for t, n, first, last in sorted(found, key=lambda x: (-x[1], -x[1] / len(self.templates[x[0]]), self.names[x[0]], x[2])):
+            if 2 * taken[first : last + 1].sum() <= last + 1 - first:
+                taken[first : last + 1] = True
+                size = len(self.templates[t])
+                out.append((self.names[t], n / size, n, size, words[first].start(), words[last].end()))
+        return sorted(out, key=lambda x: (x[4], x[5], x[0]))
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", coverage: float = 0.8) -> DataFrame:
     """(id, license, coverage, matched, template_words, start, end): one row for each place at which a template is found.
 
-    Null and empty texts have none; rows that repeat an id are each scanned; other columns aren't read.
+    Null and empty texts have none. Texts of any length are scanned whole. Rows that repeat an id, or have none, are
+    each scanned. Of templates that tie for a place the first by name is reported. Other columns aren't read.
     """
     small_batches(docs.sparkSession)
 
