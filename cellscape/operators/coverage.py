@@ -105,17 +105,12 @@ def signal_strength(pairs: DataFrame) -> DataFrame:
 
 
 def azimuth_loss(pairs: DataFrame) -> DataFrame:
-    """Loss off the azimuth, the tile's direction projected on the plane that the antenna's tilt makes.
-
-    With b along the azimuth, a across it and c the height, the tilt turns (b, c): its length along the tilted
-    axis is d * cos(angle between); behind the antenna the axis runs the other way.
-    """
+    """Loss off the azimuth: the way to the tile, turned by the antenna's tilt, is measured against the boresight."""
     bearing = F.degrees(F.atan2(F.col("tile_x") - F.col("cell_x"), F.col("tile_y") - F.col("cell_y")))
-    off = F.radians(bearing - F.col("azimuth_angle"))
-    a, b, c = F.sin(off) * F.col("distance"), F.cos(off) * F.col("distance"), F.col("cell_z") - F.col("tile_z")
-    d, slope, tilt = F.sqrt(b * b + c * c), F.degrees(F.atan2(c, F.abs(b))), F.col("elevation_angle")
-    along = F.when(b > 0, F.cos(F.radians(slope - tilt)) * d).otherwise(-F.cos(F.radians(slope + tilt)) * d)
-    loss = angular_loss(F.degrees(F.atan2(a, along)), F.col("sd_azimuth"), F.col("azimuth_back_loss"))
+    turn, tilt = F.radians(bearing - F.col("azimuth_angle")), F.radians(F.col("elevation_angle"))
+    ahead, aside, below = F.cos(turn) * F.col("distance"), F.sin(turn) * F.col("distance"), F.col("cell_z") - F.col("tile_z")
+    boresight = ahead * F.cos(tilt) + below * F.sin(tilt)
+    loss = angular_loss(F.degrees(F.atan2(aside, boresight)), F.col("sd_azimuth"), F.col("azimuth_back_loss"))
     return pairs.withColumn("signal_strength", F.col("signal_strength") + F.when(F.col("directionality") == 1, loss).otherwise(0.0))
 
 

@@ -146,24 +146,49 @@ def day_types(df: DataFrame, holidays: DataFrame, params: MidTermParams = MidTer
 KEY = ("month", "day_type", "time_interval")
 
 
-def midterm_scores(typed: DataFrame, group_tiles: DataFrame) -> DataFrame:
+def midterm_scores(dps: DataFrame, holidays: DataFrame, group_tiles: DataFrame, params: MidTermParams = MidTermParams()) -> DataFrame:
     """(user_id, month, day_type, time_interval, id_type, location, mps, frequency) with observation rows.
 
-    ``location``: the tile, the country, or unknown, as text. Groups are expanded to tiles and summed over.
+    ``location``: the tile, the country, or unknown, as text. Groups are expanded to tiles and summed over. Slots are
+    counted by logical day first, so that day types multiply days and not slots; ``dps`` is read twice, so write it.
     """
-    df = typed.withColumn("month", F.date_format(F.trunc(F.date_from_unix_date(F.col("logical_day").cast("int")), "month"), "yyyy-MM"))
-    by = ["user_id", *KEY]
-    each = df.withColumn("place", F.explode("dps")).groupBy(*by, "id_type", "place").agg(F.count("*").alias("mps"), F.count_distinct("logical_day").alias("frequency"))
+    month = F.date_format(F.trunc(F.date_from_unix_date(F.col("logical_day").cast("int")), "month"), "yyyy-MM")
+    day, by = ["user_id", "logical_day", "time_interval"], ["user_id", *KEY]
+    slots = logical_days(dps.withColumn("place", F.explode("dps")).drop("dps"), params)
+    daily = slots.groupBy(*day, "id_type", "place").agg(F.count("*").alias("slots"))
+    each = day_types(daily, holidays, params).withColumn("month", month).groupBy(*by, "id_type", "place").agg(F.sum("slots").alias("mps"), F.count("*").alias("frequency"))
     match = F.when(F.col("id_type") == ID_GRID, F.col("place")).otherwise(F.concat(F.lit("~"), F.pmod(F.xxhash64("user_id", "month"), F.lit(4096))))  # what is no tile doesn't meet at one key
     tiles = each.withColumn("_match", match).join(group_tiles, F.col("_match") == F.col("group_id"), "left").where((F.col("id_type") != ID_GRID) | F.col("grid_id").isNotNull())
     location = F.when(F.col("id_type") == ID_GRID, F.col("grid_id").cast("string")).otherwise(F.col("place"))
     placed = tiles.groupBy(*by, "id_type", location.alias("location")).agg(F.sum("mps").alias("mps"), F.sum("frequency").alias("frequency"))
-    seen = df.where(F.col("id_type") != ID_UNKNOWN).groupBy(*by).agg(F.count_distinct("logical_day", "slot").alias("mps"), F.count_distinct("logical_day").alias("frequency"))
-    observed = seen.select(*by, F.lit(ID_OBSERVATION).alias("id_type"), F.lit(str(OBSERVATION_GRID)).alias("location"), "mps", "frequency")
+    # a slot can be spent here and abroad, and a holiday is one only here: days are counted by what is seen on them
+    here, away = F.max((F.col("id_type") == ID_GRID).cast("long")), F.max((F.col("id_type") == ID_ABROAD).cast("long"))
+    seen = dps.where(F.col("id_type") != ID_UNKNOWN).groupBy("user_id", "day", "slot").agg(here.alias("here"), away.alias("away"))
+    seen = logical_days(seen, params).groupBy(*day).agg(F.sum("here").alias("here"), F.sum("away").alias("away"), F.count("*").alias("either"))
+    kinds = F.array_compact(F.array(*[F.when(F.col(c) > 0, F.struct(F.lit(t).alias("id_type"), F.col(c).alias("n"))) for c, t in (("here", ID_GRID), ("away", ID_ABROAD))]))
+    split = day_types(seen.select(*day, "either", F.explode(kinds).alias("kind")).select(*day, "either", "kind.*"), holidays, params)
+    days = split.groupBy(*day, "day_type").agg(F.when(F.count("*") > 1, F.max("either")).otherwise(F.max("n")).alias("slots"))
+    observed = days.withColumn("month", month).groupBy(*by).agg(F.sum("slots").alias("mps"), F.count("*").alias("frequency"))
+    observed = observed.select(*by, F.lit(ID_OBSERVATION).alias("id_type"), F.lit(str(OBSERVATION_GRID)).alias("location"), "mps", "frequency")
     none = F.lit(None).cast("double")
     return placed.unionByName(observed).withColumns({"regularity_mean": none, "regularity_std": none})
 
 
+def check_slots(dps: DataFrame, slot_seconds: int, params: MidTermParams = MidTermParams()) -> None:
+    """Raise where slots don't fit the scores: their starts must be multiples of the slot, and intervals must begin and end with one."""
+    if DAY % slot_seconds or any(hour * 3600 % slot_seconds for _, start, end in params.intervals for hour in (start, end)) or params.day_start_hour * 3600 % slot_seconds:
+        raise ValueError(f"slots of {slot_seconds} seconds don't fit a day and its intervals")
+    if not dps.where(F.col("slot") % slot_seconds != 0).isEmpty():
+        raise ValueError(f"daily scores aren't of slots of {slot_seconds} seconds")
+
+
+def check_months(midterm: DataFrame, seasons: DataFrame) -> None:
+    """Raise where a month of ``seasons`` has no mid-term scores."""
+    lacking = seasons.select("month").distinct().join(midterm.select("month").distinct(), "month", "left_anti").collect()  # a row for each month
+    if lacking:
+        raise ValueError(f"no mid-term scores of {sorted(r['month'] for r in lacking)}")
+
+
 def longterm_scores(midterm: DataFrame, seasons: DataFrame) -> DataFrame:
     """(user_id, season, day_type, time_interval, id_type, location, lps, total/mean/std of frequency).
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.iterate import iterate_until
@@ -29,12 +29,17 @@ def devices_per_cell(events: DataFrame, points: DataFrame, tolerance: int = 3600
 
 def population_step(state: DataFrame, devices: DataFrame, probabilities: DataFrame) -> DataFrame:
     """One redistribution: each cell's devices go to its tiles in proportion to population times connection probability."""
+    cell = Window.partitionBy("time_point", "cell_id")  # a cell has as many rows as its footprint has tiles
     joint = state.join(probabilities, "grid_id").withColumn("w", F.col("population") * F.col("cell_connection_probability"))
-    totals = joint.groupBy("time_point", "cell_id").agg(F.sum("w").alias("total"))
-    share = joint.join(totals, ["time_point", "cell_id"]).join(devices, ["time_point", "cell_id"])
+    share = joint.withColumn("total", F.sum("w").over(cell)).join(devices, ["time_point", "cell_id"])
     return share.groupBy("time_point", "grid_id").agg(F.sum(F.col("device_count") * F.coalesce(F.try_divide("w", "total"), F.lit(0.0))).alias("population"))
 
 
+def at_date(probabilities: DataFrame, date: str, date_col: str = "date") -> DataFrame:
+    """The probabilities of one network day."""
+    return probabilities.where(F.col(date_col) == F.lit(date).cast("date"))
+
+
 def start_population(devices: DataFrame, tiles: DataFrame) -> DataFrame:
     """Devices of a point over tiles, uniformly."""
     n = tiles.agg(F.count("*").alias("tiles"))

@@ -153,11 +153,11 @@ def device_area(spark, sf):
     """Events of devices that were seen in a triangle, sampled."""
     cells = demo.network_days(spark).where("date = '2024-01-01'")
     inside = device_filter.cells_in_polygon(device_filter.cells_in_box(cells, -60, -30, 60, 30), [(-50.0, -30.0), (50.0, -30.0), (0.0, 25.0), (-50.0, -30.0)])
-    ev = device_filter.sample_devices(device_filter.events_of_devices_seen(demo.events(spark, sf).where("event_id % 50 = 0"), inside), 0.5)
+    ev = device_filter.sample_devices(device_filter.events_of_devices_seen(demo.events(spark, sf), inside), 0.5)
     return ev.select("event_id", "user_id")
 
 
-AREA_SQL = f"""WITH {EV}, e AS (SELECT * FROM ev WHERE event_id % 50 = 0), c AS (SELECT cell_id FROM net WHERE lat BETWEEN -30 AND 30 AND lon BETWEEN -60 AND 60 AND lat > -30 AND abs(lon) < 50 * (25 - lat) / 55.0)
+AREA_SQL = f"""WITH {EV}, e AS (SELECT * FROM ev), c AS (SELECT cell_id FROM net WHERE lat BETWEEN -30 AND 30 AND lon BETWEEN -60 AND 60 AND lat > -30 AND abs(lon) < 50 * (25 - lat) / 55.0)
 SELECT event_id, user_id FROM e WHERE user_id IN (SELECT user_id FROM e JOIN c USING (cell_id)) AND ('0x' || substr(md5(cast(user_id AS VARCHAR)), 1, 8))::BIGINT % 10000 < 5000"""
 
 _BUCKET = "cast(('0x' || substr(user_id, 1, 14))::BIGINT % 8 AS INTEGER)"

@@ -79,12 +79,38 @@ def connection_probability(spark, sf):
 
 
 def angular_model(spark, sf):
-    """Dominance with azimuth and elevation losses, and each cell's effective coverage: rows only."""
+    """Dominance with azimuth and elevation losses, and each cell's effective coverage."""
     cells = _cells(spark)
     table = coverage.beam_table(spark, [-30.0])
     cells = coverage.with_beam_sd(coverage.with_beam_sd(cells, table, "horizontal_beam_width", "azimuth_back_loss", "sd_azimuth"), table, "vertical_beam_width", "elevation_back_loss", "sd_elevation")
     pairs = coverage.dominance(coverage.tiles_in_range(cells, demo.lattice(spark).drop("k"), coverage.Params(bin_size=250.0)), azimuth=True, elevation=True)
-    return coverage.effective_coverage(pairs).join(pairs.groupBy("cell_id").agg(F.sum("signal_dominance").alias("total_dominance")), "cell_id")
+    total = pairs.groupBy("cell_id").agg(F.sum("signal_dominance").alias("total_dominance"))
+    return coverage.effective_coverage(pairs).join(total, "cell_id").select("cell_id", *[F.round(c, 6).alias(c) for c in ("centre_x", "centre_y", "effective_range", "total_dominance")])
+
+
+def _loss(angle: str, sd: str) -> str:
+    """dB at an angle off the main direction, with a back loss of -30."""
+    turned = f"(({angle} + 180) - 360 * floor(({angle} + 180) / 360) - 180)"
+    return f"(exp(-0.5 * power({turned} / {sd}, 2)) - 1) * 30 / (1 - exp(-0.5 * power(180 / {sd}, 2)))"
+
+
+_ANGULAR = (
+    FOOT
+    + f""", ag AS (SELECT i * (180.0::DOUBLE / 719) AS a FROM range(720) r(i)), sg AS (SELECT i * 180.0::DOUBLE / 1000 AS sd FROM range(1, 1000) r(i)),
+th AS (SELECT sd, arg_min(a, struct_pack(d := abs(-3 - {_loss('a', 'sd')}), a := a)) AS three FROM sg, ag GROUP BY sd),
+be AS (SELECT deg, arg_min(sd, struct_pack(d := abs(three - deg), sd := sd)) AS sd FROM th, (VALUES (4), (32)) v(deg) GROUP BY deg),
+pa AS (SELECT f.*, c.x AS cx, c.y AS cy, c.z AS cz, t.x AS tx, t.y AS ty, c.k % 2 AS dir, cast(c.k * 37 % 360 AS DOUBLE) AS az, (SELECT sd FROM be WHERE deg = 32) AS sa, (SELECT sd FROM be WHERE deg = 4) AS se
+  FROM ft f JOIN ci c USING (cell_id) JOIN tl t USING (grid_id)),
+tu AS (SELECT *, radians(degrees(atan2(tx - cx, ty - cy)) - az) AS tn FROM pa),
+an AS (SELECT *, degrees(atan2(sin(tn) * distance, cos(tn) * distance * cos(radians(5)) + cz * sin(radians(5)))) AS side, degrees(atan2(cz, distance)) - 5 AS down FROM tu),
+ad AS (SELECT *, 1 / (1 + exp(-(s + CASE WHEN dir = 1 THEN {_loss('side', 'sa')} + {_loss('down', 'se')} ELSE 0 END + 92.5) * 0.2)) AS dom, radians(CASE WHEN dir = 1 THEN az ELSE 90 END) AS ra FROM an),
+li AS (SELECT *, (tx - cx) * sin(ra) + (ty - cy) * cos(ra) AS along, abs((tx - cx) * cos(ra) - (ty - cy) * sin(ra)) AS across FROM ad),
+ln AS (SELECT *, CASE WHEN along >= 0 OR dir = 0 THEN 'front' ELSE 'back' END AS fb FROM li WHERE across <= 50 AND (dir = 1 OR along >= 0)),
+pt AS (SELECT cell_id, dir, cx, cy, fb, coalesce(arg_max(struct_pack(x := tx, y := ty), struct_pack(d := distance, g := -grid_id)) FILTER (dom > 0.01), arg_min(struct_pack(x := tx, y := ty), struct_pack(d := distance, g := grid_id))) AS p FROM ln GROUP BY ALL),
+en AS (SELECT cell_id, dir, cx, cy, max(CASE WHEN fb = 'front' THEN p END) AS f, max(CASE WHEN fb = 'back' THEN p END) AS b FROM pt GROUP BY ALL),
+ce AS (SELECT cell_id, f, CASE WHEN dir = 0 THEN cx ELSE (f.x + coalesce(b.x, cx)) / 2 END AS x, CASE WHEN dir = 0 THEN cy ELSE (f.y + coalesce(b.y, cy)) / 2 END AS y FROM en WHERE f IS NOT NULL)"""
+)
+ANGULAR_SQL = f"WITH {_ANGULAR} SELECT cell_id, round(x, 6) AS centre_x, round(y, 6) AS centre_y, round(sqrt(power(x - f.x, 2) + power(y - f.y, 2)), 6) AS effective_range, round(total, 6) AS total_dominance FROM ce JOIN (SELECT cell_id, sum(dom) AS total FROM ad GROUP BY cell_id) USING (cell_id)"
 
 
 def _points(spark):
@@ -119,11 +145,20 @@ def present_population(spark, sf):
 
 
 def present_population_converged(spark, sf):
-    """Iterated until the change is small: rows only."""
+    """Iterated until the change is small, eight times at most."""
     out = population.present_population(_devices(spark, sf), _connection(spark), demo.lattice(spark), 8, 1.0)
     return out.select(F.unix_timestamp("time_point").alias("time_point"), "grid_id", F.round("population", 4).alias("population"))
 
 
+def _converged_sql(steps: int, tolerance: float) -> str:
+    """The first step whose change is below the tolerance, or the last."""
+    out = _population_sql(steps)
+    for i in range(1, steps + 1):
+        out += f", d{i} AS (SELECT sum(abs(coalesce(a.u, 0) - coalesce(b.u, 0))) AS d FROM u{i} a FULL JOIN u{i - 1} b USING (p, grid_id))"
+    out += ", st AS (SELECT coalesce(min(i), " + str(steps) + ") AS i FROM (" + " UNION ALL ".join(f"SELECT {i} AS i, d FROM d{i}" for i in range(1, steps + 1)) + f") WHERE d < {tolerance} OR d IS NULL)"
+    return out + ", fi AS (" + " UNION ALL ".join(f"SELECT {i} AS i, p, grid_id, u FROM u{i}" for i in range(1, steps + 1)) + ")"
+
+
 def present_population_zone(spark, sf):
     rolled = export.hierarchy_rollup(_population(spark, sf), demo.zones(spark, sf), [1, 2], "population", ["time_point"])
     scaled = export.scale(export.scale(rolled, ["population"], 0.95), ["population"], 5.4)
@@ -141,9 +176,9 @@ QUERIES = {
     "cell_distance": (cell_distance, f"WITH {_PAIR} SELECT cell_id_a, cell_id_b, round(distance, 6) AS distance FROM pr"),
     "cell_overlap_groups": (cell_overlap_groups, f"WITH {_PAIR} SELECT c.cell_id, coalesce(string_agg(cell_id_b, ',' ORDER BY cell_id_b), '') AS overlapping FROM (SELECT DISTINCT cell_id FROM pb) c LEFT JOIN pr ON cell_id_a = c.cell_id AND distance <= 100 GROUP BY c.cell_id"),
     "connection_probability": (connection_probability, f"WITH {CONN} SELECT cell_id, grid_id, round(p, 9) AS p, round(post, 9) AS posterior FROM po"),
-    "angular_model": (angular_model, None),
+    "angular_model": (angular_model, ANGULAR_SQL),
     "devices_per_cell": (devices_per_cell, f"WITH {_DEV} SELECT p AS time_point, cell_id, n AS device_count FROM dv"),
     "present_population": (present_population, f"WITH {_population_sql(3)} SELECT p AS time_point, grid_id, round(u, 6) AS population FROM u3"),
-    "present_population_converged": (present_population_converged, None),
+    "present_population_converged": (present_population_converged, f"WITH {_converged_sql(8, 1.0)} SELECT p AS time_point, grid_id, round(u, 4) AS population FROM fi JOIN st USING (i)"),
     "present_population_zone": (present_population_zone, f"WITH {_population_sql(3)}, {ZONES}, r AS ({_ZONED}) SELECT time_point, level, zone_id, round(CASE WHEN v < 15 THEN -1.0 ELSE v END, 6) AS population FROM r"),
 }

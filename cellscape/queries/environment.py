@@ -78,21 +78,24 @@ lo AS (SELECT user_id, day, slot, group_id AS place, sum(seconds) AS s, max(nc)
 pc AS (SELECT user_id, day, slot, place, 'grid' AS id_type FROM lo WHERE nc = 1 OR s * 2 >= 3600 UNION ALL SELECT user_id, day, slot, cell_id, 'unknown' FROM kd WHERE cell_id = '-99' UNION ALL SELECT user_id, day, slot, cell_id, 'abroad' FROM kd WHERE abroad AND seconds * 2 >= 3600),
 dp AS (SELECT user_id, day, slot, id_type, list_sort(list(DISTINCT place)) AS dps FROM pc GROUP BY ALL)"""
 )
-_INTERVALS = """, lt AS (SELECT *, unnest([{'n': 'all', 'd': CASE WHEN slot % 86400 < 14400 THEN day - 1 ELSE day END, 'ok': true},
-  {'n': 'night_time', 'd': CASE WHEN slot % 86400 >= 64800 THEN day ELSE day - 1 END, 'ok': slot % 86400 >= 64800 OR slot % 86400 + 3600 <= 28800},
-  {'n': 'working_hours', 'd': day, 'ok': slot % 86400 >= 28800 AND slot % 86400 + 3600 <= 61200}, {'n': 'evening_time', 'd': day, 'ok': slot % 86400 >= 57600 AND slot % 86400 + 3600 <= 79200}]) AS q FROM dp),
-lo2 AS (SELECT user_id, slot, id_type, dps, q.n AS time_interval, q.d AS ld, isodow(DATE '1970-01-01' + cast(q.d AS INTEGER)) AS wd, id_type <> 'abroad' AND DATE '1970-01-01' + cast(q.d AS INTEGER) IN (DATE '2024-01-01', DATE '2024-01-06') AS hol FROM lt WHERE q.ok),
-ty AS (SELECT *, unnest(list_filter(['all', CASE WHEN wd <= 5 AND NOT hol THEN 'workdays' END, CASE WHEN wd > 5 THEN 'weekends' END, CASE WHEN hol THEN 'holidays' END], lambda x: x IS NOT NULL)) AS day_type, strftime(DATE '1970-01-01' + cast(ld AS INTEGER), '%Y-%m') AS month FROM lo2),
-ea AS (SELECT user_id, month, day_type, time_interval, id_type, place, count(*) AS mps, count(DISTINCT ld) AS frequency FROM (SELECT *, unnest(dps) AS place FROM ty) GROUP BY ALL),
+_INTERVALS = """, iv AS (SELECT user_id, slot, id_type, dps, 'all' AS time_interval, CASE WHEN slot % 86400 < 14400 THEN day - 1 ELSE day END AS ld FROM dp
+  UNION ALL SELECT user_id, slot, id_type, dps, 'night_time', CASE WHEN slot % 86400 >= 64800 THEN day ELSE day - 1 END FROM dp WHERE slot % 86400 >= 64800 OR slot % 86400 + 3600 <= 28800
+  UNION ALL SELECT user_id, slot, id_type, dps, 'working_hours', day FROM dp WHERE slot % 86400 >= 28800 AND slot % 86400 + 3600 <= 61200
+  UNION ALL SELECT user_id, slot, id_type, dps, 'evening_time', day FROM dp WHERE slot % 86400 >= 57600 AND slot % 86400 + 3600 <= 79200),
+dd AS (SELECT user_id, ld, time_interval, id_type, place, count(*) AS n FROM (SELECT *, unnest(dps) AS place FROM iv) GROUP BY ALL),
+ob AS (SELECT user_id, ld, time_interval, count(DISTINCT slot) AS either, count(DISTINCT slot) FILTER (id_type = 'grid') AS here, count(DISTINCT slot) FILTER (id_type = 'abroad') AS away FROM iv WHERE id_type <> 'unknown' GROUP BY ALL),
+ca AS (SELECT ld, strftime(DATE '1970-01-01' + cast(ld AS INTEGER), '%Y-%m') AS month, isodow(DATE '1970-01-01' + cast(ld AS INTEGER)) AS wd, DATE '1970-01-01' + cast(ld AS INTEGER) IN (DATE '2024-01-01', DATE '2024-01-06') AS off FROM (SELECT DISTINCT ld FROM iv)),
+dt AS (SELECT ld, month, 'all' AS day_type, true AS hl, true AS ha FROM ca UNION ALL SELECT ld, month, 'workdays', wd <= 5 AND NOT off, wd <= 5 FROM ca UNION ALL SELECT ld, month, 'weekends', wd > 5, wd > 5 FROM ca UNION ALL SELECT ld, month, 'holidays', off, false FROM ca),
+ea AS (SELECT user_id, month, day_type, time_interval, id_type, place, sum(n) AS mps, count(*) AS frequency FROM dd JOIN dt USING (ld) WHERE CASE WHEN id_type = 'abroad' THEN ha ELSE hl END GROUP BY ALL),
+oe AS (SELECT user_id, month, day_type, time_interval, CASE WHEN hl AND ha THEN either WHEN hl THEN here WHEN ha THEN away ELSE 0 END AS n FROM ob JOIN dt USING (ld)),
 mt AS (SELECT user_id, month, day_type, time_interval, id_type, cast(grid_id AS VARCHAR) AS location, sum(mps) AS mps, sum(frequency) AS frequency FROM ea JOIN gt ON gt.group_id = place WHERE id_type = 'grid' GROUP BY ALL
   UNION ALL SELECT user_id, month, day_type, time_interval, id_type, place, mps, frequency FROM ea WHERE id_type <> 'grid'
-  UNION ALL SELECT user_id, month, day_type, time_interval, 'device_observation', '-1', count(DISTINCT (ld, slot)), count(DISTINCT ld) FROM ty WHERE id_type <> 'unknown' GROUP BY ALL)"""
+  UNION ALL SELECT user_id, month, day_type, time_interval, 'device_observation', '-1', sum(n), count(*) FROM oe WHERE n > 0 GROUP BY ALL)"""
 
 
 def _midterm(spark, sf):
     holidays = spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-06')) AS date")
-    typed = permanence.day_types(permanence.logical_days(_dps(spark, sf)), holidays)
-    return permanence.midterm_scores(typed, coverage.group_tiles(_groups(spark)))
+    return permanence.midterm_scores(cut(_dps(spark, sf)), holidays, coverage.group_tiles(_groups(spark)))
 
 
 def midterm_ps(spark, sf):
@@ -111,9 +114,9 @@ def longterm_ps(spark, sf):
 _LPS = _DPS + _INTERVALS + """, lp AS (SELECT user_id, season, day_type, time_interval, id_type, location, sum(mps) AS lps, sum(frequency) AS total_frequency, avg(frequency) AS fm, stddev_samp(frequency) AS fs FROM mt JOIN (VALUES ('all', '2023-12'), ('all', '2024-01'), ('winter', '2024-01')) v(season, m) ON m = month GROUP BY ALL)"""
 
 
-def _kept(spark, sf):
+def _kept(spark, sf, scores=None):
     """Written once: labelling reads these scores several times."""
-    return cut(usual_environment.discard_devices(_longterm(spark, sf), 20, 5))
+    return cut(usual_environment.discard_devices(scores if scores is not None else _longterm(spark, sf), 20, 5))
 
 
 def gap_cut(spark, sf):
@@ -128,10 +131,10 @@ tg AS (SELECT *, coalesce(lag(lps) OVER w - lps, 0) AS dr, max(lps) OVER (PARTIT
 cu AS (SELECT *, sum(CASE WHEN dr > 0 AND dr >= mx * 0.2::DOUBLE THEN 1 ELSE 0 END) OVER w AS cp, sum(CASE WHEN dr >= 3 THEN 1 ELSE 0 END) OVER w AS c3, sum(CASE WHEN dr >= 1 THEN 1 ELSE 0 END) OVER w AS c1 FROM tg WINDOW w AS (PARTITION BY user_id, season ORDER BY lps DESC, location ROWS UNBOUNDED PRECEDING))"""
 
 
-def _labels(spark, sf):
+def _labels(spark, sf, scores=None):
     ue = (usual_environment.Rule("ue_1", "all", "all", "lps", 12), usual_environment.Rule("ue_2", "all", "night_time", "lps", 15), usual_environment.Rule("ue_3", "all", "all", "total_frequency", 25))
     home = (usual_environment.Rule("h_1", "all", "all", "lps", 18), usual_environment.Rule("h_2", "all", "night_time", "lps", 12))
-    k = _kept(spark, sf)
+    k = _kept(spark, sf, scores)
     first = usual_environment.apply_rules(usual_environment.cut_at_gap(k, 20, True), k, ue, "ue", False)
     inside = usual_environment.cut_at_gap(k, 3, False).join(first.select("user_id", "season", "location"), ["user_id", "season", "location"])
     return first.unionByName(usual_environment.apply_rules(inside, k, home, "home", True))
@@ -154,7 +157,8 @@ def usual_environment_aggregation(spark, sf):
 
 
 def usual_environment_metrics(spark, sf):
-    m = usual_environment.quality_metrics(cut(_longterm(spark, sf)), _labels(spark, sf), 20, 5)
+    scores = cut(_longterm(spark, sf))
+    m = usual_environment.quality_metrics(scores, _labels(spark, sf, scores), 20, 5)
     return m.withColumn("avg", F.round("avg", 6))
 
 
