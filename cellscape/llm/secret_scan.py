@@ -47,22 +47,32 @@ RULES = (
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """Spans in code points, end exclusive: match lengths and the lengths of what lies between give the places."""
+def spans(text: Column, rule: Rule, chunk: int = 256) -> Column:
+    """Spans in code points, end exclusive: the lengths of matches and of what lies between them give the places.
+
+    Matches are folded in chunks whose starts are known from the chunks' lengths, so a text of very many costs in
+    proportion to them.
+    """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     between = F.split(text, rule.pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(SPANS).alias("out"))
-    none = F.array().cast(SPANS)
+    none, zero = F.array().cast(SPANS), F.lit(0)
+
+    def starts(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["between"])
-        end = begin + F.length(x["found"])
-        hit = F.when(F.length(x["kept"]) >= rule.least, F.array(F.struct(begin.alias("start"), end.alias("end")))).otherwise(none)
-        return F.struct(end.alias("at"), F.concat(F.coalesce(acc["out"], none), hit).alias("out"))
+        begin = acc["at"] + x["between"]
+        end = begin + x["found"]
+        hit = F.when(x["kept"] >= rule.least, F.array(F.struct(begin.alias("start"), end.alias("end")))).otherwise(none)
+        return F.struct(end.alias("at"), F.concat(acc["out"], hit).alias("out"))
 
-    items = F.arrays_zip(found.alias("found"), F.slice(between, F.lit(1), F.size(found)).alias("between"), kept.alias("kept"))
-    return F.when(F.rlike(text, F.lit(rule.pattern)), F.aggregate(items, start, step, lambda a: F.coalesce(a["out"], none))).otherwise(none)
+    lengths = [F.transform(x, F.length).alias(k) for x, k in ((found, "found"), (F.slice(between, F.lit(1), F.size(found)), "between"), (kept, "kept"))]
+    pieces = F.transform(F.sequence(zero, F.ceil(F.size(found) / chunk).cast("int") - 1), lambda i: F.slice(F.arrays_zip(*lengths), i * chunk + 1, F.lit(chunk)))
+    sums = F.transform(pieces, lambda c: F.aggregate(c, zero, lambda acc, x: acc + x["found"] + x["between"]))
+    begins = F.aggregate(sums, F.struct(zero.alias("at"), F.array().cast("array<int>").alias("out")), starts, lambda acc: acc["out"])
+    parts = F.zip_with(pieces, begins, lambda c, at: F.aggregate(c, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"]))
+    return F.when(F.rlike(text, F.lit(rule.pattern)), F.flatten(parts)).otherwise(none)
 
 
 def read_ledger(like: DataFrame, path: str) -> DataFrame | None:
@@ -78,8 +88,9 @@ def read_ledger(like: DataFrame, path: str) -> DataFrame | None:
 def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, blob, found) of every row: ``found`` holds structs (start, place of the rule in ``rules``, end, kind) by start, then place.
 
-    A null text counts as empty. Rows that repeat an id are each returned. ``ledger`` is a path that
-    outlives the scan; without one a new ledger is begun in the shared folder. Other columns aren't read.
+    A null text counts as empty; a text of any length is scanned whole. Rows that repeat an id, or have none, are each
+    returned. ``ledger`` is a path that outlives the scan; without one a new ledger is begun in the shared folder, and
+    every blob is unseen. An append that is tried again repeats entries, which count once. Other columns aren't read.
     """
     spark = versions.sparkSession
     ledger = ledger or shared_dir(spark, "ledger")
@@ -87,20 +98,21 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] =
     rows = versions.select(F.col(id_col), F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("body"))
     paths = table(rows.select(id_col, "blob"), "paths")
     blobs = rows.groupBy("blob").agg(F.first("body").alias("body"))
+    wanted = F.col("pair").isin([r.pair for r in rules])
     known = read_ledger(versions, ledger)
     if known is None:
         blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
     else:  # as many pairs a blob as there are rule versions
-        seen = known.groupBy(F.col("blob").alias("b")).agg(F.collect_set("pair").alias("seen"))
+        seen = known.where(wanted).groupBy(F.col("blob").alias("b")).agg(F.collect_set("pair").alias("seen"))
         blobs = blobs.join(seen, F.col("blob") == F.col("b"), "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
         blobs = blobs.where(F.size(F.array_except(F.array(*[F.lit(r.pair) for r in rules]), "seen")) > 0)
     new = F.array(
         *[F.when(~F.array_contains("seen", r.pair), F.struct(F.lit(r.pair).alias("pair"), spans(F.col("body"), r).alias("spans"))) for r in rules]
     )
     entries = blobs.select("blob", F.explode(F.array_compact(new)).alias("entry")).select("blob", "entry.pair", "entry.spans")
-    entries.write.mode("append").parquet(ledger)
+    entries.write.mode("append").partitionBy("pair").parquet(ledger)  # so that only the pairs asked for are read
     places = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.pair), F.struct(F.lit(i).alias("place"), F.lit(r.kind).alias("kind")))])
-    hits = read_ledger(versions, ledger).where(F.col("pair").isin([r.pair for r in rules]) & (F.size("spans") > 0)).withColumn("rule", places[F.col("pair")])
+    hits = read_ledger(versions, ledger).where(wanted & (F.size("spans") > 0)).withColumn("rule", places[F.col("pair")])
     each = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("rule.place").alias("place"), s["end"].alias("end"), F.col("rule.kind").alias("kind")))
     by_blob = table(
         hits.select("blob", each.alias("each")).groupBy(F.col("blob").alias("b")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("each")))).alias("found")), "found"

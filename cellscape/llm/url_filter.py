@@ -103,6 +103,11 @@ def with_features(urls: DataFrame, url_col: str = "url") -> DataFrame:
     )
 
 
+def ruled_labels(rows: DataFrame) -> DataFrame:
+    """(url, label) of the rows that a rule decides."""
+    return rows.where("ruled is not null").select("url", (F.col("ruled.verdict") == "block").cast("int").alias("label"))
+
+
 @dataclass(frozen=True)
 class Model:
     """``trees`` is None where the labels were of one kind or none; then ``prior`` decides."""
@@ -112,10 +117,15 @@ class Model:
     prior: float
 
 
-def _vectors(rows: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
-    """``rows`` with the feature vector; ``suffixes`` has at most ``Params.sample`` rows, so it is broadcast."""
+def _vectors(rows: DataFrame, suffixes: DataFrame, prior: float, params: Params, own: Column | None = None) -> DataFrame:
+    """``rows`` with the feature vector; ``suffixes`` has at most ``Params.sample`` rows, so it is broadcast.
+
+    Rows that the suffixes were counted on give their label as ``own``, and are left out of their own suffix's statistics.
+    """
     known = rows.join(F.broadcast(suffixes), F.col("lexical.suffix") == F.col("suffix_key"), "left")
-    known = known.withColumns({"suffix_rate": F.coalesce("suffix_rate", F.lit(prior)), "suffix_count": F.coalesce("suffix_count", F.lit(0.0))})
+    one = F.lit(0.0) if own is None else F.lit(1.0)
+    n, ones = F.coalesce("suffix_n", F.lit(0.0)) - one, F.coalesce("suffix_ones", F.lit(0.0)) - (F.lit(0.0) if own is None else own)
+    known = known.withColumns({"suffix_rate": (ones + params.prior * prior) / (n + params.prior), "suffix_count": F.log1p(n)})
     known = known.withColumns({f"gbt_{k}": F.col(k if k.startswith("suffix") else f"lexical.{k}") for k in FEATURES})
     return VectorAssembler(inputCols=[f"gbt_{k}" for k in FEATURES], outputCol="gbt_features").transform(known).drop(*[f"gbt_{k}" for k in FEATURES])
 
@@ -128,26 +138,38 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label", p
     prior = ones / n if n else 0.0
     if prior in (0.0, 1.0):
         return Model(None, None, prior)
-    rate = (F.sum("label") + params.prior * prior) / (F.count("*") + params.prior)
-    suffixes = table(sample.groupBy(F.col("lexical.suffix").alias("suffix_key")).agg(rate.alias("suffix_rate"), F.log1p(F.count("*").cast("double")).alias("suffix_count")), "suffixes")
+    suffixes = table(sample.groupBy(F.col("lexical.suffix").alias("suffix_key")).agg(F.sum("label").alias("suffix_ones"), F.count("*").cast("double").alias("suffix_n")), "suffixes")
     gbt = GBTClassifier(featuresCol="gbt_features", labelCol="label", maxIter=params.trees, maxDepth=params.depth, seed=params.seed)
-    return Model(suffixes, gbt.fit(_vectors(sample, suffixes, prior).select("gbt_features", "label")), prior)
+    return Model(suffixes, gbt.fit(_vectors(sample, suffixes, prior, params, F.col("label")).select("gbt_features", "label")), prior)
 
 
-def judge(urls: DataFrame, model: Model, url_col: str = "url", into: str = "block_score") -> DataFrame:
+def judge(urls: DataFrame, model: Model, url_col: str = "url", into: str = "block_score", params: Params = Params()) -> DataFrame:
     """``urls`` plus ``into``: the trees' probability that the URL is to be blocked."""
     if model.trees is None:
         return urls.withColumn(into, F.lit(model.prior))
-    rows = model.trees.transform(_vectors(with_features(urls, url_col), model.suffixes, model.prior))
+    rows = model.trees.transform(_vectors(with_features(urls, url_col), model.suffixes, model.prior, params))
     return rows.select(*urls.columns, F.round(vector_to_array("probability")[1], 6).alias(into))
 
 
+def held_out_accuracy(labelled: DataFrame, url_col: str = "url", label_col: str = "label", params: Params = Params(), folds: int = 5) -> tuple[float, float, int]:
+    """(accuracy, share of the commoner label, URLs) on the hash fold that a model of the other folds has not seen."""
+    urls = table(labelled.where(F.col(label_col).isNotNull()).select(F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.col(label_col).alias("label")), "folds")
+    out = F.pmod(F.xxhash64("url"), F.lit(folds)) == 0
+    judged = judge(urls.where(out), train(urls.where(~out), params=params), params=params)
+    right, ones, n = judged.agg(F.avg(((F.col("block_score") > 0.5) == (F.col("label") == 1)).cast("double")), F.avg(F.col("label").cast("double")), F.count("*")).first()
+    return (right or 0.0, max(ones or 0.0, 1 - (ones or 0.0)), n)
+
+
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", params: Params = Params()) -> DataFrame:
-    """(id, host, path, rule, verdict, block_score) of every row, nulls and repeats included; other columns aren't read."""
+    """(id, host, path, rule, verdict, block_score) of every row, nulls and repeats included; other columns aren't read.
+
+    A null URL counts as empty, a very long one is measured whole; equal URLs get equal verdicts. Where no rule labels
+    any URL, or all labels are alike, the share of blocked ones is every URL's score.
+    """
     rows = pages.select(F.col(id_col), F.col(url_col).alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rows = rows.withColumn("ruled", matching_rule(F.col("host"), F.col("path"), rules))
-    model = train(rows.where("ruled is not null").select("url", (F.col("ruled.verdict") == "block").cast("int").alias("label")), params=params)
-    judged = judge(rows, model)
+    model = train(ruled_labels(rows), params=params)
+    judged = judge(rows, model, params=params)
     own = F.when(F.col("block_score") > 0.5, "block").otherwise("allow")
     return judged.select(id_col, "host", "path", F.col("ruled.name").alias("rule"), F.coalesce("ruled.verdict", own).alias("verdict"), "block_score")

@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from cellscape.llm import class_lm, decontaminate, lang_zstd, license_scan, mixing, queries, secret_scan, simhash, token_store, url_filter
 
 SF = "/root/testdata/sf0.001"
@@ -158,6 +160,13 @@ def test_secret_edges(spark):
     assert got == {i: slow_spans(t) for i, t in enumerate(cases)}
 
 
+def test_secrets_of_a_text_with_very_many(spark):
+    text = " ".join(f"token=abc{i}def{i} x" for i in range(5000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (got,) = secret_scan.scan(df, rules=[r for r in secret_scan.RULES if r.base]).collect()
+    assert [tuple(x) for x in got["found"]] == slow_spans(text)
+
+
 def test_ledger_scans_only_what_is_new(spark, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     rules = secret_scan.RULES[:2]
@@ -622,6 +631,19 @@ def test_url_trees_learn(spark):
     assert sum((r["block_score"] > 0.5) == bool(r["label"]) for r in out) >= 0.95 * len(out)
 
 
+def test_url_held_out_accuracy(spark):
+    """Labels that follow lexical marks, and not the suffix, are learned and hold for unseen URLs."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url", F.col("url").rlike("[?#]|casino").cast("int").alias("label"))
+    accuracy, commoner, n = url_filter.held_out_accuracy(pages)
+    assert n > 300 and accuracy > commoner + 0.1, (accuracy, commoner, n)
+
+
+def test_url_repeats(spark):
+    rows = [(i % 3, f"http://{'casino' if i % 2 else 'site'}.example.{'com/de/' if i % 4 else 'net/'}{i % 5}") for i in range(60)]
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), queries.URL_RULES)
+    assert got.count() == 60 and got.groupBy("host", "path", "page_id").agg(F.count_distinct("verdict").alias("n")).where("n > 1").isEmpty()
+
+
 def test_url_odd_rows(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.ORG", "http://org/", "http://borg/", "http://x.EXAMPLE.org/en/12?q#f", "a://b://c.org/", "http://x.com/fr/" + "a" * 100_000]
     df = spark.createDataFrame([(i, u, 1, 2) for i, u in enumerate(urls)], "page_id long, url string, label int, host int")
