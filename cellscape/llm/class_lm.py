@@ -39,7 +39,6 @@ class Params:
     classes: int = 64
     sweeps: int = 4
     known: int = 150_000
-    block: int = 4096
     lead: int = 1024
     alpha: float = 0.5
 
@@ -87,9 +86,68 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def pair_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000_000) -> DataFrame:
-    """(a, b, n): how often symbol a is followed by b. The end is 0, clustered words follow, then the shapes; each text
-    begins after an end. A task counts ``room`` pairs or so at a time before it hands them on.
+#: Neighbour lists are packed: places and counts as unsigned 32-bit integers in the columns ``at`` and ``n`` of a side.
+PACKED = "w int, after_at binary, after_n binary, before_at binary, before_n binary"
+_MOST = np.int64((1 << 32) - 1)
+
+
+def _packed(keys: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A row for each of the sorted ``keys``, from (key, other, n) of both sides, each sorted by key."""
+    columns = [pa.array(keys, pa.int32())]
+    for key, other, n in sides:
+        for x in (other, n):
+            ends = np.concatenate([np.searchsorted(key, keys), [len(key)]]).astype(np.int32) * 4
+            columns.append(pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(ends), pa.py_buffer(x.astype("<u4"))]))
+    return pa.RecordBatch.from_arrays(columns, names=["w", "after_at", "after_n", "before_at", "before_n"])
+
+
+def _side(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bounds of each row's list, others, counts) of a packed side."""
+    out = []
+    for k in ("at", "n"):
+        column = part.column(part.schema.get_field_index(f"{side}_{k}"))
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+        data = column.buffers()[2]
+        out.append(np.frombuffer(data, "<u4") if data is not None and data.size else np.zeros(0, "<u4"))
+    return bounds, out[0], out[1]
+
+
+def _long(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(w, other, n) of every entry of a packed side."""
+    bounds, other, n = _side(part, side)
+    first, last = int(bounds[0]), int(bounds[-1])
+    return np.repeat(part.column(0).to_numpy().astype(np.int64), np.diff(bounds)), other[first:last].astype(np.int64), n[first:last].astype(np.int64)
+
+
+def _summed(w: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by (w, other), a pair once; a count too large for its field is split over entries."""
+    code = w << 32 | other
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    code, n = code[first], np.add.reduceat(n, first) if len(first) else n
+    parts = -(-n // _MOST)
+    if (parts > 1).any():
+        rest = n - (parts - 1) * _MOST
+        code, n = np.repeat(code, parts), np.full(int(parts.sum()), _MOST)
+        n[np.cumsum(parts) - 1] = rest
+    return code >> 32, code & 0xFFFFFFFF, n
+
+
+def _both(sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rows: int = 5000) -> Iterator[pa.RecordBatch]:
+    keys = np.unique(np.concatenate([sides[0][0], sides[1][0]]))
+    for i in range(0, len(keys), rows):
+        some = keys[i : i + rows]
+        cut = [slice(np.searchsorted(s[0], some[0]), np.searchsorted(s[0], some[-1], "right")) for s in sides]
+        yield _packed(some, [tuple(x[c] for x in s) for s, c in zip(sides, cut)])
+
+
+def neighbour_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000_000, hot: int = 512, spread: int = 16) -> DataFrame:
+    """(w, lists): how often each symbol is followed and preceded by each other one, as a written table of a row each.
+
+    The end is 0, clustered words follow by falling frequency, then the shapes; each text begins after an end. A task
+    counts ``room`` pairs or so at a time and hands them on packed by symbol. The lists of the ``hot`` most frequent words,
+    the end and the shapes are first merged in ``spread`` parts; a merged list is bounded by the number of symbols.
     """
     first = len(symbol) + 1
 
@@ -98,9 +156,8 @@ def pair_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000_000)
 
         def out() -> Iterator[pa.RecordBatch]:
             pair, n = np.unique(np.concatenate(held), return_counts=True)
-            for i in range(0, len(pair), 100_000):
-                x = pair[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array((x >> 32).astype(np.int32)), pa.array((x & 0xFFFFFFFF).astype(np.int32)), pa.array(n[i : i + 100_000])], names=["a", "b", "n"])
+            a, b = pair >> 32, pair & 0xFFFFFFFF
+            yield from _both([(a, b, n), _summed(b, a, n)])
 
         for part in parts:
             ids: list[int] = [0]
@@ -116,7 +173,33 @@ def pair_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000_000)
         if held:
             yield from out()
 
-    return texts.mapInArrow(counted, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sides = [[np.concatenate(x) for x in zip(*(_long(p, side) for p in batches))] for side in ("after", "before")]
+            yield from _both([_summed(*x) for x in sides])
+
+        for part in parts:
+            w = part.column(0).to_numpy()
+            cut = int(np.searchsorted(w, w[-1])) if len(w) else 0  # the last symbol may go on
+            if cut:
+                yield from out([*held, part.slice(0, cut)])
+                held = []
+            held.append(part.slice(cut))
+            if sum(p.nbytes for p in held) > 64 << 20:
+                held = list(out(held))
+        if held:
+            yield from out(held)
+
+    def merge(rows: DataFrame, *by: object) -> DataFrame:
+        return rows.repartition("w", *by).sortWithinPartitions(*by, "w").select(*columns).mapInArrow(merged, PACKED)
+
+    columns = [c.split()[0] for c in PACKED.split(", ")]
+    is_hot = (F.col("w") <= hot) | (F.col("w") >= first)
+    part = F.when(is_hot, F.spark_partition_id() % spread).otherwise(0)
+    once = table(merge(texts.mapInArrow(counted, PACKED).withColumn("part", part), "part"), "pairs")
+    return once.where(~is_hot).unionByName(table(merge(once.where(is_hot)), "hot"))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -128,19 +211,21 @@ def likelihood(grid: np.ndarray) -> float:
     return float(_xlogx(grid).sum() - _xlogx(grid.sum(1)).sum() - _xlogx(grid.sum(0)).sum())
 
 
-def class_grid(pairs: DataFrame, of: np.ndarray, groups: int) -> np.ndarray:
+def class_grid(neighbours: DataFrame, of: np.ndarray, groups: int) -> np.ndarray:
     """Counts of class pairs, by task and then over all; at most groups squared reach the driver."""
 
     def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(groups * groups, np.int64)
         for part in parts:
-            a, b, n = (c.to_numpy() for c in part.columns)
-            total += np.bincount(of[a].astype(np.int64) * groups + of[b], weights=n, minlength=groups * groups).astype(np.int64)
+            bounds, other, n = _side(part, "after")
+            first, last = int(bounds[0]), int(bounds[-1])
+            cell = np.repeat(of[part.column(0).to_numpy()] * groups, np.diff(bounds)) + of[other[first:last]]
+            total += np.bincount(cell, weights=n[first:last], minlength=groups * groups).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
     grid = np.zeros(groups * groups)
-    for r in pairs.select("a", "b", "n").mapInArrow(summed, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for r in neighbours.select("w", "after_at", "after_n").mapInArrow(summed, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         grid[r["at"]] = r["n"]
     return grid.reshape(groups, groups)
 
@@ -186,17 +271,16 @@ class Exchange:
 
 
 def sweep(neighbours: DataFrame, of: np.ndarray, grid: np.ndarray, classes: int) -> np.ndarray:
-    """``of`` after every task has moved its words, one row (w, around) each."""
+    """``of`` after every task has moved its words, a packed row each."""
 
     def moved(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         view = Exchange(of, grid, classes)
         for part in parts:
-            words, around, out = part.column(0).to_numpy(), part.column(1), []
-            at, found = around.offsets.to_numpy(), around.values
-            after, other, n = (found.field(k).to_numpy(zero_copy_only=False) for k in ("after", "other", "n"))
-            for w, i, j in zip(words, at, at[1:]):
-                o, k, s = other[i:j], n[i:j], after[i:j]
-                out.append(view.move(int(w), o[s], k[s], o[~s], k[~s]))
+            words, out = part.column(0).to_numpy(), []
+            (i, a, n), (j, b, m) = _side(part, "after"), _side(part, "before")
+            for k, w in enumerate(words):
+                x, y = slice(i[k], i[k + 1]), slice(j[k], j[k + 1])
+                out.append(view.move(int(w), a[x], n[x], b[y], m[y]))
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(out, pa.int32())], names=["w", "c"])
 
     new = of.copy()
@@ -205,28 +289,23 @@ def sweep(neighbours: DataFrame, of: np.ndarray, grid: np.ndarray, classes: int)
     return new
 
 
-def exchange(pairs: DataFrame, words: int, params: Params) -> tuple[np.ndarray, np.ndarray]:
+def exchange(neighbours: DataFrame, words: int, params: Params) -> tuple[np.ndarray, np.ndarray]:
     """(class of every symbol, grid of class pairs): end 0, words by exchange 1..classes, each shape its own.
 
-    The most frequent words start with a class each, all others share the last one, so no two classes begin alike. The ``lead`` most frequent are moved by one task first, so that all tasks
-    start from the same kinds of classes instead of each its own.
+    The most frequent words start with a class each, all others share the last one, so no two classes begin alike. The
+    ``lead`` most frequent are moved by one task first, so that all tasks start from the same kinds of classes instead
+    of each its own.
     """
     groups = params.classes + 1 + SHAPES
-    of = np.concatenate([[0], np.minimum(np.arange(words), params.classes - 1) + 1, params.classes + 1 + np.arange(SHAPES)]).astype(np.int32)
-    grid = class_grid(pairs, of, groups)
+    of = np.concatenate([[0], np.minimum(np.arange(words), params.classes - 1) + 1, params.classes + 1 + np.arange(SHAPES)])
+    grid = class_grid(neighbours, of, groups)
     if not words:
         return of, grid
-    is_word = lambda c: F.col(c).between(1, words)
-    both = pairs.where(is_word("a")).select(F.col("a").alias("w"), F.col("b").alias("other"), "n", F.lit(True).alias("after")).unionByName(
-        pairs.where(is_word("b")).select(F.col("b").alias("w"), F.col("a").alias("other"), "n", F.lit(False).alias("after"))
-    )
-    # a word's list is bounded by the vocabulary, and splits of the written table never part it
-    lists = both.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("after", "other", "n"))).alias("around"))
-    neighbours = table(lists.repartition(-(-words // params.block), "w").sortWithinPartitions("w"), "neighbours")
-    lead = table(neighbours.where(F.col("w") <= params.lead).coalesce(1).sortWithinPartitions("w"), "lead").coalesce(1)
+    lead = table(neighbours.where(F.col("w").between(1, min(words, params.lead))).coalesce(1).sortWithinPartitions("w"), "lead").coalesce(1)
+    own = neighbours.where(F.col("w").between(1, words))
     for k in range(2 + params.sweeps):
-        new = sweep(lead if k < 2 else neighbours, of, grid, params.classes)
-        after = class_grid(pairs, new, groups)
+        new = sweep(lead if k < 2 else own, of, grid, params.classes)
+        after = class_grid(neighbours, new, groups)
         if likelihood(after) <= likelihood(grid) and k >= 2:
             break
         of, grid = new, after
@@ -259,8 +338,7 @@ def train(texts: DataFrame, text_col: str = "text", params: Params = Params()) -
     top = most_frequent(counts, params.known)
     clustered = [(w, c) for w, c in top if c >= params.least]
     symbol = {w: i + 1 for i, (w, _) in enumerate(clustered)}
-    pairs = table(pair_counts(rows, symbol), "pairs")
-    class_of, grid = exchange(pairs, len(clustered), params)
+    class_of, grid = exchange(neighbour_counts(rows, symbol), len(clustered), params)
     shapes = counts.groupBy(shape_column(F.col("word")).alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     ends, first, groups = int(grid[:, 0].sum()), params.classes + 1, len(grid)
     n, v = np.zeros(groups), np.zeros(groups)

@@ -349,9 +349,10 @@ def test_exchange_raises_likelihood(spark):
     kind = rng.permutation(np.arange(200) % 2)
     n = rng.integers(0, 9, (200, 200)) + 50 * (kind[:, None] != kind[None, :])
     rows = [(a + 1, b + 1, int(n[a, b])) for a in range(200) for b in range(200) if n[a, b]]
-    pairs = spark.createDataFrame(rows, "a int, b int, n long")
-    params = class_lm.Params(classes=2, block=64, lead=50, sweeps=8)
-    of, grid = class_lm.exchange(pairs, 200, params)
+    w, other, count = np.array(rows).T
+    lists = list(class_lm._both([class_lm._summed(w, other, count), class_lm._summed(other, w, count)], rows=50))
+    pairs = spark.createDataFrame([tuple(r.values()) for b in lists for r in b.to_pylist()], class_lm.PACKED).repartition(4)
+    of, grid = class_lm.exchange(pairs, 200, class_lm.Params(classes=2, lead=50, sweeps=8))
     ids = np.arange(len(of))
     assert len({(a, b) for a, b in zip(kind, of[1:201])}) == 2
     assert (class_lm.class_grid(pairs, of, len(grid)) == grid).all()
@@ -359,6 +360,26 @@ def test_exchange_raises_likelihood(spark):
     assert class_lm.likelihood(grid) > class_lm.likelihood(start)
 
 
+def test_neighbour_counts_match_brute_force(spark, docs, texts):
+    """Whatever is flushed and merged in parts, each symbol's lists come out whole, in one row."""
+    split = lambda t: [w for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
+    common = [w for w, _ in Counter(w for r in texts.values() for w in split(r["text"])).most_common(300)]
+    symbol = {w: i + 1 for i, w in enumerate(common)}
+    of = lambda w: symbol.get(w, 301 + class_lm.shape(w.encode()))
+    want = Counter()
+    for r in texts.values():
+        s = [0, *map(of, split(r["text"])), 0]
+        want.update(zip(s, s[1:]))
+    rows = docs.repartition(7).select(F.coalesce("text", F.lit("")).alias("t"))
+    got = class_lm.neighbour_counts(rows, symbol, room=3000, hot=20, spread=3).collect()
+    assert len(got) == len({r["w"] for r in got})
+    after = {(r["w"], int(o)): int(n) for r in got for o, n in zip(np.frombuffer(r["after_at"], "<u4"), np.frombuffer(r["after_n"], "<u4"))}
+    before = {(int(o), r["w"]): int(n) for r in got for o, n in zip(np.frombuffer(r["before_at"], "<u4"), np.frombuffer(r["before_n"], "<u4"))}
+    assert after == before == want
+    w, other, n = class_lm._summed(np.array([3, 3]), np.array([5, 5]), np.array([2**32, 7]))
+    assert n.sum() == 2**32 + 7 and n.max() < 2**32 and set(w) == {3} and set(other) == {5}
+
+
 def test_one_move_is_the_best_one():
     """The gain that a move goes by is the difference of whole likelihoods."""
     rng = np.random.default_rng(2)
