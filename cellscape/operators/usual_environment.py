@@ -72,14 +72,15 @@ def apply_rules(tiles: DataFrame, scores: DataFrame, rules: Sequence[Rule], labe
     return df.select(*by, "location", F.lit(label).alias("label"), code.alias("label_rule"))
 
 
-def label_tiles(scores: DataFrame, total_ps: int = 2, total_days: int = 1, ue_gap: float = 20, home_gap: float = 1, work_gap: float = 1, global_stop: bool = False) -> DataFrame:
+def label_tiles(scores: DataFrame, total_ps: int = 2, total_days: int = 1, ue_gap: float = 20, home_gap: float = 1, work_gap: float = 1, global_stop: bool = False, cascades: Sequence[Sequence[Rule]] = (UE_RULES, HOME_RULES, WORK_RULES)) -> DataFrame:
     """Usual environment, home and work labels; home and work only within the usual environment."""
+    ue_rules, home_rules, work_rules = cascades
     kept = cut(discard_devices(scores, total_ps, total_days))  # read by each label's cut and rules
-    ue = cut(apply_rules(cut_at_gap(kept, ue_gap, True), kept, UE_RULES, "ue", False))
+    ue = cut(apply_rules(cut_at_gap(kept, ue_gap, True), kept, ue_rules, "ue", False))
     inside = ue.select("user_id", "season", "location")
     tiles = lambda gap: cut_at_gap(kept, gap, False).join(inside, ["user_id", "season", "location"])
-    home = apply_rules(tiles(home_gap), kept, HOME_RULES, "home", True, global_stop)
-    work = apply_rules(tiles(work_gap), kept, WORK_RULES, "work", True, global_stop)
+    home = apply_rules(tiles(home_gap), kept, home_rules, "home", True, global_stop)
+    work = apply_rules(tiles(work_gap), kept, work_rules, "work", True, global_stop)
     return ue.unionByName(home).unionByName(work)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..codes import ID_GRID
@@ -151,6 +153,44 @@ ho AS (SELECT c.user_id, c.season, c.location, CASE WHEN coalesce(a, 0) >= ta *
 lb AS (SELECT user_id, season, location, 'ue' AS label, label_rule FROM ue UNION ALL SELECT user_id, season, location, 'home', label_rule FROM (SELECT *, min(label_rule) OVER (PARTITION BY user_id, season) AS best FROM ho WHERE label_rule IS NOT NULL) WHERE label_rule = best)"""
 
 
+#: The cascades with a sixth of their percentages, as a device of the demonstration spreads over several tiles.
+_CASCADES = [[replace(r, percent=r.percent / 6) for r in rules] for rules in (usual_environment.UE_RULES, usual_environment.HOME_RULES, usual_environment.WORK_RULES)]
+
+
+def device_labels(spark, sf):
+    """The three cascades, home and work inside the usual environment."""
+    return usual_environment.label_tiles(_longterm(spark, sf), 20, 5, cascades=_CASCADES)
+
+
+def _cascade(name: str, source: str, rules, label: str, first_only: bool) -> str:
+    """A cascade in SQL: each rule's share of the device's own metric, the first that holds, and of these the device's first."""
+    metric = lambda r, table: f"(SELECT max({r.metric}) FROM ks k WHERE k.user_id = c.user_id AND k.season = c.season AND k.day_type = '{r.day_type}' AND k.time_interval = '{r.time_interval}' AND {table})"
+    whens = " ".join(f"WHEN coalesce({metric(r, 'k.id_type = ' + chr(39) + 'grid' + chr(39) + ' AND k.location = c.location')}, 0) >= {metric(r, 'k.id_type = ' + chr(39) + 'device_observation' + chr(39))} * {r.percent / 100}::DOUBLE THEN {i}" for i, r in enumerate(rules))
+    codes = ", ".join(f"'{r.code}'" for r in rules)
+    best = f"SELECT *, min(rule) OVER (PARTITION BY user_id, season) AS best FROM {name}0 WHERE rule IS NOT NULL"
+    return f", {name}0 AS (SELECT c.user_id, c.season, c.location, CASE {whens} END AS rule FROM {source}), {name} AS (SELECT user_id, season, location, '{label}' AS label, ([{codes}])[rule + 1] AS label_rule FROM ({best}) WHERE {'rule = best' if first_only else 'true'})"
+
+
+_DEVICE_LABELS = (
+    _CUT
+    + _cascade("su", "cu c WHERE c.cp = 0", _CASCADES[0], "ue", False)
+    + _cascade("sh", "cu c SEMI JOIN su USING (user_id, season, location) WHERE c.c1 = 0", _CASCADES[1], "home", True)
+    + _cascade("sw", "cu c SEMI JOIN su USING (user_id, season, location) WHERE c.c1 = 0", _CASCADES[2], "work", True)
+)
+
+
+def months_and_dates(spark, sf):
+    """Days that scores of two months need, with a margin of three, and whether there are events of them."""
+    days = spark.range(1).select(F.inline(permanence.midterm_months("2024-01", "2024-02", 3))).select("month", F.explode(F.sequence("first", "last")).alias("date"))
+    needed = [str(r["date"]) for r in days.select("date").distinct().collect()]
+    missing = permanence.missing_dates(demo.events(spark, sf).select("date"), needed).withColumn("missing", F.lit(True))
+    return days.join(missing, "date", "left").select("month", F.col("date").cast("string").alias("date"), F.coalesce("missing", F.lit(False)).alias("missing"))
+
+
+MONTHS_SQL = f"""WITH {EV}, m AS (SELECT * FROM (VALUES ('2024-01', DATE '2023-12-29', DATE '2024-02-03'), ('2024-02', DATE '2024-01-29', DATE '2024-03-03')) v(month, a, b))
+SELECT month, cast(d AS VARCHAR) AS date, d NOT IN (SELECT date FROM ev) AS missing FROM (SELECT month, cast(unnest(range(a, b + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM m)"""
+
+
 def usual_environment_aggregation(spark, sf):
     w = usual_environment.tile_weights(demo.lattice(spark).where("k % 4 <> 1"))
     return usual_environment.aggregate_labels(_labels(spark, sf), w).withColumn("weighted_device_count", F.round("weighted_device_count", 6))
@@ -210,6 +250,8 @@ QUERIES = {
     "longterm_ps": (longterm_ps, f"WITH {_LPS} SELECT user_id, season, day_type, time_interval, id_type, location, {_B('lps')}, {_B('total_frequency')}, round(fm, 6) AS frequency_mean, round(fs, 6) AS frequency_std FROM lp"),
     "gap_cut": (gap_cut, f"WITH {_CUT} SELECT user_id, season, location, {_B('lps')}, 'percent' AS kind FROM cu WHERE cp = 0 UNION ALL SELECT user_id, season, location, {_B('lps')}, 'absolute' FROM cu WHERE c3 = 0"),
     "usual_environment_labels": (usual_environment_labels, f"WITH {_LABEL} SELECT * FROM lb"),
+    "device_labels": (device_labels, f"WITH {_DEVICE_LABELS} SELECT * FROM su UNION ALL SELECT * FROM sh UNION ALL SELECT * FROM sw"),
+    "months_and_dates": (months_and_dates, MONTHS_SQL),
     "usual_environment_aggregation": (usual_environment_aggregation, f"WITH {_LABEL}, w AS (SELECT lb.*, CASE WHEN tl.k IS NULL THEN 0.001::DOUBLE ELSE 1.0 END AS w FROM lb LEFT JOIN tl ON cast(tl.grid_id AS VARCHAR) = location AND tl.k % 4 <> 1), s AS (SELECT *, w / sum(w) OVER (PARTITION BY user_id, season, label) AS s FROM w) SELECT season, label, location, round(sum(s), 6) AS weighted_device_count FROM s GROUP BY ALL"),
     "usual_environment_metrics": (usual_environment_metrics, f"WITH {_LABEL}, o AS (SELECT CASE WHEN lps < 20 OR total_frequency < 5 THEN 'devices_discarded' ELSE 'devices_kept' END AS metric, cast(lps AS DOUBLE) AS v FROM lp WHERE id_type = 'device_observation' AND day_type = 'all' AND time_interval = 'all' UNION ALL SELECT label || '_' || label_rule, cast(count(*) AS DOUBLE) FROM lb GROUP BY user_id, season, label, label_rule) SELECT metric, count(*) AS count, min(v) AS min, max(v) AS max, round(avg(v), 6) AS avg FROM o GROUP BY metric"),
     "unknown_share": (unknown_share, UNKNOWN_SQL),

@@ -34,6 +34,20 @@ def qw_error_rate_by_cell(spark, sf):
     return _out(quality.rate_warnings(r, ["date", "cell_id"], None, 2.5, 300.0, 60.0), "cell_id")
 
 
+def _named(spark, sf):
+    """Frequencies of rows with a user, its id as text."""
+    return _frequency(spark, sf).where("user_id is not null").withColumn("user_id", F.lower(F.hex("user_id")))
+
+
+def qw_error_rate_by_user(spark, sf):
+    return _out(quality.rate_warnings(quality.error_rate(_named(spark, sf), ["date", "user_id"]), ["date", "user_id"], None, 2.5, 300.0, 60.0), "user_id")
+
+
+def qw_error_rate_by_user_cell(spark, sf):
+    r = quality.error_rate(_named(spark, sf).where("cell_id is not null"), ["date", "user_id", "cell_id"])
+    return _out(quality.rate_warnings(r, ["date", "user_id", "cell_id"], None, 2.5, 300.0, 60.0), "user_id", "cell_id")
+
+
 def qw_error_type(spark, sf):
     f = _flagged(spark, sf)
     r = quality.error_type_rate(event_cleaning.metrics_by_column(f, ["date"]), event_cleaning.frequency_metrics(f, ["date"]))
@@ -111,6 +125,8 @@ QUERIES = {
     "qw_size": (qw_size, f"WITH {BRONZE} {_size_sql('raw', 'count(*)', 320, 345)} UNION ALL {_size_sql('clean', 'count(*) FILTER (to_preserve)', 290, 310)}"),
     "qw_error_rate": (qw_error_rate, f"WITH {BRONZE}, er AS (SELECT date, {_ER} AS v FROM flagged GROUP BY date), " + _rate_sql("er", "date", "", 7, 1.0, 5.0, 11.0)),
     "qw_error_rate_by_cell": (qw_error_rate_by_cell, f"WITH {BRONZE}, er AS (SELECT date, cell_id, {_ER} AS v FROM flagged WHERE cell_id IS NOT NULL GROUP BY date, cell_id), " + _rate_sql("er", "date, cell_id", "cell_id", None, 2.5, 300.0, 60.0)),
+    "qw_error_rate_by_user": (qw_error_rate_by_user, f"WITH {BRONZE}, er AS (SELECT date, user_id, {_ER} AS v FROM flagged WHERE user_id IS NOT NULL GROUP BY date, user_id), " + _rate_sql("er", "date, user_id", "user_id", None, 2.5, 300.0, 60.0)),
+    "qw_error_rate_by_user_cell": (qw_error_rate_by_user_cell, f"WITH {BRONZE}, er AS (SELECT date, user_id, cell_id, {_ER} AS v FROM flagged WHERE user_id IS NOT NULL AND cell_id IS NOT NULL GROUP BY date, user_id, cell_id), " + _rate_sql("er", "date, user_id, cell_id", "user_id, cell_id", None, 2.5, 300.0, 60.0)),
     "qw_error_type": (qw_error_type, f"WITH {BRONZE}, er AS (SELECT m.date, variable, type_of_error, value / n * 100::DOUBLE AS v FROM ({_METRICS}) m JOIN (SELECT date, count(*) AS n FROM flagged GROUP BY date) t USING (date) WHERE type_of_error <> 0), " + _rate_sql("er", "date, variable, type_of_error", "variable, type_of_error", 7, 2.0, 80.0, 2.0)),
     "qw_semantic": (qw_semantic, f"WITH {_SR}, q AS (SELECT *, CASE WHEN count(*) OVER w >= 2 THEN avg(v) OVER w + stddev_samp(v) OVER w ELSE 8.0::DOUBLE END AS b FROM sr WINDOW w AS (PARTITION BY type_of_error ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) SELECT cast(date AS VARCHAR) AS date, type_of_error, round(v, 6) AS daily_value, 'upper_control_limit' AS warning, round(b, 6) AS condition_value FROM q WHERE v > b"),
     "semantic_log": (semantic_log, f"WITH {_SR} SELECT cast(date AS VARCHAR) AS date, " + ", ".join(f"round(max(CASE WHEN type_of_error = {c} THEN v END), 6) AS error_{c}" for c in (1, 2, 3, 4, 5)) + " FROM sr GROUP BY date"),
