@@ -2,7 +2,8 @@
 
 The one stateful operator: users are dealt by key and sorted by time, and each partition is folded in
 one streaming pass that holds the current user's state and day. Midnight resets the fold as the daily
-rules ask, so a history needs one shuffle and no loop over days.
+rules ask, so a history needs one shuffle and no loop over days; a later run can go on from the last
+segments that an earlier one left, and then reads only the days since.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
-from itertools import groupby, islice, takewhile
+from itertools import chain, groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ from ..codes import ABROAD, MOVE, OUTBOUND, STAY, UNDETERMINED, UNKNOWN
 DAY = 86400
 SCHEMA = "user_id long, time_segment_id string, start_s long, end_s long, last_event_s long, cells array<string>, plmn int, state int, is_last boolean, day long"
 
+HELD = "struct<start:long,end:long,last:long,cells:array<string>,plmn:long,state:int>"
+
 
 @dataclass(frozen=True)
 class Params:
@@ -110,46 +113,67 @@ def day_segments(before: Segment | None, events: list[Event], following: Event |
     return [s for s in cut if s.end > s.start]
 
 
-def history(days: Iterable[tuple[int, list[Event]]], until: int, p: Params) -> Iterator[tuple[Segment, bool, int]]:
-    """(segment, is_last, day) over a user's days of events, up to day ``until``; days without events between are filled."""
-    before: Segment | None = None
+def history(days: Iterable[tuple[int, list[Event]]], until: int, p: Params, before: Segment | None = None, since: int | None = None) -> Iterator[tuple[Segment, bool, int]]:
+    """(segment, is_last, day) over a user's days of events, up to day ``until``; days without events between are filled.
+
+    ``before`` is the last segment of the day before ``since``, from which a later run goes on. Events of the day after
+    ``until`` only tell how that day ends.
+    """
     coming = iter(days)
     after = next(coming, None)
-    while after is not None:
-        (day, events), after = after, next(coming, None)
-        stop = after[0] if after else until + 1
-        for d in range(day, stop):
-            following = after[1][0] if after and d + 1 == stop else None
-            if before is not None and before.state == UNKNOWN and (before.last is None or d * DAY - before.last > p.missing_unknown):
-                before = None
-            made = day_segments(before, events if d == day else [], following, d * DAY, p)
-            for j, s in enumerate(made):
-                yield s, j == len(made) - 1, d
-            before = made[-1] if made else None
+    day = since if before is not None and since is not None else after[0] if after else until + 1
+    while day <= until:
+        events: list[Event] = []
+        if after and after[0] == day:
+            events, after = after[1], next(coming, None)
+        following = after[1][0] if after and after[0] == day + 1 else None
+        if before is not None and before.state == UNKNOWN and (before.last is None or day * DAY - before.last > p.missing_unknown):
+            before = None
+        made = day_segments(before, events, following, day * DAY, p)
+        for j, s in enumerate(made):
+            yield s, j == len(made) - 1, day
+        before = made[-1] if made else None
+        day = day + 1 if made else after[0] if after else until + 1
 
 
 def segment_id(user: object, start: int) -> str:
     return hashlib.md5(f"{user}{pd.Timestamp(start, unit='s')}".encode()).hexdigest()
 
 
-def time_segments(events: DataFrame, overlaps: DataFrame, until: int, params: Params = Params()) -> DataFrame:
+def time_segments(events: DataFrame, overlaps: DataFrame, until: int, params: Params = Params(), last: DataFrame | None = None, since: int | None = None) -> DataFrame:
     """Segments of every user from its first event's day to day ``until`` (days since 1970).
 
-    ``events``: user_id, timestamp, cell_id, plmn, domain; ``overlaps``: cell_id, overlapping_cell_ids.
+    ``events``: user_id, timestamp, cell_id, plmn, domain; ``overlaps``: cell_id, overlapping_cell_ids. To go on from an
+    earlier run, give the rows of its result as ``last`` and the day after it as ``since``: only events from then on are
+    used, and the segments are those of a run over everything, if the earlier run also saw the events of ``since``.
+    A task holds a day of one user's events at a time.
     """
     near = overlaps.select(F.col("cell_id").alias("_cell"), "overlapping_cell_ids")
     rows = events.join(near, F.col("cell_id") == F.col("_cell"), "left").select(
-        "user_id", F.unix_timestamp("timestamp").alias("t"), "cell_id", "overlapping_cell_ids", "plmn", (F.col("domain") == OUTBOUND).alias("abroad")
+        "user_id", F.unix_timestamp("timestamp").alias("t"), "cell_id", "overlapping_cell_ids", F.col("plmn").cast("long").alias("plmn"), (F.col("domain") == OUTBOUND).alias("abroad"), F.lit(None).cast(HELD).alias("held")
     )
+    if since is not None:
+        rows = rows.where(F.col("t") >= since * DAY)
+    rows = rows.where(F.col("t") < (until + 2) * DAY)
+    if last is not None and since is not None:
+        held = F.struct(F.col("start_s").alias("start"), F.col("end_s").alias("end"), F.col("last_event_s").alias("last"), "cells", F.col("plmn").cast("long").alias("plmn"), F.col("state").cast("int").alias("state"))
+        kept = last.where(F.col("is_last") & (F.col("day") == since - 1)).select("user_id", F.lit(since * DAY - 1).cast("long").alias("t"), held.cast(HELD).alias("held"))
+        rows = rows.unionByName(kept, allowMissingColumns=True)
 
     def event(row: tuple) -> Event:
-        _, t, cell, near, plmn, abroad = row
+        _, t, cell, near, plmn, abroad, _ = row
         return Event(int(t), cell, frozenset(near) if near is not None else frozenset(), None if pd.isna(plmn) else int(plmn), bool(abroad))
 
-    def emit(user: object, rows: Iterable[tuple]) -> Iterator[tuple]:
-        days = ((d, [event(r) for r in x]) for d, x in groupby(rows, lambda r: int(r[1]) // DAY))
-        for s, end, d in history(takewhile(lambda x: x[0] <= until, days), until, params):
-            yield user, segment_id(user, s.start), s.start, s.end, s.last, sorted(s.cells), s.plmn, s.state, end, d
+    def segment(h: dict) -> Segment:
+        whole = lambda x: None if pd.isna(x) else int(x)
+        return Segment(int(h["start"]), int(h["end"]), whole(h["last"]), frozenset(h["cells"]), whole(h["plmn"]), int(h["state"]))
+
+    def emit(user: object, rows: Iterator[tuple]) -> Iterator[tuple]:
+        first = next(rows)
+        before = segment(first[6]) if not isinstance(first[6], (float, type(None))) else None
+        days = ((d, [event(r) for r in x]) for d, x in groupby(rows if before else chain([first], rows), lambda r: int(r[1]) // DAY))
+        for s, is_last, d in history(days, until, params, before, since):
+            yield user, segment_id(user, s.start), s.start, s.end, s.last, sorted(s.cells), s.plmn, s.state, is_last, d
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in SCHEMA.split(", ")]

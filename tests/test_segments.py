@@ -122,3 +122,56 @@ def test_frame_unsorted_input(spark):
     ]
     assert got[0]["time_segment_id"] == hashlib.md5(b"71970-01-01 00:00:00").hexdigest() and [r["is_last"] for r in got] == [False, False, True] * 2
     assert time_segments(ev.limit(0), near, 0).count() == 0
+
+
+def test_going_on_from_saved_segments_equals_the_whole_history(spark):
+    import random
+
+    draw = random.Random(4)
+    rows = []
+    for user in range(12):
+        t = draw.randrange(3 * DAY)
+        while t < 14 * DAY:
+            out = draw.random() < 0.15
+            rows.append((user, t, None if out else draw.choice("abc"), 20801 if out else None, "outbound" if out else "domestic"))
+            t += int(draw.expovariate(1 / draw.choice([900, 20_000, 200_000]))) + 1
+    ev = spark.createDataFrame(rows, "user_id long, s long, cell_id string, plmn int, domain string").withColumn("timestamp", F.timestamp_seconds("s"))
+    near = spark.createDataFrame([("a", ["b"]), ("b", ["a"])], "cell_id string, overlapping_cell_ids array<string>")
+    whole = sorted(map(str, time_segments(ev, near, 14).collect()))
+    parts, last, since = [], None, None
+    for until in (4, 5, 14):
+        seen = ev if since is None else ev.where(F.col("s") >= since * DAY)
+        rows = time_segments(seen.where(F.col("s") < (until + 2) * DAY), near, until, last=last, since=since).collect()
+        parts += rows
+        last, since = spark.createDataFrame(rows, "user_id long, time_segment_id string, start_s long, end_s long, last_event_s long, cells array<string>, plmn int, state int, is_last boolean, day long"), until + 1
+    assert sorted(map(str, parts)) == whole and len(whole) > 200
+
+
+def test_registered_segments_against_a_fold_of_plain_rows(spark):
+    """The whole table, event by event in one list a user, without frames."""
+    from collections import defaultdict
+
+    from cellscape.operators import coverage
+    from cellscape.queries import mobility
+    from cellscape.sources import demo
+
+    sf = "/root/testdata/sf0.001"
+    fp = coverage.prune_share_of_best(coverage.dominance(coverage.tiles_in_range(coverage.impute_defaults(demo.cells(spark)), demo.lattice(spark).drop("k"), coverage.Params(bin_size=250.0))))
+    near = {r["cell_id"]: r["overlapping_cell_ids"] for r in coverage.overlap_groups(coverage.nearby_cells(fp, demo.lattice(spark), 500.0), 250.0).collect()}
+    events = defaultdict(lambda: defaultdict(list))
+    for r in demo.events(spark, sf).select("user_id", F.unix_timestamp("timestamp").alias("t"), "cell_id", "plmn", "domain").collect():
+        events[r["user_id"]][r["t"] // DAY].append((r["t"], r["cell_id"], r["plmn"], r["domain"] == "outbound"))
+    p, want = Params(missing_stay=43200, missing_move=28800, min_stay=900), []
+    for user, days in events.items():
+        before = None
+        for day in range(min(days), 19753):
+            row = [Event(t, c, frozenset(near.get(c) or ()), m, o) for t, c, m, o in sorted(days.get(day, ()), key=lambda x: x[:2])]
+            nxt = sorted(days.get(day + 1, ()), key=lambda x: x[:2])
+            following = Event(nxt[0][0], nxt[0][1], frozenset(near.get(nxt[0][1]) or ()), nxt[0][2], nxt[0][3]) if nxt else None
+            if before and before.state == UNKNOWN and (before.last is None or day * DAY - before.last > p.missing_unknown):
+                before = None
+            made = day_segments(before, row, following, day * DAY, p)
+            want += [(user, day, s.start, s.end, s.state, ",".join(sorted(s.cells))) for s in made]
+            before = made[-1] if made else None
+    got = [(r["user_id"], r["day"], r["start_s"], r["end_s"], r["state"], r["cells"]) for r in mobility.time_segments(spark, sf).collect()]
+    assert sorted(got) == sorted(want)
