@@ -219,12 +219,22 @@ def _lookup(key: Column, values: Mapping[str, float], missing: float = 0.0) -> C
 def nearby_cells(footprint: DataFrame, tiles: DataFrame, distance: float, by: tuple[str, ...] = ()) -> DataFrame:
     """(cell_id_a, cell_id_b, distance) of cells whose footprints come within ``distance`` metres, by their nearest tiles.
 
-    ``tiles``: grid_id, tile_x, tile_y. Each cell pairs with itself as (cell, null, 0).
+    ``tiles``: grid_id, tile_x, tile_y. Each cell pairs with itself as (cell, null, 0). Tiles meet tiles, each once, and
+    only their nearest distance between sets of cells is expanded to the pairs of cells in them.
     """
-    placed = footprint.select(*by, "cell_id", "grid_id").join(tiles.select("grid_id", "tile_x", "tile_y"), "grid_id")
-    a = placed.select(*by, F.col("cell_id").alias("cell_id_a"), F.col("tile_x").alias("x"), F.col("tile_y").alias("y"))
-    b = placed.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("cell_id").alias("cell_id_b"), F.col("tile_x").alias("other_x"), F.col("tile_y").alias("other_y"))
-    pairs = lattice_range_join(a, b, distance, max(distance, 100.0)).where(" AND ".join([f"{c} = _{c}" for c in by] + ["cell_id_a <> cell_id_b"]))
+    held = footprint.groupBy(*by, "grid_id").agg(F.array_sort(F.collect_set("cell_id")).alias("cells"))
+    held = held.withColumn("set", F.md5(F.array_join("cells", "\x1f").cast("binary")))
+    sets = held.dropDuplicates([*by, "set"])
+    placed = held.join(tiles.select("grid_id", "tile_x", "tile_y"), "grid_id")
+    a = placed.select(*by, F.col("set").alias("set_a"), F.col("tile_x").alias("x"), F.col("tile_y").alias("y"))
+    b = placed.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("set").alias("set_b"), F.col("tile_x").alias("other_x"), F.col("tile_y").alias("other_y"))
+    met = lattice_range_join(a, b, distance, max(distance, 100.0))
+    for c in by:
+        met = met.where(F.col(c) == F.col(f"_{c}"))
+    met = met.groupBy(*by, "set_a", "set_b").agg(F.min("distance").alias("distance"))
+    for side in "ab":
+        met = met.join(sets.select(*by, F.col("set").alias(f"set_{side}"), F.col("cells").alias(f"cells_{side}")), [*by, f"set_{side}"])
+    pairs = met.withColumn("cell_id_a", F.explode("cells_a")).withColumn("cell_id_b", F.explode("cells_b")).where("cell_id_a <> cell_id_b")
     near = pairs.groupBy(*by, "cell_id_a", "cell_id_b").agg(F.min("distance").alias("distance"))
     return near.unionByName(footprint.select(*by, F.col("cell_id").alias("cell_id_a")).distinct().withColumns({"cell_id_b": F.lit(None).cast("string"), "distance": F.lit(0.0)}))
 
