@@ -160,6 +160,27 @@ def device_area(spark, sf):
 AREA_SQL = f"""WITH {EV}, e AS (SELECT * FROM ev), c AS (SELECT cell_id FROM net WHERE lat BETWEEN -30 AND 30 AND lon BETWEEN -60 AND 60 AND lat > -30 AND abs(lon) < 50 * (25 - lat) / 55.0)
 SELECT event_id, user_id FROM e WHERE user_id IN (SELECT user_id FROM e JOIN c USING (cell_id)) AND ('0x' || substr(md5(cast(user_id AS VARCHAR)), 1, 8))::BIGINT % 10000 < 5000"""
 
+def event_bounds(spark, sf):
+    """Bounds that are off by default: a bounding box, the length of cell ids, and buckets of users hashed again."""
+    e = demo.bronze_events(spark, sf)
+    e = e.withColumn("cell_id", F.when(F.col("event_id") % 5 == 0, F.substring("cell_id", 1, 10)).otherwise(F.col("cell_id")))
+    f = event_cleaning.flag_events(e, event_cleaning.Params(bbox=(-3.98, 40.02, -3.93, 40.08), check_cell_length=True, rehash=True, deduplicate=False), F.col("date"))
+    return f.select("event_id", "latitude_flag_2", "longitude_flag_2", "cell_id_flag_2", "user_id_modulo", "to_preserve")
+
+
+BOUNDS_SQL = f"""WITH {BRONZE}, b1 AS (SELECT *, coalesce(latitude NOT BETWEEN 40.02::DOUBLE AND 40.08::DOUBLE, false) AS la, coalesce(longitude NOT BETWEEN -3.98::DOUBLE AND -3.93::DOUBLE, false) AS lo, event_id % 5 = 0 AND cell_id IS NOT NULL AS ci FROM flagged)
+SELECT event_id, la AS latitude_flag_2, lo AS longitude_flag_2, ci AS cell_id_flag_2, cast(('0x' || substr(sha256(unhex(user_id)), 1, 14))::BIGINT % 8 AS INTEGER) AS user_id_modulo,
+  NOT (la OR lo OR ci OR user_id_flag_1 OR timestamp_flag_1 OR mcc_flag_1 OR mnc_flag_1 OR timestamp_flag_4 OR mcc_flag_2 OR plmn_flag_2 OR mnc_flag_2 OR timestamp_flag_2 OR no_mno_info_flag_5 OR no_location_flag_6) AS to_preserve FROM b1"""
+
+
+def network_cell_length(spark, sf):
+    raw = demo.raw_network(spark, sf)
+    raw = raw.withColumn("cell_id", F.when(F.col("cell_row") % 6 == 0, F.substring("cell_id", 1, 12)).otherwise(F.col("cell_id")))
+    return network_cleaning.flag_cells(raw, network_cleaning.Params(check_cell_length=True)).select("cell_row", "cell_id_flag_1", "cell_id_flag_2", "cell_id_flag_0")
+
+
+LENGTH_SQL = "SELECT p_partkey AS cell_row, p_partkey % 53 = 0 AS cell_id_flag_1, p_partkey % 6 = 0 AND p_partkey % 53 <> 0 AS cell_id_flag_2, p_partkey % 6 <> 0 AND p_partkey % 53 <> 0 AS cell_id_flag_0 FROM part"
+
 _BUCKET = "cast(('0x' || substr(user_id, 1, 14))::BIGINT % 8 AS INTEGER)"
 QUERIES = {
     "event_flags": (event_flags, f"WITH {BRONZE} SELECT event_id, {', '.join(FLAGS)}, domain, to_preserve FROM flagged"),
@@ -175,4 +196,6 @@ QUERIES = {
     "network_top_errors": (network_top_errors, TOP_SQL),
     "device_activity": (device_activity, ACTIVITY_SQL),
     "device_area": (device_area, AREA_SQL),
+    "event_bounds": (event_bounds, BOUNDS_SQL),
+    "network_cell_length": (network_cell_length, LENGTH_SQL),
 }

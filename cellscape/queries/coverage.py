@@ -144,6 +144,17 @@ def present_population(spark, sf):
     return _population(spark, sf).select(F.unix_timestamp("time_point").alias("time_point"), "grid_id", F.round("population", 6).alias("population"))
 
 
+def present_population_dated(spark, sf):
+    """Events only of the dates that the points touch, and the probabilities of one network day out of two."""
+    start, end = "2024-01-02 00:00:00", "2024-01-06 12:00:00"
+    days = _connection(spark).withColumn("date", F.explode(F.array(F.lit("2024-01-02").cast("date"), F.lit("2024-01-03").cast("date"))))
+    days = days.withColumn("cell_connection_probability", F.when(F.dayofmonth("date") == 2, F.col("cell_connection_probability")).otherwise(0.5))
+    events = demo.events(spark, sf).where(population.dates_near(F.col("timestamp"), start, end, 21600))
+    devices = population.devices_per_cell(events, _points(spark), 21600)
+    out = population.fixed_iterations(devices, population.at_date(days, "2024-01-02"), demo.lattice(spark), 2)
+    return out.select(F.unix_timestamp("time_point").alias("time_point"), "grid_id", F.round("population", 6).alias("population"))
+
+
 def present_population_converged(spark, sf):
     """Iterated until the change is small, eight times at most."""
     out = population.present_population(_devices(spark, sf), _connection(spark), demo.lattice(spark), 8, 1.0)
@@ -179,6 +190,7 @@ QUERIES = {
     "angular_model": (angular_model, ANGULAR_SQL),
     "devices_per_cell": (devices_per_cell, f"WITH {_DEV} SELECT p AS time_point, cell_id, n AS device_count FROM dv"),
     "present_population": (present_population, f"WITH {_population_sql(3)} SELECT p AS time_point, grid_id, round(u, 6) AS population FROM u3"),
+    "present_population_dated": (present_population_dated, f"WITH {_population_sql(2)} SELECT p AS time_point, grid_id, round(u, 6) AS population FROM u2"),
     "present_population_converged": (present_population_converged, f"WITH {_converged_sql(8, 1.0)} SELECT p AS time_point, grid_id, round(u, 4) AS population FROM fi JOIN st USING (i)"),
     "present_population_zone": (present_population_zone, f"WITH {_population_sql(3)}, {ZONES}, r AS ({_ZONED}) SELECT time_point, level, zone_id, round(CASE WHEN v < 15 THEN -1.0 ELSE v END, 6) AS population FROM r"),
 }

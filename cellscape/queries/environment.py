@@ -11,6 +11,7 @@ from ..functions import grid
 from ..operators import coverage, migration, permanence, quality, usual_environment
 from ..plans.iterate import cut
 from ..sources import demo
+from .lattice import LANDUSE_SQL, landuse_tiles
 from .views import EV, FOOT, TILES, ZONES
 
 P = permanence.DailyParams(gap=7200, same_cell_gap=14400, night_gap=36000, abroad_gap=7200, max_speed=0.02)
@@ -196,6 +197,12 @@ def usual_environment_aggregation(spark, sf):
     return usual_environment.aggregate_labels(_labels(spark, sf), w).withColumn("weighted_device_count", F.round("weighted_device_count", 6))
 
 
+def usual_environment_landuse(spark, sf):
+    """Devices spread over their tiles by the weights of land use."""
+    w = usual_environment.tile_weights(landuse_tiles(spark, sf), {"residential": 1.0, "forest": 0.1, "open_area": 0.2})
+    return usual_environment.aggregate_labels(_labels(spark, sf), w).withColumn("weighted_device_count", F.round("weighted_device_count", 6))
+
+
 def usual_environment_metrics(spark, sf):
     scores = cut(_longterm(spark, sf))
     m = usual_environment.quality_metrics(scores, _labels(spark, sf, scores), 20, 5)
@@ -253,6 +260,7 @@ QUERIES = {
     "device_labels": (device_labels, f"WITH {_DEVICE_LABELS} SELECT * FROM su UNION ALL SELECT * FROM sh UNION ALL SELECT * FROM sw"),
     "months_and_dates": (months_and_dates, MONTHS_SQL),
     "usual_environment_aggregation": (usual_environment_aggregation, f"WITH {_LABEL}, w AS (SELECT lb.*, CASE WHEN tl.k IS NULL THEN 0.001::DOUBLE ELSE 1.0 END AS w FROM lb LEFT JOIN tl ON cast(tl.grid_id AS VARCHAR) = location AND tl.k % 4 <> 1), s AS (SELECT *, w / sum(w) OVER (PARTITION BY user_id, season, label) AS s FROM w) SELECT season, label, location, round(sum(s), 6) AS weighted_device_count FROM s GROUP BY ALL"),
+    "usual_environment_landuse": (usual_environment_landuse, f"WITH {_LABEL}, lu AS ({LANDUSE_SQL}), w AS (SELECT lb.*, CASE main WHEN 'residential' THEN 1.0::DOUBLE WHEN 'forest' THEN 0.1 WHEN 'open_area' THEN 0.2 ELSE 0 END AS w FROM lb LEFT JOIN lu ON cast(lu.grid_id AS VARCHAR) = location), s AS (SELECT *, sum(w) OVER (PARTITION BY user_id, season, label) AS t FROM w) SELECT season, label, location, round(sum(CASE WHEN t > 0 THEN w / t ELSE 0 END), 6) AS weighted_device_count FROM s GROUP BY ALL"),
     "usual_environment_metrics": (usual_environment_metrics, f"WITH {_LABEL}, o AS (SELECT CASE WHEN lps < 20 OR total_frequency < 5 THEN 'devices_discarded' ELSE 'devices_kept' END AS metric, cast(lps AS DOUBLE) AS v FROM lp WHERE id_type = 'device_observation' AND day_type = 'all' AND time_interval = 'all' UNION ALL SELECT label || '_' || label_rule, cast(count(*) AS DOUBLE) FROM lb GROUP BY user_id, season, label, label_rule) SELECT metric, count(*) AS count, min(v) AS min, max(v) AS max, round(avg(v), 6) AS avg FROM o GROUP BY metric"),
     "unknown_share": (unknown_share, UNKNOWN_SQL),
     "migrating_users": (migrating_users, f"WITH {_HOME} SELECT user_id, round(overlap, 9) AS overlap FROM mu"),

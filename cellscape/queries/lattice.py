@@ -111,11 +111,16 @@ def zones_of_tiles(spark, sf):
     return zoning.map_zones(demo.lattice(spark), z, 500.0)
 
 
-def landuse(spark, sf):
+def landuse_tiles(spark, sf):
+    """The lattice's tiles with the shares and the main category of the suppliers' rectangles."""
     s = F.col("s_suppkey")
     x, y = demo.ORIGIN[0] + s * 83 % 950, demo.ORIGIN[1] + s * 47 % 950
     rect = demo.load(spark, sf, "supplier").select(F.element_at(F.array(F.lit("residential"), F.lit("forest"), F.lit("water")), (s % 3 + 1).cast("int")).alias("category"), x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + 20 + s % 60).cast("double").alias("x1"), (y + 120.0).alias("y1"))
-    out = zoning.landuse_ratios(demo.lattice(spark), rect, 300.0)
+    return zoning.landuse_ratios(demo.lattice(spark), rect, 300.0)
+
+
+def landuse(spark, sf):
+    out = landuse_tiles(spark, sf)
     entries = F.transform(F.array_sort(F.map_entries("landuse_area_ratios")), lambda e: F.concat_ws("=", e["key"], F.format_number(e["value"], 4)))
     prior = coverage.landuse_prior(out, {"residential": 1.0, "forest": 0.1, "open_area": 0.2})
     return out.join(prior, "grid_id").select("grid_id", F.array_join(entries, ",").alias("ratios"), F.col("main_landuse_category").alias("main"), F.round("prior", 8).alias("prior"))
