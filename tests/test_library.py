@@ -1,4 +1,4 @@
-"""Schemas, sources, jobs, plans, coverage models, synthetic data and streams on small frames."""
+"""Schemas, sources, jobs, plans, coverage models and streams on small frames."""
 
 import json
 import math
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cellscape import jobs, schemas
 from cellscape.functions import geo, grid
-from cellscape.operators import coverage, event_cleaning, export, migration, network_cleaning, permanence, population, quality, synthetic, tourism, usual_environment, zoning
+from cellscape.operators import coverage, event_cleaning, export, migration, network_cleaning, permanence, population, quality, tourism, usual_environment, zoning
 from cellscape.plans import iterate, joins, windows
 from cellscape.sources import tables
 from cellscape.streaming import sessions
@@ -269,31 +269,6 @@ def test_warnings_need_history_and_spread(spark):
     assert sorted(got) == [(4, "upper_variability"), (5, "lower_limit"), (5, "lower_variability")]
 
 
-def test_synthetic_network_and_errors(spark):
-    c = synthetic.cells(spark, 300, ["2024-01-01", "2024-01-02"], (-4, 40, -3, 41)).cache()
-    assert c.count() == 600 and c.select("cell_id").distinct().count() == 300
-    assert not c.where("directionality = 0 and azimuth_angle is not null or directionality = 1 and azimuth_angle is null").count()
-    assert sorted(map(str, c.collect())) == sorted(map(str, synthetic.cells(spark, 300, ["2024-01-01", "2024-01-02"], (-4, 40, -3, 41)).collect()))
-    bad = network_cleaning.flag_cells(synthetic.cell_errors(c, 0.1))
-    assert 0 < bad.where("not to_preserve").count() < 600
-
-
-def test_synthetic_diaries_and_events(spark):
-    d = synthetic.diaries(spark, 20, ["2024-01-01", "2024-01-02"]).cache()
-    stays = d.where("activity_type = 'stay'")
-    assert stays.groupBy("user_id", "date").agg(F.min("start_s").alias("a"), F.max("end_s").alias("b")).where("a % 86400 <> 0 or abs(b % 86400 - 86399) > 1").count() == 0
-    assert stays.where("not (longitude between -4 and -3) or not (latitude between 40 and 41) or end_s < start_s").count() == 0
-    e = synthetic.events_of_diaries(d).cache()
-    assert e.where("kind = 'move'").count() and e.where("kind = 'stay'").count()
-    ev = e.withColumns({"x": F.col("longitude") * 85_000, "y": F.col("latitude") * 111_195})
-    cells = synthetic.cells(spark, 400, ["2024-01-01"], (-4, 40, -3, 41)).select("cell_id", (F.col("longitude") * 85_000).alias("other_x"), (F.col("latitude") * 111_195).alias("other_y"))
-    near = synthetic.attach_cells(ev, cells, 5000.0)
-    assert 0 < near.count() <= ev.count() and near.where("cell_distance > 5000").count() == 0
-    rows = near.select(F.monotonically_increasing_id().alias("event_id"), F.col("user_id").cast("string").alias("user_id"), F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.lit(214).alias("mcc"), "cell_id", "latitude", "longitude")
-    bad = synthetic.event_errors(rows, "2024-01-01", "2024-01-02", synthetic.ErrorParams(share=0.2))
-    assert bad.count() > rows.count() and bad.where("user_id is null").count() and synthetic.unknown_cells_only(bad, cells).where("cell_id like '99999%'").count()
-
-
 def test_tables_and_jobs(spark, tmp_path):
     root = f"file://{tmp_path}"
     t = schemas.Table("t", "k int, v double, day int", ("day",))
