@@ -46,22 +46,32 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Columns that ``with_row_key`` adds.
-ROW_KEY = ("_row_file", "_row_place")
-
-
-def with_row_key(df: DataFrame) -> DataFrame:
-    """``df`` plus the file and the place in it of every row, so that rows that repeat an id, or have none, stay apart.
-
-    The key is the same however often the frame is read. A frame that doesn't read Parquet files is written first.
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes for ``df`` not to have it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_row_key(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` plus two columns, and their names: the file and the place in it of every row.
+
+    So rows that repeat an id, or have none, stay apart. The key is the same however often the frame is read. A frame
+    that doesn't read Parquet files is written first.
     """
-    key = (F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]), F.col("_metadata.row_index").alias(ROW_KEY[1]))
+    names = free(df, "row_file", "row_place")
+    key = (F.xxhash64("_metadata.file_path").alias(names[0]), F.col("_metadata.row_index").alias(names[1]))
     try:
         keyed = df.select("*", *key)
         keyed.schema  # noqa: B018  (analysis finds whether there are files)
-        return keyed
+        return keyed, names
     except AnalysisException:
-        return table(df, "keyed").select("*", *key)
+        return table(df, "keyed").select("*", *key), names
 
 
 def ascii_lower(column: Column) -> Column:

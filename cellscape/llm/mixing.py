@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, WORD, table, with_row_key
+from .common import WORD, table, with_row_key
 
 #: Curves by which the default curriculum lets sources fade, stay and grow.
 CURVES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -155,9 +155,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     as long as the plan is small enough for Spark to broadcast it.
     Rows that repeat an id, or have none, are each planned by themselves; empty texts take no part.
     """
-    keyed = with_row_key(docs)
-    sized = table(keyed.select(*ROW_KEY, F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"), word_count(F.col(text_col)).alias("mix_size")), "sizes")
-    order = table(passes(plan(sized, "mix_id", "mix_of", spread=ROW_KEY, **options), [*ROW_KEY, "mix_id"]), "order")
-    named = order.withColumnsRenamed({k: f"mix{k}" for k in ROW_KEY})
-    met = keyed.join(named, [F.col(k) == F.col(f"mix{k}") for k in ROW_KEY])
-    return met.orderBy("mix_due", "mix_pass", "mix_id", *ROW_KEY).select(*docs.columns)
+    keyed, key = with_row_key(docs)
+    sized = table(keyed.select(*key, F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"), word_count(F.col(text_col)).alias("mix_size")), "sizes")
+    order = table(passes(plan(sized, "mix_id", "mix_of", spread=key, **options), [*key, "mix_id"]), "order")
+    whole = keyed.select(F.struct(*docs.columns).alias("doc"), *[F.col(k).alias(f"doc_{k}") for k in key])
+    met = whole.join(order, [F.col(k) == F.col(f"doc_{k}") for k in key])
+    return met.orderBy("mix_due", "mix_pass", "mix_id", *key).select("doc.*")

@@ -167,6 +167,21 @@ def test_pipeline_odd_rows(spark):
         assert docs.count() <= 3 * len(rows)
 
 
+def test_pipeline_with_clashing_columns(spark):
+    import corpus_pipeline
+    from cellscape.llm.common import table
+
+    extra = ["language", "row_file", "row_place", "gone_row_file", "mix_id", "mix_due", "doc", "kept", "row", "id", "fp", "mix"]
+    docs = spark.createDataFrame([(1, "the words of this text are here", "en", "a", 1), (1, "andere worte in einem text", "de", "b", 2)], SCHEMA).selectExpr("*", *[f"'{c}' AS {c}" for c in extra])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name == "language_id":
+            continue
+        columns = docs.columns
+        docs = table(stage(spark, docs, "/root/testdata/sf0.001"), name)
+        assert docs.columns == columns and {tuple(r[c] for c in extra) for r in docs.collect()} == {tuple(extra)}
+    assert docs.select("text").distinct().count() == 2
+
+
 def test_pipeline_stages_match_brute_force_by_rows(spark):
     """Repeated and null ids lose no text of their own and keep no copy; leaks of rows without an id go."""
     import re
