@@ -11,16 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import decontaminate, lang_zstd, mixing, simhash, token_store
-from cellscape.llm.common import ROW_KEY, crc_bucket, table, with_row_key
+from cellscape.llm.common import crc_bucket, free, table, with_row_key
 
 #: SQL can't express compression by zstandard dictionaries or byte-level BPE; tests use brute force.
 ORACLE_SQL = None
 
 
+def without(keyed: DataFrame, key: list[str], gone: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows whose key isn't in ``gone``."""
+    names = free(keyed, *[f"gone_{k}" for k in key])
+    gone = gone.select(*[F.col(k).alias(n) for k, n in zip(key, names)])
+    return keyed.join(gone, [F.col(k) == F.col(n) for k, n in zip(key, names)], "left_anti").select(*columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told by a margin; those that language ID rejects go, null and letterless texts too."""
     content = lang_zstd.train(docs.where(crc_bucket(F.col("doc_id"), 3) != 1))
-    return lang_zstd.classify(docs, content, into="_language").where("not _language.rejected").select(*docs.columns)
+    (told,) = free(docs, "language")
+    return lang_zstd.classify(docs, content, into=told).where(~F.col(told)["rejected"]).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,17 +37,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by their place in the files, so of rows that repeat an id, or have none, just those go that
     link to the one that stays. Null and wordless texts are one group. Columns stay as they are.
     """
-    keyed = with_row_key(docs)
-    gone = table(simhash.near_duplicates(keyed, carry=ROW_KEY).where("not kept").select(*[F.col(k).alias(f"gone{k}") for k in ROW_KEY]), "copies")
-    return keyed.join(gone, [F.col(k) == F.col(f"gone{k}") for k in ROW_KEY], "left_anti").select(*docs.columns)
+    keyed, key = with_row_key(docs)
+    return without(keyed, key, table(simhash.near_duplicates(keyed, carry=key).where("not kept").select(*key), "copies"), docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item, each row judged by its own text; null and empty texts stay."""
-    keyed = with_row_key(docs)
-    found = decontaminate.contained(keyed.select(F.struct(*ROW_KEY).alias("row"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_col="row")
-    leaks = table(found.select(*[F.col("row")[k].alias(f"leak{k}") for k in ROW_KEY]).distinct(), "leaks")
-    return keyed.join(leaks, [F.col(k) == F.col(f"leak{k}") for k in ROW_KEY], "left_anti").select(*docs.columns)
+    keyed, key = with_row_key(docs)
+    found = decontaminate.contained(keyed.select(F.struct(*key).alias("row"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_col="row")
+    return without(keyed, key, table(found.select("row.*").distinct(), "leaks"), docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
