@@ -20,6 +20,9 @@ from .common import WORD, table, with_row_key
 #: Curves by which the default curriculum lets sources fade, stay and grow.
 CURVES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
 
+#: Rows of a plan that are broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
@@ -152,12 +155,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     """``docs`` with one row for each pass that the mix takes, range-sorted by the position it is due at.
 
     The plan is made on ids, sources and sizes alone; texts are moved by the sort, and by no other exchange
-    as long as the plan is small enough for Spark to broadcast it.
+    as long as the plan has ``BROADCAST_ROWS`` rows at most, of 40 bytes each; a larger one is joined by shuffle.
     Rows that repeat an id, or have none, are each planned by themselves; empty texts take no part.
     """
     keyed, key = with_row_key(docs)
     sized = table(keyed.select(*key, F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"), word_count(F.col(text_col)).alias("mix_size")), "sizes")
     order = table(passes(plan(sized, "mix_id", "mix_of", spread=key, **options), [*key, "mix_id"]), "order")
     whole = keyed.select(F.struct(*docs.columns).alias("doc"), *[F.col(k).alias(f"doc_{k}") for k in key])
+    order = F.broadcast(order) if order.count() <= BROADCAST_ROWS else order
     met = whole.join(order, [F.col(k) == F.col(f"doc_{k}") for k in key])
     return met.orderBy("mix_due", "mix_pass", "mix_id", *key).select("doc.*")
