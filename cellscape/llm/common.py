@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -95,6 +97,34 @@ def hashed_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
     return df.where(h < share).orderBy(h, *keys).limit(most)
 
 
+def with_next(df: DataFrame, order: list[str], columns: list[str], into: str, per_partition: int = 4) -> DataFrame:
+    """``df`` plus the struct ``into``: ``columns`` of the row that comes next by ``order``; the first one's after the last.
+
+    Rows that are equal by ``order`` (whole numbers, nulls first) come by their place in the files. Ranges of rows are found
+    from the keys alone; then each row moves once, to its range, and the first row of a range also to the end of the range
+    before, so that no window is wider than a range. The driver sees a key for each range, ``per_partition`` for each
+    shuffle partition.
+    """
+    spark = df.sparkSession
+    keyed, place = with_row_key(df)
+    key = F.struct(*[F.col(c).cast("long").alias(f"k{i}") for i, c in enumerate([*order, *place])])
+    n = per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = keyed.select(key.alias("k")).repartitionByRange(n, "k").groupBy(F.spark_partition_id()).agg(F.min("k").alias("k"))
+    rows = sorted((tuple(r["k"]) for r in keys.collect()), key=lambda r: [(x is not None, x or 0) for x in r])
+    kind = "array<struct<" + ",".join(f"k{i}:bigint" for i in range(len(order) + 2)) + ">>"
+    bounds = F.from_json(F.lit(json.dumps([{f"k{i}": x for i, x in enumerate(r)} for r in rows])), kind)
+    k, at, wraps, home = free(keyed, "next_key", "next_range", "next_wraps", "next_home")
+    halves = [1 << b for b in range(len(rows).bit_length() - 1, -1, -1)]
+    here = F.aggregate(F.array(*map(F.lit, halves or [1])), F.lit(0), lambda a, s: F.when((a + s <= len(rows)) & (F.get(bounds, a + s - 1) <= F.col(k)), a + s).otherwise(a))
+    out = keyed.withColumn(k, key).withColumn(at, here)
+    before = F.when(F.col(at) == 1, len(rows)).otherwise(F.col(at) - 1)
+    own = lambda a, h, w: F.struct(a.alias("at"), h.alias("home"), w.alias("wraps"))
+    twice = F.array(own(F.col(at), F.lit(True), F.lit(False)), own(before, F.lit(False), F.col(at) == 1))
+    out = out.withColumn(home, F.explode(F.when(F.get(bounds, F.col(at) - 1) == F.col(k), twice).otherwise(F.slice(twice, 1, 1))))
+    w = Window.partitionBy(F.col(home)["at"]).orderBy(F.col(home)["wraps"], k)
+    return out.withColumn(into, F.lead(F.struct(*columns)).over(w)).where(F.col(home)["home"]).select(*df.columns, into)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows and bytes that go to a Python worker at once; whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

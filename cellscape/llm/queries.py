@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, decontaminate, lang_zstd, license_scan, mixing, nn_descent, secret_scan, simhash, token_store, url_filter
-from .common import crc_bucket, table
+from . import class_lm, decontaminate, fim, fingerprints, hard_negatives, lang_zstd, license_scan, mixing, nn_descent, secret_scan, simhash, token_store, url_filter
+from .common import crc_bucket, table, with_next
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,10 +88,38 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = load(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    keyed = fingerprints.with_fingerprint(docs, F.col("text"), "fp")
+    n = F.length("text")
+    spliced = F.concat(F.substr("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.substr(F.col("next.text"), F.lit(1), F.floor(n / 4).cast("int")))
+    edited = with_next(keyed, ["doc_id"], ["text", "fp"], "next").select("doc_id", n.cast("long").alias("n_chars"), "fp", F.col("next.fp").alias("next_fp"), spliced.alias("edited"))
+    out = fingerprints.with_fingerprint(edited, F.col("edited"), "edited_fp")
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("fp")).alias("fingerprint"), fingerprints.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col("fim.output"), F.col("fim.form")
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", digest(output).alias("output_sha256"), digest(fim.restored(output, form)).alias("restored_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filter, op2_decontamination, op3_secret_scan, op4_class_lm, op5_language_id,
         op6_embedding_dedup, op7_license_scan, op8_simhash, op9_mixing, op10_token_store,
+        op11_fingerprints, op12_fim, op13_hard_negatives,
     )
     return {f.__name__: f for f in found}
 
@@ -189,5 +217,38 @@ FROM d LEFT JOIN a USING (r)
 """
 
 
+FIM_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(cast(doc_id AS VARCHAR), '')) AS x FROM documents
+), h AS (
+  SELECT *, cast(len(u) AS BIGINT) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS a, r.id AS r, a.label = r.label AS same, cast(list_dot_product(a.e, r.e) AS BIGINT) AS score FROM v a JOIN v r ON a.id % 100 = 0 AND a.id <> r.id
+), p AS (
+  SELECT a, r AS p, score AS ps FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, r) AS k FROM s WHERE same) WHERE k <= 5
+), n AS (
+  SELECT p.a, p.p, ps, s.r, s.score, row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.r) AS k
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * ps <= 100 * s.score AND 100 * s.score <= 100 * ps
+)
+SELECT a AS anchor_id, p AS positive_id, cast(k AS INTEGER) AS rank, r AS negative_id, ps AS positive_score, score AS negative_score FROM n WHERE k <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_scan": _secrets_sql(), "op6_embedding_dedup": EMBEDDING_SQL, "op2_decontamination": DECONTAMINATION_SQL, "op9_mixing": MIXING_SQL}
+    return {"op12_fim": FIM_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL, "op3_secret_scan": _secrets_sql(), "op6_embedding_dedup": EMBEDDING_SQL, "op2_decontamination": DECONTAMINATION_SQL, "op9_mixing": MIXING_SQL}
