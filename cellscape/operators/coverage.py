@@ -10,8 +10,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import polygons
 from ..functions.geo import planar
-from ..plans.joins import lattice_range_join
+from ..plans.joins import boxes_near, lattice_range_join
 
 # Physical properties by cell type where a cell states none.
 DEFAULTS: Mapping[str, Mapping[str, float]] = {
@@ -55,6 +56,16 @@ def cell_height(use_elevation: bool = False) -> Column:
     return F.coalesce("altitude", F.lit(0.0)) + F.col("antenna_height") if use_elevation else F.col("antenna_height")
 
 
+def place_cells(cells: DataFrame, use_elevation: bool = False) -> DataFrame:
+    """``cells`` with ``cell_z``: the antenna's height, over the ground's altitude where asked."""
+    return cells.withColumn("cell_z", cell_height(use_elevation).cast("double"))
+
+
+def place_tiles(tiles: DataFrame, use_elevation: bool = False) -> DataFrame:
+    """``tiles`` with ``tile_z``: their elevation where asked and known, else 0."""
+    return tiles.withColumn("tile_z", F.coalesce(F.col("elevation").cast("double"), F.lit(0.0)) if use_elevation else F.lit(0.0))
+
+
 def normal_density(x: Column | float, sd: Column) -> Column:
     x = x if isinstance(x, Column) else F.lit(float(x))
     return F.exp(-0.5 * F.pow(x / sd, 2)) / (math.sqrt(2 * math.pi) * sd)
@@ -239,6 +250,33 @@ def nearby_cells(footprint: DataFrame, tiles: DataFrame, distance: float, by: tu
     return near.unionByName(footprint.select(*by, F.col("cell_id").alias("cell_id_a")).distinct().withColumns({"cell_id_b": F.lit(None).cast("string"), "distance": F.lit(0.0)}))
 
 
+def cell_hulls(footprint: DataFrame, tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(cell_id, hull): the convex hull of the centroids of each cell's tiles.
+
+    Rows of tiles are cut to their two ends first, which a hull is made of, so that a row of a hull is short.
+    """
+    placed = footprint.select(*by, "cell_id", "grid_id").join(tiles.select("grid_id", "tile_x", "tile_y"), "grid_id")
+    ends = placed.groupBy(*by, "cell_id", "tile_y").agg(F.min("tile_x").alias("a"), F.max("tile_x").alias("b"))
+    points = F.flatten(F.collect_list(F.array(polygons.point(F.col("a"), F.col("tile_y")), polygons.point(F.col("b"), F.col("tile_y")))))
+    return ends.groupBy(*by, "cell_id").agg(points.alias("points")).select(*by, "cell_id", polygons.hull(F.col("points")).alias("hull"))
+
+
+def nearby_hulls(hulls: DataFrame, distance: float, buffer: float = 0.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(cell_id_a, cell_id_b, distance) of cells whose hulls, widened by ``buffer`` all round, come within ``distance`` metres.
+
+    Hulls meet by their boxes, each pair once; each cell pairs with itself as (cell, null, 0).
+    """
+    box = lambda f, c: f(F.transform("hull", lambda p: p[c]))
+    sides = [box(f, c).alias(n) for f, c, n in ((F.array_min, "x", "x0"), (F.array_min, "y", "y0"), (F.array_max, "x", "x1"), (F.array_max, "y", "y1"))]
+    rows = hulls.select(*by, "cell_id", "hull", *sides)
+    met = boxes_near(rows, "cell_id", distance + 2 * buffer, max(distance + 2 * buffer, 500.0), by)
+    apart = F.greatest(F.lit(0.0), polygons.hull_distance(F.col("a.hull"), F.col("b.hull")) - 2 * buffer)
+    once = met.select(*by, F.col("a.cell_id").alias("p"), F.col("b.cell_id").alias("q"), apart.alias("distance")).where(F.col("distance") <= distance)
+    pair = lambda a, b: F.struct(F.col(a).alias("cell_id_a"), F.col(b).alias("cell_id_b"))
+    both = once.select(*by, F.explode(F.array(pair("p", "q"), pair("q", "p"))).alias("pair"), "distance").select(*by, "pair.*", "distance")
+    return both.unionByName(hulls.select(*by, F.col("cell_id").alias("cell_id_a")).withColumns({"cell_id_b": F.lit(None).cast("string"), "distance": F.lit(0.0)}))
+
+
 def overlap_groups(pairs: DataFrame, buffer: float, by: tuple[str, ...] = ()) -> DataFrame:
     """(cell_id, overlapping_cell_ids): cells whose buffered footprints meet, sorted; a cell alone has an empty list."""
     other = F.when(F.col("distance") <= 2 * buffer, F.col("cell_id_b"))

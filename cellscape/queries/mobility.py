@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import grid
 from ..operators import coverage, export, segments, tourism
 from ..sources import demo
-from .coverage import _connection
+from .coverage import _lattice_connection
 from .views import B, CONN, ZONES
 
 UNTIL = 1_706_400_000  # 2024-01-28
@@ -42,7 +42,7 @@ def _segments(spark, sf):
 
 def _stays(spark, sf):
     residents = demo.base_events(spark, sf).where("uid % 50 = 0").select(F.col("uid").alias("user_id"))
-    return tourism.tourism_stays(_segments(spark, sf), _connection(spark), demo.zones(spark, sf).select("grid_id", "hierarchical_id"), P, residents)
+    return tourism.tourism_stays(_segments(spark, sf), _lattice_connection(spark), demo.zones(spark, sf).select("grid_id", "hierarchical_id"), P, residents)
 
 
 def tourism_stays(spark, sf):

@@ -57,6 +57,25 @@ ft AS (SELECT c.cell_id, t.grid_id, sqrt(power(c.x - t.x, 2) + power(c.y - t.y,
 sd AS (SELECT *, 1 / (1 + exp(-(s + 92.5) * 0.2)) AS sd FROM ft)"""
 )
 
+def _strewn(i: str, first: int) -> str:
+    return "(" + " + ".join(f"((({i}) >> {2 * b + first}) & 1) * {1 << b}" for b in range(16)) + ")"
+
+
+#: Tiles and cells from tables: a tile for each customer, a cell for each part.
+GROUND = f"""tl AS (SELECT c_custkey AS k, cast(CASE WHEN e >= 32768 THEN (e << 16) + n - 4294967296 ELSE (e << 16) + n END AS INTEGER) AS grid_id, 4000000 + e * 100 + 50.0::DOUBLE AS x, 3000000 + n * 100 + 50.0::DOUBLE AS y, CASE WHEN c_custkey % 6 <> 0 THEN c_custkey * 7 % 20 ELSE 0 END AS z
+  FROM (SELECT c_custkey, {_strewn('c_custkey', 0)} AS e, {_strewn('c_custkey', 1)} AS n FROM customer))"""
+FOOT_GROUND = (
+    GROUND
+    + f""", cl AS (SELECT k, 'P' || lpad(cast(k AS VARCHAR), 9, '0') AS cell_id, 4000000 + {_strewn('i', 0)} * 100 + 50.0::DOUBLE AS x, 3000000 + {_strewn('i', 1)} * 100 + 50.0::DOUBLE AS y, cast(30 + k % 20 + CASE WHEN k % 5 <> 0 THEN k % 15 ELSE 0 END AS DOUBLE) AS z, 150 + k % 3 * 50 AS rng,
+  CASE WHEN k % 2 = 0 THEN 'macrocell' WHEN k % 5 = 1 THEN 'microcell' ELSE 'other' END AS cell_type, CASE WHEN k % 7 <> 0 THEN cast(5 + k % 10 AS DOUBLE) END AS power0 FROM (SELECT p_partkey AS k, p_partkey * 3 // 4 AS i FROM part)),
+ci AS (SELECT *, coalesce(power0, CASE WHEN cell_type = 'macrocell' THEN 10.0 ELSE 5.0 END) AS power, CASE WHEN cell_type = 'microcell' THEN 6.0::DOUBLE ELSE 3.75::DOUBLE END AS ple FROM cl),
+ft AS (SELECT c.cell_id, t.grid_id, sqrt(power(c.x - t.x, 2) + power(c.y - t.y, 2)) AS distance, 10 * log10(c.power) + 30 - c.ple * 10 * log10(sqrt(power(c.x - t.x, 2) + power(c.y - t.y, 2) + power(c.z - t.z, 2))) AS s
+  FROM ci c JOIN tl t ON t.x BETWEEN c.x - 300 AND c.x + 300 AND t.y BETWEEN c.y - 300 AND c.y + 300 AND sqrt(power(c.x - t.x, 2) + power(c.y - t.y, 2)) <= c.rng),
+sd AS (SELECT *, 1 / (1 + exp(-(s + 92.5) * 0.2)) AS sd FROM ft)"""
+)
+
+_SHARE = """, cp AS (SELECT *, sd / sum(sd) OVER (PARTITION BY grid_id) AS p FROM sd), po AS (SELECT *, p / sum(p) OVER (PARTITION BY cell_id) AS post FROM cp)"""
+CONN_GROUND = FOOT_GROUND + _SHARE
 CONN = FOOT + """, cp AS (SELECT *, sd / sum(sd) OVER (PARTITION BY grid_id) AS p FROM sd), po AS (SELECT *, p / sum(p) OVER (PARTITION BY cell_id) AS post FROM cp)"""
 
 ZONES = """zn AS (SELECT t.k, t.grid_id, r_name || '|' || n_name || '|' || cast(t.k AS VARCHAR) AS hid FROM tl t JOIN nation ON n_nationkey = t.k % 25 JOIN region ON r_regionkey = n_regionkey)"""

@@ -95,6 +95,36 @@ def cells(spark: SparkSession) -> DataFrame:
     )
 
 
+def _strewn(i):
+    """(e, n) of the i-th place: its even and its odd binary digits, so that places fill a square of any size."""
+    digit = lambda b: F.shiftright(i, b).bitwiseAND(F.lit(1).cast("long"))
+    e = n = F.lit(0).cast("long")
+    for b in range(16):
+        e, n = e + F.shiftleft(digit(2 * b), b), n + F.shiftleft(digit(2 * b + 1), b)
+    return e, n
+
+
+def ground(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, grid_id, origin, tile_x, tile_y, elevation): a tile for each customer, in a square that grows with them; some state no elevation."""
+    k = F.col("c_custkey").cast("long")
+    e, n = _strewn(k)
+    return load(spark, sf_dir, "customer").select(k.alias("k"), e.alias("e"), n.alias("n")).select(
+        "k", grid.pack(F.col("e"), F.col("n")).alias("grid_id"), grid.origin(F.lit(ORIGIN[0]), F.lit(ORIGIN[1])).alias("origin"),
+        (ORIGIN[0] + F.col("e") * 100 + 50.0).alias("tile_x"), (ORIGIN[1] + F.col("n") * 100 + 50.0).alias("tile_y"), F.when(F.col("k") % 6 != 0, (F.col("k") * 7 % 20).cast("double")).alias("elevation"),
+    )
+
+
+def antennas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A physical network over ``ground``, a cell for each part; some state no power or altitude, some have a type without defaults."""
+    k = F.col("k")
+    e, n = _strewn(F.floor(F.col("p_partkey") * 3 / 4).cast("long"))
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("k"), e.alias("e"), n.alias("n")).select(
+        "k", F.concat(F.lit("P"), F.lpad(k.cast("string"), 9, "0")).alias("cell_id"), (ORIGIN[0] + F.col("e") * 100 + 50.0).alias("cell_x"), (ORIGIN[1] + F.col("n") * 100 + 50.0).alias("cell_y"),
+        (30 + k % 20).cast("double").alias("antenna_height"), F.when(k % 5 != 0, (k % 15).cast("double")).alias("altitude"), F.when(k % 7 != 0, (5 + k % 10).cast("double")).alias("power"), (150 + k % 3 * 50).cast("double").alias("range"),
+        F.when(k % 2 == 0, "macrocell").when(k % 5 == 1, "microcell").otherwise("other").alias("cell_type"), (k % 2).cast("int").alias("directionality"), (k * 37 % 360).cast("double").alias("azimuth_angle"),
+    )
+
+
 def network_days(spark: SparkSession) -> DataFrame:
     """(cell_id, date, cell_latitude, cell_longitude, valid_date_start, valid_date_end) for every day; some cells are unknown."""
     k = F.col("id")

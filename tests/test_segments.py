@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellscape.codes import ABROAD, MOVE, STAY, UNDETERMINED, UNKNOWN
-from cellscape.operators.segments import DAY, Event, Params, Segment, day_segments, history, opening, step, time_segments
+from cellscape.operators.segments import Params, time_segments
+
+from plain_segments import DAY, Event, Segment, day_segments, history, opening, step
 
 P = Params()
 H = 3600
