@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..codes import ABROAD, MOVE, STAY, UNDETERMINED, UNKNOWN
 from ..functions import grid
 from ..operators import coverage, export, segments, tourism
 from ..sources import demo
 from .coverage import _lattice_connection
-from .views import B, CONN, ZONES
+from .views import B, CONN, EV, FOOT, ZONES
 
 UNTIL = 1_706_400_000  # 2024-01-28
 P = tourism.Params(min_stay_minutes=180, min_night_minutes=240, midnight_hour=4)
 
 
 def time_segments(spark, sf):
-    """A whole history folded by user: rows only."""
+    """A whole history folded by user."""
     e = demo.events(spark, sf)
     fp = coverage.prune_share_of_best(coverage.dominance(coverage.tiles_in_range(coverage.impute_defaults(demo.cells(spark)), demo.lattice(spark).drop("k"), coverage.Params(bin_size=250.0))))
     near = coverage.overlap_groups(coverage.nearby_cells(fp, demo.lattice(spark), 500.0), 250.0)
@@ -23,8 +24,57 @@ def time_segments(spark, sf):
     return s.withColumn("cells", F.array_join("cells", ","))
 
 
+def _segments_sql() -> str:
+    """The state machine as a recursion over each user's entries: the opening of a day (0), its events (1), the first event of
+    the next one (2), its end (3), or a day without events (4). ``b`` is the last segment of the day before, ``n`` the open one.
+    """
+    seg = "STRUCT(s BIGINT, e BIGINT, l BIGINT, c VARCHAR[], p BIGINT, st INTEGER)"
+    make = lambda s, e, l, c, p, st: f"cast({{s: {s}, e: {e}, l: {l}, c: {c}, p: {p}, st: {st}}} AS {seg})"  # noqa: E731, E741
+    none, empty = "NULL", "[]"
+    fresh = lambda at: make(at, "t", "t", "[cell_id]", none, UNDETERMINED)
+    bridged = f"CASE b0.st WHEN {STAY} THEN 43200 WHEN {MOVE} THEN 28800 WHEN {ABROAD} THEN 259200 END"
+    opened = f"CASE WHEN t - b0.l <= {bridged} THEN {make('m', 't', 'b0.l', f'CASE WHEN b0.st = {ABROAD} THEN [] ELSE b0.c END', 'b0.p', 'b0.st')} ELSE {make('m', 't - least(300, (t - m) // 2)', 'b0.l', empty, none, UNKNOWN)} END"
+    cases = [  # (when, closed, open)
+        ("kind = 0", "[]", opened),
+        ("kind = 3", f"CASE WHEN n.e <= z THEN [n, {make('n.e', 'z', 'n.l', empty, none, UNKNOWN)}] ELSE [n] END", none),
+        ("kind = 4 AND b0 IS NULL", "[]", none),
+        ("kind = 4", f"[CASE WHEN b0.st = {ABROAD} AND z - b0.l <= 259200 THEN {make('m', 'z', 'b0.l', empty, 'b0.p', ABROAD)} ELSE {make('m', 'z', 'b0.l', empty, none, UNKNOWN)} END]", none),
+        (f"abroad AND n.st <> {ABROAD}", "[n]", make("n.e", "t", "n.l", empty, "plmn", ABROAD)),
+        ("abroad AND g > 259200", "[n]", make("n.e", "t", none, empty, none, UNKNOWN)),
+        ("abroad AND plmn // 100 = n.p // 100", "[]", make("n.s", "t", "t", "n.c", "n.p", "n.st")),
+        ("abroad", "[n]", make("n.e", "t", "t", empty, "plmn", ABROAD)),
+        (f"n.st IN ({UNKNOWN}, {ABROAD})", "[n]", fresh("n.e")),
+        (f"meets AND g <= 43200 AND n.st = {MOVE}", "[n]", fresh("n.e")),
+        ("meets AND g <= 43200", "[]", make("n.s", "t", "t", "list_distinct(list_append(n.c, cell_id))", "n.p", f"CASE WHEN t - n.s > 900 THEN {STAY} ELSE n.st END")),
+        ("NOT meets AND g <= 28800", f"[n, {make('n.e', 'n.e + g // 2', 'n.l', 'n.c', none, MOVE)}]", make("n.e + g // 2", "t", "t", "[cell_id]", none, MOVE)),
+        ("true", f"[{make('n.s', 'n.e + least(300, g // 2)', 'n.l', 'n.c', 'n.p', 'n.st')}, {make('n.e + least(300, g // 2)', 't - least(300, g // 2)', none, empty, none, UNKNOWN)}]", fresh("t - least(300, g // 2)")),
+    ]
+    chosen = " ".join(f"WHEN {when} THEN {{x: cast({closed} AS {seg}[]), n: cast({now} AS {seg})}}" for when, closed, now in cases)
+    return f"""WITH RECURSIVE {EV}, {FOOT}, pb AS (SELECT * FROM (SELECT *, max(sd) OVER (PARTITION BY grid_id) AS best FROM sd) WHERE sd * 100 >= best * 90.0),
+pp AS (SELECT cell_id, x, y FROM pb JOIN tl USING (grid_id)), nr AS (SELECT a.cell_id, list(DISTINCT b.cell_id) AS near FROM pp a JOIN pp b ON a.cell_id <> b.cell_id AND sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 500 GROUP BY a.cell_id),
+e0 AS (SELECT user_id, t, t // 86400 AS day, cell_id, coalesce(near, []) AS near, plmn, domain = 'outbound' AS abroad FROM ev LEFT JOIN nr USING (cell_id) WHERE t < 19754 * 86400),
+f0 AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY t, cell_id, plmn NULLS FIRST) AS i FROM e0),
+ud AS (SELECT user_id, unnest(range(min(day), 19753)) AS day FROM e0 GROUP BY user_id),
+et AS (SELECT u.user_id, u.day, 1 AS kind, t, cell_id, near, plmn, abroad, i FROM ud u JOIN f0 f ON f.user_id = u.user_id AND f.day = u.day
+  UNION ALL SELECT u.user_id, u.day, CASE WHEN f.t IS NULL THEN 4 ELSE 0 END, t, cell_id, near, plmn, abroad, 0 FROM ud u LEFT JOIN f0 f ON f.user_id = u.user_id AND f.day = u.day AND f.i = 1
+  UNION ALL SELECT u.user_id, u.day, 2, f.t, f.cell_id, f.near, f.plmn, f.abroad, 0 FROM ud u JOIN f0 f ON f.user_id = u.user_id AND f.day = u.day + 1 AND f.i = 1 WHERE EXISTS (SELECT 1 FROM f0 h WHERE h.user_id = u.user_id AND h.day = u.day)
+  UNION ALL SELECT user_id, day, 3, NULL, NULL, NULL, NULL, NULL, 0 FROM f0 WHERE i = 1 AND day < 19753),
+en AS MATERIALIZED (SELECT *, day * 86400 AS m, day * 86400 + 86399 AS z, row_number() OVER (PARTITION BY user_id ORDER BY day, kind, i) AS q FROM et),
+r AS (SELECT DISTINCT user_id, cast(0 AS BIGINT) AS q, cast(NULL AS BIGINT) AS day, cast(NULL AS {seg}) AS b, cast(NULL AS {seg}) AS n, cast(NULL AS {seg}) AS lm, cast([] AS {seg}[]) AS made FROM en
+  UNION ALL
+  SELECT user_id, q, day, CASE kind WHEN 3 THEN coalesce(cut[-1], lm) WHEN 4 THEN cut[-1] ELSE b0 END, step.n, CASE WHEN kind = 0 THEN NULL ELSE coalesce(cut[-1], lm) END, cut
+  FROM (SELECT *, list_filter(list_transform(step.x, lambda s: cast({{s: s.s, e: least(s.e, z), l: s.l, c: s.c, p: s.p, st: s.st}} AS {seg})), lambda s: s.s <= z AND s.e > s.s) AS cut
+    FROM (SELECT *, CASE {chosen} END AS step
+      FROM (SELECT en.*, r.n, r.lm, CASE WHEN kind IN (0, 4) AND r.b.st = {UNKNOWN} AND coalesce(m - r.b.l > 604800, true) THEN NULL ELSE r.b END AS b0, t - r.n.e AS g,
+          len(r.n.c) > 0 AND len(list_filter(r.n.c, lambda c: c <> cell_id AND NOT list_contains(near, c))) = 0 AS meets
+        FROM r JOIN en ON en.user_id = r.user_id AND en.q = r.q + 1)))),
+sg AS (SELECT user_id, day, q, unnest(made) AS s, unnest(range(len(made))) AS j FROM r)
+SELECT user_id, md5(user_id || strftime(epoch_ms(s.s * 1000), '%Y-%m-%d %H:%M:%S')) AS time_segment_id, s.s AS start_s, s.e AS end_s, s.l AS last_event_s, array_to_string(list_sort(s.c), ',') AS cells, cast(s.p AS INTEGER) AS plmn, s.st AS state,
+  row_number() OVER (PARTITION BY user_id, day ORDER BY q DESC, j DESC) = 1 AS is_last, day FROM sg"""
+
+
 def segment_totals(spark, sf):
-    """Seconds in each state by day: segments leave no part of a day from the first event on untold. Rows only."""
+    """Seconds in each state by day: segments leave no part of a day from the first event on untold."""
     s = time_segments(spark, sf)
     return s.groupBy("day", "state").agg(F.count("*").alias("segments"), F.sum(F.col("end_s") - F.col("start_s")).alias("seconds"))
 
@@ -148,8 +198,8 @@ def multi_mno_sum(spark, sf):
 _CU = "cu AS (SELECT c_custkey, c_mktsegment, c_nationkey, cast((c_custkey % 100 // 10 << 16) + c_custkey % 100 % 10 AS INTEGER) AS grid_id FROM customer)"
 _T = CONN.split(", cl AS")[0]
 QUERIES = {
-    "time_segments": (time_segments, None),
-    "segment_totals": (segment_totals, None),
+    "time_segments": (time_segments, _segments_sql()),
+    "segment_totals": (segment_totals, f"SELECT day, state, count(*) AS segments, cast(sum(end_s - start_s) AS BIGINT) AS seconds FROM ({_segments_sql()}) GROUP BY day, state"),
     "tourism_stays": (tourism_stays, f"WITH {_STAYS} SELECT user_id, time_segment_id, is_overnight, string_agg(hid || '=' || format('{{:.6f}}', post), ',' ORDER BY hid) AS zones FROM s3 JOIN cz USING (k) GROUP BY ALL"),
     "trips": (trips, f"WITH {_STAYS} SELECT user_id, trip_id, trip_start, string_agg(time_segment_id, ',' ORDER BY time_segment_id) AS time_segment_ids, max(end_s) AS trip_end, max(end_s) < {UNTIL} AS is_trip_finished FROM ti GROUP BY user_id, trip_id, trip_start"),
     "visits": (visits, f"WITH {_STAYS} SELECT user_id, trip_id, zone_id, time_segment_id, country_of_origin, visit_start, round(zone_weight, 9) AS zone_weight FROM vi"),
