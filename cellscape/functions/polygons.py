@@ -68,7 +68,8 @@ def hull(points: Column) -> Column:
 
 def signed_area(ring: Column) -> Column:
     """Positive for a counterclockwise ring, negative for a clockwise one."""
-    return F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]) / 2)
+    from_first = lambda sides: F.aggregate(sides, F.lit(0.0), lambda s, e: s + cross(F.get(sides, F.lit(0))["a"], e["a"], e["b"]) / 2)  # noqa: E731  coordinates are large
+    return let(edges(ring), from_first)
 
 
 def area(ring: Column) -> Column:
@@ -109,7 +110,7 @@ def clip(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column
     A ring that the box parts stays one, its parts joined along the box's sides, so its area is right.
     """
 
-    def half(r: Column, axis: str, other: str, limit: Column, sign: int) -> Column:
+    def half(axis: str, other: str, limit: Column, sign: int) -> Callable[[Column], Column]:
         inside = lambda p: (p[axis] - limit) * sign >= 0
 
         def cut(e: Column) -> Column:
@@ -119,11 +120,11 @@ def clip(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column
             turn = F.when(inside(a) != inside(b), F.array(at)).otherwise(F.array().cast(RING))
             return F.concat(F.when(inside(a), F.array(a)).otherwise(F.array().cast(RING)), turn)
 
-        return F.flatten(F.transform(edges(r), cut))
+        return lambda r: F.flatten(F.transform(edges(r), cut))
 
     out = opened(ring.cast(RING))
     for axis, other, limit, sign in (("x", "y", x0, 1), ("x", "y", x1, -1), ("y", "x", y0, 1), ("y", "x", y1, -1)):
-        out = let(out, lambda r, axis=axis, other=other, limit=limit, sign=sign: half(r, axis, other, limit.cast("double"), sign))
+        out = let(out, half(axis, other, limit.cast("double"), sign))
     return out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..functions.geo import inside, project
+from ..functions.geo import inside, project, to_grid
 
 
 def snapped_extent(lon_min: float, lat_min: float, lon_max: float, lat_max: float, margin: int = 5, sub_rasters: int = 1) -> tuple[int, int, int, int]:
@@ -42,6 +42,33 @@ def cover(spark: SparkSession, box: tuple[int, int, int, int], quadkey_zoom: int
     )
 
 
+def extent_box(lon_min: Column, lat_min: Column, lon_max: Column, lat_max: Column, margin: int = 5, parts: int = 1) -> Column:
+    """``snapped_extent`` of columns: struct (x0, y0, x1, y1) in metres, sides divisible by ``parts`` tiles."""
+    corners = F.array(*[F.struct(*[v.alias(c) for c, v in zip("xy", to_grid(la, lo))]) for la in (lat_min, (lat_min + lat_max) / 2, lat_max) for lo in (lon_min, (lon_min + lon_max) / 2, lon_max)])
+    low = lambda c: F.floor(F.array_min(F.transform(corners, lambda p: p[c])) / grid.TILE) - margin
+    high = lambda c: F.ceil(F.array_max(F.transform(corners, lambda p: p[c])) / grid.TILE) + margin
+    even = lambda c: high(c) + F.pmod(low(c) - high(c), F.lit(parts))
+    return F.struct(*[(v * grid.TILE).alias(n) for n, v in (("x0", low("x")), ("y0", low("y")), ("x1", even("x")), ("y1", even("y")))])
+
+
+def sub_rasters(df: DataFrame, box: str, parts: int) -> DataFrame:
+    """``df`` with one row for each of the parts x parts sub-rasters of its box (of sides that they divide): ``part`` and its ``box``."""
+    b, i = F.col(box), F.col("part")
+    w, h = (F.floor((b[f"{c}1"] - b[f"{c}0"]) / (grid.TILE * parts)) * grid.TILE for c in "xy")
+    x, y = b["x0"] + i % parts * w, b["y0"] + F.floor(i / parts) * h
+    out = df.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts * parts - 1))))
+    return out.withColumn(box, F.struct(x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + h).alias("y1")))
+
+
+def box_tiles(df: DataFrame, box: str) -> DataFrame:
+    """``df`` with a row for each tile of its box: e and n from the box's corner, and the centroid."""
+    b = F.col(box)
+    steps = lambda c: F.sequence(F.lit(0).cast("long"), F.floor((b[f"{c}1"] - b[f"{c}0"]) / grid.TILE) - 1)
+    out = df.withColumn("e", F.explode(steps("x"))).withColumn("n", F.explode(steps("y")))
+    half = grid.TILE / 2
+    return out.withColumns({"tile_x": b["x0"] + F.col("e") * grid.TILE + half, "tile_y": b["y0"] + F.col("n") * grid.TILE + half})
+
+
 def ring_extent(ring: Column) -> Column:
     """Struct (x0, y0, x1, y1) of an array of points."""
     pick = lambda f, c: f(F.transform(ring, lambda p: p[c]))
@@ -97,7 +124,12 @@ def landuse_ratios(tiles: DataFrame, landuse: DataFrame, bin_size: float = 1000.
     side = lambda v, lo, hi: F.greatest(F.lit(0.0), F.least(F.col(v) + half, F.col(hi)) - F.greatest(F.col(v) - half, F.col(lo)))
     pairs = t.join(spread, (F.col("_tx") == F.col("_lx")) & (F.col("_ty") == F.col("_ly"))).withColumn("area", side("tile_x", "x0", "x1") * side("tile_y", "y0", "y1"))
     pairs = pairs.where("area > 0").dropDuplicates(["grid_id", "category", "x0", "y0", "x1", "y1"])
-    shares = pairs.groupBy("grid_id", "category").agg((F.sum("area") / (grid.TILE * grid.TILE)).alias("ratio"))
+    return ratio_map(tiles, pairs.groupBy("grid_id", "category").agg(F.sum("area").alias("area")), default, least)
+
+
+def ratio_map(tiles: DataFrame, areas: DataFrame, default: str = "open_area", least: float = 0.05) -> DataFrame:
+    """(grid_id, landuse_area_ratios, main_landuse_category) from (grid_id, category, area), as ``landuse_ratios`` tells them."""
+    shares = areas.select("grid_id", "category", (F.col("area") / (grid.TILE * grid.TILE)).alias("ratio"))
     by_tile = shares.groupBy("grid_id").agg(F.array_sort(F.collect_list(F.struct("category", "ratio"))).alias("r"), F.sum("ratio").alias("all"))
     scale = F.greatest(F.col("all"), F.lit(1.0))
     ratios = F.map_from_entries(F.transform("r", lambda e: F.struct(e["category"], e["ratio"] / scale)))

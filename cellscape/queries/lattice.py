@@ -149,24 +149,6 @@ b AS (SELECT *, asin({q} / {geo._QP!r}) AS b FROM c), k AS (SELECT *, {geo._RQ!r
 SELECT c_custkey, round(4321000 + k * {geo._D!r} * cos(b) * sin(dl), 3) AS easting, round(3210000 + k / {geo._D!r} * ({cb} * sin(b) - {sb} * cos(b) * cos(dl)), 3) AS northing FROM k"""
 
 
-def grid_cover(spark, sf):
-    box = zoning.snapped_extent(-3.72, 40.40, -3.68, 40.43, 5, 2)
-    return zoning.cover(spark, box).select("grid_id", "origin", "tile_x", "tile_y")
-
-
-def _cover_sql() -> str:
-    """The box's corners, projected and snapped out to tiles with a margin of five and even sides."""
-    q = "((1 - {e2}) * (s / (1 - {e2} * s * s) - ln((1 - {e} * s) / (1 + {e} * s)) / (2 * {e})))".format(e2=repr(geo._E2), e=repr(geo._E))
-    sb, cb = repr(geo.math.sin(geo._B0)), repr(geo.math.cos(geo._B0))
-    return f"""WITH c AS (SELECT sin(radians(la)) AS s, radians(lo) - {geo._LON0!r} AS dl FROM (VALUES (40.40::DOUBLE), (40.415::DOUBLE), (40.43::DOUBLE)) a(la), (VALUES (-3.72::DOUBLE), (-3.70::DOUBLE), (-3.68::DOUBLE)) b(lo)),
-b AS (SELECT *, asin({q} / {geo._QP!r}) AS b FROM c), k AS (SELECT *, {geo._RQ!r} * sqrt(2 / (1 + {sb} * sin(b) + {cb} * cos(b) * cos(dl))) AS k FROM b),
-p AS (SELECT 4321000 + k * {geo._D!r} * cos(b) * sin(dl) AS x, 3210000 + k / {geo._D!r} * ({cb} * sin(b) - {sb} * cos(b) * cos(dl)) AS y FROM k),
-m AS (SELECT cast(floor(min(x) / 100) AS BIGINT) - 5 AS x0, cast(floor(min(y) / 100) AS BIGINT) - 5 AS y0, cast(ceil(max(x) / 100) AS BIGINT) + 5 AS x1, cast(ceil(max(y) / 100) AS BIGINT) + 5 AS y1 FROM p),
-n AS (SELECT x0, y0, x1 - x0 + (x1 - x0) % 2 AS w, y1 - y0 + (y1 - y0) % 2 AS h FROM m),
-t AS (SELECT n.*, e, unnest(range(h)) AS f FROM (SELECT *, unnest(range(w)) AS e FROM n) n)
-SELECT cast((e << 16) + f AS INTEGER) AS grid_id, (x0 << 32) + y0 AS origin, x0 * 100 + e * 100 + 50.0::DOUBLE AS tile_x, y0 * 100 + f * 100 + 50.0::DOUBLE AS tile_y FROM t"""
-
-
 QUERIES = {
     "grid_pack": (grid_pack, f"WITH {T} SELECT p_partkey, {pack_sql()} AS grid_id, origin, cast(e AS INTEGER) AS e, cast(n AS INTEGER) AS n, {X0} + e * 100 + 50.0::DOUBLE AS x, {Y0} + n * 100 + 50.0::DOUBLE AS y FROM t"),
     "grid_inspire_id": (grid_inspire_id, f"WITH {T} SELECT p_partkey, '100mN' || ({Y0 // 100} + n) || 'E' || ({X0 // 100} + e) AS id_100m, '1kmN' || (({Y0 // 100} + n) // 10) || 'E' || (({X0 // 100} + e) // 10) AS id_1km, ({X0 // 100} + e) // 10 * 1000 AS x0, ({Y0 // 100} + n) // 10 * 1000 + 1000 AS y1 FROM t"),
@@ -180,5 +162,4 @@ QUERIES = {
     "zones_of_tiles": (zones_of_tiles, f"WITH {views.TILES}, z AS (SELECT n_name, 4000000 + n_nationkey % 5 * 180 AS x0, 3000000 + n_nationkey // 5 * 180 AS y0 FROM nation) SELECT grid_id, coalesce(min(n_name), 'undefined') AS zone_id FROM tl LEFT JOIN z ON x > x0 AND x < x0 + 180 AND y > y0 AND y < y0 + 180 GROUP BY grid_id"),
     "landuse_enrichment": (landuse, LANDUSE_SQL),
     "equal_area_projection": (projected, _projection_sql()),
-    "grid_cover": (grid_cover, _cover_sql()),
 }
