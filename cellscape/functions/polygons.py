@@ -93,7 +93,7 @@ def cross_each_other(e: Column, f: Column) -> Column:
 
 
 def hull_distance(a: Column, b: Column) -> Column:
-    """Distance between two hulls: 0 where they meet, else from a corner of one to a side of the other."""
+    """Distance between two hulls: 0 where they meet, else from a corner of one to a side of the other; null where one is."""
 
     def of(p: Column, q: Column) -> Column:  # sides
         holds = lambda sides, x: (F.size(sides) > 2) & F.forall(sides, lambda e: cross(e["a"], e["b"], x) >= 0)
@@ -101,7 +101,8 @@ def hull_distance(a: Column, b: Column) -> Column:
         least = lambda s, t: F.array_min(F.transform(s, lambda e: F.array_min(F.transform(t, lambda f: to_segment(e["a"], f)))))
         return F.when(meet, F.lit(0.0)).otherwise(F.least(least(p, q), least(q, p)))
 
-    return let(edges(a), lambda p: let(edges(b), lambda q: of(p, q)))
+    known = a.isNotNull() & b.isNotNull()
+    return F.when(known, let(edges(a), lambda p: let(edges(b), lambda q: of(p, q))))
 
 
 def clip(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..codes import ID_ABROAD, ID_GRID, ID_OBSERVATION, ID_UNKNOWN, OBSERVATION_GRID, UNKNOWN_CELL, WEEKDAYS
 from ..functions.geo import planar
+from ..functions.polygons import hull_distance
 from ..plans.joins import slot_overlap
 
 DAY = 86400
@@ -34,21 +35,34 @@ class DailyParams:
 
 
 def enrich(events: DataFrame, cells: DataFrame, params: DailyParams = DailyParams()) -> DataFrame:
-    """Events (user_id, t, cell_id, plmn, abroad) with place, and the events before and after on the adjacent days at most."""
-    place = cells.select(F.col("cell_id").alias("_cell"), "x", "y")
+    """Events (user_id, t, cell_id, plmn, abroad) with place, and the events before and after on the adjacent days at most.
+
+    ``cells``: cell_id and a point x, y, or ``hull`` (points of a convex hull, as of ``coverage.cell_hulls``). With a column
+    ``day`` (days since 1970) a cell has the place of the event's day.
+    """
+    what = ["hull"] if "hull" in cells.columns else ["x", "y"]
+    by = ["cell_id", "day"] if "day" in cells.columns else ["cell_id"]
+    place = cells.select(*[F.col(c).alias(f"_{c}") for c in by], *what)
     df = events.withColumn("cell_id", F.when(F.col("abroad"), F.floor(F.col("plmn") / 100).cast("string")).otherwise(F.col("cell_id")))
-    df = df.join(place, F.col("cell_id") == F.col("_cell"), "left").drop("_cell")
-    w = Window.partitionBy("user_id").orderBy("t", "cell_id")
-    spot = F.struct("t", "cell_id", "x", "y")
     day = F.floor(F.col("t") / DAY)
+    at = {"cell_id": F.col("cell_id"), "day": day}
+    df = df.join(place, [at[c] == F.col(f"_{c}") for c in by], "left").drop(*[f"_{c}" for c in by])
+    w = Window.partitionBy("user_id").orderBy("t", "cell_id")
+    spot = F.struct("t", "cell_id", *what)
     df = df.withColumns({"before": F.lag(spot).over(w), "after": F.lead(spot).over(w)})
     near = lambda c, d: F.when(F.floor(F.col(f"{c}.t") / DAY) * d <= (day + d) * d, F.col(c))
     return df.withColumns({"before": near("before", -1), "after": near("after", 1)})
 
 
 def without_moves(enriched: DataFrame, params: DailyParams = DailyParams()) -> DataFrame:
-    """Drop events passed at speed: the way over the event, or straight from before to after, over the time between."""
-    d = lambda a, b: F.coalesce(planar(F.col(f"{a}x"), F.col(f"{a}y"), F.col(f"{b}x"), F.col(f"{b}y")), F.lit(0.0))
+    """Drop events passed at speed: the way over the event, or straight from before to after, over the time between.
+
+    Ways are between points, or between hulls (0 where they meet); one with an unknown end counts as 0.
+    """
+    if "hull" in enriched.columns:
+        d = lambda a, b: F.coalesce(F.when(F.col(f"{a}hull") == F.col(f"{b}hull"), F.lit(0.0)).otherwise(hull_distance(F.col(f"{a}hull"), F.col(f"{b}hull"))), F.lit(0.0))
+    else:
+        d = lambda a, b: F.coalesce(planar(F.col(f"{a}x"), F.col(f"{a}y"), F.col(f"{b}x"), F.col(f"{b}y")), F.lit(0.0))
     way = F.greatest(d("before.", "") + d("", "after."), d("before.", "after."))
     return enriched.where(~F.coalesce(F.try_divide(way, F.col("after.t") - F.col("before.t")) > params.max_speed, F.lit(False)))
 

@@ -11,8 +11,9 @@ from ..functions import grid
 from ..operators import coverage, migration, permanence, quality, usual_environment
 from ..plans.iterate import cut
 from ..sources import demo
+from .coverage import _footprint
 from .lattice import LANDUSE_SQL, landuse_tiles
-from .views import EV, FOOT, TILES, ZONES
+from .views import B, EV, FOOT, FOOT_GROUND, TILES, ZONES
 
 P = permanence.DailyParams(gap=7200, same_cell_gap=14400, night_gap=36000, abroad_gap=7200, max_speed=0.02)
 
@@ -56,6 +57,50 @@ du AS (SELECT s.user_id, s.day, s.slot, coalesce(cell_id, '-99') AS cell_id, coa
 )
 
 
+def _wandering(spark, sf):
+    """Signals that name cells of the network over ``ground``: each user has thirteen."""
+    b = demo.base_events(spark, sf)
+    cell = F.concat(F.lit("P"), F.lpad((F.col("uid") * 13 + F.col("k") % 13).cast("string"), 9, "0"))
+    abroad = F.col("event_type") == "signup"
+    return b.select(F.col("uid").alias("user_id"), F.unix_timestamp("ts").alias("t"), cell.alias("cell_id"), F.when(abroad, 20801).alias("plmn"), abroad.alias("abroad"))
+
+
+def _day_hulls(spark, sf):
+    """(cell_id, day, hull): footprints are wider on odd days."""
+    fp, tiles = _footprint(spark, sf), demo.ground(spark, sf)
+    days = F.sequence(F.unix_date(F.lit(demo.FIRST_DAY).cast("date")).cast("long"), F.unix_date(F.lit(demo.LAST_DAY).cast("date")).cast("long"))
+    out = None
+    for odd, share in ((0, 95.0), (1, 80.0)):
+        own = coverage.cell_hulls(coverage.prune_share_of_best(fp, coverage.Params(best_percent=share)), tiles)
+        own = own.withColumn("day", F.explode(F.filter(days, lambda d: d % 2 == odd)))  # noqa: B023
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def hull_stays(spark, sf):
+    """Stay intervals where ways are between the cells' hulls of the day."""
+    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(_wandering(spark, sf), _day_hulls(spark, sf), P), P), P)
+
+
+#: Hulls' distances as in ``cell_distance``: the widest gap between the tiles of two cells, over all directions that can be widest.
+_HULL_STAY = (
+    f"{B}, "
+    + FOOT_GROUND
+    + """, sg AS (SELECT uid AS user_id, cast(epoch(ts) AS BIGINT) AS t, CASE WHEN event_type = 'signup' THEN '208' ELSE 'P' || lpad(cast(uid * 13 + k % 13 AS VARCHAR), 9, '0') END AS cell_id, event_type = 'signup' AS abroad, cast(epoch(ts) AS BIGINT) // 86400 AS day FROM b),
+hp AS (SELECT cell_id || o AS h, list({x: x, y: y}) AS ps FROM (SELECT *, max(sd) OVER (PARTITION BY grid_id) AS best FROM sd) f JOIN tl USING (grid_id), (VALUES (0), (1)) v(o) WHERE sd * 100 >= best * CASE o WHEN 0 THEN 95.0 ELSE 80.0 END GROUP BY h),
+pl AS (SELECT sg.*, h FROM sg LEFT JOIN hp ON h = cell_id || day % 2),
+lg AS (SELECT *, lag(t) OVER w AS bt0, lag(cell_id) OVER w AS bc0, lag(h) OVER w AS bh0, lead(t) OVER w AS at0, lead(cell_id) OVER w AS ac0, lead(h) OVER w AS ah0 FROM pl WINDOW w AS (PARTITION BY user_id ORDER BY t, cell_id)),
+nb AS (SELECT user_id, t, cell_id, abroad, day, h, CASE WHEN bt0 // 86400 >= day - 1 THEN bt0 END AS bt, CASE WHEN bt0 // 86400 >= day - 1 THEN bc0 END AS bc, CASE WHEN bt0 // 86400 >= day - 1 THEN bh0 END AS bh,
+  CASE WHEN at0 // 86400 <= day + 1 THEN at0 END AS a_t, CASE WHEN at0 // 86400 <= day + 1 THEN ac0 END AS ac, CASE WHEN at0 // 86400 <= day + 1 THEN ah0 END AS ah FROM lg),
+pr AS (SELECT p.a, p.b, x.ps AS pa, y.ps AS pb FROM (SELECT bh AS a, h AS b FROM nb UNION SELECT h, ah FROM nb UNION SELECT bh, ah FROM nb) p JOIN hp x ON x.h = p.a JOIN hp y ON y.h = p.b WHERE p.a <> p.b),
+di AS (SELECT a, b, q.y - p.y AS dx, p.x - q.x AS dy FROM (SELECT a, b, pa, unnest(pa) AS p FROM pr), unnest(pa) r(q) UNION SELECT a, b, q.y - p.y, p.x - q.x FROM (SELECT a, b, pb, unnest(pb) AS p FROM pr), unnest(pb) r(q) UNION SELECT a, b, q.x - p.x, q.y - p.y FROM (SELECT a, b, pb, unnest(pa) AS p FROM pr), unnest(pb) r(q)),
+hd AS (SELECT a, b, max(greatest(0, list_min(list_transform(pb, lambda p: p.x * dx + p.y * dy)) - list_max(list_transform(pa, lambda p: p.x * dx + p.y * dy)), list_min(list_transform(pa, lambda p: p.x * dx + p.y * dy)) - list_max(list_transform(pb, lambda p: p.x * dx + p.y * dy))) / sqrt(dx * dx + dy * dy)) AS d FROM di JOIN pr USING (a, b) WHERE dx <> 0 OR dy <> 0 GROUP BY a, b),
+kp AS (SELECT nb.* FROM nb LEFT JOIN hd p ON p.a = bh AND p.b = h LEFT JOIN hd q ON q.a = h AND q.b = ah LEFT JOIN hd r ON r.a = bh AND r.b = ah WHERE NOT coalesce(greatest(coalesce(p.d, 0) + coalesce(q.d, 0), coalesce(r.d, 0)) / (a_t - bt) > 0.02, false)),
+"""
+    + _STAY[_STAY.index("si AS (") :]
+)
+
+
 def _groups(spark):
     fp = coverage.prune_share_of_best(coverage.dominance(coverage.tiles_in_range(coverage.impute_defaults(demo.cells(spark)), demo.lattice(spark).drop("k"), coverage.Params(bin_size=250.0))), coverage.Params(best_percent=97.0))
     return coverage.footprint_groups(fp)
@@ -251,6 +296,7 @@ MM_SQL = f"WITH {_HOME}, ha AS (SELECT DISTINCT user_id FROM h1), hb AS (SELECT
 _B = lambda c: f"cast({c} AS BIGINT) AS {c}"
 QUERIES = {
     "stay_intervals": (stay_intervals, f"WITH {_STAY} SELECT * FROM si"),
+    "hull_stays": (hull_stays, f"WITH {_HULL_STAY} SELECT * FROM si"),
     "slot_durations": (slot_durations, f"WITH {_SLOT} SELECT * FROM du"),
     "daily_ps": (daily_ps, f"WITH {_DPS} SELECT user_id, day, slot, id_type, array_to_string(dps, ',') AS dps FROM dp"),
     "midterm_ps": (midterm_ps, f"WITH {_DPS}{_INTERVALS} SELECT user_id, month, day_type, time_interval, id_type, location, {_B('mps')}, {_B('frequency')} FROM mt"),
