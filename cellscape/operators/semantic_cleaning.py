@@ -84,3 +84,14 @@ def event_cache(flagged: DataFrame) -> DataFrame:
     ranked = flagged.where(F.col("error_flag") == NO_ERROR).withColumns({"_first": F.row_number().over(up) == 1, "_last": F.row_number().over(down) == 1})
     roles = F.array_compact(F.array(F.when(F.col("_first"), F.lit(False)), F.when(F.col("_last"), F.lit(True))))
     return ranked.where("_first or _last").withColumn("is_last_event", F.explode(roles)).drop("_first", "_last")
+
+
+def with_cached(events: DataFrame, cache: DataFrame, since: str, until: str) -> DataFrame:
+    """The events of the dates from ``since`` to ``until``, and from an ``event_cache`` each user's last event of the day before
+    and first of the day after; ``own`` tells the former. So a run over some days sees its neighbours without reading them.
+    """
+    day = lambda d, k: F.date_add(F.lit(d).cast("date"), k)
+    before = (F.col("date") == day(since, -1)) & F.col("is_last_event")
+    after = (F.col("date") == day(until, 1)) & ~F.col("is_last_event")
+    own = events.where(F.col("date").between(day(since, 0), day(until, 0))).withColumn("own", F.lit(True))
+    return own.unionByName(cache.where(before | after).select(*events.columns).withColumn("own", F.lit(False)))

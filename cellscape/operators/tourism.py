@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,6 +62,29 @@ def trips(stays: DataFrame, gap_hours: int, key: tuple[str, ...] = ("user_id",))
     return out.withColumn("trip_id", F.md5(F.concat(*parts, F.lit("|"), F.col("trip_start").cast("string")).cast("binary")))
 
 
+def month_bounds(start_month: str, end_month: str) -> list[tuple[str, int, int]]:
+    """(month, since, until) of every month from one to the other, both as yyyy-MM: epoch seconds of its first second and the next month's."""
+    first = [datetime.strptime(m, "%Y-%m").replace(tzinfo=timezone.utc) for m in (start_month, end_month)]
+    if first[1] < first[0]:
+        raise ValueError(f"{end_month} is before {start_month}")
+    at = lambda k: datetime(k // 12, k % 12 + 1, 1, tzinfo=timezone.utc)
+    months = range(first[0].year * 12 + first[0].month - 1, first[1].year * 12 + first[1].month)
+    return [(f"{at(k):%Y-%m}", int(at(k).timestamp()), int(at(k + 1).timestamp())) for k in months]
+
+
+def month_trips(stays: DataFrame, since: int, until: int, gap_hours: int, held: DataFrame | None = None, key: tuple[str, ...] = ("user_id",)) -> DataFrame:
+    """Trips of one run, as ``trips`` tells them, from the stays that start from ``since`` to before ``until``, and ``open``.
+
+    A trip is open if a stay from ``until`` on could still go on with it. ``held``: the open rows of the run before, which
+    go on here; so only the period's stays are read. Rows that aren't open are final: those of all runs, and the last
+    run's open ones, are the trips of one run over everything.
+    """
+    own = stays.where((F.col("start_s") >= since) & (F.col("start_s") < until))
+    rows = own if held is None else own.unionByName(held.select(*stays.columns))
+    reach = F.max("end_s").over(Window.partitionBy("trip_id")) + gap_hours * 3600
+    return trips(rows, gap_hours, key).withColumn("open", reach >= until)
+
+
 def by_zone(trip_stays: DataFrame, level: int, countries: DataFrame) -> DataFrame:
     """A row for each stay and zone at ``level``, with the country of the SIM ('XX' if unknown). ``countries``: mcc, iso2."""
     iso = countries.select(F.col("mcc").alias("_mcc"), "iso2")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..codes import ID_GRID
 from ..functions import grid
-from ..operators import coverage, migration, permanence, quality, usual_environment
+from ..operators import coverage, migration, permanence, quality, semantic_cleaning, usual_environment
 from ..plans.iterate import cut
 from ..sources import demo
 from .coverage import _footprint
@@ -27,6 +27,20 @@ def _stays(spark, sf):
     return permanence.stay_intervals(permanence.without_moves(permanence.enrich(_signals(spark, sf), cells, P), P), P)
 
 
+def stays_by_run(spark, sf):
+    """Two runs over half of the days each, which know their neighbours' events from the cache alone: the stays of one run over all."""
+    events = demo.events(spark, sf)
+    cache = cut(semantic_cleaning.event_cache(events.withColumn("error_flag", F.lit(0))))
+    cells = demo.cells(spark).select("cell_id", F.col("cell_x").alias("x"), F.col("cell_y").alias("y"))
+    out = None
+    for since, until in ((demo.FIRST_DAY, "2024-01-15"), ("2024-01-16", demo.LAST_DAY)):
+        rows = semantic_cleaning.with_cached(events, cache, since, until)
+        signals = rows.select("user_id", F.unix_timestamp("timestamp").alias("t"), "cell_id", "plmn", (F.col("domain") == "outbound").alias("abroad"), "own")
+        made = permanence.stay_intervals(permanence.without_moves(permanence.enrich(signals, cells, P), P).where("own"), P)
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
 def _durations(spark, sf):
     days = _signals(spark, sf).select("user_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
     return permanence.slot_durations(_stays(spark, sf), days, P)
@@ -296,6 +310,7 @@ MM_SQL = f"WITH {_HOME}, ha AS (SELECT DISTINCT user_id FROM h1), hb AS (SELECT
 _B = lambda c: f"cast({c} AS BIGINT) AS {c}"
 QUERIES = {
     "stay_intervals": (stay_intervals, f"WITH {_STAY} SELECT * FROM si"),
+    "stays_by_run": (stays_by_run, f"WITH {_STAY} SELECT * FROM si"),
     "hull_stays": (hull_stays, f"WITH {_HULL_STAY} SELECT * FROM si"),
     "slot_durations": (slot_durations, f"WITH {_SLOT} SELECT * FROM du"),
     "daily_ps": (daily_ps, f"WITH {_DPS} SELECT user_id, day, slot, id_type, array_to_string(dps, ',') AS dps FROM dp"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..codes import ABROAD, MOVE, STAY, UNDETERMINED, UNKNOWN
 from ..functions import grid
 from ..operators import coverage, export, segments, tourism
+from ..plans.iterate import cut
 from ..sources import demo
 from .coverage import _lattice_connection
 from .views import B, CONN, EV, FOOT, ZONES
@@ -109,9 +113,40 @@ def trips(spark, sf):
     return t.withColumn("time_segment_ids", F.array_join("time_segment_ids", ","))
 
 
+def _countries(spark):
+    return spark.sql("SELECT * FROM VALUES (310, 'US'), (214, 'ES') AS t(mcc, iso2)")
+
+
 def _visits(spark, sf):
-    countries = spark.sql("SELECT * FROM VALUES (310, 'US'), (214, 'ES') AS t(mcc, iso2)")
-    return tourism.visits(tourism.by_zone(_trips(spark, sf), 2, countries), 24)
+    return tourism.visits(tourism.by_zone(_trips(spark, sf), 2, _countries(spark)), 24)
+
+
+#: The stays of the month are moved on by half a month, so that trips lie across its end.
+HALF_MONTH = 15 * 86400
+
+
+def _monthly(spark, sf):
+    """(month, closed trips) of three runs; each reads its own month's stays and the trips that the run before left open."""
+    stays = cut(_stays(spark, sf).withColumns({c: F.col(c) + HALF_MONTH for c in ("start_s", "end_s")}))
+    held, out = None, []
+    for month, since, until in tourism.month_bounds("2024-01", "2024-03"):
+        run = cut(tourism.month_trips(stays, since, until, 24, held))
+        held = run.where("open")
+        out.append((month, run.where("not open").drop("open")))
+    return out
+
+
+def trips_by_month(spark, sf):
+    """Trips in the month in which they ended for good."""
+    parts = [tourism.trip_table(t, UNTIL + 100 * 86400).withColumn("month", F.lit(m)) for m, t in _monthly(spark, sf)]
+    return functools.reduce(DataFrame.unionByName, parts).withColumn("time_segment_ids", F.array_join("time_segment_ids", ",")).drop("is_trip_finished")
+
+
+def zone_nights_by_month(spark, sf):
+    """Nights and departures of each month's trips."""
+    each = lambda t: tourism.zone_departures(tourism.visits(tourism.by_zone(t, 2, _countries(spark)), 24), UNTIL + 100 * 86400)
+    parts = [each(t).withColumn("month", F.lit(m)) for m, t in _monthly(spark, sf)]
+    return functools.reduce(DataFrame.unionByName, parts).withColumn("nights_spent", F.round("nights_spent", 6))
 
 
 def visits(spark, sf):
@@ -127,6 +162,7 @@ def avg_destinations(spark, sf):
     return a.select("country_of_origin", *[F.round(c, 6).alias(c) for c in ("avg_destinations", "avg_nights_spent_per_destination")])
 
 
+_MONTH = "CASE WHEN max(end_s) OVER (PARTITION BY trip_id) + 86400 + 1296000 < 1706745600 THEN '2024-01' WHEN max(end_s) OVER (PARTITION BY trip_id) + 86400 + 1296000 < 1709251200 THEN '2024-02' ELSE '2024-03' END AS month"
 _STAYS = f"""{B}, {CONN}, {ZONES}, sg AS (SELECT uid AS user_id, 's' || event_id AS time_segment_id, cast(epoch(ts) AS BIGINT) AS start_s, CASE WHEN event_type IN ('error', 'click') THEN 310 WHEN event_type = 'view' THEN 262 ELSE 214 END AS mcc, k FROM b),
 s2 AS (SELECT *, least(start_s + (1 + k % 9) * 3600, start_s // 86400 * 86400 + 86399) AS end_s FROM sg),
 s3 AS (SELECT *, (start_s % 86400) // 3600 <= 4 AND (end_s % 86400) // 3600 > 4 AND end_s - start_s >= 14400 AS is_overnight FROM s2 WHERE k % 3 <> 0 AND end_s - start_s >= 10800 AND mcc <> 214 AND user_id NOT IN (SELECT uid FROM b WHERE uid % 50 = 0)),
@@ -202,6 +238,8 @@ QUERIES = {
     "segment_totals": (segment_totals, f"SELECT day, state, count(*) AS segments, cast(sum(end_s - start_s) AS BIGINT) AS seconds FROM ({_segments_sql()}) GROUP BY day, state"),
     "tourism_stays": (tourism_stays, f"WITH {_STAYS} SELECT user_id, time_segment_id, is_overnight, string_agg(hid || '=' || format('{{:.6f}}', post), ',' ORDER BY hid) AS zones FROM s3 JOIN cz USING (k) GROUP BY ALL"),
     "trips": (trips, f"WITH {_STAYS} SELECT user_id, trip_id, trip_start, string_agg(time_segment_id, ',' ORDER BY time_segment_id) AS time_segment_ids, max(end_s) AS trip_end, max(end_s) < {UNTIL} AS is_trip_finished FROM ti GROUP BY user_id, trip_id, trip_start"),
+    "trips_by_month": (trips_by_month, f"WITH {_STAYS}, m AS (SELECT *, {_MONTH} FROM ti) SELECT user_id, md5(user_id || '|' || (trip_start + {HALF_MONTH})) AS trip_id, trip_start + {HALF_MONTH} AS trip_start, string_agg(time_segment_id, ',' ORDER BY time_segment_id) AS time_segment_ids, max(end_s) + {HALF_MONTH} AS trip_end, month FROM m GROUP BY user_id, trip_start, month"),
+    "zone_nights_by_month": (zone_nights_by_month, f"WITH {_STAYS}, m AS (SELECT *, {_MONTH} FROM vf) SELECT month, country_of_origin, ot AS is_overnight, zone_id, round(sum(CASE WHEN is_overnight THEN zone_weight ELSE 0 END), 6) AS nights_spent, count(DISTINCT trip_id) AS departures FROM m GROUP BY ALL"),
     "visits": (visits, f"WITH {_STAYS} SELECT user_id, trip_id, zone_id, time_segment_id, country_of_origin, visit_start, round(zone_weight, 9) AS zone_weight FROM vi"),
     "zone_nights": (zone_nights, f"WITH {_STAYS} SELECT country_of_origin, ot AS is_overnight, zone_id, round(sum(CASE WHEN vf AND is_overnight THEN zone_weight ELSE 0 END), 6) AS nights_spent, count(DISTINCT CASE WHEN tf THEN trip_id END) AS departures FROM vf GROUP BY ALL"),
     "avg_destinations": (avg_destinations, f"WITH {_STAYS}, z AS (SELECT country_of_origin, trip_id, zone_id, sum(CASE WHEN is_overnight THEN zone_weight ELSE 0 END) AS n FROM vf WHERE tf GROUP BY ALL), a AS (SELECT country_of_origin, avg(c) AS d FROM (SELECT country_of_origin, trip_id, count(*) AS c FROM z GROUP BY ALL) GROUP BY ALL) SELECT country_of_origin, round(d, 6) AS avg_destinations, round(avg(n), 6) AS avg_nights_spent_per_destination FROM z JOIN a USING (country_of_origin) GROUP BY country_of_origin, d"),
