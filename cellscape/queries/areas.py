@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, grid, polygons
 from ..operators import areas, coverage, zoning
-from ..sources import demo
+from ..sources import demo, wkb
 from .coverage import _footprint
 from .views import CONN_GROUND, GROUND, _strewn
 
@@ -87,6 +87,19 @@ cg AS (SELECT s, e, n, px, py, sum(cast(c AS INTEGER)) % 2 = 1 AS inside, min(sq
 SELECT s, kind, cast(((e + 10) << 16) + n + 10 AS INTEGER) AS grid_id, (cast(39990 AS BIGINT) << 32) + 29990 AS origin, px + 4000000 AS tile_x, py + 3000000 AS tile_y FROM cg, (VALUES ('inside'), ('near'), ('met')) v(kind) WHERE inside OR (kind = 'near' AND near) OR (kind = 'met' AND met)"""
 
 
+def wkb_polygons(spark, sf):
+    """Darts and their holes written as well-known binary, in either byte order, and read again; every seventh loses its last byte."""
+    part = F.concat(F.array("ring"), "holes")
+    shape = F.struct(F.lit("polygon").alias("kind"), F.array(part).alias("parts"))
+    data = wkb.with_wkb(_shapes(spark, sf).select("s", shape.alias("made")), "made", "geometry", F.col("s") % 2 == 1)
+    data = data.select("s", F.when(F.col("s") % 7 == 0, F.expr("substring(geometry, 1, length(geometry) - 1)")).otherwise(F.col("geometry")).alias("geometry"))
+    read = wkb.with_geometry(data)
+    area = F.aggregate(F.transform("holes", polygons.area), polygons.area(F.col("ring")), lambda a, h: a - h)
+    whole = wkb.polygons_of(read).select("s", F.length("geometry").alias("bytes"), F.size("holes").alias("holes"), F.round(area, 4).alias("area"))
+    none = F.lit(None)
+    return whole.unionByName(read.where("shape is null").select("s", F.length("geometry").alias("bytes"), none.cast("int").alias("holes"), none.cast("double").alias("area")))
+
+
 def _roads(spark, sf):
     """A road for each supplier, through the corners of its dart."""
     return _shapes(spark, sf).select("s", "category", F.slice("ring", 2, 3).alias("line"))
@@ -174,7 +187,12 @@ m AS (SELECT s_suppkey, cast(floor(min(x) / 100) AS BIGINT) - 2 AS x0, cast(floo
 n AS (SELECT s_suppkey, x0, y0, (x1 - x0 + 2) // 3 AS w, (y1 - y0 + 2) // 3 AS h FROM m)"""
 
 
+def _shoelace(points) -> float:
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:] + points[:1]))) / 2
+
+
 QUERIES = {
+    "wkb_polygons": (wkb_polygons, f"SELECT s, cast(9 + 4 + 64 + h * 52 - CASE WHEN s % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS bytes, CASE WHEN s % 7 <> 0 THEN cast(h AS INTEGER) END AS holes, CASE WHEN s % 7 <> 0 THEN round(u * u * ({_shoelace(_DART)!r} - h * {_shoelace(_HOLE)!r}), 4) END AS area FROM (SELECT s_suppkey AS s, CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS h, 40.0::DOUBLE + s_suppkey % 5 * 35 AS u FROM supplier)"),
     "landuse_polygons": (landuse_polygons, f"WITH {GROUND}, {_AREAS} SELECT grid_id, main AS main_landuse_category, category, round(ratio, 6) AS ratio FROM lu WHERE round(ratio, 6) > 0"),
     "connection_probability_landuse": (connection_probability_landuse, f"WITH {CONN_GROUND}, {_AREAS}, pw AS (SELECT grid_id, sum(ratio * CASE category WHEN 'residential' THEN 1.0 WHEN 'forest' THEN 0.1 WHEN 'open_area' THEN 0.2 ELSE 0 END) AS w FROM lu GROUP BY grid_id), jo AS (SELECT cell_id, grid_id, p * w AS j, sum(p * w) OVER (PARTITION BY cell_id) AS t FROM cp JOIN pw USING (grid_id)) SELECT cell_id, grid_id, round(CASE WHEN t > 0 THEN j / t ELSE 0 END, 7) AS posterior FROM jo"),
     "polygon_cover": (polygon_cover, COVER_SQL),
