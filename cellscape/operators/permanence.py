@@ -160,15 +160,17 @@ def day_types(df: DataFrame, holidays: DataFrame, params: MidTermParams = MidTer
 KEY = ("month", "day_type", "time_interval")
 
 
-def midterm_scores(dps: DataFrame, holidays: DataFrame, group_tiles: DataFrame, params: MidTermParams = MidTermParams()) -> DataFrame:
+def midterm_scores(dps: DataFrame, holidays: DataFrame, group_tiles: DataFrame, params: MidTermParams = MidTermParams(), slot_seconds: int = 3600) -> DataFrame:
     """(user_id, month, day_type, time_interval, id_type, location, mps, frequency) with observation rows.
 
     ``location``: the tile, the country, or unknown, as text. Groups are expanded to tiles and summed over. Slots are
-    counted by logical day first, so that day types multiply days and not slots; ``dps`` is read twice, so write it.
+    counted by logical day first, so that day types multiply days and not slots; ``dps`` is read more than once, so write it.
+    Raises where slots of ``slot_seconds`` don't fit the intervals, or the scores.
     """
+    check_slots(dps, slot_seconds, params)
     month = F.date_format(F.trunc(F.date_from_unix_date(F.col("logical_day").cast("int")), "month"), "yyyy-MM")
     day, by = ["user_id", "logical_day", "time_interval"], ["user_id", *KEY]
-    slots = logical_days(dps.withColumn("place", F.explode("dps")).drop("dps"), params)
+    slots = logical_days(dps.withColumn("place", F.explode("dps")).drop("dps"), params, slot_seconds)
     daily = slots.groupBy(*day, "id_type", "place").agg(F.count("*").alias("slots"))
     each = day_types(daily, holidays, params).withColumn("month", month).groupBy(*by, "id_type", "place").agg(F.sum("slots").alias("mps"), F.count("*").alias("frequency"))
     match = F.when(F.col("id_type") == ID_GRID, F.col("place")).otherwise(F.concat(F.lit("~"), F.pmod(F.xxhash64("user_id", "month"), F.lit(4096))))  # what is no tile doesn't meet at one key
@@ -178,7 +180,7 @@ def midterm_scores(dps: DataFrame, holidays: DataFrame, group_tiles: DataFrame,
     # a slot can be spent here and abroad, and a holiday is one only here: days are counted by what is seen on them
     here, away = F.max((F.col("id_type") == ID_GRID).cast("long")), F.max((F.col("id_type") == ID_ABROAD).cast("long"))
     seen = dps.where(F.col("id_type") != ID_UNKNOWN).groupBy("user_id", "day", "slot").agg(here.alias("here"), away.alias("away"))
-    seen = logical_days(seen, params).groupBy(*day).agg(F.sum("here").alias("here"), F.sum("away").alias("away"), F.count("*").alias("either"))
+    seen = logical_days(seen, params, slot_seconds).groupBy(*day).agg(F.sum("here").alias("here"), F.sum("away").alias("away"), F.count("*").alias("either"))
     kinds = F.array_compact(F.array(*[F.when(F.col(c) > 0, F.struct(F.lit(t).alias("id_type"), F.col(c).alias("n"))) for c, t in (("here", ID_GRID), ("away", ID_ABROAD))]))
     split = day_types(seen.select(*day, "either", F.explode(kinds).alias("kind")).select(*day, "either", "kind.*"), holidays, params)
     days = split.groupBy(*day, "day_type").agg(F.when(F.count("*") > 1, F.max("either")).otherwise(F.max("n")).alias("slots"))
@@ -206,8 +208,10 @@ def check_months(midterm: DataFrame, seasons: DataFrame) -> None:
 def longterm_scores(midterm: DataFrame, seasons: DataFrame) -> DataFrame:
     """(user_id, season, day_type, time_interval, id_type, location, lps, total/mean/std of frequency).
 
-    ``seasons`` (season, month) lists the months of each analysis: all are scored in one pass.
+    ``seasons`` (season, month) lists the months of each analysis: all are scored in one pass. ``midterm`` is read more than
+    once, so write it. Raises where it has no scores of one of the months.
     """
+    check_months(midterm, seasons)
     own = seasons.select("season", F.col("month").alias("_month"))
     df = midterm.join(own, F.col("month") == F.col("_month"))
     return df.groupBy("user_id", "season", "day_type", "time_interval", "id_type", "location").agg(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import ID_GRID, ID_OBSERVATION
+from ..functions import grid
 from ..plans.iterate import cut
 from .coverage import _lookup
 
@@ -84,6 +85,12 @@ def label_tiles(scores: DataFrame, total_ps: int = 2, total_days: int = 1, ue_ga
     return ue.unionByName(home).unionByName(work)
 
 
+def at_base_tiles(labels: DataFrame, factor: int = 2) -> DataFrame:
+    """Labels of coarser tiles (``factor`` base tiles wide; ``location``: a tile's id as text) as labels of each base tile in them."""
+    coarse = labels.withColumn("_coarse", F.col("location").cast("int"))
+    return grid.refine(coarse, factor, "_coarse", "_fine").withColumn("location", F.col("_fine").cast("string")).select(*labels.columns)
+
+
 def quality_metrics(scores: DataFrame, labels: DataFrame, total_ps: int = 2, total_days: int = 1) -> DataFrame:
     """(metric, count, min, max, avg): devices seen and discarded, and tiles a device by label and rule."""
     seen = scores.where((F.col("id_type") == ID_OBSERVATION) & (F.col("day_type") == "all") & (F.col("time_interval") == "all"))

@@ -6,22 +6,29 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to and read from the folder that all executors share."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only where a local session names none, as in tests, a temporary folder is set; a cluster must name one.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="cellscape-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/step-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to and read from the folder that all executors share."""
+    path = shared_path(df.sparkSession, "step")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def iterate_until(state: DataFrame, step: Callable[[DataFrame], DataFrame], key: list[str], value: str, tolerance: float, most: int) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, grid, polygons
 from ..operators import areas, coverage, zoning
-from ..sources import demo, wkb
+from ..plans.iterate import shared_path
+from ..sources import demo, tables, wkb
 from .coverage import _footprint
 from .views import CONN_GROUND, GROUND, _strewn
 
@@ -100,6 +101,15 @@ def wkb_polygons(spark, sf):
     return whole.unionByName(read.where("shape is null").select("s", F.length("geometry").alias("bytes"), none.cast("int").alias("holes"), none.cast("double").alias("area")))
 
 
+def zones_from_geojson(spark, sf):
+    """Zones written as features and read again, with the parents that their ids tell."""
+    name = F.when(F.col("s") % 6 == 0, F.lit("ES")).otherwise(F.concat(F.lit("ES"), (F.col("s") % 1000).cast("string")))
+    path = shared_path(spark, "zones")
+    tables.write_geojson(_shapes(spark, sf).select("s", name.alias("zone_id"), "ring", "holes"), path)
+    read = tables.read_geojson(spark, path, "s bigint, zone_id string", lines=True)
+    return read.select("s", "zone_id", zoning.nuts_parent(F.col("zone_id")).alias("parent_id"), F.size("ring").alias("corners"), F.size("holes").alias("holes"), F.round(polygons.area(F.col("ring")), 4).alias("area"))
+
+
 def _roads(spark, sf):
     """A road for each supplier, through the corners of its dart."""
     return _shapes(spark, sf).select("s", "category", F.slice("ring", 2, 3).alias("line"))
@@ -195,6 +205,7 @@ QUERIES = {
     "wkb_polygons": (wkb_polygons, f"SELECT s, cast(9 + 4 + 64 + h * 52 - CASE WHEN s % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS bytes, CASE WHEN s % 7 <> 0 THEN cast(h AS INTEGER) END AS holes, CASE WHEN s % 7 <> 0 THEN round(u * u * ({_shoelace(_DART)!r} - h * {_shoelace(_HOLE)!r}), 4) END AS area FROM (SELECT s_suppkey AS s, CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS h, 40.0::DOUBLE + s_suppkey % 5 * 35 AS u FROM supplier)"),
     "landuse_polygons": (landuse_polygons, f"WITH {GROUND}, {_AREAS} SELECT grid_id, main AS main_landuse_category, category, round(ratio, 6) AS ratio FROM lu WHERE round(ratio, 6) > 0"),
     "connection_probability_landuse": (connection_probability_landuse, f"WITH {CONN_GROUND}, {_AREAS}, pw AS (SELECT grid_id, sum(ratio * CASE category WHEN 'residential' THEN 1.0 WHEN 'forest' THEN 0.1 WHEN 'open_area' THEN 0.2 ELSE 0 END) AS w FROM lu GROUP BY grid_id), jo AS (SELECT cell_id, grid_id, p * w AS j, sum(p * w) OVER (PARTITION BY cell_id) AS t FROM cp JOIN pw USING (grid_id)) SELECT cell_id, grid_id, round(CASE WHEN t > 0 THEN j / t ELSE 0 END, 7) AS posterior FROM jo"),
+    "zones_from_geojson": (zones_from_geojson, f"SELECT s, z AS zone_id, CASE WHEN length(z) > 2 THEN substr(z, 1, length(z) - 1) END AS parent_id, 4 AS corners, CASE WHEN s % 4 = 0 THEN 1 ELSE 0 END AS holes, round(u * u * {_shoelace(_DART)!r}, 4) AS area FROM (SELECT s_suppkey AS s, 'ES' || CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE cast(s_suppkey % 1000 AS VARCHAR) END AS z, 40.0::DOUBLE + s_suppkey % 5 * 35 AS u FROM supplier)"),
     "polygon_cover": (polygon_cover, COVER_SQL),
     "line_tiles": (line_tiles, LINES_SQL),
     "landuse_overlay": (landuse_overlay, OVERLAY_SQL),

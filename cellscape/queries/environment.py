@@ -164,9 +164,14 @@ def midterm_ps(spark, sf):
     return _midterm(spark, sf).drop("regularity_mean", "regularity_std")
 
 
+def midterm_totals(spark, sf):
+    """Mid-term scores summed up by what they count: rows, slots and days."""
+    return _midterm(spark, sf).groupBy("month", "day_type", "time_interval", "id_type").agg(F.count("*").alias("scores"), F.count_distinct("location").alias("places"), F.sum("mps").alias("mps"), F.sum("frequency").alias("frequency"))
+
+
 def _longterm(spark, sf):
     seasons = spark.sql("SELECT * FROM VALUES ('all', '2023-12'), ('all', '2024-01'), ('winter', '2024-01') AS t(season, month)")
-    return permanence.longterm_scores(_midterm(spark, sf), seasons)
+    return permanence.longterm_scores(cut(_midterm(spark, sf)), seasons)
 
 
 def longterm_ps(spark, sf):
@@ -206,6 +211,12 @@ def usual_environment_labels(spark, sf):
     return _labels(spark, sf)
 
 
+def labels_at_100m(spark, sf):
+    """Labels of tiles of 200 metres, dealt out to those of 100."""
+    coarse = _labels(spark, sf).withColumn("location", grid.coarsen(F.col("location").cast("int"), 2).cast("string")).distinct()
+    return usual_environment.at_base_tiles(coarse, 2)
+
+
 _LABEL = _CUT + """, ow AS (SELECT user_id, season, location, max(CASE WHEN day_type = 'all' AND time_interval = 'all' THEN lps END) AS a, max(CASE WHEN day_type = 'all' AND time_interval = 'night_time' THEN lps END) AS n, max(CASE WHEN day_type = 'all' AND time_interval = 'all' THEN total_frequency END) AS f FROM ks WHERE id_type = 'grid' GROUP BY ALL),
 td AS (SELECT user_id, season, max(CASE WHEN day_type = 'all' AND time_interval = 'all' THEN lps END) AS ta, max(CASE WHEN day_type = 'all' AND time_interval = 'night_time' THEN lps END) AS tn, max(CASE WHEN day_type = 'all' AND time_interval = 'all' THEN total_frequency END) AS tf FROM ks WHERE id_type = 'device_observation' GROUP BY ALL),
 ue AS (SELECT * FROM (SELECT c.user_id, c.season, c.location, CASE WHEN coalesce(a, 0) >= ta * 0.12::DOUBLE THEN 'ue_1' WHEN coalesce(n, 0) >= tn * 0.15::DOUBLE THEN 'ue_2' WHEN coalesce(f, 0) >= tf * 0.25::DOUBLE THEN 'ue_3' END AS label_rule FROM cu c LEFT JOIN ow USING (user_id, season, location) LEFT JOIN td USING (user_id, season) WHERE cp = 0) WHERE label_rule IS NOT NULL),
@@ -318,6 +329,8 @@ QUERIES = {
     "longterm_ps": (longterm_ps, f"WITH {_LPS} SELECT user_id, season, day_type, time_interval, id_type, location, {_B('lps')}, {_B('total_frequency')}, round(fm, 6) AS frequency_mean, round(fs, 6) AS frequency_std FROM lp"),
     "gap_cut": (gap_cut, f"WITH {_CUT} SELECT user_id, season, location, {_B('lps')}, 'percent' AS kind FROM cu WHERE cp = 0 UNION ALL SELECT user_id, season, location, {_B('lps')}, 'absolute' FROM cu WHERE c3 = 0"),
     "usual_environment_labels": (usual_environment_labels, f"WITH {_LABEL} SELECT * FROM lb"),
+    "midterm_totals": (midterm_totals, f"WITH {_DPS}{_INTERVALS} SELECT month, day_type, time_interval, id_type, count(*) AS scores, count(DISTINCT location) AS places, {_B('sum(mps)').replace('AS sum(mps)', 'AS mps')}, {_B('sum(frequency)').replace('AS sum(frequency)', 'AS frequency')} FROM mt GROUP BY ALL"),
+    "labels_at_100m": (labels_at_100m, f"WITH {_LABEL}, co AS (SELECT DISTINCT user_id, season, label, label_rule, cast(location AS INTEGER) - cast(location AS INTEGER) % 2 - (cast(location AS INTEGER) >> 16) % 2 * 65536 AS c FROM lb) SELECT user_id, season, cast(c + e * 65536 + n AS VARCHAR) AS location, label, label_rule FROM co, range(2) x(e), range(2) y(n)"),
     "device_labels": (device_labels, f"WITH {_DEVICE_LABELS} SELECT * FROM su UNION ALL SELECT * FROM sh UNION ALL SELECT * FROM sw"),
     "months_and_dates": (months_and_dates, MONTHS_SQL),
     "usual_environment_aggregation": (usual_environment_aggregation, f"WITH {_LABEL}, w AS (SELECT lb.*, CASE WHEN tl.k IS NULL THEN 0.001::DOUBLE ELSE 1.0 END AS w FROM lb LEFT JOIN tl ON cast(tl.grid_id AS VARCHAR) = location AND tl.k % 4 <> 1), s AS (SELECT *, w / sum(w) OVER (PARTITION BY user_id, season, label) AS s FROM w) SELECT season, label, location, round(sum(s), 6) AS weighted_device_count FROM s GROUP BY ALL"),

@@ -11,6 +11,7 @@ from ..codes import ABROAD, MOVE, STAY, UNDETERMINED, UNKNOWN
 from ..functions import grid
 from ..operators import coverage, export, segments, tourism
 from ..plans.iterate import cut
+from ..schemas import Table, conform
 from ..sources import demo
 from .coverage import _lattice_connection
 from .views import B, CONN, EV, FOOT, ZONES
@@ -77,6 +78,12 @@ SELECT user_id, md5(user_id || strftime(epoch_ms(s.s * 1000), '%Y-%m-%d %H:%M:%S
   row_number() OVER (PARTITION BY user_id, day ORDER BY q DESC, j DESC) = 1 AS is_last, day FROM sg"""
 
 
+def outbound_user_events(spark, sf):
+    """All events of the users who were abroad in the first ten days of the month."""
+    e = demo.events(spark, sf).where(F.dayofmonth("date") <= 10)
+    return segments.with_outbound_users(e).select("user_id", "event_id", "domain")
+
+
 def segment_totals(spark, sf):
     """Seconds in each state by day: segments leave no part of a day from the first event on untold."""
     s = time_segments(spark, sf)
@@ -231,6 +238,29 @@ def multi_mno_sum(spark, sf):
     return export.aggregate_operators([(one(0), 0.4), (one(1), 0.6)], ["level", "zone_id"], ["value"]).withColumn("value", F.round("value", 6))
 
 
+ZONE_VALUES = Table("zone_values", "level int, zone_id string, value double")
+
+
+def output_audit(spark, sf):
+    """Problems of an export of customers by segment: a column that lacks, one of another type, one too many, and nulls."""
+    zone = F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit("Z"), F.col("c_nationkey").cast("string")))
+    df = demo.load(spark, sf, "customer").select(zone.alias("zone_id"), F.col("c_custkey").cast("float").alias("value"), "c_mktsegment")
+    return export.output_problems(df, ZONE_VALUES, ["zone_id", "value", "level"])
+
+
+def multi_mno_checked(spark, sf):
+    """The sum over two operators whose tables must have the declared schema, and what is told of one that hasn't."""
+    rows = lambda i: export.hierarchy_rollup(_customers(spark, sf).where(F.col("c_custkey") % 2 == i), demo.zones(spark, sf), [1, 2], "value")
+    good = [conform(rows(i), ZONE_VALUES) for i in (0, 1)]
+    try:
+        export.aggregate_operators([(good[0], 0.5), (good[1].withColumn("value", F.col("value").cast("int")), 0.5)], ["level", "zone_id"], ["value"], ZONE_VALUES)
+        told = "nothing"
+    except ValueError as e:
+        told = str(e)
+    out = export.aggregate_operators([(good[0], 0.4), (good[1], 0.6)], ["level", "zone_id"], ["value"], ZONE_VALUES)
+    return out.withColumns({"value": F.round("value", 6), "refused": F.lit(told)})
+
+
 _CU = "cu AS (SELECT c_custkey, c_mktsegment, c_nationkey, cast((c_custkey % 100 // 10 << 16) + c_custkey % 100 % 10 AS INTEGER) AS grid_id FROM customer)"
 _T = CONN.split(", cl AS")[0]
 QUERIES = {
@@ -248,5 +278,8 @@ QUERIES = {
     "k_anon_delete": (k_anon_delete, f"WITH {_T}, {ZONES}, {_CU} SELECT l AS level, split_part(hid, '|', l) AS zone_id, count(*)::DOUBLE AS value FROM cu JOIN zn USING (grid_id), (VALUES (2), (3)) q(l) WHERE c_mktsegment = 'BUILDING' GROUP BY ALL HAVING count(*) >= 5"),
     "grid_rollup": (grid_rollup, f"WITH {_CU} SELECT '1kmN3000E4000' AS zone_id, count(*)::DOUBLE AS value, '1km' AS zoning FROM cu GROUP BY ALL UNION ALL SELECT '100mN' || (30000 + (grid_id & 65535)) || 'E' || (40000 + (grid_id >> 16)), count(*), '100m' FROM cu GROUP BY grid_id"),
     "country_factors": (country_factors, "SELECT n_name AS country_of_origin, round(count(*) * CASE WHEN n_nationkey % 3 = 0 OR n_nationkey % 4 = 1 THEN 0.95::DOUBLE ELSE n_nationkey * 0.1::DOUBLE END, 6) AS value FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name, n_nationkey"),
+    "outbound_user_events": (outbound_user_events, f"WITH {EV}, d AS (SELECT * FROM ev WHERE day(date) <= 10) SELECT user_id, event_id, domain FROM d WHERE user_id IN (SELECT user_id FROM d WHERE domain = 'outbound')"),
+    "output_audit": (output_audit, "SELECT * FROM (VALUES ('level', 'missing', 0::BIGINT), ('value', 'type float, not double', 0), ('c_mktsegment', 'not declared', 0)) v(column_name, problem, rows) UNION ALL SELECT 'zone_id', 'null', count(*) FROM customer WHERE c_custkey % 9 = 0 HAVING count(*) > 0"),
+    "multi_mno_checked": (multi_mno_checked, f"WITH {_T}, {ZONES}, {_CU} SELECT l AS level, split_part(hid, '|', l) AS zone_id, round(sum(CASE c_custkey % 2 WHEN 0 THEN 0.4::DOUBLE ELSE 0.6::DOUBLE END), 6) AS value, 'zone_values: [(''value'', ''type int, not double'', 0)]' AS refused FROM cu JOIN zn USING (grid_id), (VALUES (1), (2)) q(l) GROUP BY ALL"),
     "multi_mno_sum": (multi_mno_sum, f"WITH {_T}, {ZONES}, {_CU}, o AS (SELECT c_custkey % 2 AS o, l AS level, split_part(hid, '|', l) AS zone_id, count(*) AS n FROM cu JOIN zn USING (grid_id), (VALUES (1), (2), (3)) q(l) GROUP BY ALL HAVING count(*) >= 6) SELECT level, zone_id, round(sum(n * CASE o WHEN 0 THEN 0.4::DOUBLE ELSE 0.6::DOUBLE END), 6) AS value FROM o GROUP BY ALL"),
 }

@@ -35,13 +35,28 @@ def read_json(spark: SparkSession, table: Table, path: str) -> DataFrame:
     return spark.read.schema(table.schema).json(path)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """A staged feature collection: its properties (DDL), and ``ring``, the outer ring of each polygon."""
-    point = "array<array<array<double>>>"
-    schema = f"features array<struct<properties: struct<{_as_struct(properties)}>, geometry: struct<type: string, coordinates: {point}>>>"
-    f = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
-    ring = F.transform(F.element_at("f.geometry.coordinates", 1), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return f.where("f.geometry.type = 'Polygon'").select("f.properties.*", ring.alias("ring"))
+def read_geojson(spark: SparkSession, path: str, properties: str, lines: bool = False) -> DataFrame:
+    """Staged features: their properties (DDL), ``ring``, the outer ring of each polygon, and ``holes``; other geometries are left out.
+
+    A feature collection is one value and so one task a file; with ``lines``, files have a feature a line, and are split.
+    """
+    feature = f"struct<properties: struct<{_as_struct(properties)}>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>"
+    if lines:
+        f = spark.read.text(path).select(F.from_json("value", feature).alias("f")).where("f is not null")
+    else:
+        f = spark.read.schema(f"features array<{feature}>").json(path, multiLine=True).select(F.explode("features").alias("f"))
+    rings = F.transform("f.geometry.coordinates", lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    polygons = f.where("f.geometry.type = 'Polygon' and size(f.geometry.coordinates) > 0").select("f.properties.*", rings.alias("_rings"))
+    holes = F.slice("_rings", F.lit(2), F.greatest(F.size("_rings") - 1, F.lit(0)))
+    return polygons.withColumns({"ring": F.element_at("_rings", 1), "holes": holes}).drop("_rings")
+
+
+def write_geojson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Polygons (``ring``, ``holes``) as a feature a line, all other columns as properties."""
+    pairs = lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.concat(F.array(pairs(F.col("ring"))), F.transform("holes", pairs)).alias("coordinates"))
+    properties = F.struct(*[c for c in df.columns if c not in ("ring", "holes")])
+    df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geometry.alias("geometry"))).alias("value")).write.mode(mode).text(path)
 
 
 def _as_struct(ddl: str) -> str:

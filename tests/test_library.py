@@ -318,3 +318,100 @@ def test_streams(spark, tmp_path):
     dwell = sorted((r["user_id"], r["cell_id"], r["start_s"], r["end_s"], r["events"]) for r in run(sessions.dwell(source()), "dwell"))
     assert dwell == [(1, "a", 0, 3600, 3), (1, "b", 7200, 7200, 1)]
     shutil.rmtree(tmp_path / "in")
+
+
+def test_scores_are_checked_first(spark):
+    from cellscape.operators import permanence
+
+    dps = spark.createDataFrame([(1, 19724, 19724 * 86400 + 3600, "grid", ["g"])], "user_id long, day long, slot long, id_type string, dps array<string>")
+    holidays, tiles = spark.createDataFrame([], "date date"), spark.createDataFrame([("g", 5)], "group_id string, grid_id int")
+    made = permanence.midterm_scores(dps, holidays, tiles).cache()
+    assert made.count() > 0
+    with pytest.raises(ValueError, match="don't fit a day"):
+        permanence.midterm_scores(dps, holidays, tiles, slot_seconds=7000)
+    with pytest.raises(ValueError, match="aren't of slots"):
+        permanence.midterm_scores(dps.withColumn("slot", F.col("slot") + 1800), holidays, tiles)
+    odd = permanence.MidTermParams(intervals=(("all", 0, 24), ("late", 17, 23)))
+    with pytest.raises(ValueError, match="don't fit a day"):
+        permanence.midterm_scores(dps.where("false"), holidays, tiles, odd, slot_seconds=7200)
+    seasons = spark.createDataFrame([("all", "2024-01"), ("all", "2024-02"), ("spring", "2024-03")], "season string, month string")
+    assert permanence.longterm_scores(made, seasons.limit(1)).count() > 0
+    with pytest.raises(ValueError, match="2024-02.*2024-03"):
+        permanence.longterm_scores(made, seasons)
+
+
+def test_trips_carried_over_runs_equal_one_run(spark):
+    import random
+
+    from cellscape.operators import tourism
+
+    draw, rows = random.Random(7), []
+    for user in range(20):
+        t = draw.randrange(5 * 86400)
+        while t < 60 * 86400:
+            end = t + draw.choice([3600, 40_000, 10 * 86400])  # some stays are longer than a run
+            rows.append((user, f"s{len(rows)}", t, end))
+            t += int(draw.expovariate(1 / draw.choice([20_000, 200_000]))) + 1
+    stays = spark.createDataFrame(rows, "user_id long, time_segment_id string, start_s long, end_s long")
+    whole = sorted(map(tuple, tourism.trips(stays, 24).select("time_segment_id", "trip_id", "trip_start").collect()))
+    got, held = [], None
+    for since in range(0, 60, 4):
+        run = tourism.month_trips(stays, since * 86400, (since + 4) * 86400, 24, held).cache()
+        got += run.where("not open").select("time_segment_id", "trip_id", "trip_start").collect()
+        held = run.where("open")
+        assert run.where(f"not open and end_s + 86400 >= {(since + 4) * 86400}").count() == 0
+    got += held.select("time_segment_id", "trip_id", "trip_start").collect()
+    assert sorted(map(tuple, got)) == whole and len({x[1] for x in whole}) > 40
+
+
+def test_month_bounds():
+    from cellscape.operators import tourism
+
+    assert tourism.month_bounds("2023-12", "2024-02") == [("2023-12", 1701388800, 1704067200), ("2024-01", 1704067200, 1706745600), ("2024-02", 1706745600, 1709251200)]
+    with pytest.raises(ValueError):
+        tourism.month_bounds("2024-02", "2024-01")
+
+
+def test_points_settle_by_themselves(spark):
+    from cellscape.operators import population
+
+    devices = spark.createDataFrame([("p", "a", 10), ("p", "b", 1), ("q", "a", 4)], "time_point string, cell_id string, device_count long")
+    prob = spark.createDataFrame([("a", 1, 0.5), ("a", 2, 0.5), ("b", 2, 0.5), ("b", 3, 1.0), ("c", 4, 1.0), ("a", 5, 0.0)], "cell_id string, grid_id int, cell_connection_probability double")
+    tiles = spark.range(1, 11).selectExpr("cast(id AS int) AS grid_id")
+
+    def by_hand(counts, tolerance, most):
+        u = {g: sum(counts.values()) / 10 for g in (1, 2, 3, 4)}
+        p = {"a": {1: 0.5, 2: 0.5}, "b": {2: 0.5, 3: 1.0}}
+        for _ in range(most):
+            new = {}
+            for c, n in counts.items():
+                total = sum(u[g] * x for g, x in p[c].items())
+                for g, x in p[c].items():
+                    new[g] = new.get(g, 0) + n * u[g] * x / total
+            change = sum(abs(new[g] - u[g]) for g in new)
+            u = {**u, **new}
+            if change < tolerance:
+                break
+        return new
+
+    got = {(r["time_point"], r["grid_id"]): r["population"] for r in population.present_population(devices, prob, tiles, 30, 0.3).collect()}
+    want = {(t, g): v for t, counts in (("p", {"a": 10, "b": 1}), ("q", {"a": 4})) for g, v in by_hand(counts, 0.3, 30).items()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(v) for k, v in want.items())
+
+
+def test_labels_of_coarse_tiles_are_dealt_out(spark):
+    from cellscape.operators import usual_environment
+
+    labels = spark.createDataFrame([(1, "all", str((4 << 16) + 6), "home", "h_1", "x")], "user_id long, season string, location string, label string, label_rule string, extra string")
+    got = usual_environment.at_base_tiles(labels)
+    assert got.columns == labels.columns
+    assert sorted(int(r["location"]) for r in got.collect()) == [(4 << 16) + 6, (4 << 16) + 7, (5 << 16) + 6, (5 << 16) + 7]
+
+
+def test_geojson_lines_with_holes(spark, tmp_path):
+    from cellscape.sources import tables
+
+    square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)]
+    df = spark.createDataFrame([("a", 1, square, [square[::-1]]), ("b", None, square, [])], "name string, n int, ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>")
+    tables.write_geojson(df, str(tmp_path / "f"))
+    assert sorted(map(str, tables.read_geojson(spark, str(tmp_path / "f"), "name string, n int", lines=True).collect())) == sorted(map(str, df.collect()))
