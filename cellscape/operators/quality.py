@@ -27,11 +27,16 @@ def warnings(df: DataFrame, keys: Sequence[str], checks: Sequence[Check]) -> Dat
     return df.select(*keys, "daily_value", F.inline(found))
 
 
+def over(value: Column, limit: Column) -> Column:
+    """Whether a value exceeds a limit by more than the order of summation can tell: statistics that are equal stay equal."""
+    return F.round(value - limit, 9) > 0
+
+
 def size_warnings(frequency: DataFrame, column: str, rows: int = 7, variability: float = 2.0, lower: float = 0.0, upper: float = 1e12) -> DataFrame:
     """Daily sums of ``column`` outside of mean -/+ variability * deviation of the rows before, or of the limits."""
     daily = lookback(frequency.groupBy("date").agg(F.sum(column).alias("daily_value")), "daily_value", "date", rows)
     value, lo, hi = F.col("daily_value"), F.col("average") - variability * F.col("spread"), F.col("average") + variability * F.col("spread")
-    return warnings(daily, ["date"], [Check("lower_variability", value < lo, lo), Check("upper_variability", value > hi, hi), Check("lower_limit", value < lower, F.lit(lower)), Check("upper_limit", value > upper, F.lit(upper))])
+    return warnings(daily, ["date"], [Check("lower_variability", over(lo, value), lo), Check("upper_variability", over(value, hi), hi), Check("lower_limit", value < lower, F.lit(lower)), Check("upper_limit", value > upper, F.lit(upper))])
 
 
 def rate_warnings(daily: DataFrame, keys: Sequence[str], rows: int | None = 7, variability: float = 2.0, over_average: float = 30.0, upper: float = 20.0) -> DataFrame:
@@ -47,7 +52,7 @@ def rate_warnings(daily: DataFrame, keys: Sequence[str], rows: int | None = 7, v
         df = lookback(daily, "daily_value", "date", rows, others)
     value, ucl = F.col("daily_value"), F.col("average") + variability * F.col("spread")
     percent = F.try_divide(value, F.col("average")) * 100
-    return warnings(df, keys, [Check("upper_variability", value > ucl, ucl), Check("over_average", percent > 100 + over_average, F.lit(over_average)), Check("upper_limit", value > upper, F.lit(upper))])
+    return warnings(df, keys, [Check("upper_variability", over(value, ucl), ucl), Check("over_average", over(percent, F.lit(100 + over_average)), F.lit(over_average)), Check("upper_limit", value > upper, F.lit(upper))])
 
 
 def error_rate(frequency: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -57,13 +57,13 @@ def qw_error_type(spark, sf):
 def _rate_sql(src: str, keys: str, others: str, rows: int | None, var: float, over: float, upper: float) -> str:
     w = "(PARTITION BY date)" if rows is None else f"({f'PARTITION BY {others} ' if others else ''}ORDER BY date ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)"
     return f"""q AS (SELECT *, avg(v) OVER w AS a, avg(v) OVER w + {var}::DOUBLE * stddev_samp(v) OVER w AS u FROM {src} WINDOW w AS {w}),
-z AS (SELECT {keys}, v, 'upper_variability' AS warning, u AS c FROM q WHERE v > u UNION ALL SELECT {keys}, v, 'over_average', {over} FROM q WHERE a <> 0 AND v / a * 100 > 100 + {over} UNION ALL SELECT {keys}, v, 'upper_limit', {upper} FROM q WHERE v > {upper})
+z AS (SELECT {keys}, v, 'upper_variability' AS warning, u AS c FROM q WHERE round(v - u, 9) > 0 UNION ALL SELECT {keys}, v, 'over_average', {over} FROM q WHERE a <> 0 AND round(v / a * 100 - 100 - {over}, 9) > 0 UNION ALL SELECT {keys}, v, 'upper_limit', {upper} FROM q WHERE v > {upper})
 SELECT cast(date AS VARCHAR) AS date{''.join(f', {k}' for k in keys.split(', ')[1:])}, round(v, 6) AS daily_value, warning, round(c::DOUBLE, 6) AS condition_value FROM z"""
 
 
 def _size_sql(kind: str, agg: str, lo: int, hi: int) -> str:
     return f"""SELECT cast(date AS VARCHAR) AS date, v AS daily_value, warning, round(c::DOUBLE, 6) AS condition_value, '{kind}' AS kind FROM (WITH d AS (SELECT date, {agg} AS v FROM flagged GROUP BY date), q AS (SELECT *, avg(v) OVER w - stddev_samp(v) OVER w AS l, avg(v) OVER w + stddev_samp(v) OVER w AS u FROM d WINDOW w AS (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-SELECT date, v, 'lower_variability' AS warning, l AS c FROM q WHERE v < l UNION ALL SELECT date, v, 'upper_variability', u FROM q WHERE v > u UNION ALL SELECT date, v, 'lower_limit', {lo} FROM q WHERE v < {lo} UNION ALL SELECT date, v, 'upper_limit', {hi} FROM q WHERE v > {hi})"""
+SELECT date, v, 'lower_variability' AS warning, l AS c FROM q WHERE round(l - v, 9) > 0 UNION ALL SELECT date, v, 'upper_variability', u FROM q WHERE round(v - u, 9) > 0 UNION ALL SELECT date, v, 'lower_limit', {lo} FROM q WHERE v < {lo} UNION ALL SELECT date, v, 'upper_limit', {hi} FROM q WHERE v > {hi})"""
 
 
 def _rates(spark, sf):
