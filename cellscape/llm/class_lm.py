@@ -3,10 +3,12 @@
 P(word | before) = P(class of word | class of word before) * P(word | its class), both smoothed.
 Counts of words and of pairs of neighbours cover the whole training corpus. All words of at least ``least``
 occurrences are clustered (up to the ``known`` most frequent, which every scoring task holds), so their
-number grows with the corpus. Pairs of neighbours are a table; each sweep of the exchange deals the words
-over tasks with their neighbours' counts. A task has the grid of class pairs, takes one of its words after the
-other out of its class and puts it where the likelihood of the class pairs is greatest; then the grid is
-counted anew from all tasks' moves. A sweep that doesn't raise the likelihood ends the exchange.
+number grows with the corpus. Pairs of neighbours are a table; each sweep of the exchange deals the words by
+rank over numbered batches with their neighbours' counts. A batch has the grid of class pairs, takes one of its words after
+the other out of its class and puts it where the likelihood of the class pairs is greatest; then the grid is counted anew
+from all batches' moves. Where these together don't raise the likelihood, those of half of the batches are taken, of a
+quarter and so on; a sweep of which nothing can be taken ends the exchange. Batches follow from the words alone, so classes
+and scores are the same however the texts are cut into tasks.
 A rarer word's class follows from its shape (length and closing punctuation), so words never seen have one
 too. Counts of all words are joined to the texts: those of the ``known`` most frequent go to every task, the
 rest by shuffle, where no key is frequent.
@@ -40,6 +42,7 @@ class Params:
     sweeps: int = 4
     known: int = 150_000
     lead: int = 1024
+    batch: int = 1024
     alpha: float = 0.5
 
 
@@ -270,43 +273,61 @@ class Exchange:
         return best
 
 
-def sweep(neighbours: DataFrame, of: np.ndarray, grid: np.ndarray, classes: int) -> np.ndarray:
-    """``of`` after every task has moved its words, a packed row each."""
+def sweep(neighbours: DataFrame, of: np.ndarray, grid: np.ndarray, classes: int, batches: int) -> np.ndarray:
+    """``of`` after every batch (the words' ranks modulo ``batches``) has moved its words, a packed row each, by rank."""
 
     def moved(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        view = Exchange(of, grid, classes)
+        view, at = None, -1
         for part in parts:
             words, out = part.column(0).to_numpy(), []
             (i, a, n), (j, b, m) = _side(part, "after"), _side(part, "before")
             for k, w in enumerate(words):
+                if view is None or w % batches != at:
+                    view, at = Exchange(of, grid, classes), w % batches
                 x, y = slice(i[k], i[k + 1]), slice(j[k], j[k + 1])
                 out.append(view.move(int(w), a[x], n[x], b[y], m[y]))
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(out, pa.int32())], names=["w", "c"])
 
+    batch = F.col("w") % batches
+    dealt = neighbours.coalesce(1) if batches == 1 else neighbours.repartition(min(batches, _tasks(neighbours)), batch)
     new = of.copy()
-    for r in neighbours.mapInArrow(moved, "w int, c int").collect():  # one small row for each clustered word
+    for r in dealt.sortWithinPartitions(batch, "w").mapInArrow(moved, "w int, c int").collect():  # one small row for each clustered word
         new[r["w"]] = r["c"]
     return new
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def exchange(neighbours: DataFrame, words: int, params: Params) -> tuple[np.ndarray, np.ndarray]:
     """(class of every symbol, grid of class pairs): end 0, words by exchange 1..classes, each shape its own.
 
     The most frequent words start with a class each, all others share the last one, so no two classes begin alike. The
-    ``lead`` most frequent are moved by one task first, so that all tasks start from the same kinds of classes instead
-    of each its own.
+    ``lead`` most frequent are moved as one batch first, so that all batches of ``batch`` words or so start from the same
+    kinds of classes instead of each its own.
     """
     groups = params.classes + 1 + SHAPES
     of = np.concatenate([[0], np.minimum(np.arange(words), params.classes - 1) + 1, params.classes + 1 + np.arange(SHAPES)])
     grid = class_grid(neighbours, of, groups)
     if not words:
         return of, grid
-    lead = table(neighbours.where(F.col("w").between(1, min(words, params.lead))).coalesce(1).sortWithinPartitions("w"), "lead").coalesce(1)
-    own = neighbours.where(F.col("w").between(1, words))
-    for k in range(2 + params.sweeps):
-        new = sweep(lead if k < 2 else own, of, grid, params.classes)
-        after = class_grid(neighbours, new, groups)
-        if likelihood(after) <= likelihood(grid) and k >= 2:
+    lead = table(neighbours.where(F.col("w").between(1, min(words, params.lead))), "lead", 1)
+    for _ in range(2):
+        of = sweep(lead, of, grid, params.classes, 1)
+        grid = class_grid(neighbours, of, groups)
+    own, batches = neighbours.where(F.col("w").between(1, words)), -(-words // params.batch)
+    batch = np.arange(len(of)) % batches
+    for k in range(params.sweeps):
+        moved = sweep(own, of, grid, params.classes, batches)
+        part = 1
+        while part <= batches:  # all batches' moves, or those of every second, fourth... batch
+            new = np.where(batch % part == k % part, moved, of)
+            after = class_grid(neighbours, new, groups)
+            if likelihood(after) > likelihood(grid):
+                break
+            part *= 2
+        else:
             break
         of, grid = new, after
     return of, grid

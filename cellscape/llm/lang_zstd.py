@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from .common import small_batches, table
 
 UNKNOWN = "und"
+#: The library makes nothing of a dictionary of fewer bytes, so such content is repeated.
+_LEAST = 8
 _LETTERS = regex.compile(r"\p{L}+")
 _RESULT = T.StructType(
     [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
@@ -42,15 +44,16 @@ def normalise(text: str | None) -> bytes:
     return (" ".join(found) + " ").encode() if found else b""
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", params: Params = Params()) -> dict[str, bytes]:
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", params: Params = Params()) -> dict[str, bytes]:
     """Raw dictionary content by language, from a bounded sample of the rows with a non-null language.
 
-    Hash buckets give the sample without ordering any language's rows: of each of ``rows_per_lang`` buckets the row of
-    least hash (of id and text, so that rows that repeat an id differ; equal rows are one). Only hashes are compared
-    for that; pieces are cut from the chosen rows alone, so what the driver gets is bounded by ``Params``.
+    Hash buckets give the sample without ordering any language's rows: of each of ``rows_per_lang`` buckets the text of
+    least hash, whatever its id (equal texts are one, those without a letter none). Only hashes are compared for that; pieces
+    are cut from the chosen rows alone, so what the driver gets is bounded by ``Params``. Every language with a letter in its
+    pieces is learned, however little there is of it.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    known = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("l"), text.alias("t"), F.xxhash64(F.col(id_col), text).alias("h"))
+    known = labelled.where(F.col(lang_col).isNotNull()).where(text.rlike(r"\p{L}")).select(F.col(lang_col).alias("l"), text.alias("t"), F.xxhash64(text).alias("h"))
     least = table(known.groupBy("l", F.pmod("h", F.lit(params.rows_per_lang)).alias("b")).agg(F.min("h").alias("h")), "least")
     if least.select("l").distinct().count() > params.max_langs:
         raise ValueError(f"more than {params.max_langs} languages")
@@ -61,7 +64,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     content: dict[str, bytes] = {}
     for r in sorted(rows.groupBy("l", "h").agg(F.min("p").alias("p")).collect(), key=lambda r: (r["l"], r["h"])):
         content[r["l"]] = content.get(r["l"], b"") + normalise(r["p"])
-    return {l: c for l, c in content.items() if len(c) >= 8}
+    return {l: c for l, c in content.items() if c}
 
 
 class Classifier:
@@ -69,6 +72,7 @@ class Classifier:
 
     def __init__(self, content: dict[str, bytes], params: Params):
         def tool(raw: bytes) -> zstandard.ZstdCompressor:
+            raw = raw if len(raw) >= _LEAST else raw * _LEAST
             made = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             made.precompute_compress(level=params.level)
             return zstandard.ZstdCompressor(level=params.level, dict_data=made, write_checksum=False, write_content_size=False, write_dict_id=False)

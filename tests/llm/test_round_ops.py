@@ -1,8 +1,10 @@
 """Fingerprints, fill-in-the-middle and hard negatives against brute force, with odd rows."""
 
 import hashlib
+import math
 import re
 import struct
+import unicodedata
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ import xxhash
 
 from pyspark.sql import functions as F
 
-from cellscape.llm import fim, fingerprints, hard_negatives, queries
+from cellscape.llm import class_lm, fim, fingerprints, hard_negatives, lang_zstd, queries
 from cellscape.llm.common import with_next
 
 SF = "/root/testdata/sf0.001"
@@ -222,3 +224,148 @@ def test_scores_beyond_doubles_are_exact():
     assert hard_negatives.scores(a, x).tolist() == [[2**55 + 1, 2**54 + 2**30 + 7], [3 * 2**25 + 5, 3 * (2**24 + 1) + 35]]
     with pytest.raises(OverflowError):
         hard_negatives.scores(a * 2.0**30, x)
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def slow_classes(texts, p):
+    """Exchange clustering over plain dictionaries: every move by the likelihood itself, batches from one state, halved where they lose."""
+    from collections import Counter
+
+    counts = Counter(w for t in texts for w in split(t))
+    words = [w for w, c in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c >= p.least]
+    rank = {w: i + 1 for i, w in enumerate(words)}
+    shape = lambda w: p.classes + 1 + class_lm.shape(w.encode())
+    pairs, n = Counter(), len(words)
+    for t in texts:
+        s = [0, *(rank.get(w, -shape(w)) for w in split(t)), 0]
+        pairs.update(zip(s, s[1:]))
+    near = {w: [(k, c) for k, c in pairs.items() if w in k] for w in range(1, n + 1)}
+    of = {0: 0} | {w: min(w, p.classes) for w in range(1, n + 1)}
+    cls = lambda s, of: of[s] if s >= 0 else -s
+
+    def grid(of):
+        g = Counter()
+        for (a, b), c in pairs.items():
+            g[cls(a, of), cls(b, of)] += c
+        return g
+
+    xlogx = lambda x: x * math.log(x) if x else 0.0
+
+    def likelihood(g):
+        left, right = Counter(), Counter()
+        for (a, b), c in g.items():
+            left[a] += c
+            right[b] += c
+        return math.fsum([xlogx(c) for c in g.values()] + [-xlogx(c) for c in left.values()] + [-xlogx(c) for c in right.values()])
+
+    def batch(of, words):
+        of, g = dict(of), grid(of)
+        left, right = Counter(), Counter()
+        for (a, b), c in g.items():
+            left[a] += c
+            right[b] += c
+        for w in words:
+            was, options = of[w], []
+            change = Counter({})
+            for (a, b), c in near[w]:
+                change[cls(a, of), cls(b, of)] -= c
+            for k in range(1, p.classes + 1):
+                of[w], d = k, Counter(change)
+                for (a, b), c in near[w]:
+                    d[cls(a, of), cls(b, of)] += c
+                dl, dr = Counter(), Counter()
+                for (a, b), c in d.items():
+                    dl[a] += c
+                    dr[b] += c
+                terms = [xlogx(g[x] + c) - xlogx(g[x]) for x, c in d.items() if c] + [xlogx(left[x]) - xlogx(left[x] + c) for x, c in dl.items() if c] + [xlogx(right[x]) - xlogx(right[x] + c) for x, c in dr.items() if c]
+                options.append((math.fsum(terms), d, dl, dr))
+            best = max(range(p.classes), key=lambda k: (round(options[k][0], 7), -k)) + 1
+            best = best if options[best - 1][0] > options[was - 1][0] + 1e-8 else was
+            _, d, dl, dr = options[best - 1]
+            for total, add in ((g, d), (left, dl), (right, dr)):
+                for x, c in add.items():
+                    total[x] += c
+            of[w] = best
+        return of
+
+    for _ in range(2):
+        of = batch(of, range(1, min(n, p.lead) + 1))
+    batches = -(-n // p.batch)
+    for k in range(p.sweeps):
+        moved = dict(of)
+        for b in range(batches):
+            own = [w for w in range(1, n + 1) if w % batches == b]
+            done = batch(of, own)
+            moved |= {w: done[w] for w in own}
+        part, now = 1, likelihood(grid(of))
+        while part <= batches:
+            new = {w: moved[w] if w % batches % part == k % part else of[w] for w in of}
+            if likelihood(grid(new)) > now:
+                break
+            part *= 2
+        else:
+            break
+        of = new
+    return {w: of[i + 1] for i, w in enumerate(words)}
+
+
+def test_classes_match_brute_force_and_dont_depend_on_tasks(spark):
+    p = class_lm.Params(classes=6, lead=40, batch=90, sweeps=3)
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id % 3 = 0")
+    want = slow_classes([r["text"] for r in texts.collect()], p)
+    assert len(want) > 300
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    scores = []
+    try:
+        for n in (1, 4, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            rows = texts.repartition(n)
+            model = class_lm.train(rows, params=p)
+            assert model.classes == want
+            scores.append({r["doc_id"]: r["score"] for r in class_lm.score(rows, model).collect()})
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert all(scores[0][i] == pytest.approx(s[i], rel=1e-12) for s in scores for i in s)
+
+
+def test_every_language_with_a_letter_is_learned(spark):
+    rows = [(1, "hello there and good morning to you all", "en"), (2, "你", "zh"), (3, "12 34", "xx"), (4, None, "yy"), (5, "a", "a"), (6, "words", None)]
+    content = lang_zstd.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(content) == {"en", "zh", "a"}
+    assert lang_zstd.Classifier(content, lang_zstd.Params())("你 你 你")[0] == "zh"
+
+
+def test_languages_are_learned_from_texts_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    assert lang_zstd.train(docs) == lang_zstd.train(docs.select((F.col("doc_id") * 7919 + 5).alias("doc_id"), "text", "lang").repartition(3))
+
+
+def test_predicted_languages_match_plain_compression(spark):
+    """Spans cut and compressed anew, without prepared dictionaries or shared tools."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    content, p = lang_zstd.train(docs.where("doc_id % 2 = 0")), lang_zstd.Params()
+    wrong = 0
+    for r in lang_zstd.classify(docs.where("doc_id % 7 = 3"), content).collect():
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (r["text"] or "").lower()).split()
+        data = (" ".join(letters) + " ").encode() if letters else b""
+        sizes = {}
+        for lang, raw in content.items():
+            n = -(-len(data) // p.span)
+            step = -(-len(data) // n) if n else 1
+            made = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[lang] = sum(len(zstandard.ZstdCompressor(level=p.level, dict_data=made, write_content_size=False, write_dict_id=False).compress(data[i : i + step])) for i in range(0, len(data), step))
+        first, second = sorted((s, x) for x, s in sizes.items())[:2]
+        got = r["language"]
+        if not data:
+            assert (got["lang_pred"], got["score"], got["rejected"]) == ("und", 0.0, True)
+        else:
+            margin = 1 - first[0] / second[0]
+            wrong += got["lang_pred"] != first[1] or got["rejected"] != (margin < p.min_margin) or abs(got["score"] - margin) > 0.01
+    assert wrong == 0
