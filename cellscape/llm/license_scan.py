@@ -4,8 +4,8 @@ Templates are few and fixed, so their inverted index (fingerprint to template an
 task. A document is looked up by all its k-grams. A template of up to ``WHOLE`` words is indexed by every
 gram, of two words below ten words and of three from there on: however a fifth of its words is changed or left
 out, a gram stays, so one hit makes a candidate. Longer ones are winnowed, and a candidate needs a share of
-their fingerprints near one diagonal. Each candidate region is then aligned, word by word, in a band around
-the diagonals of its hits. Where templates contain one another, as licenses and their variants do, the one that
+their fingerprints near one diagonal. A candidate region that hasn't enough of the template's words, whatever their order,
+is left there, as no alignment of it could do; any other is aligned, word by word, in a band around the diagonals of its hits. Where templates contain one another, as licenses and their variants do, the one that
 explains most words of a place, and of equals the one covered best, is reported.
 """
 
@@ -121,6 +121,7 @@ class Scanner:
             self.need.append(1 if len(ids) <= WHOLE else max(2, int(share * len(places))))
             for place in places:
                 self.index.setdefault(k, {}).setdefault(int(h[place]), []).append((t, place))
+        self.counts = [np.bincount(ids, minlength=len(self.vocabulary) + 1) for ids in self.templates]
         self.keys = {k: np.array(sorted(x), np.uint64) for k, x in self.index.items()}
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -151,6 +152,9 @@ class Scanner:
             begin, end = todo.pop()
             if end - begin < self.coverage * len(template):
                 continue
+            words, times = np.unique(text[begin:end], return_counts=True)
+            if np.minimum(self.counts[t][words], times).sum() < self.coverage * len(template):
+                continue
             matched, first, last = align(template, text[begin:end], low - begin, high - begin)
             if matched >= self.coverage * len(template):
                 yield matched, begin + first, begin + last
