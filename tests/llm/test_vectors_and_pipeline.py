@@ -64,8 +64,8 @@ def test_audited_recall(spark):
     nodes = spark.createDataFrame([(i, str(l), bytearray(nn_descent.unit(v, l))) for i, v, l in rows], "id long, label string, vec binary")
     params = nn_descent.Params()
     lists = nn_descent.neighbour_graph(nodes, params)
-    hits, total = nn_descent.audit(nodes, lists, params)
-    assert total and hits >= 0.95 * total
+    found = nn_descent.audit(nodes, lists, params)
+    assert found.asked[0] and found.recall >= 0.95
 
 
 def test_repeated_and_null_ids_and_text_labels(spark):
@@ -116,8 +116,8 @@ def test_audit_weighs_queries_alike(spark):
         rows += [(len(rows), v), (len(rows) + 1, v + rng.standard_normal(32) * 0.05)]
     nodes = spark.createDataFrame([(i, "1", bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label string, vec binary")
     member = spark.createDataFrame([(i, 0) for i in range(300)], "node long, component long")  # every pair is missed
-    hits, total = nn_descent.audit(nodes, member, nn_descent.Params())
-    assert total > 30 and hits == 0
+    found = nn_descent.audit(nodes, member, nn_descent.Params())
+    assert found.asked[0] > 30 and found.found[0] == 0 and found.recall < 1
     assert nn_descent.tables_for(20, nn_descent.Params()) > nn_descent.tables_for(12, nn_descent.Params()) >= 8
 
 
@@ -223,3 +223,34 @@ def test_pipeline_stages_match_brute_force_by_rows(spark):
     clean = [tuple(r) for r in table(corpus_pipeline.decontamination(spark, docs, sf), "clean").collect()]
     want = [r for r in rows if not any(len(s & shingles(r[1])) >= 0.8 * len(s) for s in known)]
     assert sorted(clean, key=str) == sorted(want, key=str) and len(want) < len(rows)
+
+
+def test_recall_of_rare_links_is_measured(spark):
+    """Forty pairs among nine thousand vectors: queries are drawn from what is tied, and the rest stands for all others."""
+    rng = np.random.default_rng(12)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((8920, 24)))]
+    for _ in range(40):
+        v = rng.standard_normal(24)
+        rows += [(len(rows), v), (len(rows) + 1, v + rng.standard_normal(24) * 0.02)]
+    nodes = spark.createDataFrame([(i, "1", bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label string, vec binary")
+    member = nn_descent.neighbour_graph(nodes, nn_descent.Params())
+    found = nn_descent.audit(nodes, member, nn_descent.Params())
+    assert found.asked[0] >= 80 and found.recall == 1.0 and member.select("component").distinct().count() == 40
+    half = member.where(member["component"].isin([r["component"] for r in member.select("component").distinct().orderBy("component").limit(20).collect()]))
+    told = nn_descent.audit(nodes, half, nn_descent.Params())
+    assert abs(told.recall - 0.5) < 0.15 and not told.reaches(0.99)  # the others stand for links that nothing ties
+
+
+def test_what_is_found_is_kept_where_draws_run_out(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: nn_descent.Audit((40.0, 0.0), (80.0, 0.0), (80, 0)))
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(60):
+        v = rng.standard_normal(24)
+        rows += [(len(rows), v), (len(rows) + 1, v + rng.standard_normal(24) * 0.02)]
+    nodes = spark.createDataFrame([(i, "1", bytearray(nn_descent.unit(v, 1))) for i, v in rows], "id long, label string, vec binary")
+    with pytest.warns(UserWarning, match="after 1 draws"):
+        member = nn_descent.neighbour_graph(nodes, nn_descent.Params(most_draws=1))
+    assert member.count() > 60
