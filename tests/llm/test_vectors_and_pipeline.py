@@ -160,11 +160,92 @@ def stages(spark, rows, sf="/root/testdata/sf0.001"):
         yield name, docs
 
 
+def slow_mix(rows):
+    """How often each row (id, text, source) comes: passes over its source, and the last one where at least half of it is needed."""
+    import hashlib
+    import re
+
+    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), k) for k, (i, t, s) in enumerate(rows)]
+    names = sorted({s for _, s, _, _ in sized}, key=lambda s: (s is None, s or ""))
+    words = {s: sum(n for _, x, n, _ in sized if x == s) for s in names}
+    weight, target, open_, left = {s: k % 3 + 1 for k, s in enumerate(names)}, {}, list(names), sum(words.values())
+    while open_:  # whoever would pass three times its size stops there, the rest goes to the others
+        line = left / sum(weight[s] for s in open_)
+        full = [s for s in open_ if 3 * words[s] < line * weight[s]]
+        for s in full or open_:
+            target[s] = float(3 * words[s]) if full else line * weight[s]
+        left -= sum(target[s] for s in full)
+        open_ = [s for s in open_ if s not in target]
+    out = []
+    for s in names:
+        quota, start = round(target[s]), 0
+        own = sorted((x for x in sized if x[1] == s), key=lambda x: (hashlib.md5(str(x[0]).encode()).hexdigest(), x[0] or 0, x[2]))
+        for _, _, n, k in own:
+            passes = quota // words[s] if words[s] else 0
+            rest = max(0, min(n, quota - passes * words[s] - start))
+            out += [k] * (passes + (n > 0 and 2 * rest >= n) if passes * n + rest > 0 else 0)
+            start += n
+    return sorted(out)
+
+
+def whole_encodings(rows):
+    """(doc_id, n_tokens, crc32) of each row by the library's encoding of whole texts."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = []
+    for i, t in rows:
+        ids = [*tool.encode(t or "", add_special_tokens=False).ids, 0]
+        out.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    return sorted(out, key=str)
+
+
+def told(spark, docs):
+    """Rows that language identification doesn't reject, by the classifier on each text alone."""
+    from pyspark.sql import functions as F
+
+    from cellscape.llm import lang_zstd
+    from cellscape.llm.common import crc_bucket
+
+    tool = lang_zstd.Classifier(lang_zstd.train(docs.where(crc_bucket(F.col("doc_id"), 3) != 1)), lang_zstd.Params())
+    return [r for r in docs.collect() if not tool(r["text"])[2]]
+
+
 def test_pipeline_odd_rows(spark):
-    odd = [(1, None, None, None, None), (None, "the word and more words are here", "en", None, 1), (2, "", "en", "a", 0), (3, "the word", "en", "a", 1), (3, "the word", "en", "a", 1)]
-    for rows in ([], odd):
-        *_, (_, docs) = stages(spark, rows)
-        assert docs.count() <= 3 * len(rows)
+    odd = [(1, None, None, None, None), (None, "the word and more words are here", "en", None, 1), (2, "", "en", "a", 0), (3, "more words are here and the word", "en", "a", 1), (3, "more words are here and the word", "en", "a", 1), (8, "ein ganz anderer Satz mit Wörtern", "de", "b", 1), (9, "12 34", "de", "b", 1)]
+    assert [docs.count() for _, docs in stages(spark, [])] == [0] * 5
+    frames = dict(stages(spark, odd))
+    rows = {name: sorted(map(tuple, docs.collect()), key=str) for name, docs in frames.items()}
+    kept = told(spark, spark.createDataFrame(odd, SCHEMA))
+    assert rows["language_id"] == sorted(map(tuple, kept), key=str) and len(kept) == 4
+    assert rows["simhash_near_dedup"] == sorted(set(map(tuple, kept)), key=str) == rows["decontamination"]
+    left = rows["decontamination"]
+    assert rows["mixing"] == sorted((left[k] for k in slow_mix([(r[0], r[1], r[3]) for r in left])), key=str)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in frames["token_output"].collect()), key=str)
+    assert got == whole_encodings([(r[0], r[1]) for r in rows["mixing"]])
+
+
+def test_pipeline_language_mixing_and_tokens_match_brute_force(spark):
+    """On the whole small table with repeated ids and rows, each stage's rows exactly."""
+    import corpus_pipeline
+    from cellscape.llm.common import table
+
+    sf = "/root/testdata/sf0.001"
+    given = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = given + given[:15] + [(r[0], r[1], r[2], None, r[4]) for r in given[15:25]] + [(10_000 + i, t, "en", "z", 1) for i, t in enumerate((None, "", "4711 !?", "\n \t"))]
+    docs = table(spark.createDataFrame(rows, SCHEMA), "given")
+    kept = corpus_pipeline.language(spark, docs, sf).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(map(tuple, told(spark, docs)), key=str) and len(kept) > 0.9 * len(given)
+    mix = table(corpus_pipeline.mixture(spark, docs, sf), "mix")
+    want = [rows[k] for k in slow_mix([(r[0], r[1], r[3]) for r in rows])]
+    assert sorted(map(tuple, mix.collect()), key=str) == sorted(want, key=str) and len(want) > len(rows)
+    out = table(corpus_pipeline.token_output(spark, mix, sf), "tokens").collect()
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in out), key=str) == whole_encodings([(r[0], r[1]) for r in want])
+    starts = sorted((r["start"], r["n_tokens"]) for r in out)
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
 
 
 def test_pipeline_with_clashing_columns(spark):
