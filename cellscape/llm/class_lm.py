@@ -7,7 +7,7 @@ number grows with the corpus. Pairs of neighbours are a table; each sweep of the
 rank over numbered batches with their neighbours' counts. A batch has the grid of class pairs, takes one of its words after
 the other out of its class and puts it where the likelihood of the class pairs is greatest; then the grid is counted anew
 from all batches' moves. Where these together don't raise the likelihood, those of half of the batches are taken, of a
-quarter and so on; a sweep of which nothing can be taken ends the exchange. Batches follow from the words alone, so classes
+quarter and so on. A sweep that raises the likelihood by less than the share ``settled`` ends the exchange. Batches follow from the words alone, so classes
 and scores are the same however the texts are cut into tasks.
 A rarer word's class follows from its shape (length and closing punctuation), so words never seen have one
 too. Counts of all words are joined to the texts: those of the ``known`` most frequent go to every task, the
@@ -39,7 +39,8 @@ SHAPES = 2 * (_LENGTHS + 1)
 class Params:
     least: int = 5
     classes: int = 64
-    sweeps: int = 4
+    sweeps: int = 8
+    settled: float = 0.005
     known: int = 150_000
     lead: int = 1024
     batch: int = 1024
@@ -214,23 +215,29 @@ def likelihood(grid: np.ndarray) -> float:
     return float(_xlogx(grid).sum() - _xlogx(grid.sum(1)).sum() - _xlogx(grid.sum(0)).sum())
 
 
-def class_grid(neighbours: DataFrame, of: np.ndarray, groups: int) -> np.ndarray:
-    """Counts of class pairs, by task and then over all; at most groups squared reach the driver."""
+def class_grids(neighbours: DataFrame, options: list[np.ndarray], groups: int) -> list[np.ndarray]:
+    """Counts of class pairs for each of some tables of classes, in one pass; at most groups squared each reach the driver."""
+    cells = groups * groups
 
     def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(groups * groups, np.int64)
+        total = np.zeros((len(options), cells), np.int64)
         for part in parts:
             bounds, other, n = _side(part, "after")
             first, last = int(bounds[0]), int(bounds[-1])
-            cell = np.repeat(of[part.column(0).to_numpy()] * groups, np.diff(bounds)) + of[other[first:last]]
-            total += np.bincount(cell, weights=n[first:last], minlength=groups * groups).astype(np.int64)
+            words, times = part.column(0).to_numpy(), np.diff(bounds)
+            for k, of in enumerate(options):
+                total[k] += np.bincount(np.repeat(of[words] * groups, times) + of[other[first:last]], weights=n[first:last], minlength=cells).astype(np.int64)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], names=["at", "n"])
 
-    grid = np.zeros(groups * groups)
+    grids = np.zeros(len(options) * cells)
     for r in neighbours.select("w", "after_at", "after_n").mapInArrow(summed, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        grid[r["at"]] = r["n"]
-    return grid.reshape(groups, groups)
+        grids[r["at"]] = r["n"]
+    return list(grids.reshape(len(options), groups, groups))
+
+
+def class_grid(neighbours: DataFrame, of: np.ndarray, groups: int) -> np.ndarray:
+    return class_grids(neighbours, [of], groups)[0]
 
 
 class Exchange:
@@ -319,17 +326,17 @@ def exchange(neighbours: DataFrame, words: int, params: Params) -> tuple[np.ndar
     own, batches = neighbours.where(F.col("w").between(1, words)), -(-words // params.batch)
     batch = np.arange(len(of)) % batches
     for k in range(params.sweeps):
-        moved = sweep(own, of, grid, params.classes, batches)
-        part = 1
-        while part <= batches:  # all batches' moves, or those of every second, fourth... batch
-            new = np.where(batch % part == k % part, moved, of)
-            after = class_grid(neighbours, new, groups)
-            if likelihood(after) > likelihood(grid):
-                break
-            part *= 2
-        else:
+        moved, before = sweep(own, of, grid, params.classes, batches), likelihood(grid)
+        options = [np.where(batch % (1 << j) == k % (1 << j), moved, of) for j in range(batches.bit_length())]  # all batches' moves, every second one's...
+        grids = class_grids(neighbours, options[:1], groups)
+        if likelihood(grids[0]) <= before:
+            grids += class_grids(neighbours, options[1:], groups) if options[1:] else []
+        new = next((x for x in zip(options, grids) if likelihood(x[1]) > before), None)
+        if new is None:
+            break
+        of, grid = new
+        if likelihood(grid) - before < params.settled * abs(before):
             break
-        of, grid = new, after
     return of, grid
 
 
@@ -390,17 +397,21 @@ def score(texts: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     names = ["row", "id", "word", "n", "k", "chain", "logs"]
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, logs = Numbers(classes, first), {w.encode(): math.log10(c + 1) for w, c in known.items()}
+        size, vocabulary = len(known), [*known, *(w for w in classes if w not in known)]
+        of = Numbers({w: k for k, w in enumerate(vocabulary)}, len(vocabulary))  # a word's place, or beyond all places its shape
+        to = np.array([*(classes[w] if w in classes else first + shape(w.encode()) for w in vocabulary), *range(first, first + SHAPES)], np.int64)
+        logs = np.zeros(len(to))
+        logs[:size] = [math.log10(c + 1) for c in known.values()]
         for part in parts:
             out: list[tuple] = []
             for row, doc, text in zip(*(c.to_pylist() for c in part.columns)):
                 words = _words(text)
-                c = np.array([0, *map(of.__getitem__, words), 0], np.int64)
-                found = [logs.get(w) for w in words]
-                rest = [w for w, x in zip(words, found) if x is None]
+                at = np.fromiter(map(of.__getitem__, words), np.int64, len(words))
+                c = np.concatenate([[0], to[at], [0]])
+                new = np.flatnonzero(at >= size).tolist()
                 chain = float(transition[c[:-1], c[1:]].sum() + emission[c[1:]].sum())
-                out.append((row, doc, None, len(words) + 1, len(words) - len(rest), chain, sum(x for x in found if x is not None)))
-                out.extend((row, None, w.decode(), n, 0, 0.0, 0.0) for w, n in Counter(rest).items())
+                out.append((row, doc, None, len(words) + 1, len(words) - len(new), chain, float(logs[at].sum())))
+                out.extend((row, None, w.decode(), n, 0, 0.0, 0.0) for w, n in Counter([words[k] for k in new]).items())
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=names)
 
