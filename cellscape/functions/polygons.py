@@ -93,13 +93,30 @@ def cross_each_other(e: Column, f: Column) -> Column:
 
 
 def hull_distance(a: Column, b: Column) -> Column:
-    """Distance between two hulls: 0 where they meet, else from a corner of one to a side of the other; null where one is."""
+    """Distance between two hulls: 0 where they meet, else from a corner of one to a side of the other; null where one is.
+
+    Hulls whose boxes are apart can't meet. Squares are compared: of a corner and a side the distance is to the line where the
+    corner lies beside the side, else to the side's first end, as its other end is the next one's first.
+    """
+
+    def beyond(p: Column, q: Column) -> Column:
+        side = lambda f, r, c: f(F.transform(r, lambda e: e["a"][c]))
+        return (
+            (side(F.array_max, p, "x") < side(F.array_min, q, "x")) | (side(F.array_max, q, "x") < side(F.array_min, p, "x"))
+            | (side(F.array_max, p, "y") < side(F.array_min, q, "y")) | (side(F.array_max, q, "y") < side(F.array_min, p, "y"))
+        )
+
+    def square(p: Column, e: Column) -> Column:
+        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        px, py = p["x"] - e["a"]["x"], p["y"] - e["a"]["y"]
+        along = px * dx + py * dy
+        return F.when((along > 0) & (along < dx * dx + dy * dy), (px * dy - py * dx) * (px * dy - py * dx) / (dx * dx + dy * dy)).otherwise(px * px + py * py)
 
     def of(p: Column, q: Column) -> Column:  # sides
         holds = lambda sides, x: (F.size(sides) > 2) & F.forall(sides, lambda e: cross(e["a"], e["b"], x) >= 0)
         meet = F.exists(p, lambda e: holds(q, e["a"])) | F.exists(q, lambda e: holds(p, e["a"])) | F.exists(p, lambda e: F.exists(q, lambda f: cross_each_other(e, f)))
-        least = lambda s, t: F.array_min(F.transform(s, lambda e: F.array_min(F.transform(t, lambda f: to_segment(e["a"], f)))))
-        return F.when(meet, F.lit(0.0)).otherwise(F.least(least(p, q), least(q, p)))
+        least = lambda s, t: F.array_min(F.transform(s, lambda e: F.array_min(F.transform(t, lambda f: square(e["a"], f)))))
+        return F.when(~beyond(p, q) & meet, F.lit(0.0)).otherwise(F.sqrt(F.least(least(p, q), least(q, p))))
 
     known = a.isNotNull() & b.isNotNull()
     return F.when(known, let(edges(a), lambda p: let(edges(b), lambda q: of(p, q))))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import polygons
 from ..functions.geo import planar
+from ..plans.iterate import cut
 from ..plans.joins import boxes_near, lattice_range_join
 
 # Physical properties by cell type where a cell states none.
@@ -268,13 +269,14 @@ def nearby_hulls(hulls: DataFrame, distance: float, buffer: float = 0.0, by: tup
     """
     box = lambda f, c: f(F.transform("hull", lambda p: p[c]))
     sides = [box(f, c).alias(n) for f, c, n in ((F.array_min, "x", "x0"), (F.array_min, "y", "y0"), (F.array_max, "x", "x1"), (F.array_max, "y", "y1"))]
-    rows = hulls.select(*by, "cell_id", "hull", *sides)
+    rows = cut(hulls.select(*by, "cell_id", "hull", *sides))  # read by both sides
     met = boxes_near(rows, "cell_id", distance + 2 * buffer, max(distance + 2 * buffer, 500.0), by)
     apart = F.greatest(F.lit(0.0), polygons.hull_distance(F.col("a.hull"), F.col("b.hull")) - 2 * buffer)
-    once = met.select(*by, F.col("a.cell_id").alias("p"), F.col("b.cell_id").alias("q"), apart.alias("distance")).where(F.col("distance") <= distance)
+    once = cut(met.select(*by, F.col("a.cell_id").alias("p"), F.col("b.cell_id").alias("q"), apart.alias("distance")))  # else the filter would compute distances twice
+    once = once.where(F.col("distance") <= distance)
     pair = lambda a, b: F.struct(F.col(a).alias("cell_id_a"), F.col(b).alias("cell_id_b"))
     both = once.select(*by, F.explode(F.array(pair("p", "q"), pair("q", "p"))).alias("pair"), "distance").select(*by, "pair.*", "distance")
-    return both.unionByName(hulls.select(*by, F.col("cell_id").alias("cell_id_a")).withColumns({"cell_id_b": F.lit(None).cast("string"), "distance": F.lit(0.0)}))
+    return both.unionByName(rows.select(*by, F.col("cell_id").alias("cell_id_a")).withColumns({"cell_id_b": F.lit(None).cast("string"), "distance": F.lit(0.0)}))
 
 
 def overlap_groups(pairs: DataFrame, buffer: float, by: tuple[str, ...] = ()) -> DataFrame:

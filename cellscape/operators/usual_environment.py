@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from ..codes import ID_GRID, ID_OBSERVATION
 from ..functions import grid
 from ..plans.iterate import cut
 from .coverage import _lookup
+from .permanence import MidTermParams
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,15 @@ HOME_RULES = (Rule("h_1", "all", "all", "lps", 80), Rule("h_2", "all", "night_ti
 WORK_RULES = (Rule("w_1", "workdays", "working_hours", "lps", 80), Rule("w_2", "workdays", "working_hours", "total_frequency", 80))
 
 
+def periods_read(params: MidTermParams, *cascades: Sequence[Rule]) -> MidTermParams:
+    """``params`` with only the day types and intervals that the rules read, and the whole period: mid-term scores of others
+    needn't be made for labels, and it is they that are expanded to tiles.
+    """
+    kinds = {"all"} | {r.day_type for c in cascades for r in c}
+    names = {"all"} | {r.time_interval for c in cascades for r in c}
+    return replace(params, day_types=tuple(t for t in params.day_types if t in kinds), intervals=tuple(i for i in params.intervals if i[0] in names))
+
+
 def discard_devices(scores: DataFrame, total_ps: int = 2, total_days: int = 1) -> DataFrame:
     """Scores without the devices that were observed too little or on too few days."""
     seen = scores.where((F.col("id_type") == ID_OBSERVATION) & (F.col("day_type") == "all") & (F.col("time_interval") == "all"))

@@ -155,9 +155,9 @@ mt AS (SELECT user_id, month, day_type, time_interval, id_type, cast(grid_id AS
   UNION ALL SELECT user_id, month, day_type, time_interval, 'device_observation', '-1', sum(n), count(*) FROM oe WHERE n > 0 GROUP BY ALL)"""
 
 
-def _midterm(spark, sf):
+def _midterm(spark, sf, params=permanence.MidTermParams()):
     holidays = spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-06')) AS date")
-    return permanence.midterm_scores(cut(_dps(spark, sf)), holidays, coverage.group_tiles(_groups(spark)))
+    return permanence.midterm_scores(cut(_dps(spark, sf)), holidays, coverage.group_tiles(_groups(spark)), params)
 
 
 def midterm_ps(spark, sf):
@@ -169,9 +169,9 @@ def midterm_totals(spark, sf):
     return _midterm(spark, sf).groupBy("month", "day_type", "time_interval", "id_type").agg(F.count("*").alias("scores"), F.count_distinct("location").alias("places"), F.sum("mps").alias("mps"), F.sum("frequency").alias("frequency"))
 
 
-def _longterm(spark, sf):
+def _longterm(spark, sf, params=permanence.MidTermParams()):
     seasons = spark.sql("SELECT * FROM VALUES ('all', '2023-12'), ('all', '2024-01'), ('winter', '2024-01') AS t(season, month)")
-    return permanence.longterm_scores(cut(_midterm(spark, sf)), seasons)
+    return permanence.longterm_scores(cut(_midterm(spark, sf, params)), seasons)
 
 
 def longterm_ps(spark, sf):
@@ -183,7 +183,7 @@ _LPS = _DPS + _INTERVALS + """, lp AS (SELECT user_id, season, day_type, time_in
 
 def _kept(spark, sf, scores=None):
     """Written once: labelling reads these scores several times."""
-    return cut(usual_environment.discard_devices(scores if scores is not None else _longterm(spark, sf), 20, 5))
+    return cut(usual_environment.discard_devices(scores if scores is not None else _longterm(spark, sf, usual_environment.periods_read(permanence.MidTermParams(), UE, HOME)), 20, 5))
 
 
 def gap_cut(spark, sf):
@@ -198,13 +198,15 @@ tg AS (SELECT *, coalesce(lag(lps) OVER w - lps, 0) AS dr, max(lps) OVER (PARTIT
 cu AS (SELECT *, sum(CASE WHEN dr > 0 AND dr >= mx * 0.2::DOUBLE THEN 1 ELSE 0 END) OVER w AS cp, sum(CASE WHEN dr >= 3 THEN 1 ELSE 0 END) OVER w AS c3, sum(CASE WHEN dr >= 1 THEN 1 ELSE 0 END) OVER w AS c1 FROM tg WINDOW w AS (PARTITION BY user_id, season ORDER BY lps DESC, location ROWS UNBOUNDED PRECEDING))"""
 
 
+UE = (usual_environment.Rule("ue_1", "all", "all", "lps", 12), usual_environment.Rule("ue_2", "all", "night_time", "lps", 15), usual_environment.Rule("ue_3", "all", "all", "total_frequency", 25))
+HOME = (usual_environment.Rule("h_1", "all", "all", "lps", 18), usual_environment.Rule("h_2", "all", "night_time", "lps", 12))
+
+
 def _labels(spark, sf, scores=None):
-    ue = (usual_environment.Rule("ue_1", "all", "all", "lps", 12), usual_environment.Rule("ue_2", "all", "night_time", "lps", 15), usual_environment.Rule("ue_3", "all", "all", "total_frequency", 25))
-    home = (usual_environment.Rule("h_1", "all", "all", "lps", 18), usual_environment.Rule("h_2", "all", "night_time", "lps", 12))
     k = _kept(spark, sf, scores)
-    first = usual_environment.apply_rules(usual_environment.cut_at_gap(k, 20, True), k, ue, "ue", False)
+    first = cut(usual_environment.apply_rules(usual_environment.cut_at_gap(k, 20, True), k, UE, "ue", False))  # read as labels and as what homes lie in
     inside = usual_environment.cut_at_gap(k, 3, False).join(first.select("user_id", "season", "location"), ["user_id", "season", "location"])
-    return first.unionByName(usual_environment.apply_rules(inside, k, home, "home", True))
+    return first.unionByName(usual_environment.apply_rules(inside, k, HOME, "home", True))
 
 
 def usual_environment_labels(spark, sf):
@@ -230,7 +232,8 @@ _CASCADES = [[replace(r, percent=r.percent / 6) for r in rules] for rules in (us
 
 def device_labels(spark, sf):
     """The three cascades, home and work inside the usual environment."""
-    return usual_environment.label_tiles(_longterm(spark, sf), 20, 5, cascades=_CASCADES)
+    scores = _longterm(spark, sf, usual_environment.periods_read(permanence.MidTermParams(), *_CASCADES))
+    return usual_environment.label_tiles(scores, 20, 5, cascades=_CASCADES)
 
 
 def _cascade(name: str, source: str, rules, label: str, first_only: bool) -> str:
