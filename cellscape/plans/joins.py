@@ -54,12 +54,14 @@ def slot_overlap(intervals: DataFrame, start: str, end: str, slot_seconds: int)
     return cut.withColumn("seconds", F.least(F.col(end), F.col("slot") + slot_seconds) - F.greatest(F.col(start), F.col("slot")))
 
 
-def nearest_in_time(points: DataFrame, events: DataFrame, key: list[str], point_ts: str, event_ts: str, tolerance: int, tie_break: list[str], salt: int = 64) -> DataFrame:
+def nearest_in_time(points: DataFrame, events: DataFrame, key: list[str], point_ts: str, event_ts: str, tolerance: int, tie_break: list[str], salt: int | None = None) -> DataFrame:
     """For each (point, key) the event nearest in time within ``tolerance`` seconds; ties: the earlier, then ``tie_break``.
 
     Times are epoch seconds. Both sides meet on buckets as wide as the tolerance and, so that no bucket of all keys is
-    one task, on ``salt`` hashes of the key, for each of which a point is repeated. Points are few beside events.
+    one task, on ``salt`` hashes of the key (as many as there are shuffle partitions, unless given), for each of which a point
+    is repeated. Points are few beside events.
     """
+    salt = salt or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = points.withColumn("_bucket", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col(point_ts) / tolerance) + d)))
     spread = spread.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     keyed = events.withColumns({"_slot": F.floor(F.col(event_ts) / tolerance), "_salt": F.pmod(F.xxhash64(*key), F.lit(salt)).cast("int")})
