@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small_batches, table
+from .common import small_batches, table
 
 #: Token that ends every text; no word is white space.
 END = "\n"
@@ -90,6 +90,28 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def word_counts(texts: DataFrame, room: int = 300_000) -> DataFrame:
+    """(word, c) of every word of the column ``t``. A task hands on what it has counted whenever that is ``room`` words."""
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            words, n = list(held), np.fromiter(held.values(), np.int64, len(held))
+            held.clear()
+            for i in range(0, len(words), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(words[i : i + 50_000], pa.binary()).cast(pa.string()), pa.array(n[i : i + 50_000])], names=["word", "c"])
+
+        for part in parts:
+            for text in part.column(0).to_pylist():
+                held.update(_words(text))
+                if len(held) > room:
+                    yield from out()
+        yield from out()
+
+    return texts.select("t").mapInArrow(counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
 #: Neighbour lists are packed: places and counts as unsigned 32-bit integers in the columns ``at`` and ``n`` of a side.
 PACKED = "w int, after_at binary, after_n binary, before_at binary, before_n binary"
 _MOST = np.int64((1 << 32) - 1)
@@ -361,8 +383,7 @@ def train(texts: DataFrame, text_col: str = "text", params: Params = Params()) -
     """Learn from every row of ``texts``; null texts count as empty ones, that is, as an end."""
     small_batches(texts.sparkSession)
     rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    words = rows.select(F.explode(F.split(ascii_lower(F.col("t")), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
-    counts = table(words.groupBy("word").agg(F.count("*").alias("c")), "counts")
+    counts = table(word_counts(rows), "counts")
     top = most_frequent(counts, params.known)
     clustered = [(w, c) for w, c in top if c >= params.least]
     symbol = {w: i + 1 for i, (w, _) in enumerate(clustered)}
