@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import areas, cleaning, coverage, environment, lattice, mobility, quality
+from . import areas, cleaning, coverage, environment, lattice, mobility, quality, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (lattice, areas, cleaning, coverage, environment, mobility, quality)
+_MODULES = (lattice, areas, cleaning, coverage, environment, mobility, quality, stored)
 
 
 def queries() -> dict[str, Query]:

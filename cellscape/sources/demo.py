@@ -22,7 +22,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, uid, ts to the second, k: 0..99, event_type)."""
-    e = load(spark, sf_dir, "events")
+    return signals_of(load(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream of the table's files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return signals_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))  # a pattern, as a stream's path is a folder or one
+
+
+def signals_of(e: DataFrame) -> DataFrame:
     return e.select("event_id", F.col("user_id").alias("uid"), F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"), F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"), "event_type")
 
 
