@@ -186,11 +186,11 @@ def neighbour_counts(texts: DataFrame, symbol: dict[str, int], room: int = 2_000
             yield from _both([(a, b, n), _summed(b, a, n)])
 
         for part in parts:
-            ids: list[int] = [0]
+            ids = [np.zeros(1, np.int64)]
             for text in part.column(0).to_pylist():
-                ids.extend(map(of.__getitem__, _words(text)))
-                ids.append(0)
-            x = np.array(ids, np.int64)
+                words = _words(text)
+                ids += [np.fromiter(map(of.__getitem__, words), np.int64, len(words)), ids[0]]
+            x = np.concatenate(ids)
             held.append(x[:-1] << 32 | x[1:])
             size += len(x)
             if size > room:
@@ -424,17 +424,28 @@ def score(texts: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         logs = np.zeros(len(to))
         logs[:size] = [math.log10(c + 1) for c in known.values()]
         for part in parts:
-            out: list[tuple] = []
-            for row, doc, text in zip(*(c.to_pylist() for c in part.columns)):
+            whole: list[tuple] = []
+            at_row, new_words, times = [], [], []
+            for row, text in zip(part.column(0).to_pylist(), part.column(2).to_pylist()):
                 words = _words(text)
                 at = np.fromiter(map(of.__getitem__, words), np.int64, len(words))
                 c = np.concatenate([[0], to[at], [0]])
                 new = np.flatnonzero(at >= size).tolist()
                 chain = float(transition[c[:-1], c[1:]].sum() + emission[c[1:]].sum())
-                out.append((row, doc, None, len(words) + 1, len(words) - len(new), chain, float(logs[at].sum())))
-                out.extend((row, None, w.decode(), n, 0, 0.0, 0.0) for w, n in Counter([words[k] for k in new]).items())
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=names)
+                whole.append((row, len(words) + 1, len(words) - len(new), chain, float(logs[at].sum())))
+                rest = Counter([words[k] for k in new])
+                at_row += [row] * len(rest)
+                new_words += rest
+                times += rest.values()
+            n = len(new_words)
+            zeros = lambda kind: pa.array(np.zeros(n, kind))  # noqa: B023, E731
+            joined = lambda first, second, kind: pa.concat_arrays([pa.array(first, kind), second.cast(kind)])
+            row, tokens, k, chain, known_logs = zip(*whole) if whole else ((),) * 5
+            columns = [
+                joined(row, pa.array(at_row, pa.int64()), pa.int64()), pa.concat_arrays([part.column(1), pa.nulls(n, pa.int64())]), pa.concat_arrays([pa.nulls(len(row), pa.string()), pa.array(new_words, pa.binary()).cast(pa.string())]),
+                joined(tokens, pa.array(times, pa.int64()), pa.int64()), joined(k, zeros(np.int64), pa.int64()), joined(chain, zeros(np.float64), pa.float64()), joined(known_logs, zeros(np.float64), pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     parts = table(rows.mapInArrow(scored, "row long, id long, word string, n long, k long, chain double, logs double"), "scored")
