@@ -28,19 +28,21 @@ def boxes_near(boxes: DataFrame, key: str, distance: float, bin_size: float, by:
     """(a, b): structs of two rows, ``key`` of the first the lesser, whose boxes (x0, y0, x1, y1) are within ``distance`` on both axes.
 
     Boxes go to the bins that they meet, the first's widened; a pair is taken in the one bin that holds the lower left corner of
-    what the widened box and the other share, so none comes twice.
+    what the widened box and the other share, so none comes twice. The first's rows are dealt over all tasks before: there are
+    few of them beside the pairs, on which the work is done.
     """
     cell = lambda v: F.floor(v / bin_size)
     row = F.struct(*boxes.columns)
 
-    def spread(name: str, wide: float) -> DataFrame:
-        out = boxes.select(*[F.col(c).alias(f"{name}_{c}") for c in by], row.alias(name))
+    def spread(rows: DataFrame, name: str, wide: float) -> DataFrame:
+        out = rows.select(*[F.col(c).alias(f"{name}_{c}") for c in by], row.alias(name))
         for axis in "xy":
             out = out.withColumn(f"{name}_b{axis}", F.explode(F.sequence(cell(F.col(f"{name}.{axis}0") - wide), cell(F.col(f"{name}.{axis}1") + wide))))
         return out
 
     same = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in (*by, "bx", "by")]
-    met = spread("a", distance).join(spread("b", 0.0), same).where(F.col(f"a.{key}") < F.col(f"b.{key}"))
+    dealt = boxes.repartition(int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = spread(dealt, "a", distance).join(spread(boxes, "b", 0.0), same).where(F.col(f"a.{key}") < F.col(f"b.{key}"))
     for axis in "xy":
         low = F.greatest(F.col(f"a.{axis}0") - distance, F.col(f"b.{axis}0"))
         met = met.where((F.col(f"a.{axis}0") - distance <= F.col(f"b.{axis}1")) & (F.col(f"b.{axis}0") <= F.col(f"a.{axis}1") + distance) & (cell(low) == F.col(f"a_b{axis}")))
