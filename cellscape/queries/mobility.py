@@ -213,7 +213,7 @@ def hierarchy_rollup(spark, sf):
 
 
 def k_anon_delete(spark, sf):
-    r = export.hierarchy_rollup(export.select_case(_customers(spark, sf), {"c_mktsegment": "BUILDING"}, {"c_custkey": (0, 100_000)}), demo.zones(spark, sf), [2, 3], "value")
+    r = export.hierarchy_rollup(export.select_case(_customers(spark, sf), {"c_mktsegment": "BUILDING"}), demo.zones(spark, sf), [2, 3], "value")
     return export.delete_small(r, ["value"], 5)
 
 

@@ -415,3 +415,13 @@ def test_geojson_lines_with_holes(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, square, [square[::-1]]), ("b", None, square, [])], "name string, n int, ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>")
     tables.write_geojson(df, str(tmp_path / "f"))
     assert sorted(map(str, tables.read_geojson(spark, str(tmp_path / "f"), "name string, n int", lines=True).collect())) == sorted(map(str, df.collect()))
+
+
+def test_k_anonymity_takes_all_customers(spark, tmp_path):
+    """Customers whose keys are beyond a hundred thousand count like others."""
+    from cellscape import queries
+
+    for t in ("nation", "region", "customer"):
+        df = spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
+        (df.withColumn("c_custkey", F.col("c_custkey") + 900_000) if t == "customer" else df).write.parquet(f"file://{tmp_path}/{t}.parquet")
+    assert queries.queries()["k_anon_delete"](spark, f"file://{tmp_path}").count() > 0
