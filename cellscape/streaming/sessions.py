@@ -36,13 +36,13 @@ def dwell(events: DataFrame, gap_seconds: int = 43200) -> DataFrame:
 
     def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         run, out = (list(state.get) if state.exists else None), []
-        for part in parts:
-            for t, cell in part.sort_values(["t", "cell_id"])[["t", "cell_id"]].itertuples(index=False):
-                if run and run[0] == cell and t - run[2] <= gap_seconds:
-                    run[2], run[3] = max(int(t), run[2]), run[3] + 1
-                else:
-                    out += [(key[0], *run)] if run else []
-                    run = [cell, int(t), int(t), 1]
+        rows = pd.concat([part[["t", "cell_id"]] for part in parts])  # parts are cut anywhere: only all of a user's new rows have an order
+        for t, cell in rows.sort_values(["t", "cell_id"]).itertuples(index=False):
+            if run and run[0] == cell and t - run[2] <= gap_seconds:
+                run[2], run[3] = max(int(t), run[2]), run[3] + 1
+            else:
+                out += [(key[0], *run)] if run else []
+                run = [cell, int(t), int(t), 1]
         if run:
             state.update(tuple(run))
         yield pd.DataFrame(out, columns=["user_id", "cell_id", "start_s", "end_s", "events"])

@@ -417,6 +417,20 @@ def test_geojson_lines_with_holes(spark, tmp_path):
     assert sorted(map(str, tables.read_geojson(spark, str(tmp_path / "f"), "name string, n int", lines=True).collect())) == sorted(map(str, df.collect()))
 
 
+def test_dwell_runs_over_parts(spark, tmp_path):
+    """A user's rows of one batch come in parts that are in no order."""
+    hours = [8, 1, 9, 0, 4, 2, 10, 5, 11, 3, 7, 6]
+    rows = [(1, "a" if h < 5 else "b" if h < 9 else "c", h * 3600) for h in hours]
+    spark.createDataFrame(rows, "user_id long, cell_id string, t long").coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    source = spark.readStream.schema("user_id long, cell_id string, t long").parquet(f"file://{tmp_path}/in")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = sessions.run_available(sessions.dwell(source), f"file://{tmp_path}/out", f"file://{tmp_path}/state").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["cell_id"], r["start_s"], r["end_s"], r["events"]) for r in got) == [("a", 0, 4 * 3600, 5), ("b", 5 * 3600, 8 * 3600, 4)]
+
+
 def test_k_anonymity_takes_all_customers(spark, tmp_path):
     """Customers whose keys are beyond a hundred thousand count like others."""
     from cellscape import queries
