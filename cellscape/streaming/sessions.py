@@ -11,9 +11,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def trip_sessions(stays: DataFrame, gap: str = "24 hours", late: str = "2 hours") -> DataFrame:
-    """(user_id, trip_start, trip_end, stays): sessions of a stream of stays (user_id, ts)."""
-    s = stays.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("stays"))
-    return s.select("user_id", F.col("w.start").alias("trip_start"), F.col("w.end").alias("trip_end"), "stays")
+    """(user_id, trip_start, trip_end, stays): sessions of a stream of stays (user_id, ts); a gap of exactly ``gap`` ends one.
+
+    A session window joins what begins where it ends, so windows are a microsecond shorter.
+    """
+    w = F.session_window("ts", f"{gap} -1 microseconds")
+    s = stays.withWatermark("ts", late).groupBy("user_id", w.alias("w")).agg(F.count("*").alias("stays"))
+    return s.select("user_id", F.col("w.start").alias("trip_start"), (F.col("w.end") + F.expr("interval 1 microsecond")).alias("trip_end"), "stays")
 
 
 def cell_counts(events: DataFrame, window: str = "1 hour", slide: str | None = None, late: str = "2 hours") -> DataFrame:

@@ -431,6 +431,15 @@ def test_dwell_runs_over_parts(spark, tmp_path):
     assert sorted((r["cell_id"], r["start_s"], r["end_s"], r["events"]) for r in got) == [("a", 0, 4 * 3600, 5), ("b", 5 * 3600, 8 * 3600, 4)]
 
 
+def test_a_gap_of_the_whole_length_ends_a_trip(spark, tmp_path):
+    rows = [(1, 0), (1, 21599), (1, 21599 + 21600), (2, 40 * 86400)]
+    df = spark.createDataFrame(rows, "user_id long, t long").select("user_id", F.timestamp_seconds(F.col("t") + 1_700_000_000).alias("ts"))
+    df.coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    trips = sessions.trip_sessions(spark.readStream.schema(df.schema).parquet(f"file://{tmp_path}/in"), "6 hours")
+    got = sessions.run_available(trips, f"file://{tmp_path}/out", f"file://{tmp_path}/state").select("stays", F.unix_micros("trip_end").alias("end")).collect()
+    assert sorted((r["stays"], r["end"] / 1e6 - 1_700_000_000) for r in got) == [(1, 21599 + 2 * 21600), (2, 21599 + 21600)]
+
+
 def test_k_anonymity_takes_all_customers(spark, tmp_path):
     """Customers whose keys are beyond a hundred thousand count like others."""
     from cellscape import queries
