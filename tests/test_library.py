@@ -440,6 +440,19 @@ def test_a_gap_of_the_whole_length_ends_a_trip(spark, tmp_path):
     assert sorted((r["stays"], r["end"] / 1e6 - 1_700_000_000) for r in got) == [(1, 21599 + 2 * 21600), (2, 21599 + 21600)]
 
 
+def test_points_that_go_on_together(spark):
+    """A point that would have settled alone goes on while another changes; a step's change counts the tiles that nothing connects."""
+    devices = spark.createDataFrame([("p", "A", 6), ("p", "B", 400), ("q", "A", 1)], "time_point string, cell_id string, device_count long")
+    prob = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 0.5), ("B", 2, 0.5)], "cell_id string, grid_id int, cell_connection_probability double")
+    tiles = spark.createDataFrame([(1,), (2,), (3,)], "grid_id int")
+    get = lambda df: {(r["time_point"], r["grid_id"]): r["population"] for r in df.collect()}
+    together = get(population.converged_together(devices, prob, tiles, 20, 0.5))
+    n = next(i for i in range(1, 21) if together == pytest.approx(get(population.fixed_iterations(devices, prob, tiles, i)), rel=1e-12))
+    alone = get(population.present_population(devices, prob, tiles, 20, 0.5))
+    assert n > 1 and alone["q", 1] != pytest.approx(together["q", 1], rel=1e-9)
+    assert get(population.converged_together(devices, prob, tiles, 1, 0.5)) == pytest.approx(get(population.fixed_iterations(devices, prob, tiles, 1)))
+
+
 def test_k_anonymity_takes_all_customers(spark, tmp_path):
     """Customers whose keys are beyond a hundred thousand count like others."""
     from cellscape import queries
