@@ -461,3 +461,12 @@ def test_k_anonymity_takes_all_customers(spark, tmp_path):
         df = spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
         (df.withColumn("c_custkey", F.col("c_custkey") + 900_000) if t == "customer" else df).write.parquet(f"file://{tmp_path}/{t}.parquet")
     assert queries.queries()["k_anon_delete"](spark, f"file://{tmp_path}").count() > 0
+
+
+@pytest.mark.parametrize("name", ["footprint_dominance", "footprint_topn", "footprint_pct_best", "footprint_groups", "group_members", "connection_probability"])
+def test_growing_sides_are_not_broadcast(spark, name):
+    """Tables of cells and tiles never go through the driver, however small their files."""
+    from cellscape import queries
+
+    plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
