@@ -45,7 +45,7 @@ def discard_devices(scores: DataFrame, total_ps: int = 2, total_days: int = 1) -
     """Scores without the devices that were observed too little or on too few days."""
     seen = scores.where((F.col("id_type") == ID_OBSERVATION) & (F.col("day_type") == "all") & (F.col("time_interval") == "all"))
     rare = seen.where((F.col("lps") < total_ps) | (F.col("total_frequency") < total_days)).select("user_id", "season").distinct()
-    return scores.join(rare, ["user_id", "season"], "left_anti")
+    return scores.join(rare.hint("merge"), ["user_id", "season"], "left_anti")  # what grows with devices is shuffled, however small its file
 
 
 def cut_at_gap(scores: DataFrame, gap: float, percent: bool) -> DataFrame:
@@ -69,7 +69,7 @@ def apply_rules(tiles: DataFrame, scores: DataFrame, rules: Sequence[Rule], labe
     pick = lambda r, agg_of: agg_of(F.when((F.col("day_type") == r.day_type) & (F.col("time_interval") == r.time_interval), F.col(r.metric)))
     own = scores.where(F.col("id_type") == ID_GRID).groupBy(*by, "location").agg(*[pick(r, F.max).alias(f"_own{i}") for i, r in enumerate(rules)])
     total = scores.where(F.col("id_type") == ID_OBSERVATION).groupBy(*by).agg(*[pick(r, F.max).alias(f"_all{i}") for i, r in enumerate(rules)])
-    df = tiles.join(own, [*by, "location"], "left").join(total, by, "left")
+    df = tiles.join(own.hint("merge"), [*by, "location"], "left").join(total.hint("merge"), by, "left")
     met = [F.coalesce(F.coalesce(f"_own{i}", F.lit(0)) >= F.col(f"_all{i}") * (r.percent / 100), F.lit(False)) for i, r in enumerate(rules)]
     first: Column = F.lit(None).cast("int")
     for i in reversed(range(len(rules))):
@@ -88,7 +88,7 @@ def label_tiles(scores: DataFrame, total_ps: int = 2, total_days: int = 1, ue_ga
     ue_rules, home_rules, work_rules = cascades
     kept = cut(discard_devices(scores, total_ps, total_days))  # read by each label's cut and rules
     ue = cut(apply_rules(cut_at_gap(kept, ue_gap, True), kept, ue_rules, "ue", False))
-    inside = ue.select("user_id", "season", "location")
+    inside = ue.select("user_id", "season", "location").hint("merge")
     tiles = lambda gap: cut_at_gap(kept, gap, False).join(inside, ["user_id", "season", "location"])
     home = apply_rules(tiles(home_gap), kept, home_rules, "home", True, global_stop)
     work = apply_rules(tiles(work_gap), kept, work_rules, "work", True, global_stop)

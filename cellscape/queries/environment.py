@@ -205,7 +205,7 @@ HOME = (usual_environment.Rule("h_1", "all", "all", "lps", 18), usual_environmen
 def _labels(spark, sf, scores=None):
     k = _kept(spark, sf, scores)
     first = cut(usual_environment.apply_rules(usual_environment.cut_at_gap(k, 20, True), k, UE, "ue", False))  # read as labels and as what homes lie in
-    inside = usual_environment.cut_at_gap(k, 3, False).join(first.select("user_id", "season", "location"), ["user_id", "season", "location"])
+    inside = usual_environment.cut_at_gap(k, 3, False).join(first.select("user_id", "season", "location").hint("merge"), ["user_id", "season", "location"])
     return first.unionByName(usual_environment.apply_rules(inside, k, HOME, "home", True))
 
 

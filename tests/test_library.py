@@ -470,3 +470,14 @@ def test_growing_sides_are_not_broadcast(spark, name):
 
     plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "Broadcast" not in plan
+
+
+def test_labels_do_not_broadcast_devices(spark):
+    """What has a row for each device, or more, is shuffled to labels, however small its file."""
+    from cellscape.operators import usual_environment
+
+    row = lambda kind, loc, n: (1, "all", "all", "all", kind, loc, n, n)
+    scores = spark.createDataFrame([row("grid", "5", 9), row("device_observation", "-1", 10)], "user_id long, season string, day_type string, time_interval string, id_type string, location string, lps long, total_frequency long")
+    labels = usual_environment.label_tiles(scores, cascades=[[usual_environment.Rule(code, "all", "all", "lps", 70)] for code in ("u", "h", "w")])
+    assert "Broadcast" not in labels._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["label"] for r in labels.collect()) == ["home", "ue", "work"]
