@@ -79,21 +79,23 @@ def _wandering(spark, sf):
     return b.select(F.col("uid").alias("user_id"), F.unix_timestamp("ts").alias("t"), cell.alias("cell_id"), F.when(abroad, 20801).alias("plmn"), abroad.alias("abroad"))
 
 
-def _day_hulls(spark, sf):
-    """(cell_id, day, hull): footprints are wider on odd days."""
-    fp, tiles = _footprint(spark, sf), demo.ground(spark, sf)
-    days = F.sequence(F.unix_date(F.lit(demo.FIRST_DAY).cast("date")).cast("long"), F.unix_date(F.lit(demo.LAST_DAY).cast("date")).cast("long"))
+def _day_hulls(spark, sf, signals):
+    """(cell_id, day, hull) of the cells and days that signals name: footprints are wider on odd days."""
+    fp, tiles = cut(_footprint(spark, sf)), demo.ground(spark, sf)
+    named = signals.select("cell_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
     out = None
     for odd, share in ((0, 95.0), (1, 80.0)):
         own = coverage.cell_hulls(coverage.prune_share_of_best(fp, coverage.Params(best_percent=share)), tiles)
-        own = own.withColumn("day", F.explode(F.filter(days, lambda d: d % 2 == odd)))  # noqa: B023
+        own = own.join(named.where(F.col("day") % 2 == odd).hint("merge"), "cell_id")
         out = own if out is None else out.unionByName(own)
     return out
 
 
 def hull_stays(spark, sf):
     """Stay intervals where ways are between the cells' hulls of the day."""
-    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(_wandering(spark, sf), _day_hulls(spark, sf), P), P), P)
+    signals = _wandering(spark, sf)
+    hulls = _day_hulls(spark, sf, signals).hint("merge")
+    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(signals, hulls, P), P), P)
 
 
 #: Hulls' distances as in ``cell_distance``: the widest gap between the tiles of two cells, over all directions that can be widest.

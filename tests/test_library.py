@@ -463,7 +463,7 @@ def test_k_anonymity_takes_all_customers(spark, tmp_path):
     assert queries.queries()["k_anon_delete"](spark, f"file://{tmp_path}").count() > 0
 
 
-@pytest.mark.parametrize("name", ["footprint_dominance", "footprint_topn", "footprint_pct_best", "footprint_groups", "group_members", "connection_probability"])
+@pytest.mark.parametrize("name", ["footprint_dominance", "footprint_topn", "footprint_pct_best", "footprint_groups", "group_members", "connection_probability", "hull_stays"])
 def test_growing_sides_are_not_broadcast(spark, name):
     """Tables of cells and tiles never go through the driver, however small their files."""
     from cellscape import queries
