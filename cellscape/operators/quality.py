@@ -133,8 +133,13 @@ def footprint_metrics(cells: DataFrame, footprint: DataFrame, events: DataFrame,
     return df.select("date", "cell_id", "events", percent.alias("percent"), status.alias("status"))
 
 
-def unknown_share(durations: DataFrame, unknown_percent: float = 50.0) -> DataFrame:
-    """(day, devices, mostly_unknown, percent): devices of whose slots at least a share is unknown, mostly or whole."""
-    slots = durations.groupBy("user_id", "day", "slot").agg(F.max_by("cell_id", F.struct("seconds", "cell_id")).alias("main"))
-    users = slots.groupBy("user_id", "day").agg((F.avg((F.col("main") == UNKNOWN_CELL).cast("int")) * 100).alias("share"))
+def unknown_share(durations: DataFrame, unknown_percent: float = 50.0, slot_seconds: int = 3600) -> DataFrame:
+    """(day, devices, mostly_unknown, percent): devices of whose slots at least a share is unknown, mostly or whole.
+
+    A slot that is unknown whole is one row and is only counted; of the others, the cell of most seconds tells.
+    """
+    whole = (F.col("cell_id") == UNKNOWN_CELL) & (F.col("seconds") >= slot_seconds)
+    slots = durations.where(~whole).groupBy("user_id", "day", "slot").agg(F.max_by("cell_id", F.struct("seconds", "cell_id")).alias("main"))
+    slots = slots.select("user_id", "day", (F.col("main") == UNKNOWN_CELL).cast("int").alias("unknown")).unionByName(durations.where(whole).select("user_id", "day", F.lit(1).alias("unknown")))
+    users = slots.groupBy("user_id", "day").agg((F.avg("unknown") * 100).alias("share"))
     return users.groupBy("day").agg(F.count("*").alias("devices"), F.count_if(F.col("share") >= unknown_percent).alias("mostly_unknown")).withColumn("percent", F.col("mostly_unknown") * 100.0 / F.col("devices"))

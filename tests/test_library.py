@@ -503,3 +503,12 @@ def test_free_slots_are_neither_joined_nor_shuffled(spark):
     groups = spark.createDataFrame([("a", "g"), ("a", "h"), ("b", "h"), ("b", "i")], "cell_id string, group_id string")
     got = {(r["slot"], r["id_type"]): r["dps"] for r in permanence.daily_scores(slots, groups, p).where("slot < 14400").collect()}
     assert got == {(0, "grid"): ["g", "h"], (3600, "grid"): ["g", "h"], (7200, "abroad"): ["208"]}
+
+
+def test_slots_that_are_unknown_in_part(spark):
+    rows = [(1, 0, 0, "-99", 3600), (1, 0, 3600, "-99", 2000), (1, 0, 3600, "a", 1600), (1, 0, 7200, "-99", 1000), (1, 0, 7200, "a", 2600), (2, 0, 0, "a", 3600)]
+    df = spark.createDataFrame(rows, "user_id long, day long, slot long, cell_id string, seconds long")
+    r = quality.unknown_share(df, 60.0).first()
+    assert (r["devices"], r["mostly_unknown"], r["percent"]) == (2, 1, 50.0)
+    plan = quality.unknown_share(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan  # what is unknown whole isn't grouped by slot
