@@ -24,7 +24,7 @@ def _signals(spark, sf):
 
 def _stays(spark, sf):
     cells = demo.cells(spark).select("cell_id", F.col("cell_x").alias("x"), F.col("cell_y").alias("y"))
-    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(_signals(spark, sf), cells, P), P), P)
+    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(permanence.by_user(_signals(spark, sf)), cells, P), P), P)
 
 
 def stays_by_run(spark, sf):
@@ -42,7 +42,7 @@ def stays_by_run(spark, sf):
 
 
 def _durations(spark, sf):
-    days = _signals(spark, sf).select("user_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
+    days = permanence.by_user(_signals(spark, sf)).select("user_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
     return permanence.slot_durations(_stays(spark, sf), days, P)
 
 
@@ -122,8 +122,8 @@ def _groups(spark):
     return coverage.footprint_groups(fp)
 
 
-def _dps(spark, sf):
-    return permanence.daily_scores(_durations(spark, sf), coverage.cell_groups(_groups(spark)), P)
+def _dps(spark, sf, groups=None):
+    return permanence.daily_scores(_durations(spark, sf), coverage.cell_groups(_groups(spark) if groups is None else groups), P)
 
 
 def daily_ps(spark, sf):
@@ -157,9 +157,14 @@ mt AS (SELECT user_id, month, day_type, time_interval, id_type, cast(grid_id AS
   UNION ALL SELECT user_id, month, day_type, time_interval, 'device_observation', '-1', sum(n), count(*) FROM oe WHERE n > 0 GROUP BY ALL)"""
 
 
+def _scored(spark, sf):
+    """The daily scores, the holidays and the groups' tiles; groups are written, so that their size is known."""
+    groups = cut(_groups(spark))
+    return cut(_dps(spark, sf, groups)), spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-06')) AS date"), cut(coverage.group_tiles(groups))
+
+
 def _midterm(spark, sf, params=permanence.MidTermParams()):
-    holidays = spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-06')) AS date")
-    return permanence.midterm_scores(cut(_dps(spark, sf)), holidays, coverage.group_tiles(_groups(spark)), params)
+    return permanence.midterm_scores(*_scored(spark, sf), params)
 
 
 def midterm_ps(spark, sf):
@@ -173,7 +178,7 @@ def midterm_totals(spark, sf):
 
 def _longterm(spark, sf, params=permanence.MidTermParams()):
     seasons = spark.sql("SELECT * FROM VALUES ('all', '2023-12'), ('all', '2024-01'), ('winter', '2024-01') AS t(season, month)")
-    return permanence.longterm_scores(cut(_midterm(spark, sf, params)), seasons)
+    return permanence.longterm_of_days(*_scored(spark, sf), seasons, params)
 
 
 def longterm_ps(spark, sf):

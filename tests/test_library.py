@@ -512,3 +512,29 @@ def test_slots_that_are_unknown_in_part(spark):
     assert (r["devices"], r["mostly_unknown"], r["percent"]) == (2, 1, 50.0)
     plan = quality.unknown_share(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan  # what is unknown whole isn't grouped by slot
+
+
+def test_longterm_scores_without_those_of_months(spark):
+    """Equal to the long-term scores of stored mid-term scores, also where a tile is in two groups, and no tile's row is shuffled."""
+    import random
+
+    from cellscape.operators import permanence
+    from cellscape.plans import iterate
+
+    r = random.Random(16)
+    kinds = [("grid", ["g"]), ("grid", ["g", "h"]), ("grid", ["none"]), ("abroad", ["208"]), ("unknown", ["-99"])]
+    picked = [(u, 19720 + d, (19720 + d) * 86400 + h * 3600, *k) for u in range(3) for d in range(45) for h in range(24) for k in kinds if r.random() < 0.06]
+    dps = iterate.cut(spark.createDataFrame(picked, "user_id long, day long, slot long, id_type string, dps array<string>"))
+    holidays = spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-06')) AS date")
+    tiles = iterate.cut(spark.createDataFrame([("g", 5), ("g", 6), ("h", 6), ("h", 7)], "group_id string, grid_id int"))
+    seasons = spark.createDataFrame([("all", "2023-12"), ("all", "2024-01"), ("all", "2024-02"), ("winter", "2024-01")], "season string, month string")
+    names = ["user_id", "season", "day_type", "time_interval", "id_type", "location", "lps", "total_frequency", F.round("frequency_mean", 9), F.round("frequency_std", 9)]
+    made = permanence.longterm_of_days(dps, holidays, tiles, seasons)
+    stored = permanence.longterm_scores(permanence.midterm_scores(dps, holidays, tiles), seasons)
+    key = lambda row: tuple(map(str, row))
+    rows = sorted(map(tuple, made.select(*names).collect()), key=key)
+    assert rows == sorted(map(tuple, stored.select(*names).collect()), key=key) and len(rows) > 300
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("location" in line or "place" in line)]
+    with pytest.raises(ValueError, match="2024-05"):
+        permanence.longterm_of_days(dps, holidays, tiles, seasons.unionByName(spark.createDataFrame([("x", "2024-05")], "season string, month string")))
