@@ -284,7 +284,7 @@ def usual_environment_landuse(spark, sf):
 
 
 def usual_environment_metrics(spark, sf):
-    scores = cut(_longterm(spark, sf))
+    scores = cut(_longterm(spark, sf, usual_environment.periods_read(permanence.MidTermParams(), UE, HOME)))
     m = usual_environment.quality_metrics(scores, _labels(spark, sf, scores), 20, 5)
     return m.withColumn("avg", F.round("avg", 6))
 

@@ -538,3 +538,13 @@ def test_longterm_scores_without_those_of_months(spark):
     assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("location" in line or "place" in line)]
     with pytest.raises(ValueError, match="2024-05"):
         permanence.longterm_of_days(dps, holidays, tiles, seasons.unionByName(spark.createDataFrame([("x", "2024-05")], "season string, month string")))
+
+
+def test_metrics_make_only_the_scores_they_read(spark, monkeypatch):
+    from cellscape.queries import environment
+
+    asked = []
+    made = environment._longterm
+    monkeypatch.setattr(environment, "_longterm", lambda spark, sf, *params: asked.append(params) or made(spark, sf, *params))
+    assert environment.usual_environment_metrics(spark, "/root/testdata/sf0.001").count() > 0
+    assert [(p[0].day_types, [i[0] for i in p[0].intervals]) for p in asked] == [(("all",), ["all", "night_time"])]
