@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid, polygons
 from ..plans.iterate import cut
+from ..plans.joins import dealt
 
 RINGS = f"array<{polygons.RING}>"
 
@@ -32,7 +33,7 @@ def _extent(points: Column, axis: str) -> tuple[Column, Column]:
 def binned(shapes: DataFrame, bin_size: float) -> DataFrame:
     """``shapes`` as one row for each bin (bx, by) that their outer ring's extent meets, with ``parts``: their rings cut to the bin."""
     cell = lambda v: F.floor(v / bin_size)
-    out = shapes.withColumn("_rings", rings(shapes))
+    out = dealt(shapes).withColumn("_rings", rings(shapes))  # a small file of keys is one task, whose rows are much work
     for axis, name in (("x", "bx"), ("y", "by")):
         low, high = _extent(F.col("ring"), axis)
         out = out.withColumn(name, F.explode(F.sequence(cell(low), cell(high))))
@@ -50,7 +51,7 @@ def tile_pieces(tiles: DataFrame, shapes: DataFrame, bin_size: float = 1000.0) -
         raise ValueError("bins are made of whole tiles")
     half = grid.TILE / 2
     t = tiles.select("grid_id", "tile_x", "tile_y", F.floor(F.col("tile_x") / bin_size).alias("bx"), F.floor(F.col("tile_y") / bin_size).alias("by"))
-    met = t.join(binned(shapes, bin_size), ["bx", "by"])
+    met = dealt(t, "bx", "by").join(dealt(binned(shapes, bin_size), "bx", "by").hint("merge"), ["bx", "by"])  # else what is few bytes is cut in few tasks
     x, y = F.col("tile_x"), F.col("tile_y")
     met = met.withColumn("pieces", F.transform("parts", lambda r: polygons.clip(r, x - half, y - half, x + half, y + half)))
     outer = F.transform("pieces", polygons.signed_area)

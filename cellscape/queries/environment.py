@@ -10,6 +10,7 @@ from ..codes import ID_GRID
 from ..functions import grid
 from ..operators import coverage, migration, permanence, quality, semantic_cleaning, usual_environment
 from ..plans.iterate import cut
+from ..plans.joins import dealt
 from ..sources import demo
 from .coverage import _footprint
 from .lattice import LANDUSE_SQL, landuse_tiles
@@ -24,7 +25,7 @@ def _signals(spark, sf):
 
 def _stays(spark, sf):
     cells = demo.cells(spark).select("cell_id", F.col("cell_x").alias("x"), F.col("cell_y").alias("y"))
-    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(permanence.by_user(_signals(spark, sf)), cells, P), P), P)
+    return permanence.stay_intervals(permanence.without_moves(permanence.enrich(dealt(_signals(spark, sf), "user_id"), cells, P), P), P)
 
 
 def stays_by_run(spark, sf):
@@ -42,7 +43,7 @@ def stays_by_run(spark, sf):
 
 
 def _durations(spark, sf):
-    days = permanence.by_user(_signals(spark, sf)).select("user_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
+    days = dealt(_signals(spark, sf), "user_id").select("user_id", F.floor(F.col("t") / 86400).alias("day")).distinct()
     return permanence.slot_durations(_stays(spark, sf), days, P)
 
 
