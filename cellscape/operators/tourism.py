@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import ABROAD, STAY
+from ..plans.joins import dealt
 from ..plans.windows import gaps_and_islands
 from .zoning import zone_at_level
 
@@ -56,8 +57,11 @@ def tourism_stays(segments: DataFrame, posterior: DataFrame, zones: DataFrame, p
 
 
 def trips(stays: DataFrame, gap_hours: int, key: tuple[str, ...] = ("user_id",)) -> DataFrame:
-    """``trip_start`` and ``trip_id``: a trip ends where the next stay starts more than the gap after it. All history in one plan."""
-    out = gaps_and_islands(stays, list(key), ["start_s", "end_s"], F.col("start_s"), F.col("end_s"), gap_hours * 3600, "trip_start")
+    """``trip_start`` and ``trip_id``: a trip ends where the next stay starts more than the gap after it. All history in one plan.
+
+    Stays are dealt out by ``key`` once; what is told of trips, their zones and visits then stays where it is.
+    """
+    out = gaps_and_islands(dealt(stays, *key), list(key), ["start_s", "end_s"], F.col("start_s"), F.col("end_s"), gap_hours * 3600, "trip_start")
     parts = [F.col(k).cast("string") for k in key]
     return out.withColumn("trip_id", F.md5(F.concat(*parts, F.lit("|"), F.col("trip_start").cast("string")).cast("binary")))
 
@@ -81,7 +85,7 @@ def month_trips(stays: DataFrame, since: int, until: int, gap_hours: int, held:
     """
     own = stays.where((F.col("start_s") >= since) & (F.col("start_s") < until))
     rows = own if held is None else own.unionByName(held.select(*stays.columns))
-    reach = F.max("end_s").over(Window.partitionBy("trip_id")) + gap_hours * 3600
+    reach = F.max("end_s").over(Window.partitionBy(*key, "trip_id")) + gap_hours * 3600
     return trips(rows, gap_hours, key).withColumn("open", reach >= until)
 
 
@@ -106,8 +110,8 @@ def finished(df: DataFrame, key: list[str], until_s: Column | int, into: str) ->
 
 def zone_departures(visit_stays: DataFrame, until_s: int) -> DataFrame:
     """(country, is_overnight, zone_id, nights_spent, departures) of finished visits and trips."""
-    df = finished(finished(visit_stays, ["trip_id"], until_s, "trip_finished"), ["trip_id", "zone_id", "visit_start"], until_s, "visit_finished")
-    stayed = F.max(F.col("is_overnight").cast("int")).over(Window.partitionBy("trip_id")) == 1
+    df = finished(finished(visit_stays, ["user_id", "trip_id"], until_s, "trip_finished"), ["user_id", "trip_id", "zone_id", "visit_start"], until_s, "visit_finished")
+    stayed = F.max(F.col("is_overnight").cast("int")).over(Window.partitionBy("user_id", "trip_id")) == 1
     df = df.withColumn("overnight_trip", stayed)
     return df.groupBy("country_of_origin", F.col("overnight_trip").alias("is_overnight"), "zone_id").agg(
         F.sum(F.when(F.col("visit_finished") & F.col("is_overnight"), F.col("zone_weight")).otherwise(0.0)).alias("nights_spent"),
@@ -117,9 +121,9 @@ def zone_departures(visit_stays: DataFrame, until_s: int) -> DataFrame:
 
 def averages(visit_stays: DataFrame, until_s: int) -> DataFrame:
     """(country, avg_destinations, avg_nights_spent_per_destination) of finished trips."""
-    df = finished(visit_stays, ["trip_id"], until_s, "trip_finished").where("trip_finished")
-    zones = df.groupBy("country_of_origin", "trip_id", "zone_id").agg(F.sum(F.when(F.col("is_overnight"), F.col("zone_weight")).otherwise(0.0)).alias("nights"))
-    per_trip = zones.groupBy("country_of_origin", "trip_id").agg(F.count("*").alias("destinations"))
+    df = finished(visit_stays, ["user_id", "trip_id"], until_s, "trip_finished").where("trip_finished")
+    zones = df.groupBy("user_id", "country_of_origin", "trip_id", "zone_id").agg(F.sum(F.when(F.col("is_overnight"), F.col("zone_weight")).otherwise(0.0)).alias("nights"))
+    per_trip = zones.groupBy("user_id", "country_of_origin", "trip_id").agg(F.count("*").alias("destinations"))
     a = per_trip.groupBy("country_of_origin").agg(F.avg("destinations").alias("avg_destinations"))
     b = zones.groupBy("country_of_origin").agg(F.avg("nights").alias("avg_nights_spent_per_destination"))
     return a.join(b, "country_of_origin")
@@ -149,5 +153,5 @@ def outbound_nights(segments: DataFrame, until_s: int, params: Params = Params()
     """(iso2, nights_spent): nights of finished visits to each country."""
     t = trips(segments, params.outbound_trip_gap_hours)
     v = gaps_and_islands(t, ["user_id", "trip_id", "iso2"], ["start_s", "end_s"], F.col("start_s"), F.col("end_s"), params.visit_gap_hours * 3600, "visit_start")
-    done = finished(v, ["trip_id", "iso2", "visit_start"], until_s, "visit_finished")
+    done = finished(v, ["user_id", "trip_id", "iso2", "visit_start"], until_s, "visit_finished")
     return done.groupBy("iso2").agg(F.sum(F.when(F.col("is_overnight") & F.col("visit_finished"), 1.0).otherwise(0.0)).alias("nights_spent"))
