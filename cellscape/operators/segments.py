@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import ABROAD, MOVE, OUTBOUND, STAY, UNDETERMINED, UNKNOWN
+from ..plans.joins import dealt
 
 DAY = 86400
 SEGMENT = "struct<start:bigint,end:bigint,last:bigint,cells:array<string>,plmn:bigint,state:int>"
@@ -178,7 +179,7 @@ def time_segments(events: DataFrame, overlaps: DataFrame, until: int, params: Pa
         held = _segment(F.col("start_s"), F.col("end_s"), F.col("last_event_s"), F.col("cells"), F.col("plmn"), F.col("state"))
         kept = last.where(F.col("is_last") & (F.col("day") == since - 1)).select("user_id", F.lit(since - 1).cast("long").alias("day"), _null(EVENT).alias("e"), held.alias("held"))
         rows = rows.unionByName(kept)
-    days = user_days(rows, until, params).groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("day", "held", "events", "following"))).alias("days"))
+    days = user_days(dealt(rows, "user_id"), until, params).groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("day", "held", "events", "following"))).alias("days"))
     s = F.col("s.segment")
     return days.select("user_id", F.explode(history(F.col("days"), params)).alias("s")).select(
         "user_id", segment_id(F.col("user_id"), s["start"]).alias("time_segment_id"), s["start"].alias("start_s"), s["end"].alias("end_s"), s["last"].alias("last_event_s"),

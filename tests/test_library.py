@@ -548,3 +548,16 @@ def test_metrics_make_only_the_scores_they_read(spark, monkeypatch):
     monkeypatch.setattr(environment, "_longterm", lambda spark, sf, *params: asked.append(params) or made(spark, sf, *params))
     assert environment.usual_environment_metrics(spark, "/root/testdata/sf0.001").count() > 0
     assert [(p[0].day_types, [i[0] for i in p[0].intervals]) for p in asked] == [(("all",), ["all", "night_time"])]
+
+
+def test_few_bytes_of_much_work_are_dealt_over_all_tasks(spark):
+    from cellscape.operators import areas, segments, tourism
+
+    stays = spark.createDataFrame([(1, 0, 5)], "user_id long, start_s long, end_s long")
+    tiles = spark.createDataFrame([(1, 50.0, 50.0)], "grid_id int, tile_x double, tile_y double")
+    shapes = spark.createDataFrame([([(0.0, 0.0), (90.0, 0.0), (0.0, 90.0)],)], "ring array<struct<x:double,y:double>>")
+    ev = spark.createDataFrame([(1, 3600, "a", None, "domestic")], "user_id long, s long, cell_id string, plmn int, domain string").withColumn("timestamp", F.timestamp_seconds("s"))
+    near = spark.createDataFrame([("a", ["b"])], "cell_id string, overlapping_cell_ids array<string>")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for made in (tourism.trips(stays, 24), areas.tile_pieces(tiles, shapes, 500.0), segments.time_segments(ev, near, 0)):
+        assert made.rdd.getNumPartitions() == n and made.count() > 0
