@@ -4,9 +4,11 @@ import math
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cellscape.functions import hulls as batches
 from cellscape.functions import polygons
 from cellscape.operators import areas, coverage
 
@@ -226,3 +228,30 @@ def test_nearby_hulls_meet_once_and_by_day(spark):
     assert pair == {("a", "b"): 30.0, ("b", "a"): 30.0, ("a", "c"): 0.0, ("c", "a"): 0.0, ("b", "c"): pytest.approx(math.hypot(120, 20) - 20), ("c", "b"): pytest.approx(math.hypot(120, 20) - 20)}
     assert {k for k in got if k[2] is None} == {(d, c, None) for d in "xy" for c in "abcd"}
     assert got["y", "a", "c"] == pytest.approx(math.hypot(20, 20) - 20)
+
+
+@pytest.mark.parametrize("held", [4, batches.HELD])
+def test_distances_of_many_hulls_are_those_of_each_pair(spark, held, monkeypatch):
+    """Points, lines, closed rings, hulls that touch, cross and hold each other, and none; also where a pair is more than is held at once."""
+    monkeypatch.setattr(batches, "HELD", held)
+    rng = random.Random(7)
+    some = lambda: [(float(rng.randint(0, w)) + x, float(rng.randint(0, w)) + y) for w, x, y in [(rng.choice((1, 3, 9)), rng.randint(-6, 6) + 4e6, rng.randint(-6, 6) / 3)] for _ in range(rng.choice((1, 1, 2, 3, 5, 40)))]
+    df = spark.createDataFrame([(i, some(), some()) for i in range(800)], f"i int, a {polygons.RING}, b {polygons.RING}")
+    hulls = df.select("i", *[polygons.hull(F.col(c)).alias(c) for c in "ab"]).withColumn("a", F.when(F.col("i") % 3 == 0, F.concat("a", F.slice("a", 1, 1))).otherwise(F.col("a"))).localCheckpoint()
+    want = hulls.select("i", polygons.hull_distance(F.col("a"), F.col("b")).alias("d")).orderBy("i").collect()
+    table = hulls.orderBy("i").toArrow()
+    a, b = (table[c].combine_chunks() for c in "ab")
+    assert batches.distances(a, b).tolist() == [r["d"] for r in want]
+    assert batches.distances(a.slice(300, 100), b.slice(300, 100)).tolist() == [r["d"] for r in want[300:400]]
+    none = pa.array([None, [], [{"x": 0.0, "y": 0.0}]], a.type)
+    assert [x == x for x in batches.distances(none, a.slice(0, 3)).tolist()] == [False, False, True]
+
+
+def test_nearby_hulls_take_pairs_in_whole_batches(spark):
+    """A fold over the sides of each pair takes a tenth of a millisecond, and batches of a few rows about as much."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # as another operator of the session may have left it
+    hulls = spark.createDataFrame([(f"c{i:02d}", [(i * 10.0, 0.0)]) for i in range(40)], f"cell_id string, hull {polygons.RING}")
+    near = coverage.nearby_hulls(hulls, 100.0)
+    assert "MapInArrow" in near._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) >= 1000
+    assert near.where("cell_id_b is not null").count() == sum(abs(i - j) <= 10 for i in range(40) for j in range(40) if i != j)
