@@ -12,10 +12,9 @@ import pyarrow as pa
 HELD = 1 << 14
 
 
-def _rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """x and y of all points, and each ring's first place and number of points, without a first point repeated at the end; 0 for null."""
-    points = column.values
-    x, y = (points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of arrays of points x and y of all, and each ring's first place and number of points, without a first point repeated at the end; 0 for null."""
+    x, y = (column.values.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
     offsets = column.offsets.to_numpy()
     begin, n = offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64)
     n[column.is_null().to_numpy(zero_copy_only=False)] = 0
@@ -25,6 +24,35 @@ def _rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return x, y, begin, n
 
 
+def packed(column: pa.Array) -> tuple[pa.Array, list[np.ndarray]]:
+    """Arrays of points as bytes, each x and y in turn, and their boxes: x0, y0, x1 and y1; null and NaN where there is no point.
+
+    A row's bytes are handed on as they are, where an array of points goes to Arrow number by number in each of its pairs.
+    """
+    x, y, begin, n = _listed(column)
+    ends = np.cumsum(n)
+    at = np.repeat(begin - ends + n, n) + np.arange(ends[-1] if len(n) else 0)
+    points = np.stack([x[at], y[at]], 1)
+    some = np.flatnonzero(n)
+    boxes = [np.full(len(n), np.nan) for _ in range(4)]
+    for box, f, c in zip(boxes, (np.minimum, np.minimum, np.maximum, np.maximum), (0, 1, 0, 1)) if len(some) else ():
+        box[some] = f.reduceat(points[:, c], (ends - n)[some])
+    offsets = np.concatenate([[0], 16 * ends]).astype(np.int64)
+    known = pa.py_buffer(np.packbits(n > 0, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [known, pa.py_buffer(offsets.tobytes()), pa.py_buffer(points.tobytes())]).cast(pa.binary()), boxes
+
+
+def _rings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """x and y of all points of rings as bytes, and each ring's first place and number of points; 0 for null."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 16 if len(column) else np.zeros(1, np.int64)
+    points = np.frombuffer(data, np.float64, 2 * offsets[-1]).reshape(-1, 2) if offsets[-1] else np.zeros((0, 2))
+    n = np.diff(offsets)
+    n[column.is_null().to_numpy(zero_copy_only=False)] = 0
+    return np.ascontiguousarray(points[:, 0]), np.ascontiguousarray(points[:, 1]), offsets[:-1], n
+
+
 def _sides(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """x, y of the corners (corner, pair), those of the next corner, and the ways there."""
     ends = [np.concatenate([c[1:], c[:1]]) for c in (x, y)]
@@ -78,7 +106,7 @@ def _meet(p: list[np.ndarray], q: list[np.ndarray], step: int) -> np.ndarray:
 
 
 def distances(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Distance of each pair of rings, NaN where one is null or has no point. Pairs of as many points each are taken together."""
+    """Distance of each pair of rings as bytes, NaN where one is null. Pairs of as many points each are taken together."""
     (ax, ay, a0, an), (bx, by, b0, bn) = _rings(a), _rings(b)
     out = np.full(len(an), np.nan)
     order = np.lexsort((bn, an))
@@ -94,10 +122,25 @@ def distances(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
-def within(a: str, b: str, distance: float, buffer: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of batches with hulls ``a`` and ``b`` the rows whose hulls, widened by ``buffer``, are within ``distance``: other columns, then the distance."""
+Batches = Iterator[pa.RecordBatch]
+
+
+def boxed(hull: str) -> Callable[[Batches], Batches]:
+    """Batches with ``hull`` as bytes, and columns x0, y0, x1 and y1 of its box after the others."""
+
+    def of(batches: Batches) -> Batches:
+        for batch in batches:
+            rings, boxes = packed(batch.column(hull))
+            columns = [rings if c == hull else batch.column(c) for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(b, from_pandas=True) for b in boxes]], names=[*batch.schema.names, "x0", "y0", "x1", "y1"])
+
+    return of
+
+
+def within(a: str, b: str, distance: float, buffer: float) -> Callable[[Batches], Batches]:
+    """Of batches with hulls ``a`` and ``b`` as bytes the rows whose hulls, widened by ``buffer``, are within ``distance``: other columns, then the distance."""
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(batches: Batches) -> Batches:
         for batch in batches:
             apart = np.maximum(0.0, distances(batch.column(a), batch.column(b)) - 2 * buffer)  # NaN stays
             near = apart <= distance

@@ -240,10 +240,11 @@ def test_distances_of_many_hulls_are_those_of_each_pair(spark, held, monkeypatch
     hulls = df.select("i", *[polygons.hull(F.col(c)).alias(c) for c in "ab"]).withColumn("a", F.when(F.col("i") % 3 == 0, F.concat("a", F.slice("a", 1, 1))).otherwise(F.col("a"))).localCheckpoint()
     want = hulls.select("i", polygons.hull_distance(F.col("a"), F.col("b")).alias("d")).orderBy("i").collect()
     table = hulls.orderBy("i").toArrow()
-    a, b = (table[c].combine_chunks() for c in "ab")
+    a, b = (batches.packed(table[c].combine_chunks())[0] for c in "ab")
     assert batches.distances(a, b).tolist() == [r["d"] for r in want]
     assert batches.distances(a.slice(300, 100), b.slice(300, 100)).tolist() == [r["d"] for r in want[300:400]]
-    none = pa.array([None, [], [{"x": 0.0, "y": 0.0}]], a.type)
+    none, boxes = batches.packed(pa.array([None, [], [{"x": 1.0, "y": 4.0}, {"x": 3.0, "y": 2.0}]], table["a"].type))
+    assert none.null_count == 2 and [x.tolist()[2] for x in boxes] == [1.0, 2.0, 3.0, 4.0]
     assert [x == x for x in batches.distances(none, a.slice(0, 3)).tolist()] == [False, False, True]
 
 
@@ -255,3 +256,11 @@ def test_nearby_hulls_take_pairs_in_whole_batches(spark):
     assert "MapInArrow" in near._jdf.queryExecution().executedPlan().toString()
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) >= 1000
     assert near.where("cell_id_b is not null").count() == sum(abs(i - j) <= 10 for i in range(40) for j in range(40) if i != j)
+
+
+def test_overlap_groups_drop_far_pairs_before_they_are_shuffled(spark):
+    pairs = spark.createDataFrame([("a", None, 0.0), ("b", None, 0.0), ("c", None, 0.0), ("a", "b", 5.0), ("b", "a", 5.0), ("b", "c", 5.5), ("c", "b", 5.5)], "cell_id_a string, cell_id_b string, distance double")
+    groups = coverage.overlap_groups(pairs, 2.5)
+    assert {r["cell_id"]: r["overlapping_cell_ids"] for r in groups.collect()} == {"a": ["b"], "b": ["a"], "c": []}
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert "<= 5.0" in plan.split("Aggregate")[-1].split("\n", 1)[1]
