@@ -211,6 +211,31 @@ def test_hard_negatives_match_brute_force(spark, size):
     assert sorted(map(tuple, got.collect())) == slow_negatives(whole, {i for i, _, _ in rows if i % 10 == 0})
 
 
+@pytest.mark.parametrize("times", [1, 2**12, 2**24])
+def test_hard_negatives_of_large_numbers_and_one_label_each(spark, times):
+    """Scores beyond floats and beyond doubles, below zero too, many labels of few rows."""
+    rng = np.random.default_rng(times)
+    rows = [(int(i), int(i % 40), [float(x) * times / 256 for x in rng.integers(-3, 6, 3)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    p = hard_negatives.Params(rows=16, anchors=4)
+    got = hard_negatives.mine(df, F.col("vec_id") % 3 == 0, params=p).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    whole = [(i, m, [int(np.floor(x * 256)) for x in v]) for i, m, v in rows]
+    assert sorted(map(tuple, got.collect())) == slow_negatives(whole, {i for i, _, _ in rows if i % 3 == 0})
+
+
+def test_hard_negatives_leave_a_task_once(spark, monkeypatch):
+    """What is merged grows with the tasks and with what is asked for, not with the blocks of rows, and blocks aren't copied."""
+    seen, first = [], hard_negatives.first
+    monkeypatch.setattr(hard_negatives, "first", lambda found, *rest: (seen.append(found), first(found, *rest))[1])
+    rng = np.random.default_rng(2)
+    rows = [(int(i), int(i % 2), [float(x) for x in rng.integers(1, 3, 3) / 256]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    hard_negatives.mine(df, F.col("vec_id") % 40 == 0, params=hard_negatives.Params(rows=8, anchors=5, low=1)).collect()
+    positives, negatives = (found.count() for found in seen)
+    assert positives <= 4 * 10 * 5 and negatives <= 4 * 50 * 5  # four tasks, ten anchors; fifty blocks of rows
+    assert all("CartesianProduct" in found._jdf.queryExecution().executedPlan().toString() for found in seen)
+
+
 def test_hard_negatives_of_nothing(spark):
     df = spark.createDataFrame([(1, 1, [1.0])], "vec_id long, label int, embedding array<float>")
     assert hard_negatives.mine(df.limit(0), F.col("vec_id") > 0).count() == 0
